@@ -54,9 +54,9 @@ def relative_lookup(df: DataFrame, value_col: str = RANK_VALUE, class_col: str =
         # the count table has at most 7,462 rows, so one ordered window over it is cheap
         total = F.sum(n).over(Window.partitionBy())
         cum_le = F.sum(n).over(Window.orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0))
-        out = out.withColumn("_N", total).withColumn("_le", cum_le)
-        out = out.withColumn(GLOBAL, F.when(F.col("_N") <= 1, F.lit(0.0))
-                             .otherwise((F.col("_N") - F.col("_le")).cast("double") / (F.col("_N") - 1)))
+        out = out.withColumn("_rows_total", total).withColumn("_le", cum_le)
+        out = out.withColumn(GLOBAL, F.when(F.col("_rows_total") <= 1, F.lit(0.0))
+                             .otherwise((F.col("_rows_total") - F.col("_le")).cast("double") / (F.col("_rows_total") - 1)))
         cols.append(GLOBAL)
     return out.select(*cols)
 

@@ -206,3 +206,34 @@ def equity_bin_sql(col: str) -> str:
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def live_cte() -> str:
+    """live: telemetry rows built from ranked hands (needs the ranked CTE)."""
+    return f"""live AS (
+  SELECT ship_ts AS ts, {KEYS}, code, C1 = C2 AS hand_is_pair, S1 = S2 AS hand_is_suited,
+         (C3 = C4 OR C4 = C5 OR C3 = C5) AS board_is_paired,
+         CAST(code % 101 AS DOUBLE) / 100.0 AS equity,
+         CAST(current_hand_class_value AS VARCHAR) AS current_hand_class_value
+  FROM ranked)"""
+
+
+def live_long_sql(src: str) -> str:
+    """(feature, label) rows of the five drift features of ``src``."""
+    parts = [f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS label FROM {src}"
+             for f in ("hand_is_pair", "hand_is_suited", "board_is_paired")]
+    parts.append(f"SELECT 'equity_bin' AS feature, {equity_bin_sql('equity')} AS label FROM {src}")
+    parts.append(f"SELECT 'current_hand_class_value' AS feature, current_hand_class_value AS label FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def latest_cte(n: int, src: str = "live", name: str = "latest") -> str:
+    return f"""{name} AS (SELECT * FROM {src} ORDER BY ts DESC NULLS LAST, {KEYS}, code LIMIT {n})"""
+
+
+def hash_bucket_sql(cols: list[str], seed: int) -> str:
+    return (f"(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(cols)}, '{seed}')), 1, 8)) AS BIGINT) % 10000)")
+
+
+def ts_text(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
