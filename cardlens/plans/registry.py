@@ -11,6 +11,7 @@ from ..session import apply_runtime_conf
 from ..sources import derived
 from . import queries as _queries  # noqa: F401  (registers the queries)
 from . import queries_stats as _queries_stats  # noqa: F401
+from . import queries_ops as _queries_ops  # noqa: F401
 from .queries import all_queries, oracle_queries
 
 __all__ = ["all_queries", "oracle_queries", "flagship"]
