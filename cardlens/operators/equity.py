@@ -95,3 +95,35 @@ def with_win_share(df: DataFrame, n: int = 10, seed: int = 0, out_col: str = "eq
     trials = showdowns(base, n, seed, F.col("_valid"))
     wins = trials.groupBy("_rid", *cols).agg(F.sum("_score").alias("_wins"))
     return wins.select(*cols, F.bround(F.col("_wins") / F.lit(float(n)), 2).alias(out_col))
+
+
+def exact_win_share(df: DataFrame, out_col: str = "exact_equity") -> DataFrame:
+    """The seedless limit of C5 — every run-out, for a small set of hands.
+
+    Enumerates all C(47,2) = 1,081 turn/river pairs and, for each, all
+    C(45,2) = 990 opponent hands: 1,070,190 showdowns per input row. Meant
+    for a handful of rows (a reference value for C5's sampling error); the
+    rows are spread over tasks by their id before the enumeration.
+    """
+    spark = df.sparkSession
+    cols = df.columns
+    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = df.withColumn("_rid", F.monotonically_increasing_id()).repartition(nparts, "_rid")
+    base = base.select("*", *[card_index(i).cast("int").alias(f"_k{i}") for i in range(1, 6)])
+    seen = F.array(*[F.col(f"_k{i}") for i in range(1, 6)])
+    base = base.withColumn("_rem", F.array_except(F.sequence(F.lit(0), F.lit(51)), seen))
+    # turn/river pair (i < j) over the 47 unseen cards
+    b = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(45))).alias("_i"))
+    b = b.select("*", F.explode(F.sequence(F.col("_i") + 1, F.lit(46))).alias("_j"))
+    b = b.withColumn("_b1", F.get("_rem", "_i")).withColumn("_b2", F.get("_rem", "_j"))
+    b = best_of_seven(b, ["_k1", "_k2", "_k3", "_k4", "_k5", "_b1", "_b2"], "_player_rank")
+    b = b.withColumn("_rest", F.array_except("_rem", F.array("_b1", "_b2")))
+    # opponent pair (u < v) over the 45 cards left
+    o = b.select("*", F.explode(F.sequence(F.lit(0), F.lit(43))).alias("_u"))
+    o = o.select("*", F.explode(F.sequence(F.col("_u") + 1, F.lit(44))).alias("_v"))
+    o = o.withColumn("_o1", F.get("_rest", "_u")).withColumn("_o2", F.get("_rest", "_v"))
+    o = best_of_seven(o, ["_o1", "_o2", "_k3", "_k4", "_k5", "_b1", "_b2"], "_opponent_rank")
+    score = (F.when(F.col("_player_rank") < F.col("_opponent_rank"), 1.0)
+             .when(F.col("_player_rank") == F.col("_opponent_rank"), 0.5).otherwise(0.0))
+    agg = o.groupBy("_rid", *cols).agg(F.avg(score).alias(out_col))
+    return agg.drop("_rid")
