@@ -44,7 +44,9 @@ def latest_runs(runs: DataFrame, name_col: str = "run_name", id_col: str = "run_
     agg = runs.groupBy(name_col).agg(
         F.sum(unfinished.cast("int")).alias("_unfinished"),
         F.min(F.when(unfinished, F.col(id_col))).alias("_open_id"),
-        F.max_by(F.col(id_col), F.struct(F.col(end_col), -F.col(id_col))).alias("_latest_id"),
+        # newest end time first, then the smallest id; unfinished runs have no ordering value
+        F.min_by(F.col(id_col), F.when(~unfinished, F.struct(-F.unix_micros(F.col(end_col)), F.col(id_col))))
+         .alias("_latest_id"),
     )
     status = (F.when(F.col("_unfinished") > 1, F.lit("error"))
               .when(F.col("_unfinished") == 1, F.lit("unfinished")).otherwise(F.lit("finished")))
