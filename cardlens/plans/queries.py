@@ -182,12 +182,12 @@ SELECT {KEYS_SQL}, FALSE, 'rejected', FALSE FROM hands
 WHERE NOT (S1 BETWEEN 1 AND 4 AND S2 BETWEEN 1 AND 4 AND S3 BETWEEN 1 AND 4 AND S4 BETWEEN 1 AND 4 AND S5 BETWEEN 1 AND 4
   AND C1 BETWEEN 1 AND 13 AND C2 BETWEEN 1 AND 13 AND C3 BETWEEN 1 AND 13 AND C4 BETWEEN 1 AND 13 AND C5 BETWEEN 1 AND 13)"""))
 def b15_validate(spark, sf_dir):
-    """Valid and rejected rows of a request table, as one table with the failing columns."""
-    valid, rejected = cards.validate_hands(_hands(spark, sf_dir))
-    ok = valid.select(*ROW_ID, F.lit(True).alias("is_valid"), F.lit("").alias("invalid_columns"), "has_repeated_card")
-    bad = rejected.select(*ROW_ID, F.lit(False).alias("is_valid"),
-                          F.lit("rejected").alias("invalid_columns"), F.lit(False).alias("has_repeated_card"))
-    return ok.unionByName(bad)
+    """Validity of every hand as a request, with the failing columns, in one pass."""
+    checked = cards.with_validation(_hands(spark, sf_dir))
+    return checked.select(
+        *ROW_ID, "is_valid",
+        F.when(F.col("is_valid"), F.lit("")).otherwise(F.lit("rejected")).alias("invalid_columns"),
+        (F.col("is_valid") & F.col("has_repeated_card")).alias("has_repeated_card"))
 
 
 @register("b16_equity_bin", osql.with_ctes(H, body=f"""
