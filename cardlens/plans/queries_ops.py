@@ -213,8 +213,9 @@ def g7_latest_run(spark, sf_dir):
 def _training_table(spark, sf_dir):
     """Features of every hand with the simulated label, split by key hash."""
     hands = derived.hands(spark, sf_dir)
-    labelled = rel.all_features(hands)
-    labelled = mdl_label(labelled)
+    # the forest reads its input several times (split search, binning, evaluation):
+    # checkpoint the labelled table once instead of re-running the simulation
+    labelled = io.materialize(mdl_label(rel.all_features(hands)))
     return sampling.train_test_split(labelled, DEFAULT_CONFIG.test_size, SAMPLE_KEYS, DEFAULT_CONFIG.split_seed)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import read_table, spread
 
 KEY_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 DECK_SIZE = 52
@@ -47,7 +47,8 @@ def hands_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def hands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hands_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    li = read_table(spark, sf_dir, "lineitem").select(*KEY_COLUMNS, "l_shipdate")
+    return hands_from_lineitem(spread(li))
 
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
