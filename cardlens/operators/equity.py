@@ -10,11 +10,11 @@ The draw is seeded and reproducible: trial ``t`` of the hand with code
 mixed-radix digits of ``x`` (47, 46, 45, 44) as indexes into the ascending
 list of remaining cards, removing each drawn card before the next draw.
 
-Plan shape: each input row gets a unique id and is hash-partitioned on it
-once; trials are exploded, ranked with two broadcast hash joins (fixed-size
-tables) and summed per id. The sum is partitioned like its input, so joining
-the sum back to the rows needs no further shuffle. Identical hands are not
-collapsed, so a hand that makes up a third of the data is still spread evenly.
+Plan shape: trials are exploded where the rows are, ranked with two
+broadcast hash joins (fixed-size tables), and summed back per row by a
+partial aggregation keyed on (input partition, row); one shuffle of one small
+row per input row. Identical hands are only grouped within an input
+partition, so a hand that makes up a third of the data stays spread evenly.
 """
 
 from __future__ import annotations
@@ -74,27 +74,45 @@ def showdowns(df: DataFrame, n: int, seed: int, valid: Column | None = None) ->
     return trials.withColumn("_score", F.when(F.col("_t").isNotNull(), score))
 
 
+def _regroup(trials: DataFrame, cols: list[str], per_row: Column, out_col: str, value: Column) -> DataFrame:
+    """Collect the trials of each input row back into that row.
+
+    Rows are grouped by (input partition id, the row's own columns): every
+    trial of a row carries both, and identical rows of one input partition
+    share their draws, so they can share a group; the group's row count
+    divided by the trials per row restores how many copies there were. The
+    key is stable when a task is recomputed (partition ids and partition
+    contents are), unlike a generated row id, and a hand repeated across the
+    whole data set still forms one small group per input partition.
+    """
+    agg = trials.groupBy("_pid", "_valid", *cols).agg(value.alias("_value"), F.count(F.lit(1)).alias("_rows"))
+    copies = (F.col("_rows") / F.when(F.col("_valid"), F.lit(per_row)).otherwise(F.lit(1))).cast("long")
+    return agg.select(*cols, F.col("_value").alias(out_col), F.explode(F.sequence(F.lit(1), copies)).alias("_copy")) \
+              .drop("_copy")
+
+
+def _prepare(df: DataFrame, partitions: int | None) -> DataFrame:
+    base = df.repartition(partitions) if partitions else df
+    valid = (F.size(invalid_columns()) == 0) & ~F.coalesce(has_repeated_card(), F.lit(False))
+    base = base.select("*", F.spark_partition_id().alias("_pid"), valid.alias("_valid"),
+                       *[F.when(valid, card_index(i)).cast("int").alias(f"_k{i}") for i in range(1, 6)])
+    return base.withColumn("_code", hand_code([F.col(f"_k{i}") for i in range(1, 6)]))
+
+
 def with_win_share(df: DataFrame, n: int = 10, seed: int = 0, out_col: str = "equity",
                    partitions: int | None = None) -> DataFrame:
     """Add the simulated win share of the five cards S1,C1..S5,C5.
 
-    Rows with an out-of-range or repeated card get null. ``partitions``
-    sets how many tasks share the simulation (default: the session's
-    shuffle partition count). One shuffle in total: rows are spread by a
-    unique row id, and the per-row sum groups on that id plus the row's own
-    columns, which the id partitioning already satisfies.
+    Rows with an out-of-range or repeated card get null. Trials are exploded
+    and ranked where the rows are (broadcast lookups, no shuffle) and summed
+    back per row with one partial aggregation, so the only shuffle carries
+    one small row per input row. ``partitions`` optionally spreads the input
+    round-robin first (for inputs arriving in too few partitions).
     """
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
-    valid = (F.size(invalid_columns()) == 0) & ~F.coalesce(has_repeated_card(), F.lit(False))
-    base = df.withColumn("_rid", F.monotonically_increasing_id()).repartition(nparts, "_rid")
-    base = base.select("*", valid.alias("_valid"),
-                       *[F.when(valid, card_index(i)).cast("int").alias(f"_k{i}") for i in range(1, 6)])
-    base = base.withColumn("_code", hand_code([F.col(f"_k{i}") for i in range(1, 6)]))
-    trials = showdowns(base, n, seed, F.col("_valid"))
-    wins = trials.groupBy("_rid", *cols).agg(F.sum("_score").alias("_wins"))
-    return wins.select(*cols, F.bround(F.col("_wins") / F.lit(float(n)), 2).alias(out_col))
+    trials = showdowns(_prepare(df, partitions), n, seed, F.col("_valid"))
+    share = F.bround(F.sum("_score") / F.count(F.lit(1)), 2)
+    return _regroup(trials, cols, n, out_col, share)
 
 
 def exact_win_share(df: DataFrame, out_col: str = "exact_equity") -> DataFrame:
@@ -102,14 +120,12 @@ def exact_win_share(df: DataFrame, out_col: str = "exact_equity") -> DataFrame:
 
     Enumerates all C(47,2) = 1,081 turn/river pairs and, for each, all
     C(45,2) = 990 opponent hands: 1,070,190 showdowns per input row. Meant
-    for a handful of rows (a reference value for C5's sampling error); the
-    rows are spread over tasks by their id before the enumeration.
+    for a handful of rows (a reference value for C5's sampling error).
     """
     spark = df.sparkSession
     cols = df.columns
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.withColumn("_rid", F.monotonically_increasing_id()).repartition(nparts, "_rid")
-    base = base.select("*", *[card_index(i).cast("int").alias(f"_k{i}") for i in range(1, 6)])
+    base = _prepare(df, nparts).filter("_valid")
     seen = F.array(*[F.col(f"_k{i}") for i in range(1, 6)])
     base = base.withColumn("_rem", F.array_except(F.sequence(F.lit(0), F.lit(51)), seen))
     # turn/river pair (i < j) over the 47 unseen cards
@@ -125,5 +141,4 @@ def exact_win_share(df: DataFrame, out_col: str = "exact_equity") -> DataFrame:
     o = best_of_seven(o, ["_o1", "_o2", "_k3", "_k4", "_k5", "_b1", "_b2"], "_opponent_rank")
     score = (F.when(F.col("_player_rank") < F.col("_opponent_rank"), 1.0)
              .when(F.col("_player_rank") == F.col("_opponent_rank"), 0.5).otherwise(0.0))
-    agg = o.groupBy("_rid", *cols).agg(F.avg(score).alias(out_col))
-    return agg.drop("_rid")
+    return _regroup(o, cols, 1081 * 990, out_col, F.avg(score))
