@@ -167,28 +167,85 @@ def latest_value(log: DataFrame, value_col: str, keys: tuple = (), ts: str = "ts
                    F.max(order).getField(ts).alias("last_ts"))
 
 
+def _local_increase(batches):
+    """mapInPandas body: per range partition, reset-aware deltas summed per (series, window),
+    plus one boundary row per series with its first value/window and last value.
+
+    Rows arrive sorted by (series, ts), so a series' rows form one run per
+    partition; the first row of each run gets delta 0 here and is fixed from
+    the previous partition's last value by the caller.
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark import TaskContext
+
+    pid = TaskContext.get().partitionId()
+    partial, firsts, lasts = [], {}, {}
+    carry_key, carry_val = None, None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        keys = pdf["_s"].to_numpy(dtype=object)
+        vals = pdf["_v"].to_numpy(dtype="int64")
+        prev_keys = np.empty(len(keys), dtype=object)
+        prev_keys[0] = carry_key
+        prev_keys[1:] = keys[:-1]
+        prev_vals = np.empty(len(vals), dtype="int64")
+        prev_vals[0] = carry_val if carry_val is not None else 0
+        prev_vals[1:] = vals[:-1]
+        same = keys == prev_keys
+        delta = np.where(~same, 0, np.where(vals >= prev_vals, vals - prev_vals, vals))
+        partial.append(pd.DataFrame({"_s": keys, "_w": pdf["_w"], "amount": delta})
+                       .groupby(["_s", "_w"], sort=False, as_index=False)["amount"].sum())
+        for i in np.flatnonzero(~same):
+            firsts[keys[i]] = (int(vals[i]), pdf["_w"].iloc[i])
+        ends = np.flatnonzero(np.append(keys[1:] != keys[:-1], True))
+        for i in ends:
+            lasts[keys[i]] = int(vals[i])
+        carry_key, carry_val = keys[-1], int(vals[-1])
+    if partial:
+        sums = pd.concat(partial).groupby(["_s", "_w"], sort=False, as_index=False)["amount"].sum()
+        yield pd.DataFrame({"kind": "sum", "_s": sums["_s"], "_w": sums["_w"], "amount": sums["amount"].astype("int64"),
+                            "pid": pid, "first_v": None, "last_v": None})
+    if firsts:
+        ks = list(firsts)
+        yield pd.DataFrame({"kind": "bound", "_s": ks, "_w": [firsts[k][1] for k in ks], "amount": 0,
+                            "pid": pid, "first_v": [firsts[k][0] for k in ks], "last_v": [lasts[k] for k in ks]})
+
+
+_INCREASE_SCHEMA = ("kind string, _s string, _w timestamp, amount long, pid int, first_v long, last_v long")
+
+
 def counter_increase(samples: DataFrame, duration: str = "1 hour", series: str = "series", ts: str = "ts",
-                     value: str = "cum", bucket_unit: str = "day") -> DataFrame:
+                     value: str = "cum", partitions: int | None = None) -> DataFrame:
     """Reset-aware increase of a sampled cumulative counter per series and window.
 
     delta = value - previous value of the series; a drop means the counter
     restarted, so the delta is the new value; the first sample adds 0.
 
-    A series can hold a large share of all samples, so the ``lag`` runs per
-    (series, ``bucket_unit``) and the first sample of each bucket takes its
-    previous value from the last sample of the series' preceding bucket
-    (from a per-bucket table, one row per series and bucket).
+    A series may hold a third of all samples, so ``lag`` over the series is
+    never run in one task: samples are range-partitioned on (series, ts) —
+    Spark samples the boundaries, splitting a busy series over many tasks —
+    and each partition sums its deltas per (series, window) in pandas
+    (Arrow batches, one pass). Each partition also reports, per series, its
+    first value and last value; a lag over those boundary rows (at most one
+    per partition and series) supplies the delta of every partition's first
+    sample. Output: series, window_start, window_end, increase.
     """
-    s = samples.select(F.col(series).alias("_s"), F.col(ts).alias("_ts"), F.col(value).alias("_v"))
-    s = s.withColumn("_b", F.date_trunc(bucket_unit, "_ts"))
-    last_per_bucket = s.groupBy("_s", "_b").agg(F.max_by("_v", "_ts").alias("_last"))
-    prev_bucket = last_per_bucket.select(
-        "_s", "_b", F.lag("_last").over(Window.partitionBy("_s").orderBy("_b")).alias("_carry"))
-    w = Window.partitionBy("_s", "_b").orderBy("_ts")
-    s = s.withColumn("_prev", F.lag("_v").over(w)).join(prev_bucket, ["_s", "_b"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    delta = (F.when(prev.isNull(), F.lit(0)).when(F.col("_v") >= prev, F.col("_v") - prev)
-             .otherwise(F.col("_v")))
-    agg = s.withColumn("_d", delta).groupBy(F.col("_s").alias(series), _win("_ts", duration)) \
-        .agg(F.sum("_d").cast("long").alias("increase"))
-    return _bounds(agg).drop("_seconds")
+    spark = samples.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = samples.select(F.col(series).cast("string").alias("_s"), F.col(ts).alias("_ts"),
+                       F.col(value).cast("long").alias("_v"),
+                       F.window(F.col(ts), duration).getField("start").alias("_w"))
+    ranged = s.repartitionByRange(n, "_s", "_ts").sortWithinPartitions("_s", "_ts")
+    # partial sums and boundary rows are small; one exchange on series feeds both uses below
+    part = ranged.mapInPandas(_local_increase, _INCREASE_SCHEMA).repartition(n, "_s")
+    sums = part.filter(F.col("kind") == "sum").select("_s", "_w", "amount")
+    bounds = part.filter(F.col("kind") == "bound")
+    carry = F.lag("last_v").over(Window.partitionBy("_s").orderBy("pid"))
+    first_delta = (F.when(carry.isNull(), F.lit(0)).when(F.col("first_v") >= carry, F.col("first_v") - carry)
+                   .otherwise(F.col("first_v")))
+    fixes = bounds.select("_s", "_w", first_delta.cast("long").alias("amount"))
+    total = sums.unionByName(fixes).groupBy("_s", "_w").agg(F.sum("amount").cast("long").alias("increase"))
+    return total.select(F.col("_s").alias(series), F.col("_w").alias("window_start"),
+                        (F.col("_w") + F.expr(f"INTERVAL {duration}")).alias("window_end"), "increase")

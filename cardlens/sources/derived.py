@@ -76,7 +76,8 @@ def counter_samples(spark: SparkSession, sf_dir: str, reset_every: int = 100) ->
     The sample number is a row number per series ordered by (ts, event_id).
     A series may hold a large share of all rows, so the row number is split
     in two levels: per (series, day) with a window, plus an offset from the
-    running sum of the small per-(series, day) count table.
+    running sum of the per-(series, day) count table (one row per series and
+    day; joined without a broadcast hint, AQE broadcasts it when it is small).
     """
     ev = read_table(spark, sf_dir, "events").select(
         F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
@@ -88,7 +89,7 @@ def counter_samples(spark: SparkSession, sf_dir: str, reset_every: int = 100) ->
                           .rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
     w = Window.partitionBy("series", "_day").orderBy("ts", "event_id")
     numbered = ev.withColumn("_rn", F.row_number().over(w)) \
-        .join(F.broadcast(offsets), ["series", "_day"]) \
+        .join(offsets, ["series", "_day"]) \
         .withColumn("_rn", F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0)))
     return numbered.select("series", "ts", (F.col("_rn") % reset_every).cast("long").alias("cum"))
 

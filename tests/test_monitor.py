@@ -88,3 +88,20 @@ def test_latest_value_and_rates(spark):
     assert rate == len(pdf)
     errs = monitor.errors_by_type(log, "1 hour").agg(F.sum("n_errors")).first()[0]
     assert errs == int((pdf.status >= 400).sum())
+
+
+def test_counter_increase_one_hot_series_spread_over_partitions(spark):
+    """One series holding every sample: the increase still matches a plain sequential pass."""
+    rnd = random.Random(5)
+    rows, cum = [], 0
+    for i in range(5000):
+        cum = 0 if rnd.random() < 0.02 else cum + rnd.randrange(0, 5)
+        rows.append(("hot", f"2024-01-{1 + i // 1000:02d} {(i // 60) % 24:02d}:{i % 60:02d}:00", cum))
+    df = spark.createDataFrame(rows, "series string, ts string, cum long").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {pd.Timestamp(r["window_start"]): r["increase"]
+           for r in monitor.counter_increase(df, "1 day", partitions=7).collect()}
+    pdf = df.toPandas().sort_values("ts")
+    prev = pdf.cum.shift()
+    pdf["d"] = np.where(prev.isna(), 0, np.where(pdf.cum >= prev, pdf.cum - prev, pdf.cum))
+    exp = pdf.groupby(pdf.ts.dt.floor("D")).d.sum()
+    assert {pd.Timestamp(k): int(v) for k, v in exp.items()} == got
