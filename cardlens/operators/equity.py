@@ -40,21 +40,53 @@ def draw_number(code: Column, trial: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % DRAW_SPACE
 
 
+def with_seen_offsets(df: DataFrame) -> DataFrame:
+    """Adds ``_t0.._t4``: the seen cards sorted ascending, minus their position.
+
+    The ``i``-th card (0-based) of the ascending unseen deck is then
+    ``i + #{j : _tj <= i}``: exactly ``_tj`` unseen cards lie below the j-th
+    seen card. Computed once per hand, before trials are exploded.
+    """
+    srt = F.sort_array(F.array(*[F.col(f"_k{i}") for i in range(1, 6)]))
+    df = df.withColumn("_seen", srt)
+    return df.select("*", *[(F.get(F.col("_seen"), j) - j).alias(f"_t{j}") for j in range(5)]).drop("_seen")
+
+
+def _unseen_card(idx: Column) -> Column:
+    return idx + sum((F.col(f"_t{j}") <= idx).cast("int") for j in range(5))
+
+
+def _nth_free(d: Column, taken: list[Column]) -> Column:
+    """The d-th smallest of 0..46 once the ``taken`` indexes (ascending) are removed."""
+    r = d
+    for t in taken:
+        r = r + (r >= t).cast("int")
+    return r
+
+
 def _draw_cards(df: DataFrame) -> DataFrame:
-    """Adds _o1, _o2 (opponent) and _b1, _b2 (turn, river) from _x and the seen cards."""
-    seen = F.array(*[F.col(f"_k{i}") for i in range(1, 6)])
-    df = df.withColumn("_rem", F.array_except(F.sequence(F.lit(0), F.lit(51)), seen))
-    radix, div = [47, 46, 45, 44], 1
-    for name, base in zip(["_o1", "_o2", "_b1", "_b2"], radix):
-        idx = (F.floor(F.col("_x") / div) % base).cast("int")
-        df = df.withColumn(name, F.get(F.col("_rem"), idx))
-        if name != "_b2":
-            df = df.withColumn("_rem", F.array_remove("_rem", F.col(name)))
-        div *= base
-    return df.drop("_rem")
-
-
-def showdowns(df: DataFrame, n: int, seed: int, valid: Column | None = None) -> DataFrame:
+    """Adds _o1, _o2 (opponent) and _b1, _b2 (turn, river) from ``_x`` and ``_t0.._t4``.
+
+    Mixed-radix digits of ``_x`` (47, 46, 45, 44) index the unseen deck with
+    each drawn card removed before the next draw; the index arithmetic and the
+    index -> card map are plain integer expressions (no per-trial arrays).
+    """
+    x = F.col("_x")
+    d = [(x % 47).cast("int"), (F.floor(x / 47) % 46).cast("int"),
+         (F.floor(x / (47 * 46)) % 45).cast("int"), (F.floor(x / (47 * 46 * 45)) % 44).cast("int")]
+    df = df.withColumn("_i1", d[0])
+    df = df.withColumn("_i2", _nth_free(d[1], [F.col("_i1")]))
+    lo, hi = F.least("_i1", "_i2"), F.greatest("_i1", "_i2")
+    df = df.withColumn("_i3", _nth_free(d[2], [lo, hi]))
+    a, c = F.least("_i1", "_i2", "_i3"), F.greatest("_i1", "_i2", "_i3")
+    b = F.col("_i1") + F.col("_i2") + F.col("_i3") - a - c
+    df = df.withColumn("_i4", _nth_free(d[3], [a, b, c]))
+    df = df.select("*", *[_unseen_card(F.col(f"_i{i}")).alias(name)
+                          for i, name in zip(range(1, 5), ["_o1", "_o2", "_b1", "_b2"])])
+    return df.drop("_i1", "_i2", "_i3", "_i4")
+
+
+def showdowns(df: DataFrame, n: int, seed: int, valid: Column | None = None, opponent: bool = True) -> DataFrame:
     """Adds one row per trial (``_t``) with both rank values and ``_score``.
 
     ``df`` needs card-number columns ``_k1.._k5`` and ``_code``; rows where
@@ -68,6 +100,8 @@ def showdowns(df: DataFrame, n: int, seed: int, valid: Column | None = None) ->
     trials = _draw_cards(trials)
     board = ["_k3", "_k4", "_k5", "_b1", "_b2"]
     trials = best_of_seven(trials, ["_k1", "_k2"] + board, "_player_rank")
+    if not opponent:
+        return trials
     trials = best_of_seven(trials, ["_o1", "_o2"] + board, "_opponent_rank")
     score = (F.when(F.col("_player_rank") < F.col("_opponent_rank"), 1.0)
              .when(F.col("_player_rank") == F.col("_opponent_rank"), 0.5).otherwise(0.0))
@@ -96,7 +130,8 @@ def _prepare(df: DataFrame, partitions: int | None) -> DataFrame:
     valid = (F.size(invalid_columns()) == 0) & ~F.coalesce(has_repeated_card(), F.lit(False))
     base = base.select("*", F.spark_partition_id().alias("_pid"), valid.alias("_valid"),
                        *[F.when(valid, card_index(i)).cast("int").alias(f"_k{i}") for i in range(1, 6)])
-    return base.withColumn("_code", hand_code([F.col(f"_k{i}") for i in range(1, 6)]))
+    base = base.withColumn("_code", hand_code([F.col(f"_k{i}") for i in range(1, 6)]))
+    return with_seen_offsets(base)
 
 
 def with_win_share(df: DataFrame, n: int = 10, seed: int = 0, out_col: str = "equity",

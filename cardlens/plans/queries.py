@@ -243,15 +243,11 @@ SELECT {KEYS_SQL}, CAST(b1 AS INTEGER) AS turn_card, CAST(b2 AS INTEGER) AS rive
 FROM trials"""))
 def c4_best_of_seven(spark, sf_dir):
     """Best five of seven: the hand plus the turn and river of its first seeded run-out."""
-    h = _hands(spark, sf_dir)
-    k = h.select(*ROW_ID, *[cards.card_index(i).cast("int").alias(f"_k{i}") for i in range(1, 6)])
-    k = k.withColumn("_code", eq.hand_code([F.col(f"_k{i}") for i in range(1, 6)])) \
-         .withColumn("_t", F.lit(1)) \
-         .withColumn("_x", eq.draw_number(F.col("_code"), F.col("_t"), 0))
-    k = eq._draw_cards(k)
-    k = ranks.best_of_seven(k, ["_k1", "_k2", "_k3", "_k4", "_k5", "_b1", "_b2"], "best_rank")
-    return k.select(*ROW_ID, F.col("_b1").alias("turn_card"), F.col("_b2").alias("river_card"), "best_rank",
-                    ranks.rank_class_of(F.col("best_rank")).alias("best_class"))
+    h = _hands(spark, sf_dir).select(*ROW_ID, *[f"{p}{i}" for i in range(1, 6) for p in "SC"])
+    trials = eq.showdowns(eq._prepare(h, None), 1, 0, F.col("_valid"), opponent=False)
+    return trials.select(*ROW_ID, F.col("_b1").alias("turn_card"), F.col("_b2").alias("river_card"),
+                         F.col("_player_rank").alias("best_rank"),
+                         ranks.rank_class_of(F.col("_player_rank")).alias("best_class"))
 
 
 @register("c5_win_share", osql.with_ctes(H, R5, R7, osql.showdown_ctes(10, 0), body=f"""

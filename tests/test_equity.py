@@ -44,7 +44,7 @@ def test_draws_match_the_documented_rule(spark):
                                                          .alias(f"_k{i}") for i in range(1, 6)])
     k = k.withColumn("_code", equity.hand_code([F.col(f"_k{i}") for i in range(1, 6)])) \
          .withColumn("_t", F.lit(2)).withColumn("_x", equity.draw_number(F.col("_code"), F.col("_t"), 5))
-    rows = equity._draw_cards(k).collect()
+    rows = equity._draw_cards(equity.with_seen_offsets(k)).collect()
     assert rows
     for r in rows:
         seen = [r[f"_k{i}"] for i in range(1, 6)]
