@@ -19,7 +19,6 @@ from ..functions import cards
 from ..operators import equity as eq
 from ..operators import features as feat
 from ..operators import ranks
-from ..operators import relative as rel
 from ..session import apply_runtime_conf
 from ..sources import derived
 from . import oracle_sql as osql

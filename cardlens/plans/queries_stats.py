@@ -5,9 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_CONFIG, RANK_CLASS, RANK_VALUE, STATEFUL_FEATURES
+from ..config import DEFAULT_CONFIG, RANK_VALUE, STATEFUL_FEATURES
 from ..operators import drift
-from ..operators import features as feat
 from ..operators import ranks
 from ..operators import relative as rel
 from ..operators import sampling

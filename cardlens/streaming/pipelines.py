@@ -3,8 +3,8 @@
 * J1 :func:`scoring_stream` — new hands -> row features -> stream-static
   broadcast joins (rank table, per-rank lookup) -> model -> equity.
 * J2 :func:`drift_stream` — ``foreachBatch`` keeps the newest N rows (a table
-  of at most N rows in the shared checkpoint folder) and appends one drift
-  report per micro-batch.
+  of at most N rows on shared storage) and writes one drift report per
+  micro-batch, idempotently.
 * J3 :func:`monitor_stream` — event-time tumbling windows with a watermark;
   append mode emits each window once, after the watermark passes its end, and
   drops rows that arrive later than that.
@@ -15,6 +15,7 @@ checkpoint location so a restarted driver resumes where it stopped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,26 +57,30 @@ def drift_stream(spark: SparkSession, source: str, schema, baseline: DataFrame,
                  available_now: bool = True) -> StreamingQuery:
     """Drift of the newest ``n`` rows, recomputed per micro-batch.
 
-    State is the kept window itself: at most ``n`` rows, stored as Parquet
-    next to the checkpoint and replaced each batch (written to a new folder
-    per batch id so a retried batch never reads its own half-written state).
+    State is the kept window itself: at most ``n`` rows, written per batch to
+    ``kept_path/batch=<id>``; a batch reads the newest earlier folder, so a
+    restarted driver resumes from storage and a retried batch never reads its
+    own output. Reports go to ``report_path/batch_id=<id>`` (overwrite), so a
+    retried batch replaces instead of duplicating its report.
     """
     baseline = baseline.persist()
-    state = {"path": None}
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         sp = batch.sparkSession
         cols = batch.columns
         kept = batch
-        if state["path"] is not None:
-            kept = kept.unionByName(sp.read.parquet(state["path"]).select(*cols))
+        try:
+            earlier = sp.read.parquet(kept_path).filter(F.col("batch") < batch_id)
+            last = earlier.agg(F.max("batch")).first()[0]
+            if last is not None:
+                kept = kept.unionByName(earlier.filter(F.col("batch") == last).select(*cols))
+        except AnalysisException:
+            pass  # first batch: nothing kept yet
         window = sampling.latest_rows(kept, n, ts_col, tie_cols)
-        new_path = f"{kept_path}/batch={batch_id}"
-        window.write.mode("overwrite").parquet(new_path)
-        state["path"] = new_path
-        current = sp.read.parquet(new_path)
+        window.write.mode("overwrite").parquet(f"{kept_path}/batch={batch_id}")
+        current = sp.read.parquet(f"{kept_path}/batch={batch_id}")
         report = drift.psi_report(baseline, sampling.min_rows_guard(current, n))
-        report.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(report_path)
+        report.write.mode("overwrite").parquet(f"{report_path}/batch_id={batch_id}")
 
     stream = read_stream(spark, source, schema)
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
