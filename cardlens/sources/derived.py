@@ -51,9 +51,8 @@ def hands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hands_from_lineitem(spread(li))
 
 
-def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prediction_log_from_events(ev: DataFrame) -> DataFrame:
     """One row per served prediction (request id, time, status, timings, size, output)."""
-    ev = read_table(spark, sf_dir, "events")
     status = (F.when(F.col("event_type") != "error", 200)
               .when(F.col("event_id") % 3 == 0, 422)
               .when(F.col("event_id") % 3 == 1, 404)
@@ -70,6 +69,10 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prediction_log_from_events(read_table(spark, sf_dir, "events"))
+
+
 def counter_samples(spark: SparkSession, sf_dir: str, reset_every: int = 100) -> DataFrame:
     """Samples of a per-series cumulative counter that resets every ``reset_every`` samples.
 

@@ -52,9 +52,9 @@ def scoring_stream(spark: SparkSession, source: str, schema, model, lookup: Data
     return writer.start()
 
 
-def drift_stream(spark: SparkSession, source: str, schema, baseline: DataFrame, n: int, kept_path: str,
-                 report_path: str, checkpoint: str, ts_col: str = "ts", tie_cols: tuple = (),
-                 available_now: bool = True) -> StreamingQuery:
+def drift_stream_from(stream: DataFrame, baseline: DataFrame, n: int, kept_path: str, report_path: str,
+                      checkpoint: str, ts_col: str = "ts", tie_cols: tuple = (),
+                      available_now: bool = True) -> StreamingQuery:
     """Drift of the newest ``n`` rows, recomputed per micro-batch.
 
     State is the kept window itself: at most ``n`` rows, written per batch to
@@ -82,12 +82,19 @@ def drift_stream(spark: SparkSession, source: str, schema, baseline: DataFrame,
         report = drift.psi_report(baseline, sampling.min_rows_guard(current, n))
         report.write.mode("overwrite").parquet(f"{report_path}/batch_id={batch_id}")
 
-    stream = read_stream(spark, source, schema)
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
 
+def drift_stream(spark: SparkSession, source: str, schema, baseline: DataFrame, n: int, kept_path: str,
+                 report_path: str, checkpoint: str, ts_col: str = "ts", tie_cols: tuple = (),
+                 available_now: bool = True) -> StreamingQuery:
+    """J2 over files landing in ``source`` (see :func:`drift_stream_from`)."""
+    return drift_stream_from(read_stream(spark, source, schema), baseline, n, kept_path, report_path,
+                             checkpoint, ts_col, tie_cols, available_now)
+
+
 def windowed_counts(events: DataFrame, duration: str, watermark: str, ts_col: str = "ts",
                     status_col: str = "status") -> DataFrame:
     """J3 transformation: per window, predictions and errors (status >= 400)."""
