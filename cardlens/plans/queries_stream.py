@@ -72,3 +72,25 @@ def j3_stream_windows(spark, sf_dir):
                       "n_predictions", "n_errors")
 
 
+
+
+@register("j1_stream_score")
+def j1_stream_score(spark, sf_dir):
+    """Streaming scoring: lineitem files -> hands -> features -> lookup join -> forest -> equity."""
+    from ..operators import model as mdl
+    from ..operators import relative as rel
+    from .queries_ops import QUERY_TREES, _training_table
+    train, _ = _training_table(spark, sf_dir)
+    model = mdl.train(train, num_trees=QUERY_TREES)
+    run = _run_dir(spark, "j1")
+    rel.stateful_lookup(train).write.parquet(os.path.join(run, "lookup"))
+    lookup = spark.read.parquet(os.path.join(run, "lookup"))
+    src = _stream_glob(sf_dir, "lineitem")
+    schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
+    hands = derived.hands_from_lineitem(sp.read_stream(spark, src, schema))
+    scored = sp.score(hands, model, lookup, keep=tuple(ROW_ID))
+    q = (scored.writeStream.format("parquet").option("path", os.path.join(run, "out"))
+         .option("checkpointLocation", os.path.join(run, "ckpt")).outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(run, "out")).select(*ROW_ID, "equity")
