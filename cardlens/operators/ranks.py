@@ -133,11 +133,21 @@ def build_seven_card_table(spark: SparkSession, rank_table: DataFrame | None = N
                 .join(ranks5.filter(~F.col("is_flush")), "sub_key")
                 .groupBy("lookup_key").agg(F.min("rank_value").alias("rank_value")))
 
+    # suited rank sets of 5..7 cards; their five-card subsets come from dropping 0, 1 or 2 bits
     masks = (spark.range(0, 1 << 13).select(F.col("id").alias("mask"))
              .filter(F.bit_count("mask").between(5, 7)))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(12)),
+                    lambda b: F.floor(F.col("mask") / F.pow(F.lit(2), b)) % 2 == 1)
+    masks = masks.withColumn("_bits", bits)
+    drop_one = F.transform("_bits", lambda b: F.col("mask") - F.pow(F.lit(2), b).cast("long"))
+    drop_two = F.flatten(F.transform("_bits", lambda b1: F.transform(
+        F.filter("_bits", lambda b2: b2 > b1),
+        lambda b2: F.col("mask") - F.pow(F.lit(2), b1).cast("long") - F.pow(F.lit(2), b2).cast("long"))))
+    subsets = (F.when(F.size("_bits") == 5, F.array(F.col("mask")))
+               .when(F.size("_bits") == 6, drop_one).otherwise(drop_two))
     flush5 = ranks5.filter(F.col("is_flush")).select((F.col("sub_key") - FLUSH_OFFSET).alias("sub_mask"), "rank_value")
-    # 4,719 x 1,287 fixed-size containment test; both sides are constants of the game
-    flush = (masks.join(F.broadcast(flush5), F.col("sub_mask").bitwiseAND(F.col("mask")) == F.col("sub_mask"))
+    flush = (masks.select("mask", F.explode(subsets).alias("sub_mask"))
+             .join(flush5, "sub_mask")
              .groupBy("mask").agg(F.min("rank_value").alias("rank_value"))
              .select((F.col("mask") + FLUSH_OFFSET).alias("lookup_key"), "rank_value"))
     return nonflush.unionByName(flush).select("lookup_key", "rank_value", rank_class_of(F.col("rank_value")).alias("rank_class"))
