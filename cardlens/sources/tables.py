@@ -22,16 +22,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, key_cols: tuple = (), min_partitions: int | None = None) -> DataFrame:
     """Spread an input that arrives in fewer partitions than the cluster has cores.
 
     A table stored as one large file with one row group is scanned by a single
-    task; when that happens the rows are hash-spread over the default
-    parallelism before the row-wise work. Inputs that already arrive in enough
-    partitions (any large table) are returned unchanged, so at scale this adds
-    no shuffle.
+    task; when that happens the rows are spread over the default parallelism
+    before the row-wise work: hashed on ``key_cols`` when the caller names a
+    unique key (later aggregations on that key then need no shuffle), else
+    round-robin. Inputs that already arrive in enough partitions (any large
+    table) are returned unchanged, so at scale this adds no shuffle.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *[F.col(c) for c in df.columns[:2]])
+    if key_cols:
+        return df.repartition(target, *[F.col(c) for c in key_cols])
+    return df.repartition(target)
