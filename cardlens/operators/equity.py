@@ -70,6 +70,8 @@ def _draw_cards(df: DataFrame) -> DataFrame:
     Mixed-radix digits of ``_x`` (47, 46, 45, 44) index the unseen deck with
     each drawn card removed before the next draw; the index arithmetic and the
     index -> card map are plain integer expressions (no per-trial arrays).
+    Call it on exploded trial rows (as :func:`showdowns` does): the explode
+    keeps the optimizer from inlining these columns into the join keys above.
     """
     x = F.col("_x")
     d = [(x % 47).cast("int"), (F.floor(x / 47) % 46).cast("int"),

@@ -237,7 +237,9 @@ def counter_increase(samples: DataFrame, duration: str = "1 hour", series: str =
     s = samples.select(F.col(series).cast("string").alias("_s"), F.col(ts).alias("_ts"),
                        F.col(value).cast("long").alias("_v"),
                        F.window(F.col(ts), duration).getField("start").alias("_w"))
-    ranged = s.repartitionByRange(n, "_s", "_ts").sortWithinPartitions("_s", "_ts")
+    # equal (series, ts) keys land in one range partition; the value breaks ts ties so a
+    # recomputed partition is processed in the same order
+    ranged = s.repartitionByRange(n, "_s", "_ts").sortWithinPartitions("_s", "_ts", "_v")
     # partial sums and boundary rows are small; one exchange on series feeds both uses below
     part = ranged.mapInPandas(_local_increase, _INCREASE_SCHEMA).repartition(n, "_s")
     sums = part.filter(F.col("kind") == "sum").select("_s", "_w", "amount")

@@ -163,7 +163,7 @@ def i10_latest_gauge(spark, sf_dir):
 
 
 @register("i11_counter_increase", osql.with_ctes(osql.counter_samples_cte(), """
-cs AS (SELECT *, lag(cum) OVER (PARTITION BY series ORDER BY ts) AS prev FROM counter_samples)""", body=f"""
+cs AS (SELECT *, lag(cum) OVER (PARTITION BY series ORDER BY ts, cum) AS prev FROM counter_samples)""", body=f"""
 SELECT series, {_DAY_SQL} AS window_start,
        CAST(sum(CASE WHEN prev IS NULL THEN 0 WHEN cum >= prev THEN cum - prev ELSE cum END) AS BIGINT) AS increase
 FROM cs GROUP BY 1, 2"""))
