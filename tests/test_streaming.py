@@ -83,3 +83,26 @@ def test_streaming_windows_equal_batch_on_closed_windows(spark):
     assert streamed and len(streamed) < len(batch)   # the newest windows are still open
     for k, v in streamed.items():
         assert batch[k] == v
+
+
+def test_late_rows_are_dropped_after_the_watermark(spark):
+    log = derived.prediction_log(spark, SF_SMALL).withColumn("day", F.date_trunc("day", "ts"))
+    days = sorted(r["day"] for r in log.select("day").distinct().collect())
+    d = _scratch()
+    src, out, ckpt = os.path.join(d, "in"), os.path.join(d, "out"), os.path.join(d, "ckpt")
+    first = log.filter(F.col("day") <= days[9]).drop("day")
+    first.write.parquet(os.path.join(src, "part1"))
+    schema = first.schema
+    sp.monitor_stream(spark, os.path.join(src, "*"), schema, "1 day", "1 day", out, ckpt).awaitTermination(300)
+    emitted = {str(r["window_start"]): r["n_predictions"] for r in spark.read.parquet(out).collect()}
+    # a second file: rows of day 1 (late by many days) and the next days
+    late = log.filter(F.col("day") == days[0]).drop("day")
+    more = log.filter((F.col("day") > days[9]) & (F.col("day") <= days[14])).drop("day")
+    late.unionByName(more).write.parquet(os.path.join(src, "part2"))
+    sp.monitor_stream(spark, os.path.join(src, "*"), schema, "1 day", "1 day", out, ckpt).awaitTermination(300)
+    after = {}
+    for r in spark.read.parquet(out).collect():
+        after.setdefault(str(r["window_start"]), []).append(r["n_predictions"])
+    first_day = str(days[0])
+    assert after[first_day] == [emitted[first_day]]          # emitted once, late rows not counted
+    assert len(after) > len(emitted)                          # newer windows closed by the new watermark
