@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import RANK_CLASS, RANK_VALUE, STATEFUL_FEATURES, Z_SCORE_EPSILON
+from ..config import NUM_RANK_VALUES, RANK_CLASS, RANK_VALUE, STATEFUL_FEATURES, Z_SCORE_EPSILON
 from .features import stateless_features
 
 Z, CDF, GLOBAL = STATEFUL_FEATURES
@@ -63,8 +63,15 @@ def relative_lookup(df: DataFrame, value_col: str = RANK_VALUE, class_col: str =
 
 def with_relative_features(df: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS,
                            features=STATEFUL_FEATURES) -> DataFrame:
-    """Add the requested features by a broadcast join of the per-rank lookup."""
+    """Add the requested features by a broadcast join of the per-rank lookup.
+
+    The lookup has one row per distinct value: for rank values at most 7,462
+    (values outside 1..7,462, e.g. nulls of invalid hands, never match a join
+    and are left out of the broadcast).
+    """
     lookup = relative_lookup(df, value_col, class_col, features)
+    if value_col == RANK_VALUE:
+        lookup = lookup.filter(F.col(value_col).between(1, NUM_RANK_VALUES))
     return df.join(F.broadcast(lookup), value_col, "left")
 
 
@@ -97,7 +104,11 @@ def stateful_lookup(features_df: DataFrame) -> DataFrame:
 def join_lookup(features_df: DataFrame, lookup: DataFrame, key: str = RANK_VALUE) -> DataFrame:
     """left join of features to the per-rank lookup, then nulls -> 0 in every numeric column.
 
-    The lookup has one row per rank value (at most 7,462), so it is broadcast.
+    The lookup is broadcast. Its size bound is enforced, not assumed: for the
+    rank-value key only keys 1..7,462 are kept and each key once, so at most
+    7,462 rows are ever broadcast, whatever table the caller passes.
     """
+    if key == RANK_VALUE:
+        lookup = lookup.filter(F.col(key).between(1, NUM_RANK_VALUES)).dropDuplicates([key])
     drop = [c for c in lookup.columns if c != key and c in features_df.columns]
     return features_df.drop(*drop).join(F.broadcast(lookup), key, "left").na.fill(0)
