@@ -205,7 +205,9 @@ def lookup_key_from_cards(df: DataFrame, cards: list[str], out_col: str) -> Data
 
 
 def card_number(suit_col: Column, rank_col: Column) -> Column:
-    return ((suit_col - 1) * 13 + rank_col - 1).cast("int")
+    """0..51 card number; null for a suit outside 1..4 or a rank outside 1..13 (no rank then)."""
+    ok = suit_col.between(1, 4) & rank_col.between(1, 13)
+    return F.when(ok, (suit_col - 1) * 13 + rank_col - 1).cast("int")
 
 
 def with_rank_value(df: DataFrame, value_col: str = RANK_VALUE, class_col: str | None = RANK_CLASS) -> DataFrame:

@@ -113,3 +113,11 @@ def test_rank_join_is_broadcast(spark):
     df = with_id(spark, [(1, 10, 1, 11, 1, 12, 1, 13, 1, 1)], CARD_COLS)
     plan = ranks.with_rank_value(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_out_of_range_cards_get_no_rank(spark):
+    rows = [(1, 14, 2, 2, 3, 3, 4, 4, 1, 5), (0, 1, 2, 2, 3, 3, 4, 4, 1, 5), (None, 1, 2, 2, 3, 3, 4, 4, 1, 5),
+            (1, 1, 2, 2, 3, 3, 4, 4, 1, 5)]
+    out = ranks.with_rank_value(with_id(spark, rows, CARD_COLS))
+    got = {r["row_id"]: r["current_hand_rank_value"] for r in out.collect()}
+    assert got[0] is None and got[1] is None and got[2] is None and got[3] is not None
