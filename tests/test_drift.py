@@ -153,3 +153,13 @@ def test_latest_rows_orders_nulls_last(spark):
                                "id int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
     got = [r["id"] for r in sampling.latest_rows(df, 3, "ts", ("id",)).collect()]
     assert got == [3, 4, 2]
+
+
+def test_drift_job_from_the_command_line(spark, files):
+    from cardlens.plans import cli
+    root = tempfile.mkdtemp(prefix="drift-job-")
+    out = cli.main(["drift", "--root", root, "--baseline", files["baseline"], "--live", files["live"]], spark=spark)
+    got = {r["target"]: r["psi"] for r in out["report"].collect()}
+    for k, v in EXPECTED.items():
+        assert got[k] == pytest.approx(v, rel=1e-12)
+    assert spark.read.parquet(os.path.join(root, "drift_reports")).count() == 5
