@@ -153,8 +153,15 @@ def build_seven_card_table(spark: SparkSession, rank_table: DataFrame | None = N
     return nonflush.unionByName(flush).select("lookup_key", "rank_value", rank_class_of(F.col("rank_value")).alias("rank_class"))
 
 
+def _session_key(spark: SparkSession):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (remote sessions have no SparkContext)
+        return id(spark)
+
+
 def _cached(spark: SparkSession, name: str, build) -> DataFrame:
-    key = (name, id(spark.sparkContext._jsc), spark.sparkContext.applicationId)
+    key = (name, _session_key(spark))
     df = _TABLE_CACHE.get(key)
     if df is None:
         df = build().persist()

@@ -68,12 +68,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is always used. Only when nothing is configured (tests, a laptop) a
     scratch folder is created and registered.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    path = spark.conf.get(CHECKPOINT_CONF, None)
+    if not path:
+        try:
+            path = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+        except Exception:  # noqa: BLE001  (remote sessions have no SparkContext)
+            path = None
     if not path:
         path = tempfile.mkdtemp(prefix="cardlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001  (remote sessions read spark.checkpoint.dir themselves)
+        pass
     return path
 
 

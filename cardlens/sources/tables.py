@@ -32,8 +32,11 @@ def spread(df: DataFrame, key_cols: tuple = (), min_partitions: int | None = Non
     round-robin. Inputs that already arrive in enough partitions (any large
     table) are returned unchanged, so at scale this adds no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001  (no RDD view, e.g. a remote session): leave the input as is
         return df
     if key_cols:
         return df.repartition(target, *[F.col(c) for c in key_cols])
