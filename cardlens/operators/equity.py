@@ -145,6 +145,8 @@ def with_win_share(df: DataFrame, n: int = 10, seed: int = 0, out_col: str = "eq
     back per row with one partial aggregation, so the only shuffle carries
     one small row per input row. ``partitions`` optionally spreads the input
     round-robin first (for inputs arriving in too few partitions).
+    Run :func:`cardlens.session.apply_runtime_conf` on the session first: the
+    stage is wide enough to need ``spark.sql.codegen.hugeMethodLimit=8000``.
     """
     cols = df.columns
     trials = showdowns(_prepare(df, partitions), n, seed, F.col("_valid"))

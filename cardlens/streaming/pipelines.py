@@ -57,11 +57,13 @@ def drift_stream_from(stream: DataFrame, baseline: DataFrame, n: int, kept_path:
                       available_now: bool = True) -> StreamingQuery:
     """Drift of the newest ``n`` rows, recomputed per micro-batch.
 
-    State is the kept window itself: at most ``n`` rows, written per batch to
-    ``kept_path/batch=<id>``; a batch reads the newest earlier folder, so a
-    restarted driver resumes from storage and a retried batch never reads its
-    own output. Reports go to ``report_path/batch_id=<id>`` (overwrite), so a
-    retried batch replaces instead of duplicating its report.
+    State is the kept window itself: at most ``n`` rows on shared storage, in
+    two alternating folders ``kept_path/slot=<batch_id % 2>`` tagged with the
+    batch id. A batch reads the other slot's rows of the previous batch, so a
+    restarted driver resumes from storage, a retried batch never reads its own
+    half-written output, and the state never grows past two windows. Reports
+    go to ``report_path/batch_id=<id>`` (overwrite): a retried batch replaces
+    its report instead of duplicating it.
     """
     baseline = baseline.persist()
 
@@ -69,16 +71,16 @@ def drift_stream_from(stream: DataFrame, baseline: DataFrame, n: int, kept_path:
         sp = batch.sparkSession
         cols = batch.columns
         kept = batch
-        try:
-            earlier = sp.read.parquet(kept_path).filter(F.col("batch") < batch_id)
-            last = earlier.agg(F.max("batch")).first()[0]
-            if last is not None:
-                kept = kept.unionByName(earlier.filter(F.col("batch") == last).select(*cols))
-        except AnalysisException:
-            pass  # first batch: nothing kept yet
-        window = sampling.latest_rows(kept, n, ts_col, tie_cols)
-        window.write.mode("overwrite").parquet(f"{kept_path}/batch={batch_id}")
-        current = sp.read.parquet(f"{kept_path}/batch={batch_id}")
+        if batch_id > 0:
+            try:
+                prev = sp.read.parquet(f"{kept_path}/slot={(batch_id - 1) % 2}")
+                kept = kept.unionByName(prev.filter(F.col("_batch") == batch_id - 1).select(*cols))
+            except AnalysisException:
+                pass  # the previous batch kept nothing
+        window = sampling.latest_rows(kept, n, ts_col, tie_cols).withColumn("_batch", F.lit(batch_id))
+        slot = f"{kept_path}/slot={batch_id % 2}"
+        window.write.mode("overwrite").parquet(slot)
+        current = sp.read.parquet(slot).filter(F.col("_batch") == batch_id).drop("_batch")
         report = drift.psi_report(baseline, sampling.min_rows_guard(current, n))
         report.write.mode("overwrite").parquet(f"{report_path}/batch_id={batch_id}")
 
