@@ -88,8 +88,9 @@ def e1_hash_sample(spark, sf_dir):
 @register("e2_stateful_lookup", osql.with_ctes(H, R5, RH, body=f"""
 SELECT DISTINCT current_hand_rank_value, {_Z_SQL} AS {Z}, {_CDF_SQL} AS {CDF}, {_G_SQL} AS {GLOBAL} FROM ranked"""))
 def e2_stateful_lookup(spark, sf_dir):
-    feats = rel.with_relative_features(_ranked(spark, sf_dir))
-    return rel.stateful_lookup(feats).select(RANK_VALUE, _r6(Z), _r6(CDF), _r6(GLOBAL))
+    """One row per rank value with the three relative features, straight from the count table
+    (the same rows as de-duplicating a feature table on the rank value, without the join back)."""
+    return rel.relative_lookup(_ranked(spark, sf_dir)).select(RANK_VALUE, _r6(Z), _r6(CDF), _r6(GLOBAL))
 
 
 @register("e3_table_counts", osql.with_ctes(H, body="SELECT count(*) AS num_rows, CAST(32 AS INTEGER) AS num_columns FROM hands"))
