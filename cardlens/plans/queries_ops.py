@@ -97,6 +97,13 @@ def i03_latency_p95(spark, sf_dir):
     return p.select(_text("window_start"), "n", _r6("p95_seconds"))
 
 
+@register("i03_latency_p95_approx")
+def i03_latency_p95_approx(spark, sf_dir):
+    """The direct quantile beside the bucket estimate: percentile_approx per window (bounded memory)."""
+    p = mon.approx_quantile(_log(spark, sf_dir), "inference_seconds", 0.95, DAY)
+    return p.select(_text("window_start"), F.col("quantile").alias("p95_seconds_approx"))
+
+
 @register("i04_mean_load_time", osql.with_ctes(PL, body=f"""
 SELECT {_DAY_SQL} AS window_start, round(avg(load_seconds), 6) AS mean_load_seconds FROM prediction_log GROUP BY 1"""))
 def i04_mean_load_time(spark, sf_dir):

@@ -5,7 +5,7 @@ import pytest
 from conftest import SF_SMALL
 
 E = importlib.import_module("__spark_entry__")
-ROWS_ONLY = {"g1_train_metrics", "g3_predict", "g4_batch_score", "j1_stream_score"}
+ROWS_ONLY = {"g1_train_metrics", "g3_predict", "g4_batch_score", "j1_stream_score", "i03_latency_p95_approx"}
 
 
 def test_entry_runs(spark):
