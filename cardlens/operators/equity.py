@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cards import card_index, has_repeated_card, invalid_columns
-from .ranks import best_of_seven
+from .ranks import best_of_seven, best_of_seven_from_sums, card_sums
 
 DRAW_SPACE = 47 * 46 * 45 * 44
 
@@ -97,14 +97,27 @@ def showdowns(df: DataFrame, n: int, seed: int, valid: Column | None = None, opp
     seq = F.sequence(F.lit(1), F.lit(n))
     if valid is not None:
         seq = F.when(valid, seq)
+    # card sums of the hand and of the flop are per hand: computed once, before the explode
+    hole_p, hole_m = card_sums([F.col("_k1"), F.col("_k2")])
+    flop_p, flop_m = card_sums([F.col(f"_k{i}") for i in (3, 4, 5)])
+    df = df.select("*", hole_p.alias("_hole_p"), hole_m.alias("_hole_m"),
+                   flop_p.alias("_flop_p"), flop_m.alias("_flop_m"))
     trials = df.select("*", F.explode_outer(seq).alias("_t"))
     trials = trials.withColumn("_x", draw_number(F.col("_code"), F.col("_t"), seed))
     trials = _draw_cards(trials)
-    board = ["_k3", "_k4", "_k5", "_b1", "_b2"]
-    trials = best_of_seven(trials, ["_k1", "_k2"] + board, "_player_rank")
+    turn_p, turn_m = card_sums([F.col("_b1"), F.col("_b2")])
+    opp_p, opp_m = card_sums([F.col("_o1"), F.col("_o2")])
+    trials = trials.select("*", (F.col("_flop_p") + turn_p).alias("_board_p"),
+                           (F.col("_flop_m") + turn_m).alias("_board_m"),
+                           opp_p.alias("_opp_p"), opp_m.alias("_opp_m"))
+    trials = trials.withColumn("_pl_p", F.col("_hole_p") + F.col("_board_p")) \
+                   .withColumn("_pl_m", F.col("_hole_m") + F.col("_board_m"))
+    trials = best_of_seven_from_sums(trials, "_pl_p", "_pl_m", "_player_rank")
     if not opponent:
         return trials
-    trials = best_of_seven(trials, ["_o1", "_o2"] + board, "_opponent_rank")
+    trials = trials.withColumn("_op_p", F.col("_opp_p") + F.col("_board_p")) \
+                   .withColumn("_op_m", F.col("_opp_m") + F.col("_board_m"))
+    trials = best_of_seven_from_sums(trials, "_op_p", "_op_m", "_opponent_rank")
     score = (F.when(F.col("_player_rank") < F.col("_opponent_rank"), 1.0)
              .when(F.col("_player_rank") == F.col("_opponent_rank"), 0.5).otherwise(0.0))
     return trials.withColumn("_score", F.when(F.col("_t").isNotNull(), score))

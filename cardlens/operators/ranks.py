@@ -194,20 +194,29 @@ def _card_array(values) -> Column:
     return F.array(*[F.lit(v).cast("long") for v in values])
 
 
+def card_sums(cards: list[Column]) -> tuple[Column, Column]:
+    """(rank-digit sum, hand bit mask) of card-number columns; sums of disjoint cards add up."""
+    pow5, bits = _card_array(CARD_POW5), _card_array(CARD_BIT)
+    return _sum([F.get(pow5, c) for c in cards]), _sum([F.get(bits, c) for c in cards])
+
+
+def lookup_key_from_sums(p: Column, m: Column) -> Column:
+    """Lookup key from the two card sums; the flush test reads each suit's 13-bit slice of the mask.
+    Only one suit can hold five of seven cards."""
+    slices = [F.shiftright(m, 13 * s).bitwiseAND(F.lit(8191)) for s in range(4)]
+    flush = F.coalesce(*[F.when(F.bit_count(x) >= 5, x) for x in slices])
+    return F.when(flush.isNotNull(), F.lit(FLUSH_OFFSET).cast("long") + flush).otherwise(p)
+
+
 def lookup_key_from_cards(df: DataFrame, cards: list[str], out_col: str) -> DataFrame:
     """Adds the lookup key of 5 or 7 cards given as 0..51 card-number columns.
 
     The key is built from two sums of per-card constants (rank digit weight and
-    hand bit mask); the flush test reads the suit's 13-bit slice of the mask.
-    Only one suit can hold five of seven cards.
+    hand bit mask), see :func:`card_sums` and :func:`lookup_key_from_sums`.
     """
-    pow5, bits = _card_array(CARD_POW5), _card_array(CARD_BIT)
-    df = df.withColumn(f"{out_col}_p", _sum([F.get(pow5, F.col(c)) for c in cards])) \
-           .withColumn(f"{out_col}_m", _sum([F.get(bits, F.col(c)) for c in cards]))
-    m = F.col(f"{out_col}_m")
-    slices = [F.shiftright(m, 13 * s).bitwiseAND(F.lit(8191)) for s in range(4)]
-    flush = F.coalesce(*[F.when(F.bit_count(x) >= 5, x) for x in slices])
-    key = F.when(flush.isNotNull(), F.lit(FLUSH_OFFSET).cast("long") + flush).otherwise(F.col(f"{out_col}_p"))
+    p, m = card_sums([F.col(c) for c in cards])
+    df = df.withColumn(f"{out_col}_p", p).withColumn(f"{out_col}_m", m)
+    key = lookup_key_from_sums(F.col(f"{out_col}_p"), F.col(f"{out_col}_m"))
     return df.withColumn(out_col, key).drop(f"{out_col}_p", f"{out_col}_m")
 
 
@@ -235,10 +244,20 @@ def with_rank_value(df: DataFrame, value_col: str = RANK_VALUE, class_col: str |
     return out
 
 
+def _seven_table(spark: SparkSession, key_col: str, out_col: str) -> DataFrame:
+    return F.broadcast(cached_seven_card_table(spark).select(F.col("lookup_key").alias(key_col),
+                                                             F.col("rank_value").alias(out_col)))
+
+
 def best_of_seven(df: DataFrame, cards: list[str], out_col: str) -> DataFrame:
     """C4: rank value of the best five of seven cards (0..51 card-number columns)."""
-    spark = df.sparkSession
     key_col = f"_k_{out_col}"
-    table = F.broadcast(cached_seven_card_table(spark).select(F.col("lookup_key").alias(key_col),
-                                                              F.col("rank_value").alias(out_col)))
-    return lookup_key_from_cards(df, cards, key_col).join(table, key_col, "left").drop(key_col)
+    return lookup_key_from_cards(df, cards, key_col).join(_seven_table(df.sparkSession, key_col, out_col),
+                                                          key_col, "left").drop(key_col)
+
+
+def best_of_seven_from_sums(df: DataFrame, p_col: str, m_col: str, out_col: str) -> DataFrame:
+    """C4 from precomputed card sums of the seven cards (see :func:`card_sums`)."""
+    key_col = f"_k_{out_col}"
+    keyed = df.withColumn(key_col, lookup_key_from_sums(F.col(p_col), F.col(m_col)))
+    return keyed.join(_seven_table(df.sparkSession, key_col, out_col), key_col, "left").drop(key_col)
