@@ -77,7 +77,7 @@ def run_log_cte() -> str:
 # hand ranking
 # ---------------------------------------------------------------------------
 
-def _class_case(rank_col: str) -> str:
+def class_case(rank_col: str) -> str:
     whens = " ".join(f"WHEN {rank_col} <= {ub} THEN {c}" for c, ub in enumerate(CLASS_UPPER_BOUNDS))
     return f"CAST(CASE {whens} END AS INTEGER)"
 
@@ -166,7 +166,7 @@ def seven_key_sql(cards: list[str]) -> str:
 def ranked_hands_cte() -> str:
     """ranked: hands + current_hand_rank_value + current_hand_class_value."""
     return f"""ranked AS (
-  SELECT h.*, r.rank_value AS current_hand_rank_value, {_class_case('r.rank_value')} AS current_hand_class_value
+  SELECT h.*, r.rank_value AS current_hand_rank_value, {class_case('r.rank_value')} AS current_hand_class_value
   FROM hands h LEFT JOIN rank5 r ON r.lookup_key = ({five_key_sql('h.')}))"""
 
 

@@ -53,10 +53,6 @@ def oracle_queries() -> dict[str, str]:
     return dict(_SQL)
 
 
-def _r6(c) -> F.Column:
-    return F.round(c, 6)
-
-
 H = osql.hands_cte()
 R5 = osql.rank_table_cte()
 R7 = osql.seven_table_cte()
@@ -238,7 +234,7 @@ def c3_rank_class(spark, sf_dir):
 
 @register("c4_best_of_seven", osql.with_ctes(H, R5, R7, osql.showdown_ctes(1, 0), body=f"""
 SELECT {KEYS_SQL}, CAST(b1 AS INTEGER) AS turn_card, CAST(b2 AS INTEGER) AS river_card,
-       player_rank AS best_rank, {osql._class_case('player_rank')} AS best_class
+       player_rank AS best_rank, {osql.class_case('player_rank')} AS best_class
 FROM trials"""))
 def c4_best_of_seven(spark, sf_dir):
     """Best five of seven: the hand plus the turn and river of its first seeded run-out."""
