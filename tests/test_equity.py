@@ -80,3 +80,39 @@ def test_exact_win_share_close_to_simulation(spark):
     sim = equity.with_win_share(df, n=400, seed=1).first()["equity"]
     assert 0.0 < exact < 1.0
     assert abs(exact - sim) < 0.1
+
+
+@pytest.mark.slow
+def test_exact_win_share_equals_plain_enumeration(spark):
+    """C6 against a plain-Python enumeration of every run-out (same seven-card table)."""
+    import itertools
+
+    from cardlens.operators import ranks
+    table = {r["lookup_key"]: r["rank_value"] for r in ranks.cached_seven_card_table(spark).collect()}
+    pow5 = ranks.CARD_POW5
+    bits = ranks.CARD_BIT
+
+    def rank7(cards):
+        p = sum(pow5[c] for c in cards)
+        m = sum(bits[c] for c in cards)
+        for s in range(4):
+            sl = (m >> (13 * s)) & 8191
+            if bin(sl).count("1") >= 5:
+                return table[ranks.FLUSH_OFFSET + sl]
+        return table[p]
+
+    hand = (2, 13, 2, 12, 3, 2, 2, 7, 4, 9)   # suited K-Q of spades, one spade on the flop
+    ks = [(hand[2 * i] - 1) * 13 + hand[2 * i + 1] - 1 for i in range(5)]
+    rest = [k for k in range(52) if k not in ks]
+    total = wins = 0.0
+    for b1, b2 in itertools.combinations(rest, 2):
+        board = ks[2:] + [b1, b2]
+        mine = rank7(ks[:2] + board)
+        left = [k for k in rest if k not in (b1, b2)]
+        for o1, o2 in itertools.combinations(left, 2):
+            theirs = rank7([o1, o2] + board)
+            wins += 1.0 if mine < theirs else 0.5 if mine == theirs else 0.0
+            total += 1
+    got = equity.exact_win_share(with_id(spark, [hand], CARD_COLS)).first()["exact_equity"]
+    assert total == 1081 * 990
+    assert got == pytest.approx(wins / total, abs=1e-12)
