@@ -24,9 +24,12 @@ def build_pipeline(cfg: EngineConfig = DEFAULT_CONFIG, features=MODEL_FEATURES,
                    num_trees: int | None = None, seed: int = 42) -> Pipeline:
     """G1: VectorAssembler + RandomForestRegressor (all inputs tried at every split)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
+    # cacheNodeIds keeps each row's current node between levels (no re-descent of deep trees) and
+    # a larger per-iteration memory budget grows more nodes per pass; neither changes the model
     forest = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
                                    maxDepth=cfg.max_depth, numTrees=num_trees or cfg.num_trees,
-                                   featureSubsetStrategy="all", maxBins=cfg.max_bins, seed=seed)
+                                   featureSubsetStrategy="all", maxBins=cfg.max_bins, seed=seed,
+                                   cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     return Pipeline(stages=[assembler, forest])
 
 

@@ -10,6 +10,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +75,24 @@ def write_and_audit(df: DataFrame, path: str, name: str) -> DataFrame:
         "table_name string, rows_written bigint, rows_read bigint, ok boolean")
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """A10: compute once and cut the lineage with a reliable checkpoint.
+def materialize(df: DataFrame, path: str | None = None, use_checkpoint: bool = False) -> DataFrame:
+    """A10: compute once and cut the lineage.
 
-    The checkpoint goes to the session's shared ``spark.checkpoint.dir`` (a
-    folder every executor can read), so a lost executor does not force the
-    expensive plan to run again.
+    Default: write the rows as Parquet to a fresh folder under the session's
+    shared ``spark.checkpoint.dir`` (or to ``path``) and read them back — one
+    pass over the plan, columnar and compressed, readable by every executor, so
+    a lost executor never forces the expensive plan to run again. With
+    ``use_checkpoint`` the DataFrame's reliable ``checkpoint()`` is used
+    instead (that writes in a second job, so the plan runs twice unless the
+    caller persisted it).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    if use_checkpoint:
+        ensure_checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    target = path or os.path.join(ensure_checkpoint_dir(spark), "materialized", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
 
 
 def repartition_by_cores(df: DataFrame, factor: int = 4, cols: tuple = ()) -> DataFrame:

@@ -44,7 +44,11 @@ def test_parquet_round_trip_and_audit(spark):
 def test_materialize_cuts_lineage(spark):
     df = io.materialize(_raw(spark).filter(F.col("S1") == 1))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan and "Relation" not in plan
+    assert "materialized" in plan and "lineitem" not in plan
+    ck = io.materialize(_raw(spark).filter(F.col("S1") == 1), use_checkpoint=True)
+    plan = ck._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "lineitem" not in plan
+    assert df.count() == ck.count()
     assert io.repartition_by_cores(df, 2).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
 
 
