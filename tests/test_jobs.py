@@ -43,8 +43,7 @@ def test_parquet_round_trip_and_audit(spark):
 
 def test_materialize_cuts_lineage(spark):
     df = io.materialize(_raw(spark).filter(F.col("S1") == 1))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "materialized" in plan and "lineitem" not in plan
+    assert df.inputFiles() and all("/materialized/" in f for f in df.inputFiles())
     ck = io.materialize(_raw(spark).filter(F.col("S1") == 1), use_checkpoint=True)
     plan = ck._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "lineitem" not in plan
