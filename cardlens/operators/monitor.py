@@ -4,7 +4,9 @@ The log has one row per served prediction (``ts``, ``status``, timings,
 payload size, predicted equity, rank value). Dashboard and alert expressions
 become exact event-time aggregates over tumbling windows: every window is a
 ``groupBy(window(ts, d))`` with partial aggregation, so a window's rows never
-travel together; only one small row per window and bucket is shuffled.
+travel together; only one small row per window and bucket is shuffled. The
+one order-dependent metric (reset-aware counter increase) runs over range
+partitions with per-partition carries instead of a per-series window.
 Window length and thresholds are parameters.
 """
 
