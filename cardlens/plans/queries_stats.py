@@ -95,9 +95,17 @@ def e2_stateful_lookup(spark, sf_dir):
 
 @register("e3_table_counts", osql.with_ctes(H, body="SELECT count(*) AS num_rows, CAST(32 AS INTEGER) AS num_columns FROM hands"))
 def e3_table_counts(spark, sf_dir):
-    """Row and column counts of the full feature table (one aggregate, no second pass)."""
-    full = rel.all_features(derived.hands(spark, sf_dir))
-    return full.agg(F.count(F.lit(1)).alias("num_rows")).withColumn("num_columns", F.lit(len(full.columns)))
+    """Row and column counts of the full feature table.
+
+    The feature table keeps every input row (left joins to lookups that are
+    unique on their key), so its rows are counted on the input: Catalyst
+    cannot drop those joins itself, and would otherwise build the per-rank
+    lookup (a second pass) just to count. The column count is read from the
+    feature table's schema, which needs no job.
+    """
+    hands = derived.hands(spark, sf_dir)
+    n_cols = len(rel.all_features(hands).columns)
+    return hands.agg(F.count(F.lit(1)).alias("num_rows")).withColumn("num_columns", F.lit(n_cols))
 
 
 @register("e4_split", osql.with_ctes(H, body=f"""
