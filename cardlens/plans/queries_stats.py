@@ -257,6 +257,10 @@ s AS (
 SELECT feature AS target, round(sum((l - t) * ln(l / t)), 6) AS psi FROM s GROUP BY feature"""))
 def h1_psi(spark, sf_dir):
     """PSI between the train and test parts of the split, for every drift feature."""
-    live = _live(spark, sf_dir)
-    train, test = sampling.train_test_split(live, DEFAULT_CONFIG.test_size, SAMPLE_KEYS, DEFAULT_CONFIG.split_seed)
-    return drift.distribution_psi(drift.baseline_counts(train), drift.baseline_counts(test)).select("target", _r6("psi"))
+    live = sampling.with_split(_live(spark, sf_dir), DEFAULT_CONFIG.test_size, SAMPLE_KEYS, DEFAULT_CONFIG.split_seed)
+    # one pass: label counts per (split, feature, label); both sides read the same aggregate
+    counts = drift.long_labels(live, keep=("split",)).groupBy("split", "feature", "label") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    train = counts.filter(F.col("split") == "train").drop("split")
+    test = counts.filter(F.col("split") == "test").drop("split")
+    return drift.distribution_psi(train, test).select("target", _r6("psi"))
