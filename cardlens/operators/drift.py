@@ -73,20 +73,24 @@ def psi_report(baseline: DataFrame, live_window: DataFrame, binary=BINARY_DRIFT_
     live rows whose label the baseline does not know (``unknown_share``).
     """
     feats = list(binary) + list(categorical)
-    base = baseline.filter(F.col("feature").isin(feats))
-    base = base.withColumn("_train_total", F.sum("n").over(Window.partitionBy("feature")))
-    live_long = long_labels(live_window, binary, categorical)
-    live_counts = live_long.groupBy("feature", "label").agg(F.count(F.lit(1)).alias("n_live"))
-    # every live row has one label per feature, so the per-feature sum is the row count
-    live_total = live_counts.groupBy("feature").agg(F.sum("n_live").alias("_live_total"))
-    terms = base.join(live_counts, ["feature", "label"], "left").join(live_total, "feature", "left")
+    base = baseline.filter(F.col("feature").isin(feats)).select("feature", "label", "n")
+    live_counts = long_labels(live_window, binary, categorical).groupBy("feature", "label") \
+        .agg(F.count(F.lit(1)).alias("n_live"))
+    # one full join of two small count tables: baseline labels give the terms, every live label
+    # (also those the baseline lacks) counts in the live total; the live window is read once
+    j = base.join(live_counts, ["feature", "label"], "full")
+    by_feature = Window.partitionBy("feature")
+    j = j.withColumn("_train_total", F.sum("n").over(by_feature)) \
+         .withColumn("_live_total", F.sum("n_live").over(by_feature))
+    in_base = F.col("n").isNotNull()
     train_share = F.col("n") / F.col("_train_total") + F.lit(epsilon)
     live_share = F.coalesce(F.col("n_live"), F.lit(0)) / F.col("_live_total") + F.lit(epsilon)
-    terms = terms.withColumn("_term", psi_term(train_share, live_share))
-    known = F.coalesce(F.col("n_live"), F.lit(0))
-    return terms.groupBy(F.col("feature").alias("target")).agg(
-        F.sum("_term").alias("psi"),
-        (1.0 - F.sum(known) / F.max("_live_total")).alias("unknown_share"))
+    known = F.when(in_base, F.coalesce(F.col("n_live"), F.lit(0)))
+    out = j.groupBy(F.col("feature").alias("target")).agg(
+        F.sum(F.when(in_base, psi_term(train_share, live_share))).alias("psi"),
+        (1.0 - F.sum(known) / F.max("_live_total")).alias("unknown_share"),
+        F.max(in_base.cast("int")).alias("_in_base"))
+    return out.filter(F.col("_in_base") == 1).drop("_in_base")
 
 
 def drift_alerts(report: DataFrame, threshold: float = PSI_ALERT_THRESHOLD) -> DataFrame:
