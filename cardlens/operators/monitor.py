@@ -230,9 +230,9 @@ def counter_increase(samples: DataFrame, duration: str = "1 hour", series: str =
     Spark samples the boundaries, splitting a busy series over many tasks —
     and each partition sums its deltas per (series, window) in pandas
     (Arrow batches, one pass). Each partition also reports, per series, its
-    first value and last value; a lag over those boundary rows (at most one
-    per partition and series) supplies the delta of every partition's first
-    sample. Output: series, window_start, window_end, increase.
+    first value and last value; one window over these small partial rows (the
+    last value of the nearest earlier partition) supplies the delta of every
+    partition's first sample. Output: series, window_start, window_end, increase.
     """
     spark = samples.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -242,14 +242,15 @@ def counter_increase(samples: DataFrame, duration: str = "1 hour", series: str =
     # equal (series, ts) keys land in one range partition; the value breaks ts ties so a
     # recomputed partition is processed in the same order
     ranged = s.repartitionByRange(n, "_s", "_ts").sortWithinPartitions("_s", "_ts", "_v")
-    # partial sums and boundary rows are small; one exchange on series feeds both uses below
-    part = ranged.mapInPandas(_local_increase, _INCREASE_SCHEMA).repartition(n, "_s")
-    sums = part.filter(F.col("kind") == "sum").select("_s", "_w", "amount")
-    bounds = part.filter(F.col("kind") == "bound")
-    carry = F.lag("last_v").over(Window.partitionBy("_s").orderBy("pid"))
+    part = ranged.mapInPandas(_local_increase, _INCREASE_SCHEMA)
+    # one window over the small partial rows (sums and boundary rows) of each series: a boundary
+    # row takes the last value of the series' boundary row in the nearest earlier partition
+    order = Window.partitionBy("_s").orderBy("pid", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    carry = F.last("last_v", ignorenulls=True).over(order)
     first_delta = (F.when(carry.isNull(), F.lit(0)).when(F.col("first_v") >= carry, F.col("first_v") - carry)
                    .otherwise(F.col("first_v")))
-    fixes = bounds.select("_s", "_w", first_delta.cast("long").alias("amount"))
-    total = sums.unionByName(fixes).groupBy("_s", "_w").agg(F.sum("amount").cast("long").alias("increase"))
+    amount = F.when(F.col("kind") == "bound", first_delta).otherwise(F.col("amount"))
+    total = part.select("_s", "_w", amount.cast("long").alias("amount")) \
+        .groupBy("_s", "_w").agg(F.sum("amount").cast("long").alias("increase"))
     return total.select(F.col("_s").alias(series), F.col("_w").alias("window_start"),
                         (F.col("_w") + F.expr(f"INTERVAL {duration}")).alias("window_end"), "increase")
