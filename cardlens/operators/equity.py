@@ -177,20 +177,20 @@ def exact_win_share(df: DataFrame, out_col: str = "exact_equity") -> DataFrame:
     spark = df.sparkSession
     cols = df.columns
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = _prepare(df, nparts).filter("_valid")
+    base = _prepare(df, nparts)
     seen = F.array(*[F.col(f"_k{i}") for i in range(1, 6)])
     base = base.withColumn("_rem", F.array_except(F.sequence(F.lit(0), F.lit(51)), seen))
-    # turn/river pair (i < j) over the 47 unseen cards
-    b = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(45))).alias("_i"))
-    b = b.select("*", F.explode(F.sequence(F.col("_i") + 1, F.lit(46))).alias("_j"))
+    # turn/river pair (i < j) over the 47 unseen cards; a row with bad cards keeps one null row
+    b = base.select("*", F.explode_outer(F.when(F.col("_valid"), F.sequence(F.lit(0), F.lit(45)))).alias("_i"))
+    b = b.select("*", F.explode_outer(F.sequence(F.col("_i") + 1, F.lit(46))).alias("_j"))
     b = b.withColumn("_b1", F.get("_rem", "_i")).withColumn("_b2", F.get("_rem", "_j"))
     b = best_of_seven(b, ["_k1", "_k2", "_k3", "_k4", "_k5", "_b1", "_b2"], "_player_rank")
     b = b.withColumn("_rest", F.array_except("_rem", F.array("_b1", "_b2")))
     # opponent pair (u < v) over the 45 cards left
-    o = b.select("*", F.explode(F.sequence(F.lit(0), F.lit(43))).alias("_u"))
-    o = o.select("*", F.explode(F.sequence(F.col("_u") + 1, F.lit(44))).alias("_v"))
+    o = b.select("*", F.explode_outer(F.when(F.col("_valid"), F.sequence(F.lit(0), F.lit(43)))).alias("_u"))
+    o = o.select("*", F.explode_outer(F.sequence(F.col("_u") + 1, F.lit(44))).alias("_v"))
     o = o.withColumn("_o1", F.get("_rest", "_u")).withColumn("_o2", F.get("_rest", "_v"))
     o = best_of_seven(o, ["_o1", "_o2", "_k3", "_k4", "_k5", "_b1", "_b2"], "_opponent_rank")
     score = (F.when(F.col("_player_rank") < F.col("_opponent_rank"), 1.0)
              .when(F.col("_player_rank") == F.col("_opponent_rank"), 0.5).otherwise(0.0))
-    return _regroup(o, cols, 1081 * 990, out_col, F.avg(score))
+    return _regroup(o, cols, 1081 * 990, out_col, F.avg(F.when(F.col("_valid"), score)))

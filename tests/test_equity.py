@@ -116,3 +116,13 @@ def test_exact_win_share_equals_plain_enumeration(spark):
     got = equity.exact_win_share(with_id(spark, [hand], CARD_COLS)).first()["exact_equity"]
     assert total == 1081 * 990
     assert got == pytest.approx(wins / total, abs=1e-12)
+
+
+def test_partitions_option_and_bad_rows_kept(spark):
+    hands = derived.hands(spark, SF_SMALL).limit(300)
+    a = {r["code"]: r["equity"] for r in equity.with_win_share(hands, n=6, seed=2).collect()}
+    b = {r["code"]: r["equity"] for r in equity.with_win_share(hands, n=6, seed=2, partitions=3).collect()}
+    assert a == b
+    df = with_id(spark, [REPEATED], CARD_COLS)
+    out = equity.exact_win_share(df).collect()
+    assert len(out) == 1 and out[0]["exact_equity"] is None
