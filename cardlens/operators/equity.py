@@ -12,7 +12,7 @@ list of remaining cards, removing each drawn card before the next draw.
 
 Plan shape: trials are exploded where the rows are, ranked with two
 broadcast hash joins (fixed-size tables), and summed back per row by a
-partial aggregation keyed on (input partition, row); one shuffle of one small
+partial aggregation keyed on (input partition, row); at most one shuffle of one small
 row per input row. Identical hands are only grouped within an input
 partition, so a hand that makes up a third of the data stays spread evenly.
 """
