@@ -126,3 +126,18 @@ def test_partitions_option_and_bad_rows_kept(spark):
     df = with_id(spark, [REPEATED], CARD_COLS)
     out = equity.exact_win_share(df).collect()
     assert len(out) == 1 and out[0]["exact_equity"] is None
+
+
+def test_hot_hand_a_third_of_rows_stays_whole(spark):
+    """A hand repeated across many partitions: every copy is returned, all with the same label."""
+    hot = (3, 1, 4, 1, 1, 9, 2, 5, 3, 12)
+    others = derived.hands(spark, SF_SMALL).select(*CARD_COLS).limit(2000)
+    hot_rows = spark.createDataFrame([hot] * 1000, CARD_COLS)
+    df = others.unionByName(hot_rows).repartition(8)
+    out = equity.with_win_share(df, n=5, seed=1)
+    assert out.count() == 3000
+    hot_out = out.filter((F.col("S1") == 3) & (F.col("C1") == 1) & (F.col("S2") == 4) & (F.col("C2") == 1)
+                         & (F.col("S3") == 1) & (F.col("C3") == 9) & (F.col("S4") == 2) & (F.col("C4") == 5)
+                         & (F.col("S5") == 3) & (F.col("C5") == 12))
+    assert hot_out.count() >= 1000
+    assert hot_out.select("equity").distinct().count() == 1

@@ -94,3 +94,12 @@ def test_model_save_load_and_untrained(spark):
         mdl.predict(None, _raw(spark))
     with pytest.raises(Exception):
         runlog.load_model(os.path.join(tempfile.mkdtemp(), "missing"))
+
+
+def test_spread_only_when_input_is_narrow(spark):
+    from cardlens.sources.tables import spread
+    narrow = spark.range(1000).coalesce(1)
+    wide = spark.range(0, 1000, 1, 32)
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(wide) is wide
+    assert spread(narrow, ("id",)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
