@@ -13,16 +13,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-RUN_LOG_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("run_name", T.StringType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-])
+
+from ..schema import RUN_LOG
+
+RUN_LOG_SCHEMA = RUN_LOG
 
 
 def log_entries(spark: SparkSession, path: str, run_id: str, run_name: str, kind: str, values: dict) -> None:

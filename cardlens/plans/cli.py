@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from ..config import DEFAULT_CONFIG
 from ..operators import drift
+from ..schema import RAW_HANDS
 from ..session import apply_runtime_conf, ensure_checkpoint_dir
 from ..sources import io
 from . import jobs
@@ -50,7 +51,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     if args.command == "train":
         steps = [s for s, on in (("preprocess", args.preprocess), ("features", args.feature_engineering),
                                  ("training", args.training), ("refresh", args.refresh)) if on]
-        raw = io.read_parquet(spark, args.raw) if args.raw else None
+        raw = io.read_parquet(spark, args.raw, RAW_HANDS) if args.raw else None
         return jobs.run_pipeline(spark, paths, steps=steps, raw=raw, num_trees=args.trees)
     baseline = drift.read_baseline_json(spark, args.baseline)
     live = drift.read_live_json(spark, args.live)

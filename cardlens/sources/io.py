@@ -44,9 +44,10 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     df.write.jdbc(url, table, mode=mode, properties=dict(properties or {}))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A4: lazy Parquet scan."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A4: lazy Parquet scan (with a declared schema when given, e.g. ``schema.RAW_HANDS``)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple = ()) -> None:
