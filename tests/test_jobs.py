@@ -103,3 +103,14 @@ def test_spread_only_when_input_is_narrow(spark):
     assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(wide) is wide
     assert spread(narrow, ("id",)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_training_steps_from_the_command_line(spark):
+    from cardlens.plans import cli
+    root = tempfile.mkdtemp(prefix="cli-")
+    raw_path = os.path.join(root, "raw_in")
+    _raw(spark).write.parquet(raw_path)
+    out = cli.main(["train", "--root", root, "--raw", raw_path, "--preprocess", "--feature-engineering",
+                    "--training", "--refresh", "--trees", "2"], spark=spark)
+    assert {"preprocessed", "feature_run", "training_run", "model", "lookup"} <= set(out)
+    assert out["lookup"].count() > 0
