@@ -48,3 +48,25 @@ def test_categorical_psi_matches_definition(spark, base, live):
         lv = live.count(k) / len(live) + eps
         exp += (lv - t) * math.log(lv / t)
     assert got == pytest.approx(exp, rel=1e-9, abs=1e-9)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 20000), st.integers(0, 60)),
+                min_size=1, max_size=200, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 7))
+def test_counter_increase_matches_sequential_definition(spark, samples, parts):
+    import datetime as dt
+
+    import pandas as pd
+
+    from cardlens.operators import monitor
+    base = dt.datetime(2024, 1, 1)
+    rows = [(s, base + dt.timedelta(minutes=m), v) for s, m, v in samples]
+    df = spark.createDataFrame(rows, "series string, ts timestamp, cum long")
+    got = {(r["series"], pd.Timestamp(r["window_start"])): r["increase"]
+           for r in monitor.counter_increase(df, "1 hour", partitions=parts).collect()}
+    pdf = pd.DataFrame(rows, columns=["series", "ts", "cum"]).sort_values(["series", "ts"])
+    prev = pdf.groupby("series").cum.shift()
+    pdf["d"] = [0 if pd.isna(p) else (c - p if c >= p else c) for c, p in zip(pdf.cum, prev)]
+    exp = pdf.groupby(["series", pdf.ts.dt.floor("h")]).d.sum()
+    assert {(s, pd.Timestamp(w)): int(v) for (s, w), v in exp.items()} == got
