@@ -162,11 +162,19 @@ def latency_alert(log: DataFrame, duration: str = "5 minutes", threshold: float
 
 def latest_value(log: DataFrame, value_col: str, keys: tuple = (), ts: str = "ts",
                  tie_col: str = "request_id") -> DataFrame:
-    """The last value of a gauge per key (by time, then by id)."""
-    order = F.struct(F.col(ts), F.col(tie_col))
-    agg = log.groupBy(*keys) if keys else log.groupBy()
-    return agg.agg(F.max_by(F.col(value_col), order).alias(f"last_{value_col}"),
-                   F.max(order).getField(ts).alias("last_ts"))
+    """The last value of a gauge per key (by time, then by the larger id).
+
+    Two hash aggregations instead of one sort-based ``max_by`` over a
+    (time, id) struct: the newest time per key, then — over the rows at that
+    time only (an equi-join on key and time; the per-key table is broadcast by
+    AQE when small) — the value of the largest id.
+    """
+    k = list(keys)
+    newest = (log.groupBy(*k) if k else log.groupBy()).agg(F.max(ts).alias(ts))
+    at_newest = log.join(newest, k + [ts], "inner")
+    agg = at_newest.groupBy(*k) if k else at_newest.groupBy()
+    return agg.agg(F.max_by(F.col(value_col), F.col(tie_col)).alias(f"last_{value_col}"),
+                   F.max(ts).alias("last_ts"))
 
 
 def _local_increase(batches):
