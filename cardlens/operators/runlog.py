@@ -31,17 +31,19 @@ def latest_runs(runs: DataFrame, name_col: str = "run_name", id_col: str = "run_
     """G7 for every name at once: (run_name, run_id, status).
 
     status is 'unfinished' (the single unfinished run), 'finished' (latest
-    end time) or 'error' (more than one unfinished run; run_id null).
-    One aggregation per name, no window over the log.
+    end time, smallest id on ties) or 'error' (more than one unfinished run;
+    run_id null). Hash aggregations only: per name the unfinished count and
+    id and the newest end time, then the smallest id among the runs at that
+    end time (an equi-join on name and end time).
     """
     unfinished = F.col(end_col).isNull()
-    agg = runs.groupBy(name_col).agg(
+    stats = runs.groupBy(name_col).agg(
         F.sum(unfinished.cast("int")).alias("_unfinished"),
         F.min(F.when(unfinished, F.col(id_col))).alias("_open_id"),
-        # newest end time first, then the smallest id; unfinished runs have no ordering value
-        F.min_by(F.col(id_col), F.when(~unfinished, F.struct(-F.unix_micros(F.col(end_col)), F.col(id_col))))
-         .alias("_latest_id"),
-    )
+        F.max(end_col).alias(end_col))
+    newest = runs.join(stats.select(name_col, end_col), [name_col, end_col], "inner") \
+        .groupBy(name_col).agg(F.min(id_col).alias("_latest_id"))
+    agg = stats.join(newest, name_col, "left")
     status = (F.when(F.col("_unfinished") > 1, F.lit("error"))
               .when(F.col("_unfinished") == 1, F.lit("unfinished")).otherwise(F.lit("finished")))
     run_id = (F.when(F.col("_unfinished") > 1, F.lit(None))
