@@ -62,14 +62,19 @@ def relative_lookup(df: DataFrame, value_col: str = RANK_VALUE, class_col: str =
 
 
 def with_relative_features(df: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS,
-                           features=STATEFUL_FEATURES) -> DataFrame:
+                           features=STATEFUL_FEATURES, lookup: DataFrame | None = None) -> DataFrame:
     """Add the requested features by a broadcast join of the per-rank lookup.
 
     The lookup has one row per distinct value: for rank values at most 7,462
     (values outside 1..7,462, e.g. nulls of invalid hands, never match a join
-    and are left out of the broadcast).
+    and are left out of the broadcast). Building it reads ``df`` once more;
+    pass ``lookup`` (e.g. the table a feature job wrote) to reuse one instead.
     """
-    lookup = relative_lookup(df, value_col, class_col, features)
+    if lookup is None:
+        lookup = relative_lookup(df, value_col, class_col, features)
+    else:
+        lookup = lookup.select(value_col, *[c for c in features if c in lookup.columns]) \
+                       .dropDuplicates([value_col])
     if value_col == RANK_VALUE:
         lookup = lookup.filter(F.col(value_col).between(1, NUM_RANK_VALUES))
     return df.join(F.broadcast(lookup), value_col, "left")
@@ -87,9 +92,9 @@ def global_rank_strength(df: DataFrame, value_col: str = RANK_VALUE, class_col:
     return with_relative_features(df, value_col, class_col, (GLOBAL,))
 
 
-def all_features(df: DataFrame) -> DataFrame:
+def all_features(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """Row features (B12) followed by the three relative features."""
-    return with_relative_features(stateless_features(df))
+    return with_relative_features(stateless_features(df), lookup=lookup)
 
 
 def stateful_lookup(features_df: DataFrame) -> DataFrame:

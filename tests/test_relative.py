@@ -73,3 +73,13 @@ def test_stateful_lookup_one_row_per_rank(fixture_df):
     feats = relative.with_relative_features(fixture_df)
     lk = relative.stateful_lookup(feats)
     assert lk.count() == feats.select("current_hand_rank_value").distinct().count()
+
+
+def test_given_lookup_is_reused(spark, fixture_df):
+    lookup = relative.relative_lookup(fixture_df)
+    a = relative.with_relative_features(fixture_df).select("row_id", "relative_rank_cdf")
+    b = relative.with_relative_features(fixture_df, lookup=lookup).select("row_id", "relative_rank_cdf")
+    assert by_id(a, "relative_rank_cdf") == by_id(b, "relative_rank_cdf")
+    written = spark.createDataFrame(lookup.collect(), lookup.schema)   # a lookup from elsewhere
+    c = relative.with_relative_features(fixture_df, lookup=written).select("row_id", "relative_rank_cdf")
+    assert by_id(c, "relative_rank_cdf") == by_id(a, "relative_rank_cdf")
