@@ -11,6 +11,7 @@ from ..operators import ranks
 from ..operators import relative as rel
 from ..operators import runlog
 from ..operators import sampling
+from ..operators.equity import with_win_share
 from ..session import scratch_path
 from ..sources import derived, io
 from . import oracle_sql as osql
@@ -222,12 +223,12 @@ def _training_table(spark, sf_dir):
     hands = derived.hands(spark, sf_dir)
     # the forest reads its input several times (split search, binning, evaluation):
     # checkpoint the labelled table once instead of re-running the simulation
-    labelled = io.materialize(mdl_label(rel.all_features(hands)))
+    labelled = io.materialize(_label(rel.all_features(hands)))
     return sampling.train_test_split(labelled, DEFAULT_CONFIG.test_size, SAMPLE_KEYS, DEFAULT_CONFIG.split_seed)
 
 
-def mdl_label(feats):
-    from ..operators.equity import with_win_share
+def _label(feats):
+    """The simulated win share with the configured trial count and seed."""
     return with_win_share(feats, n=DEFAULT_CONFIG.simulation_count, seed=DEFAULT_CONFIG.equity_seed)
 
 
