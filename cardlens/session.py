@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -62,29 +63,36 @@ def build_session(master: str | None = None, app_name: str = "cardlens",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    is always used. Only when nothing is configured (tests, a laptop) a
-    scratch folder is created and registered.
+    The setting is read from the session. Where it is unset, a scratch folder
+    is made for a single-machine session (``local[...]``: tests, a laptop) only;
+    on any other master this fails, because a folder of the driver's own
+    machine is not visible to the executors.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
-    if not path:
-        try:
-            path = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
-        except Exception:  # noqa: BLE001  (remote sessions have no SparkContext)
-            path = None
+    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share (master is {master})")
         path = tempfile.mkdtemp(prefix="cardlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001  (remote sessions read spark.checkpoint.dir themselves)
-        pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A fresh sub-folder of the shared folder for one written table; no two calls share one."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` once to a fresh folder all executors share, and read it back.
+
+    The plan runs once (``checkpoint()`` would run it twice) and a lost
+    executor never makes it run again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
