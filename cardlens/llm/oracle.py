@@ -139,7 +139,7 @@ select o.conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10)
        sha256(coalesce(string_agg(text, '' order by i) filter (role in ({", ".join(_text(r) for r in t.loss_roles)})), '')) as loss_sha256,
        sum({fixed} + {label} + len(text) + {specials("text", "".join(c for c in t.escapes if c != ":"))})::bigint as formatted_chars,
        any_value(case when bad is not null then false else ends end) as valid,
-       any_value(case when bad is not null then bad when not ends then j.n end)::bigint as error_turn
+       coalesce(any_value(case when bad is not null then bad when not ends then j.n end), -1)::bigint as error_turn
 from ordered o join judged j on o.conv_id is not distinct from j.conv_id group by o.conv_id
 """
 

@@ -61,4 +61,5 @@ def op9_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.select("conv_id", F.size("_read").cast("long").alias("n_turns"),
                         F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
                         F.length("_loss").cast("long").alias("loss_chars"), F.sha2(F.col("_loss"), 256).alias("loss_sha256"),
-                        F.length("formatted").cast("long").alias("formatted_chars"), "valid", "error_turn")
+                        F.length("formatted").cast("long").alias("formatted_chars"), "valid",
+                        F.coalesce("error_turn", F.lit(-1)).alias("error_turn"))
