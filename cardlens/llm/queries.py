@@ -63,3 +63,10 @@ def op9_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("_loss").cast("long").alias("loss_chars"), F.sha2(F.col("_loss"), 256).alias("loss_sha256"),
                         F.length("formatted").cast("long").alias("formatted_chars"), "valid",
                         F.coalesce("error_turn", F.lit(-1)).alias("error_turn"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    rows = near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
