@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import (EQUITY_HISTOGRAM_EDGES, ERROR_RATE_ALERT, LATENCY_BUCKET_EDGES,
                       P95_LATENCY_ALERT_SECONDS)
+from ..session import ship_package
 
 
 def _win(ts: str, duration: str) -> Column:
@@ -243,6 +244,7 @@ def counter_increase(samples: DataFrame, duration: str = "1 hour", series: str =
     partition's first sample. Output: series, window_start, window_end, increase.
     """
     spark = samples.sparkSession
+    ship_package(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = samples.select(F.col(series).cast("string").alias("_s"), F.col(ts).alias("_ts"),
                        F.col(value).cast("long").alias("_v"),
