@@ -70,3 +70,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import write_shared
+    from .quality_rules import judge, measure
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rows = judge(write_shared(measure(docs), "measured"))
+    return rows.select("doc_id", *[F.col(f"measures.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+                       "base_failed", "kept", *[F.col(f"measures.{c}") for c in ("chars_per_token", "byte_share", "token_entropy")])

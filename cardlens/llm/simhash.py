@@ -32,7 +32,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import write_shared
+from ..session import ship_package, write_shared
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -82,6 +82,7 @@ def _fingerprint_batches(text_at: int, width: int, seed: int):
 
 def fingerprints(docs: DataFrame, text_col: str = "text", width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """``docs`` with the text replaced by its ``fingerprint`` (bigint, the 64 bits as they are)."""
+    ship_package(docs.sparkSession)
     rest = [c for c in docs.columns if c != text_col]
     schema = docs.select(*rest).withColumn("fingerprint", F.lit(0).cast("bigint")).schema
     return docs.select(*rest, text_col).mapInArrow(_fingerprint_batches(len(rest), width, seed), schema)
