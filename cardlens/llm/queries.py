@@ -80,3 +80,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judge(write_shared(measure(docs), "measured"))
     return rows.select("doc_id", *[F.col(f"measures.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                        "base_failed", "kept", *[F.col(f"measures.{c}") for c in ("chars_per_token", "byte_share", "token_entropy")])
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import fit, held_out, score
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, read_table(spark, sf_dir, "labels"))
+    rows = score(docs, model, keep_text=False)
+    return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
