@@ -89,3 +89,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, read_table(spark, sf_dir, "labels"))
     rows = score(docs, model, keep_text=False)
     return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

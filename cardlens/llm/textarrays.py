@@ -1,7 +1,7 @@
 """Words of an Arrow text column as flat numpy arrays (used inside tasks).
 
-A word is a run of bytes other than ASCII white space (space, \\t, \\n, \\v, \\f,
-\\r), so multi-byte characters are never cut. Work goes in slices of a few MB of
+A word is a run of bytes of a given table: by default all but ASCII white space
+(space, \\t, \\n, \\v, \\f, \\r), so multi-byte characters are never cut. Work goes in slices of a few MB of
 text, whole documents each; a longer document is a slice of its own.
 """
 
@@ -14,8 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
-_IS_WORD = np.ones(256, dtype=bool)
-_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+SPACE_WORDS = np.ones(256, dtype=bool)  # bytes of a word
+SPACE_WORDS[[9, 10, 11, 12, 13, 32]] = False
+ALNUM_WORDS = np.zeros(256, dtype=bool)  # ASCII letters and digits, and every byte of other characters
+ALNUM_WORDS[48:58] = ALNUM_WORDS[65:91] = ALNUM_WORDS[97:123] = ALNUM_WORDS[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -42,10 +44,10 @@ def slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         low = high
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray = SPACE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word of the given documents, and each document's first word (one more at the end)."""
     base, stop = int(bounds[0]), int(bounds[-1])
-    inside = _IS_WORD[data[base:stop]]
+    inside = is_word[data[base:stop]]
     if not inside.any():
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(bounds), np.int64)
     begins = inside.copy()
