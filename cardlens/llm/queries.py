@@ -95,3 +95,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_leaks
 
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_main_text
+
+    rows = extract_main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
