@@ -102,3 +102,12 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = extract_main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_model import learns_from, score_texts
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, model = score_texts(docs, learns_from())
+    return rows.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known",
+                       F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
