@@ -236,7 +236,7 @@ def learn_weights(cells: np.ndarray, times: np.ndarray, total: int, distinct: in
     """Expectation-maximisation on the deleted-count histogram, each bucket on its own. A bucket that has no
     token takes the weights of the next smaller one."""
     buckets = 64
-    weights = np.tile([0.0, 0.5, 0.5], (buckets, 1))
+    weights = np.tile([0.0, 0.5, 0.5] if total else [0.0, 0.0, 1.0], (buckets, 1))
     where = cells >> 40
     back = lambda g: np.where(g == _NEVER, 0.0, 2.0 ** (np.where(g == _NEVER, 0, g) / STEPS))
     ratio = np.minimum(back(((cells >> 20) & 0xFFFFF) - 2048), 1.0)

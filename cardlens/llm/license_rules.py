@@ -142,7 +142,7 @@ NOTICES = (
     Rule("noncommercial-only", ("commercial",), "for non(?: )?commercial use only", "noncommercial", NAMED),
     Rule("no-ai-training", ("training",), "(?:not|never) be used for (?:ai|machine learning|model) training", "no-ai-training", NAMED),
     Rule("mit-grant", ("hereby", "granted"), "permission is hereby granted free of charge", "mit", NAMED),
-    Rule("isc-grant", ("hereby", "granted"), "permission to use copy modify and or distribute this software", "isc", NAMED),
+    Rule("isc-grant", ("permission", "distribute"), "permission to use copy modify and or distribute this software", "isc", NAMED),
     Rule("bsd-grant", ("redistribution", "and", "use"), "redistribution and use in source and binary forms", "bsd", NAMED),
     Rule("gpl-grant", ("free", "software"), "this program is free software", "gpl", GENERIC),
     Rule("as-is", ("warranty",), "as is without warranty", "disclaimer", GENERIC),

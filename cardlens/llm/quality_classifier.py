@@ -141,7 +141,7 @@ def fit_rows(rows: list, seed: int = 0) -> Model:
     labels = np.array([r[3] for r in rows], float)
     share = float(labels.mean()) if len(rows) else 0.5
     zero = Model(0.0, np.zeros(words + width), np.zeros((words + width, FACTORS)), np.zeros(width), np.ones(width))
-    if not 0 < share < 1:
+    if not len(rows) or not 0 < share < 1:
         return Model(float(np.log((share + 1e-9) / (1 - share + 1e-9))), zero.linear, zero.factors, zero.mean, zero.spread)
     raw = np.array([r[0] for r in rows], float)
     spread = raw.std(0)
@@ -232,8 +232,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool
     rest = [c for c in docs.columns if keep_text or c != text_col]
     columns = rest if keep_text else [*rest, text_col]
     sent = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
-    schema = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest))
-    out = sent.mapInArrow(_score_batches(model, columns.index(text_col), keep_text), f"{schema}, score double")
+    schema = ", ".join([*(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)), "score double"])
+    out = sent.mapInArrow(_score_batches(model, columns.index(text_col), keep_text), schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], F.col("score").alias(fresh(docs.columns, name)))
 
 

@@ -189,8 +189,8 @@ def measure(docs: DataFrame, text_col: str = "text", keep_text: bool = False, fo
     inner = [f"c{i}" for i in range(len(rest))]  # neutral names on the way, so no column can clash with a measure
     columns = rest if keep_text else [*rest, text_col]
     sent = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
-    schema = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest))
-    out = sent.mapInArrow(_measure_batches(columns.index(text_col), keep_text, folder), f"{schema}, {MEASURES}")
+    schema = ", ".join([*(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)), MEASURES])
+    out = sent.mapInArrow(_measure_batches(columns.index(text_col), keep_text, folder), schema)
     name = fresh(docs.columns, "measures")
     fields = F.struct(*[f.split()[0] for f in MEASURES.split(", ")])
     return out.select(*[F.col(i).alias(c) for i, c in zip(inner, rest)], fields.alias(name))
