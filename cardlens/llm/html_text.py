@@ -5,7 +5,7 @@ styles, menus, page headers and footers, sidebars, forms, notices, adverts, read
 comments: by tag, role, or the words of class and id) are left out. For every node
 of the rest the link-adjusted text density is
 
-    C / T * ln(C * T / (LC * LT)) / ln(ln(C * LC / (C - LC) + C * LCb / Cb + e**e))
+    C / T * ln(1 + C * T / (LC * LT)) / ln(ln(C * LC / (C - LC) + C * LCb / Cb + e**e))
 
 (C characters, T tags, LC and LT those in links, b the body; counts of 0 in a
 divisor are 1; e**e keeps the inner logarithm above 1 on pages without links). The
@@ -51,6 +51,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"), "tfoot": ("tbody", "thead", "tr", "td", "th")}
 BARRIERS = frozenset("ul ol dl table menu html body article section div main select".split())
+_P_BARRIERS = BARRIERS | {"li", "td", "th", "dd", "dt", "blockquote"}
+_ITEM_BARRIERS = BARRIERS - {"section", "div"}
 LEFT_OUT_TAGS = frozenset("""script style textarea title noscript iframe xmp noembed noframes head nav footer aside form button select
     option input menu dialog template svg canvas object embed audio video map""".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar status".split())
@@ -132,12 +134,12 @@ def parse(page: str) -> _Node:
         if tag in ("html", "body") and at is not root and tag == "html":
             continue
         if tag in BLOCK:
-            at = closed(("p",), BARRIERS | {"li", "td", "th", "dd", "dt", "blockquote"})
+            at = closed(("p",), _P_BARRIERS)
         if tag in CLOSES:
-            node = closed(CLOSES[tag], BARRIERS - {"section", "div"})
+            node = closed(CLOSES[tag], _ITEM_BARRIERS)
             while node is not at:
                 at = node
-                node = closed(CLOSES[tag], BARRIERS - {"section", "div"})
+                node = closed(CLOSES[tag], _ITEM_BARRIERS)
         above, in_article = at, False
         while above is not None and not in_article:
             in_article, above = above.tag in ("article", "main"), above.parent
@@ -180,7 +182,7 @@ def _weigh(nodes: list) -> None:
             node.density = 0.0
             continue
         tags = max(node.tags, 1)
-        adjust = math.log(max(chars / max(links, 1) * tags / max(node.link_tags, 1), 1.0))
+        adjust = math.log(1 + chars / max(links, 1) * tags / max(node.link_tags, 1))
         base = math.log(chars / max(chars - links, 1) * links + linked * chars + math.e ** math.e)
         node.density = chars / tags * adjust / math.log(base)
     for node in nodes:
@@ -207,30 +209,23 @@ def _regions(nodes: list) -> list:
         node = node.parent
     if article is not None:
         return [article]
-    found = []
-
-    def walk(node):
-        for child in node.children:
-            if child.out:
-                continue
-            if child is core or (id(child) not in path and child.density >= threshold and child.chars):
-                found.append(child)
-            elif id(child) in path:
-                walk(child)
-            elif child.tag in HEADINGS:
-                found.append(child)
-
     if id(nodes[0]) in path and core is nodes[0]:
         return [core]
     top = next((n for n in inner if n.tag == "body" and id(n) in path), nodes[0])
     if core is top:
         return [core]
-    walk(top)
-    kept = []
-    for i, node in enumerate(found):  # a heading stays if it leads to other text
-        if node.tag not in HEADINGS or node is core or node.density >= threshold or any(n.tag not in HEADINGS for n in found[i + 1:i + 2]):
-            kept.append(node)
-    return kept
+    found, stack = [], list(reversed(top.children))
+    while stack:
+        node = stack.pop()
+        if node.out:
+            continue
+        if node is core or (id(node) not in path and node.chars and (node.density >= threshold or node.tag in HEADINGS)):
+            found.append(node)
+        elif id(node) in path:
+            stack.extend(reversed(node.children))
+    # a sparse heading stays if text follows it
+    return [n for n, after in zip(found, [*found[1:], None])
+            if n is core or n.density >= threshold or (after is not None and after.tag not in HEADINGS)]
 
 
 def _blocks(roots: list) -> list:
