@@ -38,9 +38,11 @@ def long_labels(df: DataFrame, binary=BINARY_DRIFT_FEATURES, categorical=CATEGOR
                 keep: tuple = ()) -> DataFrame:
     """Unpivot the drift features into (feature, label) rows (one row per input row and feature)."""
     df = with_equity_bin(df)
+    flags = F.array(*[F.lit(f) for f in binary]) if binary else F.array().cast("array<string>")
     pairs = [F.struct(F.lit(f).alias("feature"), label_of(f, True).alias("label")) for f in binary] + \
             [F.struct(F.lit(f).alias("feature"), label_of(f, False).alias("label")) for f in categorical]
-    return df.select(*keep, F.inline(F.array(*pairs)))
+    # a null flag is no observation of its feature: it is rejected, so it is in no total (see true_counts for how many)
+    return df.select(*keep, F.inline(F.array(*pairs))).filter(F.col("label").isNotNull() | ~F.array_contains(flags, F.col("feature")))
 
 
 def baseline_counts(features_df: DataFrame, binary=BINARY_DRIFT_FEATURES,
@@ -89,8 +91,20 @@ def psi_report(baseline: DataFrame, live_window: DataFrame, binary=BINARY_DRIFT_
     out = j.groupBy(F.col("feature").alias("target")).agg(
         F.sum(F.when(in_base, psi_term(train_share, live_share))).alias("psi"),
         (1.0 - F.sum(known) / F.max("_live_total")).alias("unknown_share"),
-        F.max(in_base.cast("int")).alias("_in_base"))
-    return out.filter(F.col("_in_base") == 1).drop("_in_base")
+        F.max(in_base.cast("int")).alias("_in_base"), F.max("_live_total").alias("_seen"))
+    # an empty window (the guard's, for one) is no report, not a report of nulls
+    return out.filter((F.col("_in_base") == 1) & (F.col("_seen") > 0)).drop("_in_base", "_seen")
+
+
+def psi_by_window(baseline: DataFrame, live_counts: DataFrame, window_col: str, epsilon: float = PSI_EPSILON) -> DataFrame:
+    """H4 for many live windows at once: (target, window, psi) from baseline (feature, label, n) and live counts
+    (window, feature, label, n_live). Same terms as :func:`psi_report`, one plan for all windows."""
+    totals = live_counts.groupBy(window_col, "feature").agg(F.sum("n_live").alias("_live_total"))
+    base = baseline.withColumn("_train_total", F.sum("n").over(Window.partitionBy("feature")))
+    terms = totals.join(base, "feature").join(live_counts, [window_col, "feature", "label"], "left")
+    train = F.col("n") / F.col("_train_total") + F.lit(epsilon)
+    live = F.coalesce(F.col("n_live"), F.lit(0)) / F.col("_live_total") + F.lit(epsilon)
+    return terms.groupBy(F.col("feature").alias("target"), window_col).agg(F.sum(psi_term(train, live)).alias("psi"))
 
 
 def drift_alerts(report: DataFrame, threshold: float = PSI_ALERT_THRESHOLD) -> DataFrame:
@@ -121,6 +135,22 @@ def read_baseline_json(spark: SparkSession, path: str, features=DRIFT_FEATURES)
     return raw.select(F.inline(pairs)).select("feature", F.explode("m").alias("label", "n"))
 
 
+def write_baseline_json(counts: DataFrame, path: str) -> None:
+    """Inverse of :func:`read_baseline_json` for (feature, label, n): one JSON object (a row per label only, so small)."""
+    maps = counts.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("m"))
+    whole = maps.agg(F.map_from_entries(F.collect_list(F.struct("feature", "m"))).alias("x"))
+    whole.select(F.to_json("x").alias("value")).coalesce(1).write.text(path)
+
+
+def write_live_json(window: DataFrame, path: str, ts_col: str = "ts") -> None:
+    """Inverse of :func:`read_live_json` for a bounded window: one object, column -> {row number -> value}."""
+    cols = [c for c in LIVE_JSON_TYPES if c != "timestamp"]
+    rows = window.select(*cols, F.unix_millis(ts_col).alias("timestamp"))
+    listed = rows.agg(F.collect_list(F.struct(*rows.columns)).alias("r"))
+    columns = [F.map_from_entries(F.transform("r", lambda x, i: F.struct(i.cast("string"), x[c]))).alias(c) for c in rows.columns]
+    listed.select(F.to_json(F.struct(*columns)).alias("value")).write.text(path)
+
+
 LIVE_JSON_TYPES = {
     "hand_is_pair": T.BooleanType(), "hand_is_suited": T.BooleanType(), "board_is_paired": T.BooleanType(),
     "equity": T.DoubleType(), "current_hand_class_value": T.StringType(), "equity_bin": T.StringType(),

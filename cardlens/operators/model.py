@@ -55,7 +55,7 @@ def evaluate(df: DataFrame, label: str = TARGET, prediction: str = "prediction")
 def predict(model: PipelineModel | None, df: DataFrame) -> DataFrame:
     """Add ``prediction``; an untrained model is an error."""
     if model is None:
-        raise ValueError("Model not trained yet!")
+        raise ValueError("predict needs a fitted model, got None")
     return model.transform(df).drop("_features")
 
 

@@ -161,21 +161,42 @@ def latency_alert(log: DataFrame, duration: str = "5 minutes", threshold: float
     return latency_p95(log, duration, ts).filter(F.col("p95_seconds") > threshold)
 
 
+def sustained_error_rate(log: DataFrame, duration: str = "1 minute", threshold: float = ERROR_RATE_ALERT, k: int = 1,
+                         ts: str = "ts") -> DataFrame:
+    """I7 with its "for" clause: runs of ``k`` or more windows in a row above the error rate."""
+    return sustained(error_rate_alert(log, duration, threshold, ts).select("window_start", "window_end"), k)
+
+
+def sustained_latency(log: DataFrame, duration: str = "1 minute", threshold: float = P95_LATENCY_ALERT_SECONDS, k: int = 2,
+                      ts: str = "ts") -> DataFrame:
+    """I9 with its "for" clause: runs of ``k`` or more windows in a row above the P95 latency."""
+    return sustained(latency_alert(log, duration, threshold, ts).select("window_start", "window_end"), k)
+
+
+def sustained_drift(reports: DataFrame, threshold: float, k: int = 1) -> DataFrame:
+    """H5 with its "for" clause: per target, runs of ``k`` or more reports in a row whose PSI is above the threshold.
+
+    ``reports`` has (target, psi, window_start, window_end), one row per target and report.
+    """
+    return sustained(reports.filter(F.col("psi") > threshold).select("target", "window_start", "window_end"), k, ("target",))
+
+
+def last_psi(reports: DataFrame, ts: str = "computed_at", tie_col: str = "psi") -> DataFrame:
+    """I10 for the drift gauge: the last PSI of each target in a table of reports (equal times: the larger value)."""
+    return latest_value(reports, "psi", ("target",), ts, tie_col)
+
+
 def latest_value(log: DataFrame, value_col: str, keys: tuple = (), ts: str = "ts",
                  tie_col: str = "request_id") -> DataFrame:
-    """The last value of a gauge per key (by time, then by the larger id).
+    """The last value of a gauge per key (by time, then by the larger id); null times come last.
 
-    Two hash aggregations instead of one sort-based ``max_by`` over a
-    (time, id) struct: the newest time per key, then — over the rows at that
-    time only (an equi-join on key and time; the per-key table is broadcast by
-    AQE when small) — the value of the largest id.
+    One pass: the rows of a key are reduced to one per task, then across tasks, by
+    the largest (time, id, value).
     """
     k = list(keys)
-    newest = (log.groupBy(*k) if k else log.groupBy()).agg(F.max(ts).alias(ts))
-    at_newest = log.join(newest, k + [ts], "inner")
-    agg = at_newest.groupBy(*k) if k else at_newest.groupBy()
-    return agg.agg(F.max_by(F.col(value_col), F.col(tie_col)).alias(f"last_{value_col}"),
-                   F.max(ts).alias("last_ts"))
+    newest = F.max(F.struct(F.col(ts), F.col(tie_col), F.col(value_col).alias("_value"))).alias("_last")
+    agg = (log.groupBy(*k) if k else log.groupBy()).agg(newest)
+    return agg.select(*k, F.col("_last._value").alias(f"last_{value_col}"), F.col(f"_last.{ts}").alias("last_ts"))
 
 
 def _local_increase(batches):
@@ -246,7 +267,9 @@ def counter_increase(samples: DataFrame, duration: str = "1 hour", series: str =
     spark = samples.sparkSession
     ship_package(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = samples.select(F.col(series).cast("string").alias("_s"), F.col(ts).alias("_ts"),
+    # a null series is a series: '0' stands for it, '1' leads every other name
+    named = F.coalesce(F.concat(F.lit("1"), F.col(series).cast("string")), F.lit("0"))
+    s = samples.select(named.alias("_s"), F.col(ts).alias("_ts"),
                        F.col(value).cast("long").alias("_v"),
                        F.window(F.col(ts), duration).getField("start").alias("_w"))
     # equal (series, ts) keys land in one range partition; the value breaks ts ties so a
@@ -262,5 +285,6 @@ def counter_increase(samples: DataFrame, duration: str = "1 hour", series: str =
     amount = F.when(F.col("kind") == "bound", first_delta).otherwise(F.col("amount"))
     total = part.select("_s", "_w", amount.cast("long").alias("amount")) \
         .groupBy("_s", "_w").agg(F.sum("amount").cast("long").alias("increase"))
-    return total.select(F.col("_s").alias(series), F.col("_w").alias("window_start"),
+    name = F.when(F.startswith("_s", F.lit("1")), F.substring(F.col("_s"), F.lit(2), F.length("_s")))
+    return total.select(name.alias(series), F.col("_w").alias("window_start"),
                         (F.col("_w") + F.expr(f"INTERVAL {duration}")).alias("window_end"), "increase")

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import CLASS_UPPER_BOUNDS, RANK_CLASS, RANK_VALUE
+from ..session import write_shared
 
 FLUSH_OFFSET = 5 ** 13
 WHEEL_MASK = (1 << 12) | 0b1111  # A, 5, 4, 3, 2
@@ -130,7 +131,7 @@ def build_seven_card_table(spark: SparkSession, rank_table: DataFrame | None = N
     key7 = _sum(pows)
     subsets = F.array(*[key7 - pows[i] - pows[j] for i in range(7) for j in range(i + 1, 7)])
     nonflush = (seven.select(key7.alias("lookup_key"), F.explode(F.array_distinct(subsets)).alias("sub_key"))
-                .join(ranks5.filter(~F.col("is_flush")), "sub_key")
+                .join(F.broadcast(ranks5.filter(~F.col("is_flush"))), "sub_key")
                 .groupBy("lookup_key").agg(F.min("rank_value").alias("rank_value")))
 
     # suited rank sets of 5..7 cards; their five-card subsets come from dropping 0, 1 or 2 bits
@@ -153,18 +154,11 @@ def build_seven_card_table(spark: SparkSession, rank_table: DataFrame | None = N
     return nonflush.unionByName(flush).select("lookup_key", "rank_value", rank_class_of(F.col("rank_value")).alias("rank_class"))
 
 
-def _session_key(spark: SparkSession):
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001  (remote sessions have no SparkContext)
-        return id(spark)
-
-
 def _cached(spark: SparkSession, name: str, build) -> DataFrame:
-    key = (name, _session_key(spark))
+    key = (name, spark.sparkContext.applicationId)
     df = _TABLE_CACHE.get(key)
     if df is None:
-        df = build().persist()
+        df = write_shared(build(), name)
         _TABLE_CACHE[key] = df
     return df
 

@@ -1,83 +1,126 @@
 """Dataset-relative features (D1 - D5), the per-rank lookup (E2) and its join (F1).
 
-The three features are functions of the rank value alone, so they are
-computed on the table of counts per rank value — at most 7,462 rows however
-large the input — and broadcast back. No window ever runs over the full
-input (a global ``percent_rank`` would pull every row into one task), and the
-only shuffle of the input is the partial-aggregated count.
-
-* relative_rank_z: (rank - class mean) / (class sample stddev + 1e-9);
-  null for a one-row class (stddev undefined)
-* relative_rank_cdf: cume_dist of the rank within its class, ascending
-* global_rank_strenght: percent_rank of the rank, descending, over all rows
-  (worst hand 0.0, best 1.0; a single row gives 0.0)
+The three features depend on a row's (value, class) only, so they are computed
+on the table of counts per (value, class) and joined back. No window ever runs
+over the input, and none over all distinct values either: the count table is cut
+into ranges of (class, value) and of value, running totals inside a range start at
+the sum of the ranges before it.
+
+The count table and the lookup are written to the shared folder. Spark then knows
+the lookup's size and broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``,
+else joins by shuffle; nothing is broadcast by hint.
+
+* relative_rank_z: (value - class mean) / (class sample stddev + 1e-9); null for
+  a one-row class (stddev undefined) and for a null value
+* relative_rank_cdf: cume_dist of the value within its class, ascending, nulls first
+* global_rank_strenght: percent_rank of the value, descending, nulls last, over all
+  rows (worst hand 0.0, best 1.0; a single row gives 0.0)
+
+All values count, whatever their range; a null class is a class of its own, as in a
+window partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import NUM_RANK_VALUES, RANK_CLASS, RANK_VALUE, STATEFUL_FEATURES, Z_SCORE_EPSILON
+from ..config import RANK_CLASS, RANK_VALUE, STATEFUL_FEATURES, Z_SCORE_EPSILON
+from ..session import write_shared
 from .features import stateless_features
 
 Z, CDF, GLOBAL = STATEFUL_FEATURES
+_BEFORE = (Window.unboundedPreceding, -1)
+
+
+def null_safe_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on columns of the same name in which null equals null."""
+    side = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond: Column = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(side, cond, "left").drop(*[f"_r_{c}" for c in on])
 
 
 def rank_counts(df: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS) -> DataFrame:
-    """Rows per (rank value, class): bounded by the number of distinct rank values."""
+    """Rows per (value, class): partial aggregation, so no value is heavy."""
     return df.groupBy(value_col, class_col).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def _running(counts: DataFrame, group: list[str], value_col: str, out: str) -> DataFrame:
+    """Add the sum of ``_n`` over the rows of the same group with smaller values (nulls first).
+
+    The rows are cut into ranges once, written with their range's number; a group's
+    sums per range (at most one row per range) give the start of each range.
+    """
+    spark = counts.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_first() for c in [*group, value_col]]
+    ranged = write_shared(counts.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    per_range = ranged.groupBy(*group, "_range").agg(F.sum("_n").alias("_rn"))
+    earlier = F.coalesce(F.sum("_rn").over(Window.partitionBy(*group).orderBy("_range").rowsBetween(*_BEFORE)), F.lit(0))
+    starts = per_range.withColumn("_start", earlier).drop("_rn")
+    inside = Window.partitionBy(*group, "_range").orderBy(F.col(value_col).asc_nulls_first()).rowsBetween(*_BEFORE)
+    ranged = ranged.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return null_safe_left_join(ranged, starts, [*group, "_range"]) \
+        .withColumn(out, F.col("_start") + F.col("_in")).drop("_range", "_start", "_in")
+
+
 def relative_lookup(df: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS,
                     features=STATEFUL_FEATURES) -> DataFrame:
-    """One row per rank value with the requested relative features.
+    """One row per (value, class) with the requested relative features.
 
-    Built from :func:`rank_counts`; its windows run over that small table.
+    Rank values belong to one class each, so for them that is one row per rank value.
     """
-    counts = rank_counts(df, value_col, class_col)
-    r, n = F.col(value_col).cast("double"), F.col("_n")
-    by_class = Window.partitionBy(class_col)
-    out = counts.withColumn("_nc", F.sum(n).over(by_class))
-    cols = [value_col]
+    counts = write_shared(rank_counts(df, value_col, class_col), "rank-counts")
+    v, n = F.col(value_col).cast("double"), F.col("_n")
+    known = F.when(v.isNotNull(), n)
+    # two passes over the counts, as a variance from sums of squares loses digits
+    totals = counts.groupBy(class_col).agg(F.sum(n).alias("_nc"), F.sum(known).alias("_nv"),
+                                           (F.sum(n * v) / F.sum(known)).alias("_mean"))
+    out = null_safe_left_join(counts, totals, [class_col])
     if Z in features:
-        out = out.withColumn("_mean", F.sum(n * r).over(by_class) / F.col("_nc"))
-        var = F.sum(n * (r - F.col("_mean")) * (r - F.col("_mean"))).over(by_class) / (F.col("_nc") - 1)
-        std = F.when(F.col("_nc") > 1, F.sqrt(var))
-        out = out.withColumn(Z, (r - F.col("_mean")) / (std + F.lit(Z_SCORE_EPSILON)))
-        cols.append(Z)
+        squares = out.groupBy(class_col).agg(F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_ss"))
+        out = null_safe_left_join(out, squares, [class_col])
+        std = F.when(F.col("_nv") > 1, F.sqrt(F.col("_ss") / (F.col("_nv") - 1)))
+        out = out.withColumn(Z, (v - F.col("_mean")) / (std + F.lit(Z_SCORE_EPSILON)))
     if CDF in features:
-        running = Window.partitionBy(class_col).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumn(CDF, F.sum(n).over(running) / F.col("_nc"))
-        cols.append(CDF)
+        out = _running(out, [class_col], value_col, "_lt")
+        out = out.withColumn(CDF, (F.col("_lt") + n) / F.col("_nc"))
     if GLOBAL in features:
-        # the count table has at most 7,462 rows, so one ordered window over it is cheap
-        total = F.sum(n).over(Window.partitionBy())
-        cum_le = F.sum(n).over(Window.orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0))
-        out = out.withColumn("_rows_total", total).withColumn("_le", cum_le)
-        out = out.withColumn(GLOBAL, F.when(F.col("_rows_total") <= 1, F.lit(0.0))
-                             .otherwise((F.col("_rows_total") - F.col("_le")).cast("double") / (F.col("_rows_total") - 1)))
-        cols.append(GLOBAL)
-    return out.select(*cols)
+        by_value = counts.groupBy(value_col).agg(F.sum("_n").alias("_n"))
+        by_value = _running(by_value, [], value_col, "_below")
+        ends = counts.agg(F.sum("_n").alias("_rows"), F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("_nulls")).first()
+        rows, nulls = ends["_rows"] or 0, ends["_nulls"] or 0
+        # nulls stand first in the running total and last in the ranking: before a value stand the larger values
+        before = F.when(v.isNull(), F.lit(rows - nulls)).otherwise(rows - F.col("_below") - F.col("_n"))
+        strength = (before / F.lit(rows - 1)).cast("double") if rows > 1 else F.lit(0.0)
+        out = null_safe_left_join(out, by_value.select(value_col, strength.alias(GLOBAL)), [value_col])
+    return out.select(value_col, class_col, *[f for f in STATEFUL_FEATURES if f in features])
 
 
 def with_relative_features(df: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS,
                            features=STATEFUL_FEATURES, lookup: DataFrame | None = None) -> DataFrame:
-    """Add the requested features by a broadcast join of the per-rank lookup.
+    """Add the requested features by joining the lookup on (value, class).
 
-    The lookup has one row per distinct value: for rank values at most 7,462
-    (values outside 1..7,462, e.g. nulls of invalid hands, never match a join
-    and are left out of the broadcast). Building it reads ``df`` once more;
-    pass ``lookup`` (e.g. the table a feature job wrote) to reuse one instead.
+    Building the lookup reads ``df`` once more; pass ``lookup`` (e.g. the table a
+    feature job wrote) to reuse one. One without the class column is joined on the
+    value alone and must have each value once (checked: repeats are an error).
     """
     if lookup is None:
-        lookup = relative_lookup(df, value_col, class_col, features)
-    else:
-        lookup = lookup.select(value_col, *[c for c in features if c in lookup.columns]) \
-                       .dropDuplicates([value_col])
-    if value_col == RANK_VALUE:
-        lookup = lookup.filter(F.col(value_col).between(1, NUM_RANK_VALUES))
-    return df.join(F.broadcast(lookup), value_col, "left")
+        lookup = write_shared(relative_lookup(df, value_col, class_col, features), "relative-lookup")
+        return null_safe_left_join(df, lookup, [value_col, class_col])
+    keys = [c for c in (value_col, class_col) if c in lookup.columns]
+    lookup = _unique(lookup.select(*keys, *[c for c in features if c in lookup.columns]), keys)
+    return null_safe_left_join(df, lookup, keys)
+
+
+def _unique(lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """The lookup with equal rows merged; different rows for one key are an error when the plan runs."""
+    rest = [c for c in lookup.columns if c not in keys]
+    merged = lookup.groupBy(*keys).agg(F.countDistinct(F.struct(*rest)).alias("_kinds"), *[F.first(c).alias(c) for c in rest])
+    one = F.when(F.col("_kinds") > 1, F.raise_error(F.lit("lookup key with more than one set of values")))
+    return merged.filter(F.coalesce(one.cast("boolean"), F.lit(True))).select(*lookup.columns)
 
 
 def class_z_score(df: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS) -> DataFrame:
@@ -106,14 +149,25 @@ def stateful_lookup(features_df: DataFrame) -> DataFrame:
     return features_df.groupBy(RANK_VALUE).agg(*[F.first(c).alias(c) for c in STATEFUL_FEATURES])
 
 
+def _zero_fill(df: DataFrame) -> DataFrame:
+    """Nulls to 0 in every column that has a zero: numbers 0, booleans false, strings '0'."""
+    cols = []
+    for f in df.schema:
+        kind = f.dataType.typeName()
+        zero = {"boolean": F.lit(False), "string": F.lit("0")}.get(kind)
+        if zero is None and (kind in ("byte", "short", "integer", "long", "float", "double") or kind.startswith("decimal")):
+            zero = F.lit(0).cast(f.dataType)
+        cols.append(F.col(f.name) if zero is None else F.coalesce(F.col(f.name), zero).alias(f.name))
+    return df.select(*cols)
+
+
 def join_lookup(features_df: DataFrame, lookup: DataFrame, key: str = RANK_VALUE) -> DataFrame:
-    """left join of features to the per-rank lookup, then nulls -> 0 in every numeric column.
+    """left join of features to the per-rank lookup, then nulls -> 0 in all columns (see :func:`_zero_fill`).
 
-    The lookup is broadcast. Its size bound is enforced, not assumed: for the
-    rank-value key only keys 1..7,462 are kept and each key once, so at most
-    7,462 rows are ever broadcast, whatever table the caller passes.
+    Every key of the lookup takes part; each key once. How the join runs is left to
+    Spark, which broadcasts the lookup only if its size is below the threshold.
     """
-    if key == RANK_VALUE:
-        lookup = lookup.filter(F.col(key).between(1, NUM_RANK_VALUES)).dropDuplicates([key])
+    own = [c for c in lookup.columns if c == key or c in STATEFUL_FEATURES or c not in features_df.columns]
+    lookup = lookup.select(*own).dropDuplicates([key])
     drop = [c for c in lookup.columns if c != key and c in features_df.columns]
-    return features_df.drop(*drop).join(F.broadcast(lookup), key, "left").na.fill(0)
+    return _zero_fill(features_df.drop(*drop).join(lookup, key, "left"))

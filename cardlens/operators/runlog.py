@@ -56,9 +56,9 @@ def latest_run_id(runs: DataFrame, run_name: str, name_col: str = "run_name", id
     """G7 for one name: the id, or an error following the rules above (reads one row)."""
     rows = latest_runs(runs.filter(F.col(name_col) == run_name), name_col, id_col, end_col).collect()
     if not rows:
-        raise RuntimeError(f"Run with name {run_name} is not found.")
+        raise RuntimeError(f"the run log has no run called {run_name!r}")
     if rows[0]["status"] == "error":
-        raise RuntimeError("Multiple unfinished runs. Expected one or none unfinished run.")
+        raise RuntimeError(f"{run_name!r} has several open runs; at most one may be open")
     return rows[0][id_col]
 
 

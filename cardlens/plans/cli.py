@@ -17,7 +17,6 @@ from pyspark.sql import SparkSession
 
 from ..config import DEFAULT_CONFIG
 from ..operators import drift
-from ..schema import RAW_HANDS
 from ..session import apply_runtime_conf, ensure_checkpoint_dir
 from ..sources import io
 from . import jobs
@@ -33,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--feature-engineering", action="store_true")
     t.add_argument("--training", action="store_true")
     t.add_argument("--refresh", action="store_true")
+    t.add_argument("--keys", default="", help="comma-separated row id columns (for sampling and splitting)")
     t.add_argument("--trees", type=int, default=None, help="number of trees (default: config)")
     d = sub.add_parser("drift", help="PSI report of the newest live rows against a baseline")
     d.add_argument("--root", required=True)
@@ -51,8 +51,9 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     if args.command == "train":
         steps = [s for s, on in (("preprocess", args.preprocess), ("features", args.feature_engineering),
                                  ("training", args.training), ("refresh", args.refresh)) if on]
-        raw = io.read_parquet(spark, args.raw, RAW_HANDS) if args.raw else None
-        return jobs.run_pipeline(spark, paths, steps=steps, raw=raw, num_trees=args.trees)
+        raw = io.read_parquet(spark, args.raw) if args.raw else None
+        return jobs.run_pipeline(spark, paths, steps=steps, raw=raw, num_trees=args.trees,
+                                 key_cols=[k for k in args.keys.split(",") if k] or None)
     baseline = drift.read_baseline_json(spark, args.baseline)
     live = drift.read_live_json(spark, args.live)
     cfg = DEFAULT_CONFIG.__class__(live_window_rows=args.rows)

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_CONFIG, EngineConfig
+from ..config import CARD_COLUMNS, DEFAULT_CONFIG, EngineConfig
 from ..operators import drift, model as mdl, relative, runlog, sampling
 from ..operators.equity import with_win_share
 from ..operators.features import drop_label
-from ..session import apply_runtime_conf, ensure_checkpoint_dir
+from ..session import apply_runtime_conf, ensure_checkpoint_dir, write_shared
 from ..sources import io
 
 FEATURE_RUN = "feature_engineering"
@@ -42,7 +42,7 @@ class JobPaths:
     @property
     def features(self) -> str: return self._p("features")
     @property
-    def lookup(self) -> str: return self._p("stateful_lookup")
+    def lookups(self) -> str: return self._p("stateful_lookup")
     @property
     def models(self) -> str: return self._p("models")
     @property
@@ -64,35 +64,65 @@ def preprocess(raw: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG, repartition:
                           partitions=cfg.simulation_partitions)
 
 
+@dataclass(frozen=True)
+class JdbcTables:
+    """The SQL tables of K1 and K2, for callers who keep them in a database instead of the job folder."""
+
+    url: str
+    properties: dict
+    raw: str = "raw_data"
+    preprocessed: str = "preprocessed_data"
+
+
 def run_preprocess(spark: SparkSession, paths: JobPaths, raw: DataFrame | None = None,
-                   cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """K1: raw table -> labelled table (checkpointed once, then written)."""
-    raw = raw if raw is not None else io.read_parquet(spark, paths.raw)
-    labelled = io.materialize(preprocess(raw, cfg))
-    io.write_parquet(labelled, paths.preprocessed)
+                   cfg: EngineConfig = DEFAULT_CONFIG, jdbc: JdbcTables | None = None) -> DataFrame:
+    """K1: raw table -> labelled table, written once to its final place."""
+    if raw is None:
+        raw = io.read_jdbc(spark, jdbc.url, jdbc.raw, jdbc.properties) if jdbc else io.read_parquet(spark, paths.raw)
+    labelled = preprocess(raw, cfg)
+    if jdbc:
+        io.write_jdbc(labelled, jdbc.url, jdbc.preprocessed, jdbc.properties)
+    else:
+        io.write_parquet(labelled, paths.preprocessed)
+    return _preprocessed(spark, paths, jdbc)
+
+
+def _preprocessed(spark: SparkSession, paths: JobPaths, jdbc: JdbcTables | None) -> DataFrame:
+    if jdbc:
+        return io.read_jdbc(spark, jdbc.url, jdbc.preprocessed, jdbc.properties)
     return io.read_parquet(spark, paths.preprocessed)
 
 
 # ---- K2 --------------------------------------------------------------------
 
+def _row_keys(df: DataFrame, key_cols: list[str] | None) -> list[str]:
+    """Columns that tell rows apart. Samples and splits decide row by row; the cards alone would decide for all rows
+    of a hand at once, so the key must name something else."""
+    if not key_cols or set(key_cols) <= set(CARD_COLUMNS):
+        raise ValueError("key_cols must name a row id; card columns do not tell equal hands apart")
+    missing = [c for c in key_cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"key columns {missing} are not in the table")
+    return list(key_cols)
+
+
 def build_features(preprocessed: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG, sample: bool = True,
                    key_cols: list[str] | None = None) -> DataFrame:
-    """K2 core: optional hash sample, then row + relative features."""
+    """K2 core: optional hash sample of rows, then row + relative features."""
     df = preprocessed
     if sample:
-        keys = key_cols or [c for c in df.columns if c not in ("equity",)]
-        df = sampling.hash_sample(df, cfg.sample_rate, keys, seed=0)
+        df = sampling.hash_sample(df, cfg.sample_rate, _row_keys(df, key_cols), seed=0)
     return relative.all_features(df)
 
 
 def run_features(spark: SparkSession, paths: JobPaths, cfg: EngineConfig = DEFAULT_CONFIG,
-                 key_cols: list[str] | None = None) -> str:
-    """K2: features and the per-rank lookup written as Parquet; counts logged. Returns the run id."""
-    feats = build_features(io.read_parquet(spark, paths.preprocessed), cfg, key_cols=key_cols)
+                 key_cols: list[str] | None = None, jdbc: JdbcTables | None = None) -> str:
+    """K2: features and the per-rank lookup of this run written as Parquet; counts logged. Returns the run id."""
+    run_id = uuid.uuid4().hex
+    feats = build_features(_preprocessed(spark, paths, jdbc), cfg, key_cols=key_cols)
     io.write_parquet(feats, paths.features)
     written = io.read_parquet(spark, paths.features)
-    io.write_parquet(relative.stateful_lookup(written), paths.lookup)
-    run_id = uuid.uuid4().hex
+    io.write_parquet(relative.stateful_lookup(written), os.path.join(paths.lookups, run_id))
     counts = written.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     runlog.log_entries(spark, paths.run_log, run_id, FEATURE_RUN, "metric",
                        {"num_rows": counts, "num_columns": len(written.columns)})
@@ -105,10 +135,9 @@ def run_features(spark: SparkSession, paths: JobPaths, cfg: EngineConfig = DEFAU
 
 def run_training(spark: SparkSession, paths: JobPaths, cfg: EngineConfig = DEFAULT_CONFIG,
                  key_cols: list[str] | None = None, num_trees: int | None = None) -> str:
-    """K3: split, train, evaluate on the test part, save the model, log metrics. Returns the run id."""
+    """K3: split by row, train, evaluate on the test part, save the model, log metrics. Returns the run id."""
     feats = io.read_parquet(spark, paths.features)
-    keys = key_cols or ["S1", "C1", "S2", "C2", "S3", "C3", "S4", "C4", "S5", "C5"]
-    train, test = sampling.train_test_split(feats, cfg.test_size, keys, cfg.split_seed)
+    train, test = sampling.train_test_split(feats, cfg.test_size, _row_keys(feats, key_cols), cfg.split_seed)
     model = mdl.train(train, cfg, num_trees=num_trees)
     metrics = mdl.evaluate(mdl.predict(model, test)).first()
     run_id = uuid.uuid4().hex
@@ -127,9 +156,9 @@ def refresh(spark: SparkSession, paths: JobPaths):
     """K4: latest training and feature runs -> (model, lookup)."""
     runs = runlog.runs_table(spark, paths.run_log)
     model_run = runlog.latest_run_id(runs, TRAINING_RUN)
-    runlog.latest_run_id(runs, FEATURE_RUN)
+    feature_run = runlog.latest_run_id(runs, FEATURE_RUN)
     model = runlog.load_model(os.path.join(paths.models, model_run))
-    return model, io.read_parquet(spark, paths.lookup)
+    return model, io.read_parquet(spark, os.path.join(paths.lookups, feature_run))
 
 
 # ---- K5 --------------------------------------------------------------------
@@ -139,9 +168,10 @@ def run_drift(spark: SparkSession, paths: JobPaths, baseline: DataFrame, live: D
     """K5: latest-N guard, PSI per target, appended to the drift report table."""
     window = sampling.min_rows_guard(sampling.latest_rows(live, cfg.live_window_rows, "ts", tie_cols),
                                      cfg.live_window_rows)
-    report = drift.psi_report(baseline, window, epsilon=cfg.psi_epsilon) \
-        .withColumn("computed_at", F.current_timestamp())
-    io.write_parquet(report, paths.drift_reports, mode="append")
+    report = write_shared(drift.psi_report(baseline, window, epsilon=cfg.psi_epsilon)
+                          .withColumn("computed_at", F.current_timestamp()), "drift-report")
+    if report.limit(1).count():  # a short window has no report, and nothing is appended
+        io.write_parquet(report, paths.drift_reports, mode="append")
     return report
 
 
@@ -151,7 +181,8 @@ STEPS = ("preprocess", "features", "training", "refresh")
 
 
 def run_pipeline(spark: SparkSession, paths: JobPaths, steps=STEPS, raw: DataFrame | None = None,
-                 cfg: EngineConfig = DEFAULT_CONFIG, num_trees: int | None = None) -> dict:
+                 cfg: EngineConfig = DEFAULT_CONFIG, num_trees: int | None = None,
+                 key_cols: list[str] | None = None, jdbc: JdbcTables | None = None) -> dict:
     """K6: run the steps in order (the fast variant leaves out ``preprocess``)."""
     apply_runtime_conf(spark)
     out: dict = {}
@@ -159,11 +190,11 @@ def run_pipeline(spark: SparkSession, paths: JobPaths, steps=STEPS, raw: DataFra
         if step not in steps:
             continue
         if step == "preprocess":
-            out["preprocessed"] = run_preprocess(spark, paths, raw, cfg)
+            out["preprocessed"] = run_preprocess(spark, paths, raw, cfg, jdbc)
         elif step == "features":
-            out["feature_run"] = run_features(spark, paths, cfg)
+            out["feature_run"] = run_features(spark, paths, cfg, key_cols, jdbc)
         elif step == "training":
-            out["training_run"] = run_training(spark, paths, cfg, num_trees=num_trees)
+            out["training_run"] = run_training(spark, paths, cfg, key_cols, num_trees)
         elif step == "refresh":
             out["model"], out["lookup"] = refresh(spark, paths)
     return out

@@ -61,9 +61,7 @@ def prediction_log_cte() -> str:
 
 def counter_samples_cte() -> str:
     return """counter_samples AS (
-  SELECT event_type AS series, CAST(ts AS TIMESTAMP) AS ts,
-         CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) % 100 AS BIGINT) AS cum
-  FROM events)"""
+  SELECT event_type AS series, CAST(ts AS TIMESTAMP) AS ts, CAST(event_id % 100 AS BIGINT) AS cum FROM events)"""
 
 
 def run_log_cte() -> str:
@@ -195,6 +193,19 @@ trials AS (
   LEFT JOIN rank7 o ON o.lookup_key = ({seven_key_sql(['o1', 'o2', 'k3', 'k4', 'k5', 'b1', 'b2'])}))"""
 
 
+def seven_cards_ctes() -> str:
+    """seven: hands with turn and river cards of the rest of the deck, and the best rank of all seven."""
+    ks = ", ".join(f"CAST((S{i} - 1) * 13 + C{i} - 1 AS BIGINT) AS k{i}" for i in range(1, 6))
+    return f"""sk AS (
+  SELECT *, list_filter(range(0, 52), lambda c: NOT list_contains([k1, k2, k3, k4, k5], c)) AS rest
+  FROM (SELECT *, {ks} FROM hands)),
+sk1 AS (SELECT *, rest[l_partkey % 47 + 1] AS b1 FROM sk),
+sk2 AS (SELECT *, list_filter(rest, lambda c: c <> b1)[l_suppkey % 46 + 1] AS b2 FROM sk1),
+seven AS (
+  SELECT sk2.*, p.rank_value AS best_rank FROM sk2
+  LEFT JOIN rank7 p ON p.lookup_key = ({seven_key_sql(['k1', 'k2', 'k3', 'k4', 'k5', 'b1', 'b2'])}))"""
+
+
 def equity_bin_sql(col: str) -> str:
     labels = equity_bin_labels(EQUITY_BIN_EDGES)
     parts = []
@@ -235,5 +246,19 @@ def hash_bucket_sql(cols: list[str], seed: int) -> str:
     return (f"(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(cols)}, '{seed}')), 1, 8)) AS BIGINT) % 10000)")
 
 
+def islands_ctes(alerts: str) -> str:
+    """isl: days (column ws) of ``alerts`` numbered within runs of days in a row."""
+    return f"""lagged2 AS (SELECT ws, lag(ws) OVER (ORDER BY ws) AS before FROM {alerts}),
+runs AS (SELECT ws, sum(CASE WHEN before + INTERVAL 1 DAY = ws THEN 0 ELSE 1 END) OVER (ORDER BY ws) AS run FROM lagged2),
+islands AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ws) AS k FROM runs)"""
+
+
+def islands_body(k: int) -> str:
+    return f"""
+SELECT {ts_text('min(ws)')} AS run_start, {ts_text('max(ws) + INTERVAL 1 DAY')} AS run_end, count(*) AS n_windows,
+       {ts_text(f'min(CASE WHEN k = {k} THEN ws END)')} AS firing_from
+FROM islands GROUP BY run HAVING count(*) >= {k}"""
+
+
 def ts_text(col: str) -> str:
     return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"

@@ -19,7 +19,6 @@ from ..functions import cards
 from ..operators import equity as eq
 from ..operators import features as feat
 from ..operators import ranks
-from ..session import apply_runtime_conf
 from ..sources import derived
 from . import oracle_sql as osql
 
@@ -33,15 +32,10 @@ _SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_runtime_conf(spark)
-            return fn(spark, sf_dir)
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        _QUERIES[name] = run
+        _QUERIES[name] = fn
         if sql is not None:
             _SQL[name] = sql
-        return run
+        return fn
     return deco
 
 
@@ -166,23 +160,32 @@ def b14_drop_label(spark, sf_dir):
     return feat.drop_label(raw.select(*ROW_ID, *[f"{p}{i}" for i in range(1, 6) for p in "SC"], "CLASS"))
 
 
-@register("b15_validate", osql.with_ctes(H, body=f"""
-SELECT {KEYS_SQL}, TRUE AS is_valid, '' AS invalid_columns,
-       CAST(len(list_distinct([{', '.join(f'(S{i} - 1) * 13 + C{i} - 1' for i in range(1, 6))}])) < 5 AS BOOLEAN) AS has_repeated_card
-FROM hands
-WHERE S1 BETWEEN 1 AND 4 AND S2 BETWEEN 1 AND 4 AND S3 BETWEEN 1 AND 4 AND S4 BETWEEN 1 AND 4 AND S5 BETWEEN 1 AND 4
-  AND C1 BETWEEN 1 AND 13 AND C2 BETWEEN 1 AND 13 AND C3 BETWEEN 1 AND 13 AND C4 BETWEEN 1 AND 13 AND C5 BETWEEN 1 AND 13
-UNION ALL
-SELECT {KEYS_SQL}, FALSE, 'rejected', FALSE FROM hands
-WHERE NOT (S1 BETWEEN 1 AND 4 AND S2 BETWEEN 1 AND 4 AND S3 BETWEEN 1 AND 4 AND S4 BETWEEN 1 AND 4 AND S5 BETWEEN 1 AND 4
-  AND C1 BETWEEN 1 AND 13 AND C2 BETWEEN 1 AND 13 AND C3 BETWEEN 1 AND 13 AND C4 BETWEEN 1 AND 13 AND C5 BETWEEN 1 AND 13)"""))
+# requests made from hands: every third code breaks a suit, every fifth a rank, every seventh repeats a card, every eleventh
+# leaves a card out
+_BROKEN = {
+    "S2": "CASE WHEN code % 3 = 0 THEN S2 + 4 ELSE S2 END",
+    "C4": "CASE WHEN code % 5 = 0 THEN 0 ELSE C4 END",
+    "S5": "CASE WHEN code % 7 = 0 THEN S1 ELSE S5 END",
+    "C5": "CASE WHEN code % 11 = 0 THEN NULL WHEN code % 7 = 0 THEN C1 ELSE C5 END",
+}
+_CARD_COLS = [f"{p}{i}" for i in range(1, 6) for p in "SC"]
+_BAD_SQL = [f"CASE WHEN {c} BETWEEN 1 AND {4 if c[0] == 'S' else 13} THEN NULL ELSE '{c}' END" for c in _CARD_COLS]
+
+
+@register("b15_validate", osql.with_ctes(H, f"""
+requests AS (SELECT {KEYS_SQL}, {', '.join(f"{_BROKEN.get(c, c)} AS {c}" for c in _CARD_COLS)} FROM hands),
+checked AS (
+  SELECT *, list_filter([{', '.join(_BAD_SQL)}], lambda c: c IS NOT NULL) AS bad,
+         list_filter([{', '.join(f'(S{i} - 1) * 13 + C{i} - 1' for i in range(1, 6))}], lambda k: k IS NOT NULL) AS k
+  FROM requests)""", body=f"""
+SELECT {KEYS_SQL}, len(bad) = 0 AS is_valid, array_to_string(bad, ',') AS invalid_columns,
+       len(list_distinct(k)) < len(k) AS has_repeated_card
+FROM checked"""))
 def b15_validate(spark, sf_dir):
-    """Validity of every hand as a request, with the failing columns, in one pass."""
-    checked = cards.with_validation(_hands(spark, sf_dir))
-    return checked.select(
-        *ROW_ID, "is_valid",
-        F.when(F.col("is_valid"), F.lit("")).otherwise(F.lit("rejected")).alias("invalid_columns"),
-        (F.col("is_valid") & F.col("has_repeated_card")).alias("has_repeated_card"))
+    """Validity of requests, good and bad, with the failing columns and repeated cards, in one pass."""
+    requests = _hands(spark, sf_dir).selectExpr(*ROW_ID, *[f"CAST({_BROKEN.get(c, c)} AS INT) AS {c}" for c in _CARD_COLS])
+    return cards.with_validation(requests).select(*ROW_ID, "is_valid", F.array_join("invalid_columns", ",").alias("invalid_columns"),
+                                                  "has_repeated_card")
 
 
 @register("b16_equity_bin", osql.with_ctes(H, body=f"""
@@ -232,17 +235,15 @@ def c3_rank_class(spark, sf_dir):
     return ranks.with_rank_value(_hands(spark, sf_dir)).select(*ROW_ID, RANK_CLASS)
 
 
-@register("c4_best_of_seven", osql.with_ctes(H, R5, R7, osql.showdown_ctes(1, 0), body=f"""
-SELECT {KEYS_SQL}, CAST(b1 AS INTEGER) AS turn_card, CAST(b2 AS INTEGER) AS river_card,
-       player_rank AS best_rank, {osql.class_case('player_rank')} AS best_class
-FROM trials"""))
+@register("c4_best_of_seven", osql.with_ctes(H, R5, R7, osql.seven_cards_ctes(), body=f"""
+SELECT {KEYS_SQL}, CAST(b1 AS INTEGER) AS turn_card, CAST(b2 AS INTEGER) AS river_card, best_rank,
+       {osql.class_case('best_rank')} AS best_class
+FROM seven"""))
 def c4_best_of_seven(spark, sf_dir):
-    """Best five of seven: the hand plus the turn and river of its first seeded run-out."""
-    h = _hands(spark, sf_dir).select(*ROW_ID, *[f"{p}{i}" for i in range(1, 6) for p in "SC"])
-    trials = eq.showdowns(eq._prepare(h, None), 1, 0, F.col("_valid"), opponent=False)
-    return trials.select(*ROW_ID, F.col("_b1").alias("turn_card"), F.col("_b2").alias("river_card"),
-                         F.col("_player_rank").alias("best_rank"),
-                         ranks.rank_class_of(F.col("_player_rank")).alias("best_class"))
+    """Best five of seven: the hand plus two more cards decoded from the row's keys."""
+    seven = derived.seven_cards(_hands(spark, sf_dir))
+    ranked = ranks.best_of_seven(seven, ["_k1", "_k2", "_k3", "_k4", "_k5", "turn_card", "river_card"], "best_rank")
+    return ranked.select(*ROW_ID, "turn_card", "river_card", "best_rank", ranks.rank_class_of(F.col("best_rank")).alias("best_class"))
 
 
 @register("c5_win_share", osql.with_ctes(H, R5, R7, osql.showdown_ctes(10, 0), body=f"""

@@ -10,7 +10,9 @@ from ..operators import drift
 from ..operators import ranks
 from ..operators import relative as rel
 from ..operators import sampling
-from ..sources import derived
+from ..session import scratch_path
+from ..sources import derived, io
+from ..sources.tables import read_table
 from . import oracle_sql as osql
 from .queries import _B12_COLS, FEATURES_CTE, H, KEYS_SQL, R5, RH, ROW_ID, register
 
@@ -32,6 +34,11 @@ def _live(spark, sf_dir):
     return derived.live(spark, sf_dir)
 
 
+def _latest_live(spark, sf_dir, n):
+    """The newest ``n`` live rows: cut from the raw hands, so only ``n`` rows are ranked."""
+    return derived.live_from_hands(sampling.latest_rows(derived.hands(spark, sf_dir), n, "ship_ts", tuple(ROW_ID)))
+
+
 # ---------------------------------------------------------------------------
 # D: relative features
 # ---------------------------------------------------------------------------
@@ -72,6 +79,21 @@ def d5_all_features(spark, sf_dir):
     return rel.all_features(derived.hands(spark, sf_dir)).select(*ROW_ID, *cards, *_B12_COLS, _r6(Z), _r6(CDF), _r6(GLOBAL))
 
 
+@register("d4_any_value_and_class", osql.with_ctes("""
+t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE l_orderkey % 20011 END AS v,
+             CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS c FROM lineitem)""", body=f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(v AS DOUBLE) AS v, CAST(c AS DOUBLE) AS c,
+       round((v - avg(v) OVER (PARTITION BY c)) / (stddev_samp(v) OVER (PARTITION BY c) + 1e-9), 6) AS {Z},
+       round(cume_dist() OVER (PARTITION BY c ORDER BY v NULLS FIRST), 6) AS {CDF},
+       round(percent_rank() OVER (ORDER BY v DESC NULLS LAST), 6) AS {GLOBAL} FROM t"""))
+def d4_any_value_and_class(spark, sf_dir):
+    """Relative features of other columns: values beyond the rank table that repeat across classes, with nulls in both."""
+    t = read_table(spark, sf_dir, "lineitem").select(
+        *derived.KEY_COLUMNS, F.when(F.col("l_suppkey") % 9 != 0, F.col("l_orderkey") % 20011).alias("v"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_linenumber")).alias("c"))
+    return rel.with_relative_features(t, "v", "c").select(*derived.KEY_COLUMNS, *[F.col(x).cast("double").alias(x) for x in "vc"], _r6(Z), _r6(CDF), _r6(GLOBAL))
+
+
 # ---------------------------------------------------------------------------
 # E: sampling, distinct, counts
 # ---------------------------------------------------------------------------
@@ -93,19 +115,17 @@ def e2_stateful_lookup(spark, sf_dir):
     return rel.relative_lookup(_ranked(spark, sf_dir)).select(RANK_VALUE, _r6(Z), _r6(CDF), _r6(GLOBAL))
 
 
-@register("e3_table_counts", osql.with_ctes(H, body="SELECT count(*) AS num_rows, CAST(32 AS INTEGER) AS num_columns FROM hands"))
-def e3_table_counts(spark, sf_dir):
-    """Row and column counts of the full feature table.
+_FEATURE_COLUMNS = 4 + 2 + 10 + len(_B12_COLS) + len(STATEFUL_FEATURES)  # keys, time and code, cards, row and relative features
 
-    The feature table keeps every input row (left joins to lookups that are
-    unique on their key), so its rows are counted on the input: Catalyst
-    cannot drop those joins itself, and would otherwise build the per-rank
-    lookup (a second pass) just to count. The column count is read from the
-    feature table's schema, which needs no job.
-    """
-    hands = derived.hands(spark, sf_dir)
-    n_cols = len(rel.all_features(hands).columns)
-    return hands.agg(F.count(F.lit(1)).alias("num_rows")).withColumn("num_columns", F.lit(n_cols))
+
+@register("e3_table_counts", osql.with_ctes(H, body=f"""
+SELECT count(*) AS num_rows, CAST({_FEATURE_COLUMNS} AS INTEGER) AS num_columns FROM hands"""))
+def e3_table_counts(spark, sf_dir):
+    """Row and column counts of the feature table, which is built, written and read back."""
+    path = scratch_path(spark, "e3_features")
+    io.write_parquet(rel.all_features(derived.hands(spark, sf_dir)), path)
+    feats = io.read_parquet(spark, path)
+    return feats.agg(F.count(F.lit(1)).alias("num_rows")).withColumn("num_columns", F.lit(len(feats.columns)))
 
 
 @register("e4_split", osql.with_ctes(H, body=f"""
@@ -122,7 +142,7 @@ _LIVE_COLS = "hand_is_pair, hand_is_suited, board_is_paired, equity, current_han
 @register("e5_latest_rows", osql.with_ctes(H, R5, RH, LIVE, osql.latest_cte(LIVE_WINDOW), body=f"""
 SELECT {osql.ts_text('ts')} AS ts, {KEYS_SQL}, {_LIVE_COLS} FROM latest"""))
 def e5_latest_rows(spark, sf_dir):
-    latest = sampling.latest_rows(_live(spark, sf_dir), LIVE_WINDOW, "ts", tuple(ROW_ID))
+    latest = _latest_live(spark, sf_dir, LIVE_WINDOW)
     return latest.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), *ROW_ID,
                          *[c.strip() for c in _LIVE_COLS.split(",")])
 
@@ -147,12 +167,17 @@ def e7_true_counts(spark, sf_dir):
     return drift.true_counts(_live(spark, sf_dir))
 
 
-@register("e8_min_rows_guard", osql.with_ctes(H, R5, RH, LIVE, osql.latest_cte(LIVE_WINDOW), body=f"""
-SELECT count(*) AS rows_found, CAST({LIVE_WINDOW} AS BIGINT) AS rows_required, count(*) >= {LIVE_WINDOW} AS passed
-FROM latest"""))
+SHORT_OF = 100_000_000  # more rows than the test tables have
+
+
+@register("e8_min_rows_guard", osql.with_ctes(H, body=" UNION ALL ".join(f"""
+SELECT count(*) AS rows_found, CAST({n} AS BIGINT) AS rows_required, count(*) >= {n} AS passed
+FROM (SELECT 1 FROM hands LIMIT {n})""" for n in (LIVE_WINDOW, SHORT_OF))))
 def e8_min_rows_guard(spark, sf_dir):
-    latest = sampling.latest_rows(_live(spark, sf_dir), LIVE_WINDOW, "ts", tuple(ROW_ID))
-    return sampling.guard_status(latest, LIVE_WINDOW)
+    """The guard on two windows of the newest rows: one that is filled, and one that is not."""
+    hands = derived.hands(spark, sf_dir).select("ship_ts", *ROW_ID)
+    filled = sampling.guard_status(sampling.latest_rows(hands, LIVE_WINDOW, "ship_ts", tuple(ROW_ID)), LIVE_WINDOW)
+    return filled.unionByName(sampling.guard_status(hands.limit(SHORT_OF), SHORT_OF))
 
 
 @register("e9_baseline_counts", osql.with_ctes(H, R5, RH, LIVE, body=f"""
@@ -192,16 +217,30 @@ def f1_lookup_join(spark, sf_dir):
 # H: drift
 # ---------------------------------------------------------------------------
 
-def _report(spark, sf_dir):
-    live = _live(spark, sf_dir)
-    baseline = drift.baseline_counts(live)
-    window = sampling.latest_rows(live, LIVE_WINDOW, "ts", tuple(ROW_ID))
-    return drift.psi_report(baseline, sampling.min_rows_guard(window, LIVE_WINDOW))
+# The live part of the table takes most pairs and few other hands, the baseline has the rest: no row is in both, pairs drift
+# and suits do not.
+_LIVE_PART = "CASE WHEN hand_is_pair THEN code % 10 < 8 ELSE code % 10 < 2 END"
+
 
+def _window(spark, sf_dir, n):
+    live = _live(spark, sf_dir).filter(_LIVE_PART)
+    return sampling.min_rows_guard(sampling.latest_rows(live, n, "ts", tuple(ROW_ID)), n)
 
-_REPORT_SQL = f"""base AS (SELECT feature, label, count(*) AS n FROM ({osql.live_long_sql('live')}) GROUP BY 1, 2),
+
+def _baseline(spark, sf_dir):
+    return drift.baseline_counts(_live(spark, sf_dir).filter(f"NOT ({_LIVE_PART})"))
+
+
+def _report(spark, sf_dir, n=LIVE_WINDOW):
+    return drift.psi_report(_baseline(spark, sf_dir), _window(spark, sf_dir, n))
+
+
+def _report_ctes(n: int) -> tuple:
+    return (H, R5, RH, LIVE, f"base_part AS (SELECT * FROM live WHERE NOT ({_LIVE_PART}))",
+            f"live_part AS (SELECT * FROM live WHERE {_LIVE_PART})", osql.latest_cte(n, "live_part"), f"""
+base AS (SELECT feature, label, count(*) AS n FROM ({osql.live_long_sql('base_part')}) GROUP BY 1, 2),
 lcounts AS (SELECT feature, label, count(*) AS n_live FROM ({osql.live_long_sql('latest')}) GROUP BY 1, 2),
-ltotal AS (SELECT count(*) AS total FROM latest HAVING count(*) >= {LIVE_WINDOW}),
+ltotal AS (SELECT count(*) AS total FROM latest HAVING count(*) >= {n}),
 terms AS (
   SELECT b.feature, b.label,
          CAST(b.n AS DOUBLE) / sum(b.n) OVER (PARTITION BY b.feature) + 1e-100 AS t,
@@ -210,8 +249,10 @@ terms AS (
   FROM base b JOIN ltotal lt ON TRUE LEFT JOIN lcounts c ON c.feature = b.feature AND c.label = b.label),
 report AS (
   SELECT feature AS target, sum((l - t) * ln(l / t)) AS psi, 1.0 - sum(known) / max(total) AS unknown_share
-  FROM terms GROUP BY feature)"""
-_H_CTES = (H, R5, RH, LIVE, osql.latest_cte(LIVE_WINDOW), _REPORT_SQL)
+  FROM terms GROUP BY feature)""")
+
+
+_H_CTES = _report_ctes(LIVE_WINDOW)
 
 
 @register("h2_binary_psi", osql.with_ctes(*_H_CTES, body="""
@@ -240,6 +281,71 @@ def h5_drift_alert(spark, sf_dir):
     return drift.drift_alerts(_report(spark, sf_dir), DEFAULT_CONFIG.psi_alert_threshold).select("target", _r6("psi"))
 
 
+@register("h4_short_window", osql.with_ctes(*_report_ctes(SHORT_OF), body="""
+SELECT target, round(psi, 6) AS psi, round(unknown_share, 6) AS unknown_share FROM report"""))
+def h4_short_window(spark, sf_dir):
+    """The report on a window that is not filled: no rows."""
+    live = _live(spark, sf_dir).filter(_LIVE_PART)
+    window = sampling.min_rows_guard(live.limit(SHORT_OF), SHORT_OF)
+    return drift.psi_report(_baseline(spark, sf_dir), window).select("target", _r6("psi"), _r6("unknown_share"))
+
+
+def _quarterly_reports(spark, sf_dir):
+    """A PSI report per ship quarter of the live part, against the one baseline, as rows (target, window, psi)."""
+    live = _live(spark, sf_dir).filter(_LIVE_PART).withColumn("_quarter", F.date_trunc("quarter", "ts"))
+    counts = drift.long_labels(live, keep=("_quarter",)).groupBy("_quarter", "feature", "label").agg(F.count(F.lit(1)).alias("n_live"))
+    return drift.psi_by_window(_baseline(spark, sf_dir), counts, "_quarter")
+
+
+_QUARTER_CTES = (H, R5, RH, LIVE, f"base_part AS (SELECT * FROM live WHERE NOT ({_LIVE_PART}))",
+               f"live_part AS (SELECT * FROM live WHERE {_LIVE_PART})", f"""
+base AS (SELECT feature, label, count(*) AS n FROM ({osql.live_long_sql('base_part')}) GROUP BY 1, 2),
+months AS (SELECT DISTINCT date_trunc('quarter', ts) AS m FROM live_part),
+lc AS ({" UNION ALL ".join(f"SELECT date_trunc('quarter', ts) AS m, '{f}' AS feature, CAST({e} AS VARCHAR) AS label FROM live_part"
+       for f, e in (("hand_is_pair", "hand_is_pair"), ("hand_is_suited", "hand_is_suited"), ("board_is_paired", "board_is_paired"),
+                    ("equity_bin", osql.equity_bin_sql("equity")), ("current_hand_class_value", "current_hand_class_value")))}),
+lcounts AS (SELECT m, feature, label, count(*) AS n_live FROM lc GROUP BY 1, 2, 3),
+ltotal AS (SELECT m, feature, sum(n_live) AS total FROM lcounts GROUP BY 1, 2),
+terms AS (
+  SELECT lt.m, b.feature,
+         CAST(b.n AS DOUBLE) / (SELECT sum(x.n) FROM base x WHERE x.feature = b.feature) + 1e-100 AS t,
+         CAST(coalesce(c.n_live, 0) AS DOUBLE) / lt.total + 1e-100 AS l
+  FROM base b JOIN ltotal lt ON lt.feature = b.feature
+  LEFT JOIN lcounts c ON c.m = lt.m AND c.feature = b.feature AND c.label = b.label),
+reports AS (SELECT m, feature AS target, sum((l - t) * ln(l / t)) AS psi FROM terms GROUP BY 1, 2)""")
+SUSTAINED_PSI, SUSTAINED_REPORTS = 0.45, 2
+
+
+@register("h5_sustained_drift", osql.with_ctes(*_QUARTER_CTES, f"""
+hot AS (SELECT target, m, m + INTERVAL 3 MONTH AS e, lag(m + INTERVAL 3 MONTH) OVER (PARTITION BY target ORDER BY m) AS prev
+        FROM reports WHERE psi > {SUSTAINED_PSI}),
+isl AS (SELECT *, sum(CASE WHEN prev = m THEN 0 ELSE 1 END) OVER (PARTITION BY target ORDER BY m) AS run FROM hot),
+pos AS (SELECT *, row_number() OVER (PARTITION BY target, run ORDER BY m) AS k FROM isl)""", body=f"""
+SELECT target, {osql.ts_text('min(m)')} AS run_start, {osql.ts_text('max(e)')} AS run_end, count(*) AS n_windows,
+       {osql.ts_text(f'min(CASE WHEN k = {SUSTAINED_REPORTS} THEN m END)')} AS firing_from
+FROM pos GROUP BY target, run HAVING count(*) >= {SUSTAINED_REPORTS}"""))
+def h5_sustained_drift(spark, sf_dir):
+    """Targets whose PSI stays above the threshold for some quarterly reports in a row."""
+    from ..operators import monitor
+
+    reports = _quarterly_reports(spark, sf_dir).select("target", "psi", F.col("_quarter").alias("window_start"),
+                                                   (F.col("_quarter") + F.expr("INTERVAL 3 MONTH")).alias("window_end"))
+    runs = monitor.sustained_drift(reports, SUSTAINED_PSI, SUSTAINED_REPORTS)
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return runs.select("target", text("run_start"), text("run_end"), "n_windows", text("firing_from"))
+
+
+@register("i10_last_psi", osql.with_ctes(*_QUARTER_CTES, body=f"""
+SELECT target, round(psi, 6) AS last_psi, {osql.ts_text('m')} AS last_ts FROM reports
+WHERE m = (SELECT max(m) FROM reports)"""))
+def i10_last_psi(spark, sf_dir):
+    """The last PSI of every target, from a table of quarterly reports."""
+    from ..operators import monitor
+
+    last = monitor.last_psi(_quarterly_reports(spark, sf_dir), ts="_quarter")
+    return last.select("target", _r6("last_psi"), F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss").alias("last_ts"))
+
+
 _SPLIT_PRED = f"{osql.hash_bucket_sql(SAMPLE_KEYS, DEFAULT_CONFIG.split_seed)} < {int(DEFAULT_CONFIG.test_size * 10000)}"
 
 

@@ -8,19 +8,19 @@ shared checkpoint folder, then returns the written result as a DataFrame.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import drift
+from ..config import DEFAULT_CONFIG
+from ..operators import relative as rel
 from ..session import scratch_path
 from ..sources import derived
 from ..sources.tables import table_path
 from ..streaming import pipelines as sp
 from . import oracle_sql as osql
-from .queries import ROW_ID, register
-from .queries_stats import _H_CTES, LIVE_WINDOW
-from .queries_ops import PL
+from .queries import FEATURES_CTE, H, KEYS_SQL, R5, RH, ROW_ID, register
+from .queries_ops import PL, trained_model, training_parts
+from .queries_stats import _H_CTES, _LIVE_PART, _baseline, LIVE_WINDOW
 
 
 def _stream_glob(sf_dir: str, name: str) -> str:
@@ -29,24 +29,26 @@ def _stream_glob(sf_dir: str, name: str) -> str:
 
 
 def _run_dir(spark, prefix: str) -> str:
-    return scratch_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
+    return scratch_path(spark, prefix)
+
+
+STREAM_FILES = 4
 
 
 @register("j2_stream_drift", osql.with_ctes(*_H_CTES, body="""
 SELECT target, round(psi, 6) AS psi, round(unknown_share, 6) AS unknown_share FROM report"""))
 def j2_stream_drift(spark, sf_dir):
-    """Streaming drift: lineitem files -> hands -> live rows -> newest-N window -> PSI per target."""
-    src = _stream_glob(sf_dir, "lineitem")
-    schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
-    live_batch = derived.live(spark, sf_dir)
-    baseline = drift.baseline_counts(live_batch)
+    """Streaming drift: the live part arrives in several files, one micro-batch each, so the kept window is carried on."""
+    live = derived.live(spark, sf_dir).filter(_LIVE_PART)
     run = _run_dir(spark, "j2")
-    stream = derived.live_from_hands(derived.hands_from_lineitem(sp.read_stream(spark, src, schema)))
-    q = sp.drift_stream_from(stream, baseline, LIVE_WINDOW, os.path.join(run, "kept"), os.path.join(run, "report"),
+    files = os.path.join(run, "in")
+    live.repartition(STREAM_FILES, "code").write.option("maxRecordsPerFile", 0).parquet(files)
+    stream = sp.read_stream(spark, files, live.schema, max_files_per_trigger=1)
+    q = sp.drift_stream_from(stream, _baseline(spark, sf_dir), LIVE_WINDOW, os.path.join(run, "kept"), os.path.join(run, "report"),
                              os.path.join(run, "ckpt"), tie_cols=tuple(ROW_ID))
     q.awaitTermination()
-    rep = spark.read.parquet(os.path.join(run, "report"))
-    last = rep.agg(F.max("batch_id")).first()[0]
+    rep = spark.read.schema("target string, psi double, unknown_share double, batch_id long").parquet(os.path.join(run, "report"))
+    last = q.lastProgress["batchId"]
     return rep.filter(F.col("batch_id") == last).select(
         "target", F.round("psi", 6).alias("psi"), F.round("unknown_share", 6).alias("unknown_share"))
 
@@ -73,24 +75,19 @@ def j3_stream_windows(spark, sf_dir):
 
 
 
-
-@register("j1_stream_score")
+@register("j1_stream_score", osql.with_ctes(H, R5, RH, FEATURES_CTE, body=f"""
+SELECT {KEYS_SQL}, {', '.join(DEFAULT_CONFIG.model_features)}, TRUE AS prediction_in_range FROM feats"""))
 def j1_stream_score(spark, sf_dir):
     """Streaming scoring: lineitem files -> hands -> features -> lookup join -> forest -> equity."""
-    from ..operators import model as mdl
-    from ..operators import relative as rel
-    from .queries_ops import QUERY_TREES, _training_table
-    train, _ = _training_table(spark, sf_dir)
-    model = mdl.train(train, num_trees=QUERY_TREES)
     run = _run_dir(spark, "j1")
-    rel.stateful_lookup(train).write.parquet(os.path.join(run, "lookup"))
+    rel.stateful_lookup(training_parts(spark, sf_dir)[0]).write.parquet(os.path.join(run, "lookup"))
     lookup = spark.read.parquet(os.path.join(run, "lookup"))
-    src = _stream_glob(sf_dir, "lineitem")
     schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
-    hands = derived.hands_from_lineitem(sp.read_stream(spark, src, schema))
-    scored = sp.score(hands, model, lookup, keep=tuple(ROW_ID))
+    hands = derived.hands_from_lineitem(sp.read_stream(spark, _stream_glob(sf_dir, "lineitem"), schema))
+    scored = sp.score(hands, trained_model(spark, sf_dir), lookup, keep=tuple(ROW_ID))
     q = (scored.writeStream.format("parquet").option("path", os.path.join(run, "out"))
          .option("checkpointLocation", os.path.join(run, "ckpt")).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(run, "out")).select(*ROW_ID, "equity")
+    return spark.read.parquet(os.path.join(run, "out")).select(*ROW_ID, *DEFAULT_CONFIG.model_features,
+                                                               F.col("equity").between(0.0, 1.0).alias("prediction_in_range"))

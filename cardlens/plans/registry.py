@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..config import RANK_CLASS
 from ..operators.ranks import with_rank_value
-from ..session import apply_runtime_conf
 from ..sources import derived
 from . import queries as _queries  # noqa: F401  (registers the queries)
 from . import queries_stats as _queries_stats  # noqa: F401
@@ -20,6 +19,5 @@ __all__ = ["all_queries", "oracle_queries", "flagship"]
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hands per class: derive hands, rank them by broadcast join, count per class."""
-    apply_runtime_conf(spark)
     ranked = with_rank_value(derived.hands(spark, sf_dir))
     return ranked.groupBy(RANK_CLASS).agg(F.count(F.lit(1)).alias("n_hands"))

@@ -2,14 +2,14 @@
 
 ``hands`` turns each lineitem row into five distinct cards, ``prediction_log``
 turns events into one row per served prediction, ``counter_samples`` turns
-events into a resetting cumulative counter and ``run_log`` turns orders into
-a run history. All are plain projections/windows over the inputs, so their
+events into a counter that falls back and ``run_log`` turns orders into
+a run history. All are plain projections of the inputs, so their
 size grows with the inputs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import read_table, spread
@@ -48,8 +48,8 @@ def hands_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def hands(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(*KEY_COLUMNS, "l_shipdate")
-    # (l_orderkey, l_linenumber) is the table's unique key: hashing on it cannot skew
-    return hands_from_lineitem(spread(li, ("l_orderkey", "l_linenumber")))
+    # the four key columns tell nearly all rows apart (two orderkey / linenumber pairs in three are unique)
+    return hands_from_lineitem(spread(li, KEY_COLUMNS))
 
 
 def prediction_log_from_events(ev: DataFrame) -> DataFrame:
@@ -75,27 +75,14 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counter_samples(spark: SparkSession, sf_dir: str, reset_every: int = 100) -> DataFrame:
-    """Samples of a per-series cumulative counter that resets every ``reset_every`` samples.
+    """Samples of a per-series counter that falls back every ``reset_every`` events.
 
-    The sample number is a row number per series ordered by (ts, event_id).
-    A series may hold a large share of all rows, so the row number is split
-    in two levels: per (series, day) with a window, plus an offset from the
-    running sum of the per-(series, day) count table (one row per series and
-    day; joined without a broadcast hint, AQE broadcasts it when it is small).
+    The sample is a row expression of the event's number, so nothing is ranked and no
+    series is brought together.
     """
-    ev = read_table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
-    ev = ev.withColumn("_day", F.date_trunc("day", "ts"))
-    per_day = ev.groupBy("series", "_day").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = per_day.select(
-        "series", "_day",
-        (F.sum("_n").over(Window.partitionBy("series").orderBy("_day")
-                          .rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    w = Window.partitionBy("series", "_day").orderBy("ts", "event_id")
-    numbered = ev.withColumn("_rn", F.row_number().over(w)) \
-        .join(offsets, ["series", "_day"]) \
-        .withColumn("_rn", F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0)))
-    return numbered.select("series", "ts", (F.col("_rn") % reset_every).cast("long").alias("cum"))
+    return read_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"),
+        (F.col("event_id") % reset_every).cast("long").alias("cum"))
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +96,24 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def seven_cards(hands_df: DataFrame) -> DataFrame:
+    """Hands with card numbers ``_k1.._k5`` and two more cards of the rest of the deck, ``turn_card`` and
+    ``river_card``, picked by the part and supplier keys."""
+    cards = [f"_k{i}" for i in range(1, 6)]
+    df = hands_df.select("*", *[((F.col(f"S{i}") - 1) * 13 + F.col(f"C{i}") - 1).cast("int").alias(f"_k{i}") for i in range(1, 6)])
+    rest = F.array_except(F.sequence(F.lit(0), F.lit(DECK_SIZE - 1)), F.array(*cards))
+    df = df.withColumn("_rest", rest)
+    df = df.withColumn("turn_card", F.get("_rest", (F.col("l_partkey") % 47).cast("int")))
+    df = df.withColumn("_rest", F.array_remove("_rest", F.col("turn_card")))
+    return df.withColumn("river_card", F.get("_rest", (F.col("l_suppkey") % 46).cast("int"))).drop("_rest")
+
+
+def with_table_label(ranked: DataFrame, out_col: str = "equity") -> DataFrame:
+    """A label from the table's own columns: seven parts the hand's place among all ranks, three parts the deal's code."""
+    place = 1.0 - (F.col("current_hand_rank_value") - 1) / 7461.0
+    return ranked.withColumn(out_col, F.round(0.7 * place + 0.3 * (F.col("code") % 101) / 100.0, 6))
+
+
 def live_from_hands(hands_df: DataFrame) -> DataFrame:
     """Live telemetry rows: time, keys, three flags, a stand-in equity and the class label."""
     from ..functions import cards

@@ -10,14 +10,11 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.drift import read_baseline_json, read_live_json  # noqa: F401  (A6, A7)
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
@@ -59,21 +56,46 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def attach_target(features: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Put a target next to its features. Spark rows have no order, so
-    the pairing is an equi-join on an explicit key (a shuffle join; both
-    sides are full tables)."""
-    return features.join(target, key, "inner")
+    """Put a target next to its features, one to one.
+
+    Spark rows have no order, so the pairing is a join on an explicit key (a shuffle
+    join; both sides are full tables). A key that repeats on either side, is null, or
+    is missing on one side is an error when the plan runs; so the output has exactly
+    as many rows as either input.
+    """
+    def once(df: DataFrame, name: str) -> DataFrame:
+        rest = [c for c in df.columns if c != key]
+        rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.first(F.struct(*rest)).alias(f"_{name}"))
+        message = F.concat(F.lit(f"{name}: {key} is null or repeated: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+        bad = F.col(key).isNull() | (F.col("_rows") > 1)
+        return rows.select(key, F.when(bad, F.raise_error(message).cast(rows.schema[f"_{name}"].dataType)).otherwise(F.col(f"_{name}")).alias(f"_{name}"))
+
+    def present(name: str, kind) -> Column:
+        message = F.concat(F.lit(f"{name}: no row for {key} "), F.col(key).cast("string"))
+        return F.when(F.col(f"_{name}").isNull(), F.raise_error(message).cast(kind)).otherwise(F.col(f"_{name}")).alias(f"_{name}")
+
+    left, right = once(features, "features"), once(target, "target")
+    both = left.join(right, key, "full")
+    both = both.select(key, present("features", left.schema["_features"].dataType), present("target", right.schema["_target"].dataType))
+    return both.select(*[F.col(key) if c == key else F.col(f"_features.{c}") for c in features.columns],
+                       *[F.col(f"_target.{c}") for c in target.columns if c != key])
 
 
-def write_and_audit(df: DataFrame, path: str, name: str) -> DataFrame:
-    """Write (overwrite), re-read, and return (table_name, rows_written, rows_read, ok)."""
+def write_and_audit(df: DataFrame, path: str, name: str, order: tuple = ()) -> DataFrame:
+    """Write (overwrite), re-read, and return (table_name, rows_written, rows_read, ok, first_row).
+
+    The rows are counted while they are written, so the plan runs once. ``first_row`` is the
+    smallest row by ``order`` (default: all columns) of the table read back, as JSON.
+    """
     spark = df.sparkSession
-    rows_written = df.count()
-    write_parquet(df, path)
-    rows_read = spark.read.parquet(path).count()
-    return spark.createDataFrame(
-        [(name, rows_written, rows_read, rows_written == rows_read)],
-        "table_name string, rows_written bigint, rows_read bigint, ok boolean")
+    seen = Observation(name)
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    back = spark.read.parquet(path)
+    row = F.min(F.struct(*(order or back.columns), F.to_json(F.struct(*back.columns)).alias("_json"))).getField("_json")
+    read = back.agg(F.count(F.lit(1)).alias("n"), row.alias("first")).first()
+    written = seen.get["rows"]
+    return spark.createDataFrame([(name, written, read["n"], written == read["n"], read["first"])],
+                                 "table_name string, rows_written bigint, rows_read bigint, ok boolean, first_row string")
 
 
 def materialize(df: DataFrame, path: str | None = None, use_checkpoint: bool = False) -> DataFrame:
@@ -82,8 +104,9 @@ def materialize(df: DataFrame, path: str | None = None, use_checkpoint: bool = F
     Default: write the rows as Parquet to a fresh folder under the session's
     shared ``spark.checkpoint.dir`` (or to ``path``) and read them back — one
     pass over the plan, columnar and compressed, readable by every executor, so
-    a lost executor never forces the expensive plan to run again. With
-    ``use_checkpoint`` the DataFrame's reliable ``checkpoint()`` is used
+    a lost executor never forces the expensive plan to run again. Pass ``path`` to
+    replace an earlier copy; :func:`drop_materialized` removes one that is done with.
+    With ``use_checkpoint`` the DataFrame's reliable ``checkpoint()`` is used
     instead (that writes in a second job, so the plan runs twice unless the
     caller persisted it).
     """
@@ -91,11 +114,21 @@ def materialize(df: DataFrame, path: str | None = None, use_checkpoint: bool = F
     if use_checkpoint:
         ensure_checkpoint_dir(spark)
         return df.checkpoint(eager=True)
-    target = path or os.path.join(ensure_checkpoint_dir(spark), "materialized", uuid.uuid4().hex)
+    target = path or scratch_path(spark, "materialized")
     df.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
+def drop_materialized(df: DataFrame) -> None:
+    """Delete the folder a :func:`materialize` result was read from, if it is one of the shared scratch folders."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/") + "/materialized-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def repartition_by_cores(df: DataFrame, factor: int = 4, cols: tuple = ()) -> DataFrame:
     """Repartition to ``factor`` x the default parallelism (optionally by columns)."""
     n = df.sparkSession.sparkContext.defaultParallelism * factor

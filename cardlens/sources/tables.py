@@ -25,18 +25,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, key_cols: tuple = (), min_partitions: int | None = None) -> DataFrame:
     """Spread an input that arrives in fewer partitions than the cluster has cores.
 
-    A table stored as one large file with one row group is scanned by a single
-    task; when that happens the rows are spread over the default parallelism
-    before the row-wise work: hashed on ``key_cols`` when the caller names a
-    unique key (later aggregations on that key then need no shuffle), else
-    round-robin. Inputs that already arrive in enough partitions (any large
-    table) are returned unchanged, so at scale this adds no shuffle.
+    A table stored as one file with one row group is scanned by a single task. The
+    rows of such an input, which is small, are hashed on ``key_cols`` (columns that
+    tell most rows apart) or dealt round-robin over the default parallelism, at the
+    cost of one shuffle. An input that arrives in enough partitions, as any large
+    table does, is returned as it is. The rows are the same either way.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001  (no RDD view, e.g. a remote session): leave the input as is
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
         return df
     if key_cols:
         return df.repartition(target, *[F.col(c) for c in key_cols])

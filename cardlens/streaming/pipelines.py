@@ -15,7 +15,6 @@ checkpoint location so a restarted driver resumes where it stopped.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +23,7 @@ from ..config import MODEL_FEATURES, TARGET
 from ..operators import drift, sampling
 from ..operators.features import model_inputs, stateless_features
 from ..operators.relative import join_lookup
+from ..session import write_shared
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -65,19 +65,17 @@ def drift_stream_from(stream: DataFrame, baseline: DataFrame, n: int, kept_path:
     go to ``report_path/batch_id=<id>`` (overwrite): a retried batch replaces
     its report instead of duplicating it.
     """
-    baseline = baseline.persist()
+    baseline = write_shared(baseline, "baseline")  # counted once, not once per batch
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         sp = batch.sparkSession
         cols = batch.columns
         kept = batch
-        if batch_id > 0:
-            try:
-                prev = sp.read.parquet(f"{kept_path}/slot={(batch_id - 1) % 2}")
-                kept = kept.unionByName(prev.filter(F.col("_batch") == batch_id - 1).select(*cols))
-            except AnalysisException:
-                pass  # the previous batch kept nothing
-        window = sampling.latest_rows(kept, n, ts_col, tie_cols).withColumn("_batch", F.lit(batch_id))
+        if batch_id > 0:  # every batch writes its slot, so the previous one is there; anything wrong with it is an error
+            schema = batch.withColumn("_batch", F.lit(batch_id).cast("long")).schema
+            prev = sp.read.schema(schema).parquet(f"{kept_path}/slot={(batch_id - 1) % 2}")
+            kept = kept.unionByName(prev.filter(F.col("_batch") == batch_id - 1).select(*cols))
+        window = sampling.latest_rows(kept, n, ts_col, tie_cols).withColumn("_batch", F.lit(batch_id).cast("long"))
         slot = f"{kept_path}/slot={batch_id % 2}"
         window.write.mode("overwrite").parquet(slot)
         current = sp.read.parquet(slot).filter(F.col("_batch") == batch_id).drop("_batch")

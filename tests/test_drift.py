@@ -70,7 +70,7 @@ def test_guard_empties_short_window(spark, files):
     live = drift.read_live_json(spark, files["live"])
     window = sampling.min_rows_guard(sampling.latest_rows(live, 6, "ts"), 6)
     assert window.count() == 0
-    assert all(r["psi"] is None for r in drift.psi_report(base, window).collect())
+    assert drift.psi_report(base, window).count() == 0  # no report, not a report of nulls
     assert sampling.guard_status(sampling.latest_rows(live, 6, "ts"), 6).first()["passed"] is False
 
 
@@ -99,10 +99,26 @@ def _binary_report(spark, train_true, train_false, live_values):
 
 
 def test_binary_cases(spark):
-    assert _binary_report(spark, 50, 50, [True, False] * 5) == pytest.approx(0.0, abs=1e-12)
-    assert _binary_report(spark, 10, 90, [True] * 10) > 0.2
-    psi = _binary_report(spark, 100, 0, [False] * 5)
-    assert math.isfinite(psi) and psi > 0
+    assert _binary_report(spark, 3, 9, [True, False, False, False] * 3) == pytest.approx(0.0, abs=1e-12)
+    eps = 1e-100
+    assert _binary_report(spark, 30, 70, [True] * 3 + [False]) == pytest.approx(_psi([0.3, 0.7], [0.75, 0.25]))
+    assert _binary_report(spark, 8, 0, [False] * 3) == pytest.approx(_psi([1 + eps, eps], [eps, 1 + eps]))
+
+
+def test_null_flags_are_rejected_not_counted(spark):
+    assert _binary_report(spark, 1, 1, [True, False, None]) == pytest.approx(0.0, abs=1e-12)
+
+
+def test_reports_of_many_windows_equal_single_reports(spark):
+    base = _counts(spark, [("x", 5), ("y", 3), ("z", 2)], "current_hand_class_value")
+    rows = [(w, lab) for w, labs in ((1, "xxyz"), (2, "yyyyq")) for lab in labs]
+    live = spark.createDataFrame(rows, "w int, current_hand_class_value string")
+    counts = drift.long_labels(live, binary=(), categorical=("current_hand_class_value",), keep=("w",)) \
+        .groupBy("w", "feature", "label").agg(F.count(F.lit(1)).alias("n_live"))
+    got = {r["w"]: r["psi"] for r in drift.psi_by_window(base, counts, "w").collect()}
+    for w in (1, 2):
+        one = drift.psi_report(base, live.filter(F.col("w") == w), binary=(), categorical=("current_hand_class_value",)).first()
+        assert got[w] == pytest.approx(one["psi"])
 
 
 def test_categorical_ignores_unknown_labels_but_keeps_them_in_total(spark):
@@ -163,3 +179,16 @@ def test_drift_job_from_the_command_line(spark, files):
     for k, v in EXPECTED.items():
         assert got[k] == pytest.approx(v, rel=1e-12)
     assert spark.read.parquet(os.path.join(root, "drift_reports")).count() == 5
+    short = cli.main(["drift", "--root", root, "--baseline", files["baseline"], "--live", files["live"], "--rows", "6"], spark=spark)
+    assert short["report"].count() == 0 and spark.read.parquet(os.path.join(root, "drift_reports")).count() == 5
+
+
+def test_json_round_trip(spark, files):
+    d = tempfile.mkdtemp(prefix="drift-json-")
+    base = drift.read_baseline_json(spark, files["baseline"])
+    drift.write_baseline_json(base, os.path.join(d, "b"))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(drift.read_baseline_json(spark, os.path.join(d, "b"))) == rows(base)
+    live = drift.read_live_json(spark, files["live"])
+    drift.write_live_json(live, os.path.join(d, "l"))
+    assert rows(drift.read_live_json(spark, os.path.join(d, "l")).drop("row_index")) == rows(live.drop("row_index"))

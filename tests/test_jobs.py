@@ -1,3 +1,4 @@
+import json
 import os
 import tempfile
 import uuid
@@ -11,12 +12,14 @@ from cardlens.plans import jobs
 from cardlens.sources import derived, io
 from conftest import SF_SMALL
 
+KEYS = ["row_id"]
 CARDS = ["S1", "C1", "S2", "C2", "S3", "C3", "S4", "C4", "S5", "C5"]
 
 
 def _raw(spark):
-    """A raw hand table: the ten card columns plus an old class label."""
-    return derived.hands(spark, SF_SMALL).select(*CARDS, (F.col("code") % 10).cast("int").alias("CLASS"))
+    """A raw hand table: a row id, the ten card columns and an old class label."""
+    row_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id")
+    return derived.hands(spark, SF_SMALL).select(row_id, *CARDS, (F.col("code") % 10).cast("int").alias("CLASS"))
 
 
 def test_jdbc_round_trip_partitioned(spark):
@@ -35,7 +38,8 @@ def test_jdbc_round_trip_partitioned(spark):
 def test_parquet_round_trip_and_audit(spark):
     d = tempfile.mkdtemp(prefix="io-")
     raw = _raw(spark)
-    audit = io.write_and_audit(raw, os.path.join(d, "raw"), "raw").first()
+    audit = io.write_and_audit(raw, os.path.join(d, "raw"), "raw", ("row_id",)).first()
+    assert json.loads(audit["first_row"])["row_id"] == raw.agg(F.min("row_id")).first()[0]
     assert audit["ok"] and audit["rows_written"] == audit["rows_read"] == raw.count()
     io.write_parquet(raw, os.path.join(d, "p"), partition_by=("S1",))
     assert io.read_parquet(spark, os.path.join(d, "p")).count() == raw.count()
@@ -43,18 +47,23 @@ def test_parquet_round_trip_and_audit(spark):
 
 def test_materialize_cuts_lineage(spark):
     df = io.materialize(_raw(spark).filter(F.col("S1") == 1))
-    assert df.inputFiles() and all("/materialized/" in f for f in df.inputFiles())
+    assert df.inputFiles() and all("/materialized-" in f for f in df.inputFiles())
     ck = io.materialize(_raw(spark).filter(F.col("S1") == 1), use_checkpoint=True)
     plan = ck._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "lineitem" not in plan
     assert df.count() == ck.count()
+    other = io.materialize(_raw(spark))
+    folder = other.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(folder)
+    io.drop_materialized(other)
+    assert not os.path.exists(folder) and df.count() == ck.count()
     assert io.repartition_by_cores(df, 2).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
 
 
 def test_pipeline_end_to_end(spark):
     paths = jobs.JobPaths(tempfile.mkdtemp(prefix="jobs-"))
     cfg = EngineConfig(simulation_count=4, sample_rate=0.5, max_depth=5)
-    out = jobs.run_pipeline(spark, paths, raw=_raw(spark), cfg=cfg, num_trees=3)
+    out = jobs.run_pipeline(spark, paths, raw=_raw(spark), cfg=cfg, num_trees=3, key_cols=KEYS)
     pre = out["preprocessed"]
     assert "CLASS" not in pre.columns and "equity" in pre.columns
     assert pre.filter(F.col("equity").isNull()).count() == 0
@@ -67,12 +76,40 @@ def test_pipeline_end_to_end(spark):
     log = spark.read.parquet(paths.run_log)
     assert log.filter((F.col("kind") == "metric") & (F.col("key") == "r2")).count() == 1
     # fast variant: features + training + refresh only
-    out2 = jobs.run_pipeline(spark, paths, steps=("features", "training", "refresh"), cfg=cfg, num_trees=3)
+    out2 = jobs.run_pipeline(spark, paths, steps=("features", "training", "refresh"), cfg=cfg, num_trees=3, key_cols=KEYS)
     assert out2["training_run"] != out["training_run"]
     base = spark.read.parquet(paths.features)
     report = jobs.run_drift(spark, paths, jobs.drift.baseline_counts(base),
                             base.withColumn("ts", F.current_timestamp()), cfg, tie_cols=tuple(CARDS))
     assert report.count() == 5
+    # two feature runs: each keeps its own lookup, and refresh takes the latest run's
+    assert {out["feature_run"], out2["feature_run"]} <= set(os.listdir(paths.lookups))
+    assert all(f"/{out2['feature_run']}/" in f for f in out2["lookup"].inputFiles())
+    before = spark.read.parquet(paths.drift_reports).count()
+    assert jobs.run_drift(spark, paths, jobs.drift.baseline_counts(base), base.limit(3).withColumn("ts", F.current_timestamp()), cfg).count() == 0
+    assert spark.read.parquet(paths.drift_reports).count() == before
+
+
+def test_sampling_and_split_decide_row_by_row(spark):
+    """One hand holds a third of the rows: it is sampled and split like all others, not kept or dropped as a whole."""
+    hands = _raw(spark).limit(2000).withColumn("equity", F.lit(0.5))
+    hot = hands.limit(1).crossJoin(spark.range(1000)).withColumn("row_id", F.concat(F.lit("hot-"), "id")).drop("id")
+    table = hands.unionByName(hot.select(hands.columns))
+    kept = jobs.sampling.hash_sample(table, 0.2, jobs._row_keys(table, KEYS), seed=0)
+    assert 150 < kept.filter(F.startswith("row_id", F.lit("hot-"))).count() < 250
+    train, test = jobs.sampling.train_test_split(table, 0.2, jobs._row_keys(table, KEYS), 42)
+    assert 150 < test.filter(F.startswith("row_id", F.lit("hot-"))).count() < 250
+    for keys in (None, [], CARDS, ["no_such_column"]):
+        with pytest.raises(ValueError):
+            jobs.build_features(table, key_cols=keys)
+
+
+def test_attach_target_is_one_to_one(spark):
+    f = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string")
+    assert sorted(map(tuple, io.attach_target(f, spark.createDataFrame([(2, 20), (1, None)], "id int, y int"), "id").collect())) == [(1, "a", None), (2, "b", 20)]
+    for bad in ([(1, 10), (1, 11), (2, 20)], [(1, 10)], [(1, 10), (2, 20), (3, 30)], [(None, 1), (1, 1), (2, 2)]):
+        with pytest.raises(Exception, match="features|target"):
+            io.attach_target(f, spark.createDataFrame(bad, "id int, y int"), "id").collect()
 
 
 def test_latest_run_rules(spark):
@@ -83,14 +120,14 @@ def test_latest_run_rules(spark):
     ], "run_name string, run_id long, end_time string").withColumn("end_time", F.col("end_time").cast("timestamp"))
     assert runlog.latest_run_id(runs, "a") == 2
     assert runlog.latest_run_id(runs, "b") == 4
-    with pytest.raises(RuntimeError, match="Multiple unfinished"):
+    with pytest.raises(RuntimeError, match="several open runs"):
         runlog.latest_run_id(runs, "c")
-    with pytest.raises(RuntimeError, match="not found"):
+    with pytest.raises(RuntimeError, match="no run called"):
         runlog.latest_run_id(runs, "zzz")
 
 
 def test_model_save_load_and_untrained(spark):
-    with pytest.raises(ValueError, match="not trained"):
+    with pytest.raises(ValueError, match="fitted model"):
         mdl.predict(None, _raw(spark))
     with pytest.raises(Exception):
         runlog.load_model(os.path.join(tempfile.mkdtemp(), "missing"))
@@ -111,6 +148,6 @@ def test_training_steps_from_the_command_line(spark):
     raw_path = os.path.join(root, "raw_in")
     _raw(spark).write.parquet(raw_path)
     out = cli.main(["train", "--root", root, "--raw", raw_path, "--preprocess", "--feature-engineering",
-                    "--training", "--refresh", "--trees", "2"], spark=spark)
+                    "--training", "--refresh", "--trees", "2", "--keys", "row_id"], spark=spark)
     assert {"preprocessed", "feature_run", "training_run", "model", "lookup"} <= set(out)
     assert out["lookup"].count() > 0

@@ -63,10 +63,31 @@ def test_counter_increase_matches_pandas(spark):
         assert got[(s, pd.Timestamp(w))] == v
 
 
-def test_counter_samples_reset_every_hundred(spark):
-    samples = derived.counter_samples(spark, SF_SMALL).toPandas().sort_values(["series", "ts"])
-    for _, g in samples.groupby("series"):
-        assert list(g.cum) == [(i + 1) % 100 for i in range(len(g))]
+def test_counter_samples_need_no_shuffle(spark):
+    samples = derived.counter_samples(spark, SF_SMALL)
+    plan = samples._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert samples.count() == 1000 and samples.agg(F.max("cum")).first()[0] == 99
+
+
+def test_a_null_series_is_kept(spark):
+    rows = [(None, "2024-01-01 01:00:00", 5), (None, "2024-01-01 02:00:00", 9), ("", "2024-01-01 01:00:00", 1), ("", "2024-01-01 03:00:00", 4)]
+    df = spark.createDataFrame(rows, "series string, ts string, cum long").withColumn("ts", F.col("ts").cast("timestamp"))
+    for parts in (1, 3):
+        got = {r["series"]: r["increase"] for r in monitor.counter_increase(df, "1 day", partitions=parts).collect()}
+        assert got == {None: 4, "": 3}
+
+
+def test_sustained_forms_and_last_psi(spark):
+    log = derived.prediction_log(spark, SF_SMALL)
+    windows = monitor.latency_alert(log, "1 day", 3.0).select("window_start", "window_end")
+    assert sorted(monitor.sustained_latency(log, "1 day", 3.0, 2).collect()) == sorted(monitor.sustained(windows, 2).collect())
+    reports = spark.createDataFrame([("a", 0.5, 1), ("a", 0.6, 2), ("a", 0.1, 3), ("b", 0.9, 1), ("b", 0.9, 3)], "target string, psi double, window_start int") \
+        .withColumn("window_end", F.col("window_start") + 1)
+    runs = [(r["target"], r["run_start"], r["n_windows"]) for r in monitor.sustained_drift(reports, 0.2, 2).collect()]
+    assert runs == [("a", 1, 2)]
+    last = {r["target"]: r["last_psi"] for r in monitor.last_psi(reports, ts="window_start").collect()}
+    assert last == {"a": 0.1, "b": 0.9}
 
 
 def test_sustained_runs(spark):

@@ -58,7 +58,57 @@ def test_count_form_equals_window_functions(spark):
 def test_no_window_over_full_input(spark):
     r = ranks.with_rank_value(derived.hands(spark, SF_SMALL))
     plan = relative.with_relative_features(r)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    assert "BroadcastHashJoin" in plan and "Window" not in plan
+
+
+def test_a_large_lookup_is_not_broadcast(spark):
+    df = spark.range(2000).select(F.col("id").alias("v"), (F.col("id") % 3).alias("c"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        plan = relative.with_relative_features(df, "v", "c")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_any_values_and_classes_equal_window_functions(spark):
+    """Values beyond the rank table that repeat across classes, nulls in both columns, one-row classes."""
+    rows = [(i, (i * 7919) % 23 * 1000 - 5000 if i % 11 else None, i % 4 if i % 13 else None) for i in range(300)]
+    rows += [(900, 5, 77), (901, None, 78), (902, 8000, 1), (903, 8000, 2)]
+    df = spark.createDataFrame(rows, "rid int, v int, c int")
+    cls = Window.partitionBy("c")
+    ref = {r["rid"]: r for r in df.select(
+        "rid", ((F.col("v") - F.avg("v").over(cls)) / (F.stddev("v").over(cls) + 1e-9)).alias("z"),
+        F.cume_dist().over(cls.orderBy(F.col("v").asc_nulls_first())).alias("cdf"),
+        F.percent_rank().over(Window.orderBy(F.col("v").desc_nulls_last())).alias("g")).collect()}
+    got = relative.with_relative_features(df, "v", "c").collect()
+    assert sorted(r["rid"] for r in got) == sorted(ref)
+    for r in got:
+        e = ref[r["rid"]]
+        assert (r["relative_rank_z"] is None) == (e["z"] is None)
+        if e["z"] is not None:
+            assert r["relative_rank_z"] == pytest.approx(e["z"], abs=1e-9)
+        assert r["relative_rank_cdf"] == pytest.approx(e["cdf"]) and r["global_rank_strenght"] == pytest.approx(e["g"])
+    assert relative.with_relative_features(df.limit(0), "v", "c").count() == 0
+
+
+def test_a_lookup_with_two_values_for_a_key_is_an_error(spark, fixture_df):
+    twice = spark.createDataFrame([(10, 0.5), (10, 0.6)], "current_hand_rank_value long, relative_rank_cdf double")
+    with pytest.raises(Exception, match="more than one"):
+        relative.with_relative_features(fixture_df, lookup=twice).collect()
+    same = spark.createDataFrame([(10, 0.5), (10, 0.5)], "current_hand_rank_value long, relative_rank_cdf double")
+    assert relative.with_relative_features(fixture_df, lookup=same).count() == fixture_df.count()
+
+
+def test_lookup_join_takes_every_key_and_fills_all_columns(spark):
+    feats = spark.createDataFrame([(1, 8000, None, None), (2, 5, True, "t"), (3, None, False, "u")],
+                                  "row_id int, current_hand_rank_value int, flag boolean, name string")
+    lookup = spark.createDataFrame([(8000, 1.5, 0.5, 0.25)], "current_hand_rank_value int, relative_rank_z double, "
+                                   "relative_rank_cdf double, global_rank_strenght double")
+    got = {r["row_id"]: tuple(r)[1:] for r in relative.join_lookup(feats, lookup).select(
+        "row_id", "current_hand_rank_value", "flag", "name", "relative_rank_z").collect()}
+    assert got == {1: (8000, False, "0", 1.5), 2: (5, True, "t", 0.0), 3: (0, False, "u", 0.0)}
 
 
 def test_lookup_join_fills_misses_with_zero(spark, fixture_df):
@@ -71,7 +121,7 @@ def test_lookup_join_fills_misses_with_zero(spark, fixture_df):
 
 def test_stateful_lookup_one_row_per_rank(fixture_df):
     feats = relative.with_relative_features(fixture_df)
-    lk = relative.stateful_lookup(feats)
+    lk = relative.stateful_lookup(feats.filter("current_hand_class_value < 9"))
     assert lk.count() == feats.select("current_hand_rank_value").distinct().count()
 
 
