@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 STEPS = 4  # histogram cells per doubling
 ROUNDS = 60
 _END, _START = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SPACE_WORDS = np.ones(256, dtype=bool)  # bytes of a word
 SPACE_WORDS[[9, 10, 11, 12, 13, 32]] = False
 ALNUM_WORDS = np.zeros(256, dtype=bool)  # ASCII letters and digits, and every byte of other characters
