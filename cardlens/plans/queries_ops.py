@@ -17,7 +17,7 @@ from ..session import scratch_path, write_shared
 from ..sources import derived, io
 from . import oracle_sql as osql
 from .queries import FEATURES_CTE, H, KEYS_SQL, R5, RH, ROW_ID, register
-from .queries_stats import LIVE_WINDOW, SAMPLE_KEYS
+from .queries_stats import LIVE_WINDOW, SAMPLE_KEYS, latest_live
 
 PL = osql.prediction_log_cte()
 DAY = "1 day"
@@ -342,7 +342,7 @@ SELECT hand_is_pair, hand_is_suited, board_is_paired, equity, current_hand_class
 def a7_live_json(spark, sf_dir):
     """The newest live rows written as column -> row -> value JSON and read back (a window's worth of rows: the
     format holds a whole file in one row)."""
-    window = derived.live_from_hands(sampling.latest_rows(derived.hands(spark, sf_dir), LIVE_WINDOW, "ship_ts", tuple(ROW_ID)))
+    window = latest_live(spark, sf_dir, LIVE_WINDOW)
     path = scratch_path(spark, "a7_live")
     drift.write_live_json(cards.with_equity_bin(window), path)
     return drift.read_live_json(spark, path).drop("row_index").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))

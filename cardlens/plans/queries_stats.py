@@ -10,7 +10,7 @@ from ..operators import drift
 from ..operators import ranks
 from ..operators import relative as rel
 from ..operators import sampling
-from ..session import scratch_path
+from ..session import scratch_path, write_shared
 from ..sources import derived, io
 from ..sources.tables import read_table
 from . import oracle_sql as osql
@@ -34,9 +34,14 @@ def _live(spark, sf_dir):
     return derived.live(spark, sf_dir)
 
 
-def _latest_live(spark, sf_dir, n):
-    """The newest ``n`` live rows: cut from the raw hands, so only ``n`` rows are ranked."""
-    return derived.live_from_hands(sampling.latest_rows(derived.hands(spark, sf_dir), n, "ship_ts", tuple(ROW_ID)))
+def latest_live(spark, sf_dir, n):
+    """The newest ``n`` live rows: cut from the raw rows, so only ``n`` are decoded and ranked.
+
+    The cut is written (``n`` rows), because Spark moves projections below a limit and then no longer sees a top-N.
+    """
+    raw = derived.with_deal_code(read_table(spark, sf_dir, "lineitem"))
+    newest = sampling.latest_rows(raw, n, "ship_ts", tuple(ROW_ID))
+    return derived.live_from_hands(derived.hands_from_code(write_shared(newest, "latest")))
 
 
 # ---------------------------------------------------------------------------
@@ -142,7 +147,7 @@ _LIVE_COLS = "hand_is_pair, hand_is_suited, board_is_paired, equity, current_han
 @register("e5_latest_rows", osql.with_ctes(H, R5, RH, LIVE, osql.latest_cte(LIVE_WINDOW), body=f"""
 SELECT {osql.ts_text('ts')} AS ts, {KEYS_SQL}, {_LIVE_COLS} FROM latest"""))
 def e5_latest_rows(spark, sf_dir):
-    latest = _latest_live(spark, sf_dir, LIVE_WINDOW)
+    latest = latest_live(spark, sf_dir, LIVE_WINDOW)
     return latest.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), *ROW_ID,
                          *[c.strip() for c in _LIVE_COLS.split(",")])
 

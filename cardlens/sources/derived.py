@@ -22,10 +22,19 @@ ORDERED_DRAWS = 311875200
 
 def hands_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Five cards per lineitem row from a mixed-radix decode of a key hash."""
+    return hands_from_code(with_deal_code(lineitem))
+
+
+def with_deal_code(lineitem: DataFrame) -> DataFrame:
+    """Keys, time and the number of the ordered five-card draw of each lineitem row."""
     code = ((F.col("l_orderkey") * 7919 + F.col("l_linenumber").cast("long") * 104729
              + F.col("l_partkey") * 1299709 + F.col("l_suppkey") * 15485863) % ORDERED_DRAWS)
-    df = lineitem.select(*KEY_COLUMNS, F.col("l_shipdate").cast("timestamp").alias("ship_ts"),
-                         code.cast("long").alias("code"))
+    return lineitem.select(*KEY_COLUMNS, F.col("l_shipdate").cast("timestamp").alias("ship_ts"),
+                           code.cast("long").alias("code"))
+
+
+def hands_from_code(df: DataFrame) -> DataFrame:
+    """Decode the draw number into five distinct cards."""
     radix = [52, 51, 50, 49, 48]
     deck = F.sequence(F.lit(0), F.lit(DECK_SIZE - 1))
     div = 1
