@@ -158,9 +158,10 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, light: int = LIGHT_BU
     if not 0 <= distance <= 3:
         raise ValueError("two halves with balls of radius 1 cover distances up to 3")
     entries = _entries(prints)
-    probes = _probes(entries)
+    # Spark takes an exploded table to be as small as its source and would broadcast it, so these joins are told to merge
+    probes = _probes(entries).hint("merge")
     counts = entries.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
-    sized = entries.join(counts, ["part", "value"])
+    sized = entries.hint("merge").join(counts, ["part", "value"])
     few = sized.filter(F.col("n") <= light).select("part", "value", F.col("fp").alias("b"))
     pairs = probes.join(few, ["part", "value"]).filter(_close(F.col("fp"), F.col("b"), distance)) \
         .filter(~F.col("own") | (F.col("fp") < F.col("b"))).select(F.col("fp").alias("a"), "b")
