@@ -205,10 +205,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
     texts = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)  # at most max_rows rows
     texts = texts.orderBy(F.xxhash64(id_col), id_col, F.xxhash64(text_col)).limit(max_rows)
-    rows = texts.select("__label", text_col) \
-        .mapInArrow(_feature_batches, "label double, structure array<double>, columns array<int>, values array<float>").collect()
-    rows = [(r["structure"], np.array(r["columns"], np.int32), np.array(r["values"], np.float32), r["label"]) for r in rows]
-    return fit_rows(rows, seed)
+    table = texts.select("__label", text_col) \
+        .mapInArrow(_feature_batches, "label double, structure array<double>, columns array<int>, values array<float>").toArrow()
+    table = table.combine_chunks()
+    lists = [[cell.values.to_numpy(zero_copy_only=False) for cell in table.column(c)] for c in ("structure", "columns", "values")]
+    return fit_rows(list(zip(*lists, table.column("label").to_pylist())), seed)
 
 
 def _score_batches(model: Model, text_at: int, keep_text: bool):
