@@ -41,6 +41,7 @@ WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 50
+BROADCAST_ROWS = 10_000
 SYMBOLS = b"#*$%&|<>"
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, " \
            "n_tokens bigint, chars_per_token double, byte_share double, token_entropy double"
@@ -228,14 +229,15 @@ def fit_bands(measured: DataFrame, lang_col: str = "lang", measures: str = "meas
 
 def judge(measured: DataFrame, lang_col: str = "lang", measures: str = "measures") -> DataFrame:
     """``measured`` with base_failed and kept (column names that clash get underscores in front)."""
-    bands = fit_bands(measured, lang_col, measures)
+    bands = write_shared(fit_bands(measured, lang_col, measures), "bands")
     edges = [f"{c}_{e}" for c in BANDS for e in ("low", "high")]
     own = bands.filter(F.col("lang").isNotNull()).select(F.col("lang").alias("__lang"), F.col("length_class").alias("__class"),
                                                          F.struct(*edges).alias("__own"))
     whole = bands.filter(F.col("lang").isNull()).select(F.col("length_class").alias("__class"), F.struct(*edges).alias("__whole"))
     m = F.col(measures)
     rows = measured.withColumn("__lang", F.coalesce(lang_col, F.lit(""))).withColumn("__class", _length_class(m))
-    rows = rows.join(own, ["__lang", "__class"], "left").join(whole, "__class", "left")
+    own = F.broadcast(own) if own.count() <= BROADCAST_ROWS else own  # else Spark joins by shuffle
+    rows = rows.join(own, ["__lang", "__class"], "left").join(F.broadcast(whole), "__class", "left")  # 64 classes at most
     band = F.coalesce("__own", "__whole")
     inside = F.lit(True)
     for c in BANDS:
