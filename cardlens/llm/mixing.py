@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..session import write_shared
 from .columns import fresh, null_safe_join
 
-CELL_ROWS = 4096
+CELL_ROWS = 512
 MAX_REPEATS = 3
 _BEFORE = (Window.unboundedPreceding, -1)
 
