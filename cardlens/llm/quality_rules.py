@@ -6,6 +6,14 @@ share of tokens that fall back to single bytes. Texts that the vocabularies cut
 unlike the other texts of their language and length are rejected: the bands are
 robust quantiles of the corpus itself, per language and length class.
 
+Every class has a band, however few texts it has. Length is taken out first: a class's
+centre is its median over all languages, drawn towards a line fitted to the medians of
+the classes around it. The quartiles of what is left are estimated for the
+corpus, the script (of most letters of the text), the language and the language's
+length class; each estimate is drawn towards the wider one as if that were worth
+``PRIOR_TEXTS`` texts, so a class of many texts has its own band, one of few that of
+its language, script or corpus at its length, and nothing flips at a count.
+
 White space is not a token; a word is read with the vocabulary's word start. Words
 of more than ``LONG_WORD`` characters are read in parts of that many, because BPE
 takes more than linear time in the length of a word.
@@ -16,10 +24,9 @@ The bands need the measures only: they are written to the shared folder, so
 the text is read once.
 
 Edge cases: null and empty texts have no words, null measures, and fail the base
-rules; a null language counts as language of its own ("" in the bands); a language
-or length class with fewer than ``MIN_GROUP`` measured texts takes the bands of all
-languages of its length class, and if these are as few, none; repeated rows are
-measured and judged alike; an empty table gives an empty result.
+rules; a null language counts as language of its own ("" in the bands); a text without
+letters has script ""; repeated rows are measured and judged alike; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,11 +47,12 @@ CACHE_WORDS = 200_000
 WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-MIN_GROUP = 50
+PRIOR_TEXTS = 50
+LENGTH_CLASSES = 64
 BROADCAST_ROWS = 10_000
 SYMBOLS = b"#*$%&|<>"
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, " \
-           "n_tokens bigint, chars_per_token double, byte_share double, token_entropy double"
+           "n_tokens bigint, chars_per_token double, byte_share double, token_entropy double, script string"
 
 
 class _Vocabularies:
@@ -64,6 +72,7 @@ class _Vocabularies:
         self.piece = sentencepiece.SentencePieceProcessor(model_file=os.path.join(folder, PIECE_FILE))
         self.is_byte = np.array([self.piece.is_byte(i) for i in range(self.piece.get_piece_size())])
         self.cache: dict = {}
+        self.scripts, self.script_of = _script_table()
 
     def encode(self, words: list) -> list:
         new = [w for w in words if w not in self.cache]
@@ -84,6 +93,47 @@ class _Vocabularies:
         return out
 
 
+def _script_table():
+    """Script names, and the script of a letter by its first two UTF-8 bytes (0: no letter), as Unicode names it."""
+    import unicodedata
+
+    import numpy as np
+
+    names, found = {"": 0}, {}
+    for point in [*range(0x80, 0xD800), *range(0xE000, 0x10000), *range(0x10000, 0x32000, 64)]:
+        char = chr(point)
+        if char.isalpha():
+            name = unicodedata.name(char, "").split(" ")[0].split("-")[0]
+            name = {"HIRAGANA": "KANA", "KATAKANA": "KANA", "HALFWIDTH": "KANA", "FULLWIDTH": "LATIN"}.get(name, name)
+            lead = char.encode()[:2]
+            counts = found.setdefault(lead[0] << 8 | lead[1], {})
+            counts[name] = counts.get(name, 0) + 1
+    names["LATIN"] = 1
+    table = np.zeros(1 << 16, np.int64)
+    for lead, counts in sorted(found.items()):
+        table[lead] = names.setdefault(max(sorted(counts), key=counts.get), len(names))
+    return np.array(list(names), object), table
+
+
+def _scripts(part, at, vocabularies):
+    """Name of the script that most letters of each text have ("" without letters)."""
+    import numpy as np
+
+    n, width = len(at) - 1, len(vocabularies.scripts)
+    counts = np.zeros((n, width), np.int64)
+    letter = np.zeros(256, bool)
+    letter[65:91] = letter[97:123] = True
+    total = np.concatenate([[0], np.cumsum(letter[part])])
+    counts[:, 1] = total[at[1:]] - total[at[:-1]]
+    leads = np.flatnonzero(part >= 0xC2)  # every one has a byte after it in its own text
+    if len(leads):
+        script = vocabularies.script_of[part[leads].astype(np.int64) << 8 | part[leads + 1]]
+        owner = np.searchsorted(at, leads, side="right") - 1
+        counts += np.bincount(owner * width + script, minlength=n * width).reshape(n, width)
+    counts[:, 0] = 0
+    return vocabularies.scripts[counts.argmax(axis=1)]
+
+
 def _repeat_counts(hashes, first):
     """Words inside ``WINDOW_WORDS``-word windows found twice or more in their text, per text."""
     import numpy as np
@@ -158,7 +208,7 @@ def _measure(data, bounds, vocabularies):
     entropy = np.log2(some) - weight / some
     n_pieces = np.maximum(sums(pieces), 1)
     return (n_words, chars, per_text(symbol[part]), dup_lines, _repeat_counts(hashes, first), n_tokens,
-            chars / some, sums(fallback) / n_pieces, entropy)
+            chars / some, sums(fallback) / n_pieces, entropy, _scripts(part, at, vocabularies))
 
 
 def _measure_batches(text_at: int, keep_text: bool, folder: str):
@@ -177,7 +227,8 @@ def _measure_batches(text_at: int, keep_text: bool, folder: str):
             found = [_measure(data, bounds[a:b + 1], vocabularies) for a, b in slices(bounds)]
             columns = [np.concatenate(c) for c in zip(*found)]
             empty = columns[0] == 0
-            arrays = [pa.array(c, pa.int64()) if i < 6 else pa.array(c, pa.float64(), mask=empty) for i, c in enumerate(columns)]
+            kinds = [pa.int64()] * 6 + [pa.float64()] * 3 + [pa.string()]
+            arrays = [pa.array(c, kind, mask=empty if i >= 6 else None) for i, (c, kind) in enumerate(zip(columns, kinds))]
             rest = [(n, c) for i, (n, c) in enumerate(zip(batch.schema.names, batch.columns)) if keep_text or i != text_at]
             yield pa.RecordBatch.from_arrays([c for _, c in rest] + arrays, [n for n, _ in rest] + names)
     return run
@@ -210,38 +261,80 @@ def _length_class(m: Column) -> Column:
     return F.floor(F.log2(F.greatest(m["n_words"], F.lit(1)))).cast("int")
 
 
+def _quartiles(texts: DataFrame, level: str, *keys: str) -> DataFrame:
+    """``level``: (number of texts, quartiles of each measure) per ``keys``."""
+    ends = [F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias(c) for c in BANDS]
+    found = texts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *ends)
+    return found.select(*keys, F.struct("n", *BANDS).alias(level))
+
+
+def _centres(texts: DataFrame) -> dict:
+    """measure: its centre in each length class over all languages (at most ``LENGTH_CLASSES`` rows reach the driver)."""
+    import numpy as np
+
+    medians = [F.percentile_approx(c, 0.5, 10_000).alias(c) for c in BANDS]
+    rows = texts.groupBy("length_class").agg(F.count(F.lit(1)).alias("n"), *medians).orderBy("length_class").collect()
+    classes, out = np.arange(LENGTH_CLASSES), {}
+    at, n = np.array([r["length_class"] for r in rows], int), np.array([float(r["n"]) for r in rows])
+    weights = n * 4.0 ** -np.abs(at - classes[:, None])  # the curve bends, so a class's line is that of the classes around it
+    total = np.maximum(weights.sum(1), 1e-300)
+    middle = weights @ at / total
+    spread = (weights * (at - middle[:, None]) ** 2).sum(1)
+    for c in BANDS:
+        median = np.array([r[c] for r in rows], float)
+        level = weights @ median / total
+        slope = (weights * (at - middle[:, None]) * (median - level[:, None])).sum(1) / np.where(spread > 0, spread, 1.0)
+        centre = level + slope * (classes - middle)
+        centre[at] = (n * median + PRIOR_TEXTS * centre[at]) / (n + PRIOR_TEXTS)
+        out[c] = centre
+    return out
+
+
 def fit_bands(measured: DataFrame, lang_col: str = "lang", measures: str = "measures") -> DataFrame:
-    """(lang or null for all, length class, n, low and high of each measure) over all measured texts that pass the
-    base rules. Texts with equal measures (exact copies) count once, so a large group of copies moves no quantile."""
+    """(lang, length class, bands: script, low and high of each measure) of every language and length class among the
+    measured texts that pass the base rules, and of every script in it. Texts with equal measures (exact copies) count
+    once, so a large group of copies moves no quantile."""
     m = F.col(measures)
-    texts = measured.filter((m["n_words"] > 0) & ~base_failed(m))         .select(F.coalesce(lang_col, F.lit("")).alias("lang"), _length_class(m).alias("length_class"), m["n_tokens"].alias("n_tokens"),
-                *[m[c].alias(c) for c in BANDS]).distinct()
-    quartiles = [F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias(c) for c in BANDS]
-    count = F.count(F.lit(1)).alias("n")
-    own = texts.groupBy("lang", "length_class").agg(count, *quartiles)
-    whole = texts.groupBy("length_class").agg(count, *quartiles).select(F.lit(None).cast("string").alias("lang"), *own.columns[1:])
-    bands = own.unionByName(whole).filter(F.col("n") >= MIN_GROUP)
+    texts = measured.filter((m["n_words"] > 0) & ~base_failed(m)) \
+        .select(F.coalesce(lang_col, F.lit("")).alias("lang"), _length_class(m).alias("length_class"), m["n_tokens"].alias("n_tokens"),
+                m["script"].alias("script"), *[m[c].alias(c) for c in BANDS]).distinct()
+    texts = write_shared(texts, "band-texts")
+    centres = {c: F.array(*map(F.lit, map(float, v)))[F.col("length_class")] for c, v in _centres(texts).items()}
+    rest = texts.select("lang", "length_class", "script", *[(F.col(c) - centres[c]).alias(c) for c in BANDS])
+    levels = ["__all", "__script", "__lang", "__class"]  # from the widest on
+    rows = rest.select("lang", "length_class", "script").distinct() \
+        .join(_quartiles(rest, "__class", "lang", "length_class"), ["lang", "length_class"]) \
+        .join(_quartiles(rest, "__lang", "lang"), "lang") \
+        .join(F.broadcast(_quartiles(rest, "__script", "script")), "script") \
+        .crossJoin(F.broadcast(_quartiles(rest, "__all")))  # scripts are a few dozen, the corpus is one row
+    edges = []
     for c, (narrowest, below, above) in BANDS.items():
-        width = F.greatest(F.col(c)[1] - F.col(c)[0], F.lit(narrowest))
-        bands = bands.withColumn(f"{c}_low", F.col(c)[0] - below * width).withColumn(f"{c}_high", F.col(c)[1] + above * width)
-    return bands.select("lang", "length_class", *[f"{c}_{e}" for c in BANDS for e in ("low", "high")])
+        ends = []
+        for i in (0, 1):
+            end = F.col(levels[0])[c][i]
+            for level in levels[1:]:
+                n = F.col(level)["n"]
+                end = (n * F.col(level)[c][i] + PRIOR_TEXTS * end) / (n + PRIOR_TEXTS)
+            ends.append(centres[c] + end)
+        width = F.greatest(ends[1] - ends[0], F.lit(narrowest))
+        edges += [(ends[0] - below * width).alias(f"{c}_low"), (ends[1] + above * width).alias(f"{c}_high")]
+    bands = rows.select("lang", "length_class", F.struct("script", *edges).alias("band"))
+    return bands.groupBy("lang", "length_class").agg(F.array_sort(F.collect_list("band")).alias("bands"))
 
 
 def judge(measured: DataFrame, lang_col: str = "lang", measures: str = "measures") -> DataFrame:
     """``measured`` with base_failed and kept (column names that clash get underscores in front)."""
     bands = write_shared(fit_bands(measured, lang_col, measures), "bands")
-    edges = [f"{c}_{e}" for c in BANDS for e in ("low", "high")]
-    own = bands.filter(F.col("lang").isNotNull()).select(F.col("lang").alias("__lang"), F.col("length_class").alias("__class"),
-                                                         F.struct(*edges).alias("__own"))
-    whole = bands.filter(F.col("lang").isNull()).select(F.col("length_class").alias("__class"), F.struct(*edges).alias("__whole"))
+    own = bands.select("lang", "length_class", F.explode("bands").alias("__band")) \
+        .select(F.col("lang").alias("__lang"), F.col("length_class").alias("__class"), F.col("__band.script").alias("__script"), "__band")
     m = F.col(measures)
-    rows = measured.withColumn("__lang", F.coalesce(lang_col, F.lit(""))).withColumn("__class", _length_class(m))
+    rows = measured.withColumn("__lang", F.coalesce(lang_col, F.lit(""))).withColumn("__class", _length_class(m)) \
+        .withColumn("__script", m["script"])
     own = F.broadcast(own) if own.count() <= BROADCAST_ROWS else own  # else Spark joins by shuffle
-    rows = rows.join(own, ["__lang", "__class"], "left").join(F.broadcast(whole), "__class", "left")  # 64 classes at most
-    band = F.coalesce("__own", "__whole")
+    rows = rows.join(own, ["__lang", "__class", "__script"], "left")  # whatever passes the base rules has a band
     inside = F.lit(True)
     for c in BANDS:
-        inside = inside & F.coalesce(m[c].between(band[f"{c}_low"], band[f"{c}_high"]), F.lit(True))
+        inside = inside & m[c].between(F.col("__band")[f"{c}_low"], F.col("__band")[f"{c}_high"])
     failed, kept = fresh(measured.columns, "base_failed"), fresh(measured.columns, "kept")
     return rows.select(*measured.columns, base_failed(m).alias(failed), (~base_failed(m) & inside).alias(kept))
 

@@ -77,6 +77,28 @@ def test_exact_copies_do_not_move_the_bands(spark, docs):
     assert alone and quality_rules.fit_bands(quality_rules.measure(few.union(copies))).orderBy(order).collect() == alone
 
 
+def test_thin_classes_have_bands(spark):
+    """One text alone in its length class, its language or its script is judged too: junk goes, prose stays."""
+    labels, docs = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("labels", "documents"))
+    good = docs.join(labels.filter("quality = 1"), "doc_id").filter("lang = 'en'").orderBy("doc_id").select("text").limit(300).collect()
+    texts = [r.text for r in good]
+    r = random.Random(3)
+    junk = lambda n: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(12)) for _ in range(n))
+    long = " ".join(texts)
+    rows = [(i, "en", t) for i, t in enumerate(texts)] + [(1000, "en", long), (1001, "xx", texts[0] + " " + texts[1])]
+    rows += [(2000, "en", junk(20_000)), (2001, "xx", junk(300)), (2002, None, junk(300)), (2003, "en", junk(100_000))]
+    out = quality_rules.judge(quality_rules.measure(spark.createDataFrame(rows, "doc_id long, lang string, text string"))).collect()
+    got = {x.doc_id: (x.base_failed, x.kept) for x in out}
+    assert all(got[d] == (False, False) for d in (2000, 2001, 2002, 2003)) and got[1001] == (False, True)
+    assert all(x.kept is not None for x in out)
+
+
+def test_script_is_that_of_most_letters(spark):
+    texts = ["plain words", "\u043f\u0440\u0438\u0432\u0435\u0442 abc", "\u4f60\u597d a", "\u3053\u3093\u306b\u3061\u306f", "\u00e9t\u00e9", "12 34", "\u0939\u093f\u0928\u094d\u0926\u0940"]
+    rows = quality_rules.measure(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [x.measures.script for x in rows] == ["LATIN", "CYRILLIC", "CJK", "KANA", "LATIN", "", "DEVANAGARI"]
+
+
 def test_rules_on_odd_rows(odd, empty):
     rows = quality_rules.judge(quality_rules.measure(odd, keep_text=True), measures="_measures").collect()
     assert len(rows) == len(ROWS) and own_columns_are_kept(rows)
