@@ -1,8 +1,12 @@
 """Main text of a web page by composite text density.
 
-A page is read into a tree of elements. Elements that are never main text (scripts,
-styles, menus, page headers and footers, sidebars, forms, notices, adverts, reader
-comments: by tag, role, or the words of class and id) are left out. For every node
+A page is read into a tree of elements. Elements whose tag is never main text (scripts,
+styles, menus, page headers and footers, asides) are left out. Forms, and elements that
+a role or a whole token of class or id names as a sidebar, notice, advert, reader
+comments and the like, are left out if that cannot be the main text: no article or main
+with text lies inside, and they hold less than half of the body's text outside links,
+each and together (together only if no article or main lies outside them). Reader
+comments may outweigh an article that lies outside them. For every node
 of the rest the link-adjusted text density is
 
     C / T * ln(1 + C * T / (LC * LT)) / ln(ln(C * LC / (C - LC) + C * LCb / Cb + e**e))
@@ -18,7 +22,7 @@ other subtrees of the body that reach the threshold, and headings right before t
 Text: character references decoded, white space inside a block turned into one
 space and trimmed, blocks in page order joined by an empty line. Nothing is cut.
 
-Edge cases: null and empty pages, and pages of nothing but left-out elements, give an
+Edge cases: null and empty pages, and pages of nothing but elements left out by tag, give an
 empty text; unclosed and stray tags are closed as browsers do it for paragraphs,
 lists and tables; equal sums go to the outermost, then the first node; repeated rows
 are read alike; an empty table gives an empty result.
@@ -53,22 +57,26 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 BARRIERS = frozenset("ul ol dl table menu html body article section div main select".split())
 _P_BARRIERS = BARRIERS | {"li", "td", "th", "dd", "dt", "blockquote"}
 _ITEM_BARRIERS = BARRIERS - {"section", "div"}
-LEFT_OUT_TAGS = frozenset("""script style textarea title noscript iframe xmp noembed noframes head nav footer aside form button select
+LEFT_OUT_TAGS = frozenset("""script style textarea title noscript iframe xmp noembed noframes head nav footer aside button select
     option input menu dialog template svg canvas object embed audio video map""".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar status".split())
 LEFT_OUT_WORDS = frozenset("""ad ads adv advert advertisement adverts sponsor sponsored promo promotion banner cookie cookies consent
     gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall sidebar side rail menu nav navbar
     navigation breadcrumb breadcrumbs footer header masthead topbar toolbar comment comments commentlist disqus reply replies respond
     share sharing social related recommended recommendations widget pagination pager login signup search hidden skip""".split())
+# words that make a token of several words no less a name of the above ("comments-area", but not "comments-open")
+PART_WORDS = frozenset("""area bar block box button buttons container group inner item items links list outer page post section site
+    wrap wrapper""".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond".split())
 NEVER_LEFT_OUT = frozenset("html body main article".split()) | HEADINGS
 TEXT = "#text"
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "text", "out", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "text", "out", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag, parent, text="", out=False):
-        self.tag, self.parent, self.children, self.text, self.out = tag, parent, [], text, out
+    def __init__(self, tag, parent, text="", out=False, named=""):
+        self.tag, self.parent, self.children, self.text, self.out, self.named = tag, parent, [], text, out, named
         if parent is not None:
             parent.children.append(self)
 
@@ -77,20 +85,28 @@ def _attributes(source: str) -> dict:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
-def _left_out(tag: str, source: str, in_article: bool) -> bool:
+def _left_out(tag: str, found: dict, in_article: bool) -> bool:
     if tag in LEFT_OUT_TAGS or (tag == "header" and not in_article):
         return True
-    if not source.strip("/ \t\n") or tag in NEVER_LEFT_OUT:
+    if tag in NEVER_LEFT_OUT:
         return False
-    found = _attributes(source)
-    if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
-    names = set(_WORD.findall((found.get("class", "") + " " + found.get("id", "")).lower()))
-    return found.get("role", "").lower() in LEFT_OUT_ROLES or bool(names & LEFT_OUT_WORDS)
+    return "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+
+
+def _named(tag: str, found: dict) -> str:
+    """"comments" or "other" if role, class or id name the element as no main text, or it is a form; else ""."""
+    if tag in NEVER_LEFT_OUT:
+        return ""
+    tokens = (found.get("class", "") + " " + found.get("id", "")).lower().split()
+    names = [words for words in map(set, map(_WORD.findall, tokens)) if words & LEFT_OUT_WORDS and words <= LEFT_OUT_WORDS | PART_WORDS]
+    if any(words & COMMENT_WORDS for words in names):
+        return "comments"
+    return "other" if names or tag == "form" or found.get("role", "").lower() in LEFT_OUT_ROLES else ""
 
 
 def parse(page: str) -> _Node:
-    """Tree of the page's elements and text runs; ``out`` marks the roots of left-out subtrees."""
+    """Tree of the page's elements and text runs; ``out`` marks the roots of left-out subtrees, ``named`` those that
+    :func:`_leave_out_named` judges."""
     root = _Node("html", None)
     at = root
     place = 0
@@ -143,7 +159,8 @@ def parse(page: str) -> _Node:
         above, in_article = at, False
         while above is not None and not in_article:
             in_article, above = above.tag in ("article", "main"), above.parent
-        child = _Node(tag, at, out=_left_out(tag, m[3], in_article))
+        found = _attributes(m[3]) if m[3].strip("/ \t\n") else {}
+        child = _Node(tag, at, out=_left_out(tag, found, in_article), named=_named(tag, found))
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, place)
             place = end.end() if end else length
@@ -163,7 +180,7 @@ def _in_order(root: _Node) -> list:
     return out
 
 
-def _weigh(nodes: list) -> None:
+def _count(nodes: list) -> None:
     for node in nodes:
         node.chars = len("".join(node.text.split())) if node.tag == TEXT else 0
         node.tags = 0 if node.tag == TEXT else 1
@@ -174,6 +191,48 @@ def _weigh(nodes: list) -> None:
         if node.parent is not None:
             for name in ("chars", "tags", "link_chars", "link_tags"):
                 setattr(node.parent, name, getattr(node.parent, name) + getattr(node, name))
+
+
+def _leave_out_named(nodes: list) -> bool:
+    """Leave out the named elements that cannot be the main text; whether there are any."""
+    if not any(n.named for n in nodes):
+        return False
+    _count(nodes)
+    body = next((n for n in nodes if n.tag == "body"), nodes[0])
+    total = body.chars - body.link_chars
+    inside, holds, article_outside = set(), set(), False  # in a named element; with an article or main inside
+    for node in nodes:
+        if node.named or node.parent is not None and id(node.parent) in inside:
+            inside.add(id(node))
+        if node.tag in ("article", "main") and node.chars > node.link_chars:
+            article_outside = article_outside or id(node) not in inside
+            above = node.parent
+            while above is not None and id(above) not in holds:
+                holds.add(id(above))
+                above = above.parent
+    found, gone = [], set()
+    for node in nodes:  # parents come first
+        if node.parent is not None and id(node.parent) in gone:
+            gone.add(id(node))
+        elif node.named == "comments" and article_outside \
+                or node.named and id(node) not in holds and (2 * (node.chars - node.link_chars) < total or not node.chars):
+            found.append(node)
+            gone.add(id(node))
+    if not article_outside and 2 * sum(n.chars - n.link_chars for n in found) >= total > 0:
+        _weigh(nodes)  # together they are the larger part: whatever holds the densest node stays
+        core = max((n for n in nodes if n.tag != TEXT), key=lambda n: n.sum)
+        path = set()
+        while core is not None:
+            path.add(id(core))
+            core = core.parent
+        found = [n for n in found if id(n) not in path]
+    for node in found:
+        node.out = True
+    return bool(found)
+
+
+def _weigh(nodes: list) -> None:
+    _count(nodes)
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
     linked = body.link_chars / max(body.chars, 1)
     for node in nodes:
@@ -265,7 +324,10 @@ def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    nodes = _in_order(parse(page))
+    root = parse(page)
+    nodes = _in_order(root)
+    if _leave_out_named(nodes):
+        nodes = _in_order(root)
     _weigh(nodes)
     return "\n\n".join(_blocks(_regions(nodes)))
 

@@ -42,6 +42,33 @@ def test_chrome_goes_and_the_article_stays_whole(body):
     assert main_text(page(body.format(paragraphs(PROSE)))) == "\n\n".join(["Head", *PROSE])
 
 
+@pytest.mark.parametrize("wrapper", ["class='content has-sidebar'", "class=no-sidebar", "class='sticky-header x'", "class=with-header",
+                                     "class=side-by-side", "id=search-results", "class=comments-open", "class=cookie-consent-accepted",
+                                     "class=sidebar", "class=promo", "role=form"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<div class=story>{}</div>"])
+def test_a_wrapper_of_the_main_text_stays(wrapper, inner):
+    text = "\n\n".join(PROSE)
+    inner = inner.format(paragraphs(PROSE))
+    assert main_text(page(f"<div {wrapper}>{inner}</div>")) == text
+    assert main_text(page(f"<body {wrapper}><div>{inner}</div>")) == text
+
+
+def test_a_page_in_one_form():
+    inner = paragraphs(PROSE)
+    for body in (f"<form id=aspnetForm method=post><input type=hidden name=s>{{}}<div class=sidebar><p>{PROSE[0][:60]}</div></form>", "<form>{}"):
+        assert main_text(page(body.format(f"<article>{inner}</article>"))) == "\n\n".join(PROSE)
+        assert main_text(page(body.format(f"<div>{inner}</div>"))) == "\n\n".join(PROSE)
+
+
+def test_parts_named_as_no_main_text():
+    side = "".join(f"<div class={c}><p>{PROSE[0][:70]}</div>" for c in ("comments-area", "cookie-notice", "ad"))
+    assert main_text(page(f"<div class=story>{paragraphs(PROSE)}</div>{side}")) == "\n\n".join(PROSE)
+    many = f"<div id=comments>{''.join(f'<article class=comment>{paragraphs(PROSE)}</article>' for _ in range(4))}</div>"
+    assert main_text(page(f"<article>{paragraphs(PROSE[:2])}</article>{many}")) == "\n\n".join(PROSE[:2])
+    halves = "".join(f"<div class=widget>{paragraphs(p)}</div>" for p in (PROSE[:2], PROSE[2:]))
+    assert PROSE[4] in main_text(f"<body>{halves}<p>x</p></body>")
+
+
 def test_two_dense_parts_without_an_article():
     body = f"<div id=w><div>{paragraphs(PROSE[:3])}</div><div><a href=1>a b</a> <a href=2>c d</a> <a href=3>e f</a></div><div>{paragraphs(PROSE[3:])}</div></div>"
     assert main_text(page(body)) == "\n\n".join(PROSE)
