@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
-from .columns import null_safe_join
+from .columns import fresh, null_safe_join
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -145,9 +145,9 @@ def _hit_batches(width: int, bits: int, bitmaps):
     return run
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
-               width: int = WIDTH, containment: float = CONTAINMENT, bits: int = BITS) -> DataFrame:
-    """(doc id, item id, n_shared, n_shingles, containment) of every document that contains an item."""
+def _leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
+             width: int = WIDTH, containment: float = CONTAINMENT, bits: int = BITS) -> DataFrame:
+    """(doc, text_key, item, n_shared, n_shingles) of every different row, by id and text, that contains an item."""
     spark: SparkSession = docs.sparkSession
     listed = write_shared(item_shingles(items, item_col, text_col, width, containment), "item-shingles")
     bitmaps = spark.sparkContext.broadcast((_bitmap(listed, bits), _bitmap(listed.filter("in_sketch"), bits)))
@@ -161,8 +161,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_c
     whole = listed.groupBy("item", "n_shingles").agg(F.collect_list("shingle").alias("shingles"))
     pairs = null_safe_join(candidates, hits.select("doc", "text_key", "hits").dropDuplicates(["doc", "text_key"]), ["doc", "text_key"], "inner")
     pairs = null_safe_join(pairs, whole, ["item"], "inner")
-    pairs = pairs.select("doc", "item", F.size(F.array_intersect("hits", "shingles")).cast("long").alias("n_shared"), "n_shingles")
-    best = pairs.filter(F.col("n_shared") >= containment * F.col("n_shingles") - 1e-9).groupBy("doc", "item", "n_shingles") \
+    pairs = pairs.select("doc", "text_key", "item", F.size(F.array_intersect("hits", "shingles")).cast("long").alias("n_shared"), "n_shingles")
+    return pairs.filter(F.col("n_shared") >= containment * F.col("n_shingles") - 1e-9)
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
+               width: int = WIDTH, containment: float = CONTAINMENT, bits: int = BITS) -> DataFrame:
+    """(doc id, item id, n_shared, n_shingles, containment) of every document that contains an item."""
+    best = _leaking(docs, items, id_col, item_col, text_col, width, containment, bits).groupBy("doc", "item", "n_shingles") \
         .agg(F.max("n_shared").alias("n_shared"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_shared", "n_shingles",
                        (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
@@ -172,3 +178,12 @@ def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **opti
     """``docs`` without the documents that contain an item (all rows of their id go); rows without id are judged as one id."""
     leaked = find_leaks(docs, items, id_col, **options).select(F.col(id_col).alias("__leaked")).distinct()
     return docs.join(leaked, docs[id_col].eqNullSafe(leaked["__leaked"]), "left_anti")
+
+
+def drop_leaking_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without exactly the rows whose text contains an item, whatever other rows share their id or have none."""
+    key = fresh(docs.columns, "text_key")
+    leaked = _leaking(docs, items, id_col, text_col=text_col, **options) \
+        .select(F.col("doc").alias(id_col), F.col("text_key").alias(key)).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(text_col))
+    return null_safe_join(keyed, leaked, [id_col, key], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

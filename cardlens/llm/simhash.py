@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
+from .columns import fresh
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -177,16 +178,21 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, light: int = LIGHT_BU
     return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
-                    distance: int = MAX_DISTANCE) -> DataFrame:
-    """(id, fingerprint bigint, component_id) of every row of ``docs``."""
-    rows = write_shared(fingerprints(docs.select(id_col, text_col), text_col, width), "fingerprints")
+def _classes(rows: DataFrame, id_col: str, distance: int) -> DataFrame:
+    """(fp, root, component_id): the group of every fingerprint of ``rows``, and its smallest id."""
     prints = write_shared(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first")), "prints")
     roots = connected_components(links(prints.select("fp"), distance))
     grouped = prints.join(roots, prints["fp"] == roots["node"], "left") \
         .select("fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = grouped.join(ids, "root").select("fp", "component_id")
+    return grouped.join(ids, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
+                    distance: int = MAX_DISTANCE) -> DataFrame:
+    """(id, fingerprint bigint, component_id) of every row of ``docs``."""
+    rows = write_shared(fingerprints(docs.select(id_col, text_col), text_col, width), "fingerprints")
+    classes = _classes(rows, id_col, distance)
     return rows.join(classes, rows["fingerprint"] == classes["fp"]).select(id_col, "fingerprint", "component_id")
 
 
@@ -201,3 +207,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     order = Window.partitionBy(id_col).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
     chosen = chosen.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
     return chosen.unionByName(docs.filter(F.col(id_col).isNull()))
+
+
+def drop_near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
+                             distance: int = MAX_DISTANCE) -> DataFrame:
+    """One row of ``docs`` per group, that of the smallest id (rows without id come last and take part); rows of one id
+    with different texts are judged row by row."""
+    cells = [F.col(f"`{c}`") for c in docs.columns]
+    one, two = fresh(docs.columns, "row"), fresh(docs.columns, "check")
+    keyed = docs.withColumn(one, F.xxhash64(*cells)).withColumn(two, F.xxhash64(F.lit(1), *cells))  # 128 bits, never null
+    rows = write_shared(fingerprints(keyed.select(F.col(id_col).alias("id"), F.col(one).alias("one"), F.col(two).alias("two"),
+                                                  F.col(text_col).alias("text")), "text", width), "fingerprints")
+    classes = _classes(rows, "id", distance)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "one", "two")).alias("first")
+    kept = rows.join(classes, rows["fingerprint"] == classes["fp"]).groupBy("root").agg(first)
+    kept = kept.select(F.col("first.one").alias(one), F.col("first.two").alias(two))
+    return keyed.join(kept, [one, two], "left_semi").dropDuplicates([one, two]).select(*cells)

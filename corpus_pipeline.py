@@ -6,7 +6,8 @@ number of the copy from 1). ``run`` writes each stage's rows as Parquet in the s
 folder and rereads them for the next, so a lost executor costs one stage at most.
 
 Edge cases are those of the operators: null and empty texts fail the rules, rows
-without id are kept by the near-duplicate stage, an empty table stays empty.
+without id or with a repeated one are judged row by row in the near-duplicate and
+decontamination stages, an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -33,13 +34,13 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates: the document of the smallest id of each group stays."""
-    return simhash.drop_near_duplicates(docs)
+    """SimHash near-duplicates: the row of the smallest id of each group stays."""
+    return simhash.drop_near_duplicate_rows(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that contain a benchmark item go."""
-    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    """Benchmark decontamination: rows that contain a benchmark item go."""
+    return decontaminate.drop_leaking_rows(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,6 +145,21 @@ def test_stages_equal_brute_force(spark):
     assert size(mixed) == pytest.approx(size(clean.values()), rel=0.05)
 
 
+def test_rows_without_or_with_a_repeated_id(spark):
+    """Only leaking rows and near-duplicates go; a row that shares its id, or has none, is judged by its own text."""
+    item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").filter("text is not null").orderBy("item_id").first().text
+    clean = [" ".join(f"{w}{i}" for i in range(60)) for w in ("ape", "bee", "cat", "dog", "elk", "fox")]
+    rows = [(None, clean[0]), (None, clean[0]), (None, f"before {item} after"), (None, clean[1]),
+            (4, clean[1]), (5, clean[2]), (5, clean[3]), (5, f"some {item} words"), (7, clean[3]), (5, clean[2]), (3, clean[2]), (8, clean[4]), (8, clean[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stages = dict(corpus_pipeline.STAGES)
+    single = sorted(map(tuple, stages["simhash_near_dedup"](spark, docs, SF_SMALL).collect()), key=str)
+    want = [(None, clean[0]), (4, clean[1]), (3, clean[2]), (5, clean[3]), (8, clean[4]), (8, clean[5])]
+    assert sorted((r for r in single if item not in r[1]), key=str) == sorted(want, key=str)
+    left = map(tuple, stages["benchmark_decontamination"](spark, docs, SF_SMALL).collect())
+    assert sorted(left, key=str) == sorted((r for r in rows if item not in r[1]), key=str)
+
+
 def test_run_and_odd_rows(spark, odd, empty):
     assert corpus_pipeline.run(spark, SF_SMALL).count() > 50
     plain, nothing = odd.drop(*CLASH), empty.drop(*CLASH)
