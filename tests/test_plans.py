@@ -43,3 +43,13 @@ def test_newest_rows_are_cut_before_they_are_ranked(spark):
     plan = E.queries()["e5_latest_rows"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "HashJoin" in plan and "lineitem" not in plan and "Sort" not in plan
     assert "TakeOrderedAndProject" in E.queries()["e8_min_rows_guard"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_short_windows_are_short_at_every_size(spark, monkeypatch):
+    """Tables of more rows than SHORT_OF fill no window that is short by construction, and no limit gathers a table."""
+    from cardlens.plans import queries_stats
+
+    plan = lambda name: E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan("e8_min_rows_guard") and "GlobalLimit" not in plan("h4_short_window")
+    monkeypatch.setattr(queries_stats, "SHORT_OF", 10)
+    assert E.queries()["h4_short_window"](spark, SF_SMALL).count() == 0
