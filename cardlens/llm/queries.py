@@ -111,3 +111,12 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = score_texts(docs, learns_from())
     return rows.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known",
                        F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import read_token_files, scratch_folder, write_token_files
+
+    path = scratch_folder(spark)
+    write_token_files(read_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    rows = read_token_files(spark, path)
+    return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
