@@ -120,3 +120,29 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_files(read_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     rows = read_token_files(spark, path)
     return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """The contract's damage: a fifth or so of the rows loses its place, text, end or role, or stands twice; rows that go have
+    ``present`` false, so that their conversation is still known."""
+    say = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(say("conv_id"), F.lit(":"), say("turn"))) % 20
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(say("text"), "[.!?]", "")).otherwise(say("text"))
+    role = F.when(kind == 4, F.lit("user")).otherwise(say("role"))
+    copies = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), (kind != 0).alias("present"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .structure_repair import repair_report
+
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(damaged_turns(turns), present=F.col("present"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie
+
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    c = F.col("c")
+    return prefix_trie(turns, base=c - c % 100, head=F.crc32(c.cast("string")) % 6)
