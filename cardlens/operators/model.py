@@ -21,22 +21,23 @@ from .relative import join_lookup
 
 
 def build_pipeline(cfg: EngineConfig = DEFAULT_CONFIG, features=MODEL_FEATURES, target: str = TARGET,
-                   num_trees: int | None = None, seed: int = 42) -> Pipeline:
-    """G1: VectorAssembler + RandomForestRegressor (all inputs tried at every split)."""
+                   num_trees: int | None = None, seed: int = 42, bootstrap: bool = True) -> Pipeline:
+    """G1: VectorAssembler + RandomForestRegressor (all inputs tried at every split; trees see a bootstrap sample each,
+    or all rows)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     # cacheNodeIds keeps each row's current node between levels (no re-descent of deep trees) and
     # a larger per-iteration memory budget grows more nodes per pass; neither changes the model
     forest = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
                                    maxDepth=cfg.max_depth, numTrees=num_trees or cfg.num_trees,
-                                   featureSubsetStrategy="all", maxBins=cfg.max_bins, seed=seed,
+                                   featureSubsetStrategy="all", maxBins=cfg.max_bins, seed=seed, bootstrap=bootstrap,
                                    cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
     return Pipeline(stages=[assembler, forest])
 
 
 def train(df: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG, features=MODEL_FEATURES, target: str = TARGET,
-          num_trees: int | None = None) -> PipelineModel:
+          num_trees: int | None = None, bootstrap: bool = True) -> PipelineModel:
     """G1: fit on rows with a label."""
-    return build_pipeline(cfg, features, target, num_trees).fit(df.filter(F.col(target).isNotNull()))
+    return build_pipeline(cfg, features, target, num_trees, bootstrap=bootstrap).fit(df.filter(F.col(target).isNotNull()))
 
 
 def evaluate(df: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:

@@ -2,7 +2,8 @@
 
 The three features depend on a row's (value, class) only, so they are computed
 on the table of counts per (value, class) and joined back. No window ever runs
-over the input, and none over all distinct values either: the count table is cut
+over the input. The written count table is counted: up to ``SMALL_COUNTS`` rows it is
+sorted as it is; beyond that no window runs over all distinct values either: it is cut
 into ranges of (class, value) and of value, running totals inside a range start at
 the sum of the ranges before it.
 
@@ -66,36 +67,66 @@ def _running(counts: DataFrame, group: list[str], value_col: str, out: str) -> D
         .withColumn(out, F.col("_start") + F.col("_in")).drop("_range", "_start", "_in")
 
 
+SMALL_COUNTS = 1_000_000
+
+
 def relative_lookup(df: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS,
                     features=STATEFUL_FEATURES) -> DataFrame:
     """One row per (value, class) with the requested relative features.
 
     Rank values belong to one class each, so for them that is one row per rank value.
     """
-    counts = write_shared(rank_counts(df, value_col, class_col), "rank-counts")
+    return lookup_from_counts(write_shared(rank_counts(df, value_col, class_col), "rank-counts"), value_col, class_col, features)
+
+
+def lookup_from_counts(counts: DataFrame, value_col: str = RANK_VALUE, class_col: str = RANK_CLASS,
+                       features=STATEFUL_FEATURES, small: int = SMALL_COUNTS) -> DataFrame:
+    """E2 from a written table of counts (value, class, _n).
+
+    The formulas are the same at any size; how the running totals are made depends on the
+    measured number of rows: up to ``small`` rows one sort does, beyond that they come from ranges.
+    """
     v, n = F.col(value_col).cast("double"), F.col("_n")
     known = F.when(v.isNotNull(), n)
-    # two passes over the counts, as a variance from sums of squares loses digits
-    totals = counts.groupBy(class_col).agg(F.sum(n).alias("_nc"), F.sum(known).alias("_nv"),
-                                           (F.sum(n * v) / F.sum(known)).alias("_mean"))
-    out = null_safe_left_join(counts, totals, [class_col])
+    is_small = counts.count() <= small
+    if is_small:  # bounded by the count above
+        counts = counts.coalesce(1)
+        by_class, all_rows = Window.partitionBy(class_col), Window.partitionBy()
+        out = counts.withColumn("_nc", F.sum(n).over(by_class)).withColumn("_nv", F.sum(known).over(by_class)) \
+            .withColumn("_mean", F.sum(n * v).over(by_class) / F.col("_nv"))
+        if Z in features:
+            out = out.withColumn("_ss", F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))).over(by_class))
+        if CDF in features:
+            before = by_class.orderBy(F.col(value_col).asc_nulls_first()).rowsBetween(*_BEFORE)
+            out = out.withColumn("_lt", F.coalesce(F.sum(n).over(before), F.lit(0)))
+        if GLOBAL in features:
+            upto = all_rows.orderBy(F.col(value_col).asc_nulls_first()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            out = out.withColumn("_upto", F.sum(n).over(upto)).withColumn("_rows", F.sum(n).over(all_rows)) \
+                .withColumn("_nulls", F.coalesce(F.sum(F.when(v.isNull(), n)).over(all_rows), F.lit(0)))
+    else:  # two passes over the counts, as a variance from sums of squares loses digits
+        totals = counts.groupBy(class_col).agg(F.sum(n).alias("_nc"), F.sum(known).alias("_nv"),
+                                               (F.sum(n * v) / F.sum(known)).alias("_mean"))
+        out = null_safe_left_join(counts, totals, [class_col])
+        if Z in features:
+            squares = out.groupBy(class_col).agg(F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_ss"))
+            out = null_safe_left_join(out, squares, [class_col])
+        if CDF in features:
+            out = _running(out, [class_col], value_col, "_lt")
+        if GLOBAL in features:
+            by_value = counts.groupBy(value_col).agg(F.sum("_n").alias("_n"))
+            by_value = _running(by_value, [], value_col, "_below")
+            ends = counts.agg(F.sum("_n").alias("_rows"), F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("_nulls")).first()
+            out = null_safe_left_join(out, by_value.select(value_col, (F.col("_below") + F.col("_n")).alias("_upto")), [value_col]) \
+                .withColumn("_rows", F.lit(ends["_rows"] or 0)).withColumn("_nulls", F.lit(ends["_nulls"] or 0))
     if Z in features:
-        squares = out.groupBy(class_col).agg(F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean"))).alias("_ss"))
-        out = null_safe_left_join(out, squares, [class_col])
         std = F.when(F.col("_nv") > 1, F.sqrt(F.col("_ss") / (F.col("_nv") - 1)))
         out = out.withColumn(Z, (v - F.col("_mean")) / (std + F.lit(Z_SCORE_EPSILON)))
     if CDF in features:
-        out = _running(out, [class_col], value_col, "_lt")
         out = out.withColumn(CDF, (F.col("_lt") + n) / F.col("_nc"))
     if GLOBAL in features:
-        by_value = counts.groupBy(value_col).agg(F.sum("_n").alias("_n"))
-        by_value = _running(by_value, [], value_col, "_below")
-        ends = counts.agg(F.sum("_n").alias("_rows"), F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("_nulls")).first()
-        rows, nulls = ends["_rows"] or 0, ends["_nulls"] or 0
         # nulls stand first in the running total and last in the ranking: before a value stand the larger values
-        before = F.when(v.isNull(), F.lit(rows - nulls)).otherwise(rows - F.col("_below") - F.col("_n"))
-        strength = (before / F.lit(rows - 1)).cast("double") if rows > 1 else F.lit(0.0)
-        out = null_safe_left_join(out, by_value.select(value_col, strength.alias(GLOBAL)), [value_col])
+        before = F.when(v.isNull(), F.col("_rows") - F.col("_nulls")).otherwise(F.col("_rows") - F.col("_upto"))
+        out = out.withColumn(GLOBAL, F.when(F.col("_rows") > 1, before / F.nullif(F.col("_rows") - 1, F.lit(0))).otherwise(F.lit(0.0)))
     return out.select(value_col, class_col, *[f for f in STATEFUL_FEATURES if f in features])
 
 

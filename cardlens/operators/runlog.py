@@ -1,7 +1,7 @@
 """Run log and model store.
 
 Runs are rows of an append-only Parquet table: ``(run_id, run_name, kind,
-key, value, ts)`` for params/metrics and ``(run_id, run_name, end_time)``
+key, value, ts, attempt)`` for params/metrics and ``(run_id, run_name, end_time)``
 for the run list. The latest run per name follows these rules: no run ->
 error; more than one unfinished run (null end time) -> error; exactly one
 unfinished -> that run; else the greatest end time (ties: smallest id).
@@ -19,11 +19,31 @@ from ..schema import RUN_LOG
 RUN_LOG_SCHEMA = RUN_LOG
 
 
-def log_entries(spark: SparkSession, path: str, run_id: str, run_name: str, kind: str, values: dict) -> None:
-    """Append params or metrics of a run (a handful of rows) to the run log table."""
+def log_entries(spark: SparkSession, path: str, run_id: str, run_name: str, kind: str, values: dict, attempt: int = 0) -> None:
+    """Append params or metrics of a run (a handful of rows) to the run log table.
+
+    An entry is known by (run, kind, key, attempt). Writers only append, so several may write at once, and a retry that
+    appends its entries again changes nothing: readers settle the log first (:func:`settled`).
+    """
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = [(run_id, run_name, kind, str(k), str(v), now) for k, v in values.items()]
-    spark.createDataFrame(rows, RUN_LOG_SCHEMA).write.mode("append").parquet(path)
+    rows = [(run_id, run_name, kind, str(k), str(v), now, attempt) for k, v in values.items()]
+    spark.createDataFrame(rows, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def settled(log: DataFrame) -> DataFrame:
+    """One row per (run_id, run_name, kind, key): entries that were appended again count once (the first is kept), and of
+    several attempts the last one wins. Entries without an attempt are attempt 0."""
+    keys = ["run_id", "run_name", "kind", "key"]
+    attempt = F.coalesce("attempt", F.lit(0)).alias("attempt")
+    once = log.select(*keys, attempt, "ts", "value").groupBy(*keys, "attempt").agg(F.min(F.struct("ts", "value")).alias("_first"))
+    last = once.groupBy(*keys).agg(F.max_by(F.struct("attempt", "_first"), "attempt").alias("_last"))
+    return last.select(*keys, "_last.attempt", "_last._first.value", "_last._first.ts")
+
+
+def run_values(log: DataFrame, kind: str, names: tuple) -> DataFrame:
+    """One row per run: run_id, run_name, and one text column per name of the given kind (null if it was not logged)."""
+    found = settled(log.filter((F.col("kind") == kind) & F.col("key").isin(*names)))
+    return found.groupBy("run_id", "run_name").agg(*[F.max(F.when(F.col("key") == n, F.col("value"))).alias(n) for n in names])
 
 
 def latest_runs(runs: DataFrame, name_col: str = "run_name", id_col: str = "run_id",

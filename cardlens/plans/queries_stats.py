@@ -172,20 +172,15 @@ def e7_true_counts(spark, sf_dir):
     return drift.true_counts(_live(spark, sf_dir))
 
 
-SHORT_OF = 100_000_000  # more rows than the test tables have
-
-
 @register("e8_min_rows_guard", osql.with_ctes(H, body=" UNION ALL ".join(f"""
-SELECT count(*) AS rows_found, CAST({n} AS BIGINT) AS rows_required, count(*) >= {n} AS passed
-FROM (SELECT 1 FROM hands LIMIT {n})""" for n in (LIVE_WINDOW, SHORT_OF))))
+SELECT count(*) AS rows_found, CAST({LIVE_WINDOW} AS BIGINT) AS rows_required, count(*) >= {LIVE_WINDOW} AS passed
+FROM (SELECT 1 FROM hands LIMIT {n})""" for n in (LIVE_WINDOW, LIVE_WINDOW - 1))))
 def e8_min_rows_guard(spark, sf_dir):
-    """The guard on two windows of the newest rows: one that is filled, and one that is not."""
-    hands = derived.hands(spark, sf_dir).select("ship_ts", *ROW_ID)
-    filled = sampling.guard_status(sampling.latest_rows(hands, LIVE_WINDOW, "ship_ts", tuple(ROW_ID)), LIVE_WINDOW)
-    # as many rows as a window of SHORT_OF would have, counted in every task; a limit would bring them into one
-    found = hands.agg(F.least(F.count(F.lit(1)), F.lit(SHORT_OF)).alias("rows_found"))
-    return filled.unionByName(found.select("rows_found", F.lit(SHORT_OF).cast("long").alias("rows_required"),
-                                           (F.col("rows_found") >= SHORT_OF).alias("passed")))
+    """The guard on two windows of the newest rows: one that is filled, and one that is a row short."""
+    raw = derived.with_deal_code(read_table(spark, sf_dir, "lineitem"))
+    newest = lambda n: sampling.latest_rows(raw, n, "ship_ts", tuple(ROW_ID))
+    return sampling.guard_status(newest(LIVE_WINDOW), LIVE_WINDOW) \
+        .unionByName(sampling.guard_status(newest(LIVE_WINDOW - 1), LIVE_WINDOW))
 
 
 @register("e9_baseline_counts", osql.with_ctes(H, R5, RH, LIVE, body=f"""
@@ -230,25 +225,40 @@ def f1_lookup_join(spark, sf_dir):
 _LIVE_PART = "CASE WHEN hand_is_pair THEN code % 10 < 8 ELSE code % 10 < 2 END"
 
 
-def _window(spark, sf_dir, n):
-    live = _live(spark, sf_dir).filter(_LIVE_PART)
-    return sampling.min_rows_guard(sampling.latest_rows(live, n, "ts", tuple(ROW_ID)), n)
+def live_part():
+    """``_LIVE_PART`` from the deal's code alone: the two hole cards are its first two digits, so a filter on it needs no
+    decoded hand and stays short wherever Spark moves it."""
+    code = F.col("code")
+    first, second = code % 52, F.floor(code / 52) % 51
+    second = second + (second >= first).cast("long")  # the second card is dealt from a deck without the first
+    return F.when(first % 13 == second % 13, code % 10 < 8).otherwise(code % 10 < 2)
+
+
+def _newest_live(spark, sf_dir, n):
+    """The newest ``n`` rows of the live part, cut before they are decoded and ranked."""
+    raw = derived.with_deal_code(read_table(spark, sf_dir, "lineitem")).filter(live_part())
+    newest = sampling.latest_rows(raw, n, "ship_ts", tuple(ROW_ID))
+    return derived.live_from_hands(derived.hands_from_code(write_shared(newest, "latest")))
+
+
+def _window(spark, sf_dir, n, required=None):
+    return sampling.min_rows_guard(_newest_live(spark, sf_dir, n), required or n)
 
 
 def _baseline(spark, sf_dir):
-    return drift.baseline_counts(_live(spark, sf_dir).filter(f"NOT ({_LIVE_PART})"))
+    return drift.baseline_counts(_live(spark, sf_dir).filter(~live_part()))
 
 
 def _report(spark, sf_dir, n=LIVE_WINDOW):
     return drift.psi_report(_baseline(spark, sf_dir), _window(spark, sf_dir, n))
 
 
-def _report_ctes(n: int) -> tuple:
+def _report_ctes(n: int, required: int | None = None) -> tuple:
     return (H, R5, RH, LIVE, f"base_part AS (SELECT * FROM live WHERE NOT ({_LIVE_PART}))",
             f"live_part AS (SELECT * FROM live WHERE {_LIVE_PART})", osql.latest_cte(n, "live_part"), f"""
 base AS (SELECT feature, label, count(*) AS n FROM ({osql.live_long_sql('base_part')}) GROUP BY 1, 2),
 lcounts AS (SELECT feature, label, count(*) AS n_live FROM ({osql.live_long_sql('latest')}) GROUP BY 1, 2),
-ltotal AS (SELECT count(*) AS total FROM latest HAVING count(*) >= {n}),
+ltotal AS (SELECT count(*) AS total FROM latest HAVING count(*) >= {required or n}),
 terms AS (
   SELECT b.feature, b.label,
          CAST(b.n AS DOUBLE) / sum(b.n) OVER (PARTITION BY b.feature) + 1e-100 AS t,
@@ -289,18 +299,17 @@ def h5_drift_alert(spark, sf_dir):
     return drift.drift_alerts(_report(spark, sf_dir), DEFAULT_CONFIG.psi_alert_threshold).select("target", _r6("psi"))
 
 
-@register("h4_short_window", osql.with_ctes(*_report_ctes(SHORT_OF), body="""
+@register("h4_short_window", osql.with_ctes(*_report_ctes(LIVE_WINDOW - 1, LIVE_WINDOW), body="""
 SELECT target, round(psi, 6) AS psi, round(unknown_share, 6) AS unknown_share FROM report"""))
 def h4_short_window(spark, sf_dir):
     """The report on a window that is not filled, one row short of the live window: no rows."""
-    live = _live(spark, sf_dir).filter(_LIVE_PART)
-    window = sampling.min_rows_guard(sampling.latest_rows(live, LIVE_WINDOW - 1, "ts", tuple(ROW_ID)), LIVE_WINDOW)
+    window = _window(spark, sf_dir, LIVE_WINDOW - 1, LIVE_WINDOW)
     return drift.psi_report(_baseline(spark, sf_dir), window).select("target", _r6("psi"), _r6("unknown_share"))
 
 
 def _quarterly_reports(spark, sf_dir):
     """A PSI report per ship quarter of the live part, against the one baseline, as rows (target, window, psi)."""
-    live = _live(spark, sf_dir).filter(_LIVE_PART).withColumn("_quarter", F.date_trunc("quarter", "ts"))
+    live = _live(spark, sf_dir).filter(live_part()).withColumn("_quarter", F.date_trunc("quarter", "ts"))
     counts = drift.long_labels(live, keep=("_quarter",)).groupBy("_quarter", "feature", "label").agg(F.count(F.lit(1)).alias("n_live"))
     return drift.psi_by_window(_baseline(spark, sf_dir), counts, "_quarter")
 

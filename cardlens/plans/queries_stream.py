@@ -19,8 +19,9 @@ from ..sources.tables import table_path
 from ..streaming import pipelines as sp
 from . import oracle_sql as osql
 from .queries import FEATURES_CTE, H, KEYS_SQL, R5, RH, ROW_ID, register
-from .queries_ops import PL, trained_model, training_parts
-from .queries_stats import _H_CTES, _LIVE_PART, _baseline, LIVE_WINDOW
+from .queries_ops import BINARY_INPUTS, PL, binary_forest, trained_model, training_parts
+from .queries_ops import _BINARY_CTES, _BINARY_SCORES, _score
+from .queries_stats import _H_CTES, _baseline, live_part, LIVE_WINDOW
 
 
 def _stream_glob(sf_dir: str, name: str) -> str:
@@ -39,7 +40,7 @@ STREAM_FILES = 4
 SELECT target, round(psi, 6) AS psi, round(unknown_share, 6) AS unknown_share FROM report"""))
 def j2_stream_drift(spark, sf_dir):
     """Streaming drift: the live part arrives in several files, one micro-batch each, so the kept window is carried on."""
-    live = derived.live(spark, sf_dir).filter(_LIVE_PART)
+    live = derived.live(spark, sf_dir).filter(live_part())
     run = _run_dir(spark, "j2")
     files = os.path.join(run, "in")
     live.repartition(STREAM_FILES, "code").write.option("maxRecordsPerFile", 0).parquet(files)
@@ -75,19 +76,29 @@ def j3_stream_windows(spark, sf_dir):
 
 
 
-@register("j1_stream_score", osql.with_ctes(H, R5, RH, FEATURES_CTE, body=f"""
-SELECT {KEYS_SQL}, {', '.join(DEFAULT_CONFIG.model_features)}, TRUE AS prediction_in_range FROM feats"""))
-def j1_stream_score(spark, sf_dir):
-    """Streaming scoring: lineitem files -> hands -> features -> lookup join -> forest -> equity."""
+def _stream_scored(spark, sf_dir, model, features):
+    """The hands of the lineitem file as a stream: features, lookup join, forest; read back from the sink."""
     run = _run_dir(spark, "j1")
     rel.stateful_lookup(training_parts(spark, sf_dir)[0]).write.parquet(os.path.join(run, "lookup"))
     lookup = spark.read.parquet(os.path.join(run, "lookup"))
     schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
     hands = derived.hands_from_lineitem(sp.read_stream(spark, _stream_glob(sf_dir, "lineitem"), schema))
-    scored = sp.score(hands, trained_model(spark, sf_dir), lookup, keep=tuple(ROW_ID))
+    scored = sp.score(hands, model, lookup, features, keep=tuple(ROW_ID))
     q = (scored.writeStream.format("parquet").option("path", os.path.join(run, "out"))
          .option("checkpointLocation", os.path.join(run, "ckpt")).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(run, "out")).select(*ROW_ID, *DEFAULT_CONFIG.model_features,
-                                                               F.col("equity").between(0.0, 1.0).alias("prediction_in_range"))
+    return spark.read.parquet(os.path.join(run, "out"))
+
+
+@register("j1_stream_score")
+def j1_stream_score(spark, sf_dir):
+    """Streaming scoring with the full forest; the scores themselves, compared with batch scores in the tests."""
+    scored = _stream_scored(spark, sf_dir, trained_model(spark, sf_dir), DEFAULT_CONFIG.model_features)
+    return scored.select(*ROW_ID, *DEFAULT_CONFIG.model_features, "equity")
+
+
+@register("j1_binary_forest", osql.with_ctes(*_BINARY_CTES, body=_BINARY_SCORES.format(name="equity", where="TRUE")))
+def j1_binary_forest(spark, sf_dir):
+    """Streaming scoring with the forest whose scores SQL can tell."""
+    return _stream_scored(spark, sf_dir, binary_forest(spark, sf_dir), BINARY_INPUTS).select(*ROW_ID, *BINARY_INPUTS, _score("equity"))

@@ -12,6 +12,7 @@ from . import queries as _queries  # noqa: F401  (registers the queries)
 from . import queries_stats as _queries_stats  # noqa: F401
 from . import queries_ops as _queries_ops  # noqa: F401
 from . import queries_stream as _queries_stream  # noqa: F401
+from . import queries_more as _queries_more  # noqa: F401
 from .queries import all_queries, oracle_queries
 
 __all__ = ["all_queries", "oracle_queries", "flagship"]

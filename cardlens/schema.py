@@ -51,6 +51,7 @@ RUN_LOG = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
     T.StructField("ts", T.TimestampType()),
+    T.StructField("attempt", T.IntegerType()),
 ])
 
 MODEL_INPUTS = tuple(MODEL_FEATURES)

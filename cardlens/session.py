@@ -84,6 +84,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder of any file system Spark reads; none if it is not there."""
+    system, target = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory()) if system.exists(target) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library made."""
+    system, target = _folder(spark, path)
+    system.delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one written table; no two calls share one."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

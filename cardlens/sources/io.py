@@ -91,7 +91,7 @@ def write_and_audit(df: DataFrame, path: str, name: str, order: tuple = ()) -> D
     seen = Observation(name)
     write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
     back = spark.read.parquet(path)
-    row = F.min(F.struct(*(order or back.columns), F.to_json(F.struct(*back.columns)).alias("_json"))).getField("_json")
+    row = F.min(F.struct(*(order or back.columns), F.to_json(F.struct(*back.columns), {"timeZone": "UTC"}).alias("_json"))).getField("_json")
     read = back.agg(F.count(F.lit(1)).alias("n"), row.alias("first")).first()
     written = seen.get["rows"]
     return spark.createDataFrame([(name, written, read["n"], written == read["n"], read["first"])],
