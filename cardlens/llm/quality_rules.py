@@ -7,19 +7,19 @@ unlike the other texts of their language and length are rejected: the bands are
 robust quantiles of the corpus itself, per language and length class.
 
 Every class has a band, however few texts it has. Length is taken out first: a class's
-centre is its median over all languages, drawn towards a line fitted to the medians of
-the classes around it. The quartiles of what is left are estimated for the
+centre is its median over all languages, drawn towards a curve fitted to the medians of the
+*other* classes, so a text alone in its class is not judged against itself. The curve is a line in
+2^(-class/2), as the measures settle with length; near classes weigh more, and as many are taken in
+as ``PRIOR_TEXTS`` texts need. The quartiles of what is left are estimated for the
 corpus, the script (of most letters of the text), the language and the language's
 length class; each estimate is drawn towards the wider one as if that were worth
 ``PRIOR_TEXTS`` texts, so a class of many texts has its own band, one of few that of
 its language, script or corpus at its length, and nothing flips at a count.
 
-White space is not a token; a word is read with the vocabulary's word start. Words
-of more than ``LONG_WORD`` characters are read in parts of that many, because BPE
-takes more than linear time in the length of a word.
+White space is not a token; a word is read with the vocabulary's word start.
 
-The measures come from one pass over the text (Arrow batches; per slice of a few
-MB every different word is encoded once, and a bounded cache keeps frequent words).
+The measures come from one pass over the text (Arrow batches); every different word is
+encoded once and kept in a bounded cache.
 The bands need the measures only: they are written to the shared folder, so
 the text is read once.
 
@@ -32,18 +32,21 @@ gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
 from .columns import fresh
+from .piece_cache import PieceCache, flatten
+from .textarrays import spans
 
 VOCABULARIES = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
-LONG_WORD = 100
-CACHE_WORDS = 200_000
+JOINED_WORDS = 1000
+_OTHER_SPACE = re.compile(r"[^\S ]")
 WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -55,8 +58,8 @@ MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines big
            "n_tokens bigint, chars_per_token double, byte_share double, token_entropy double, script string"
 
 
-class _Vocabularies:
-    """The two vocabularies with a bounded cache: word bytes -> (token ids, pieces, byte pieces)."""
+class _Vocabularies(PieceCache):
+    """The two vocabularies. A word's integers are its token ids, then its number of pieces and of byte pieces."""
 
     def __init__(self, folder: str):
         import base64
@@ -65,32 +68,51 @@ class _Vocabularies:
         import sentencepiece
         import tiktoken
 
+        super().__init__()
         with open(os.path.join(folder, BPE_FILE), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
         self.bpe = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.token_bytes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.token_bytes[list(ranks.values())] = [len(k) for k in ranks]
         self.piece = sentencepiece.SentencePieceProcessor(model_file=os.path.join(folder, PIECE_FILE))
         self.is_byte = np.array([self.piece.is_byte(i) for i in range(self.piece.get_piece_size())])
-        self.cache: dict = {}
         self.scripts, self.script_of = _script_table()
 
-    def encode(self, words: list) -> list:
-        new = [w for w in words if w not in self.cache]
-        found = {}
-        if new:
-            texts = [w.decode("utf-8", "replace") for w in new]
-            parts = [[t[i:i + LONG_WORD] for i in range(0, len(t), LONG_WORD)] for t in texts]
-            flat = [p for ps in parts for p in ps]
-            pieces = iter(self.piece.encode(flat, num_threads=1))
-            for word, ps in zip(new, parts):
-                ids = [i for k, p in enumerate(ps) for i in self.bpe.encode_ordinary(p if k else " " + p)]
-                got = [i for _ in ps for i in next(pieces)]
-                found[word] = (ids, len(got), int(self.is_byte[got].sum()) if got else 0)
-        out = [self.cache.get(w) or found[w] for w in words]
-        if len(self.cache) + len(found) > CACHE_WORDS:
-            self.cache.clear()
-        self.cache.update(found)
-        return out
+    def _tokens(self, words: list):
+        """(token ids of all words, each with a space in front; ids per word; the words as text).
+
+        The pattern cuts at every space, so the words are encoded as one text and told apart by the bytes of their tokens;
+        words with other white space in them, or with bytes that are no text, go one by one.
+        """
+        import numpy as np
+
+        raw = b" " + b" ".join(words)
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            text = "\n"
+        if _OTHER_SPACE.search(text):
+            texts = [w.decode("utf-8", "replace") for w in words]
+            return *flatten([self.bpe.encode_ordinary(" " + t) for t in texts]), texts
+        ids = np.array(self.bpe.encode_ordinary(text), np.int64)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
+        return ids, np.diff(stops, prepend=0), text[1:].split(" ")
+
+    def encode_new(self, words: list) -> tuple:
+        import numpy as np
+
+        parts = [self._tokens(words[i:i + JOINED_WORDS]) for i in range(0, len(words), JOINED_WORDS)]
+        ids, tokens = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        flat, pieces = flatten(self.piece.encode([t for p in parts for t in p[2]], num_threads=1))
+        total, ends = np.concatenate([[0], np.cumsum(self.is_byte[flat])]), np.cumsum(pieces)
+        count = tokens + 2
+        place = np.cumsum(count) - count
+        out = np.empty(int(count.sum()), np.int64)
+        out[spans(place, tokens)] = ids
+        out[place + tokens], out[place + tokens + 1] = pieces, total[ends] - total[ends - pieces]
+        return out, count
 
 
 def _script_table():
@@ -167,7 +189,7 @@ def _measure(data, bounds, vocabularies):
     """Columns of ``MEASURES`` for the given texts."""
     import numpy as np
 
-    from .textarrays import spans, word_hashes, words
+    from .textarrays import mix64, words
 
     part = data[bounds[0]:bounds[-1]]
     at = bounds - bounds[0]
@@ -187,30 +209,29 @@ def _measure(data, bounds, vocabularies):
     for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
         lines = [x for x in data[a:b].tobytes().split(b"\n") if x.strip()]
         dup_lines[i] = len(lines) - len(set(lines))
-    hashes = word_hashes(data, starts, stops, lower=False)
-    _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-    coded = vocabularies.encode([data[starts[i]:stops[i]].tobytes() for i in sample])
-    token_count = np.array([len(c[0]) for c in coded], np.int64)
-    ids = np.fromiter((i for c in coded for i in c[0]), np.int64, int(token_count.sum()))
-    place = np.cumsum(token_count) - token_count
-    pieces, fallback = (np.array([c[k] for c in coded], np.int64) for k in (1, 2))
+    place, count = vocabularies.lookup(data, starts, stops - starts)
+    codes, token_count = vocabularies.codes, count - 2
+    pieces, fallback = codes[place + token_count].astype(np.int64), codes[place + token_count + 1].astype(np.int64)
 
     def sums(per_word):
-        total = np.concatenate([[0], np.cumsum(per_word[which] if len(which) else which)])
+        total = np.concatenate([[0], np.cumsum(per_word)])
         return total[first[1:]] - total[first[:-1]]
 
     n_tokens = sums(token_count)
     text_of = np.repeat(np.arange(len(n_words)), n_tokens)
-    stream = ids[spans(place[which], token_count[which])] if len(which) else ids
+    stream = codes[spans(place, token_count)].astype(np.int64)
     keys, times = np.unique((text_of << 20) | stream, return_counts=True)
     weight = np.bincount(keys >> 20, weights=times * np.log2(times), minlength=len(n_words)) if len(keys) else np.zeros(len(n_words))
     some = np.maximum(n_tokens, 1)
     entropy = np.log2(some) - weight / some
     n_pieces = np.maximum(sums(pieces), 1)
-    return (n_words, chars, per_text(symbol[part]), dup_lines, _repeat_counts(hashes, first), n_tokens,
+    return (n_words, chars, per_text(symbol[part]), dup_lines, _repeat_counts(mix64(place), first), n_tokens,
             chars / some, sums(fallback) / n_pieces, entropy, _scripts(part, at, vocabularies))
 
 
+_loaded: dict = {}
+
+
 def _measure_batches(text_at: int, keep_text: bool, folder: str):
     def run(batches):
         import numpy as np
@@ -218,7 +239,10 @@ def _measure_batches(text_at: int, keep_text: bool, folder: str):
 
         from .textarrays import slices, text_bytes
 
-        vocabularies = _Vocabularies(folder)
+        if folder not in _loaded:  # the Python worker keeps the vocabularies and their cache from task to task
+            _loaded.clear()
+            _loaded[folder] = _Vocabularies(folder)
+        vocabularies = _loaded[folder]
         names = [f.split()[0] for f in MEASURES.split(", ")]
         for batch in batches:
             if not batch.num_rows:
@@ -276,20 +300,39 @@ def _centres(texts: DataFrame) -> dict:
     rows = texts.groupBy("length_class").agg(F.count(F.lit(1)).alias("n"), *medians).orderBy("length_class").collect()
     classes, out = np.arange(LENGTH_CLASSES), {}
     at, n = np.array([r["length_class"] for r in rows], int), np.array([float(r["n"]) for r in rows])
-    weights = n * 4.0 ** -np.abs(at - classes[:, None])  # the curve bends, so a class's line is that of the classes around it
-    total = np.maximum(weights.sum(1), 1e-300)
-    middle = weights @ at / total
-    spread = (weights * (at - middle[:, None]) ** 2).sum(1)
+    x, x_at = 2.0 ** (-classes / 2), 2.0 ** (-at / 2)
+    weights = np.stack([_neighbours(np.abs(at - c), np.where(at == c, 0.0, n)) for c in classes])
+    total = weights.sum(1)
+    some = np.maximum(total, 1e-300)
+    middle = weights @ x_at / some
+    spread = (weights * (x_at - middle[:, None]) ** 2).sum(1)
+    own = np.zeros(LENGTH_CLASSES)
+    own[at] = n
     for c in BANDS:
         median = np.array([r[c] for r in rows], float)
-        level = weights @ median / total
-        slope = (weights * (at - middle[:, None]) * (median - level[:, None])).sum(1) / np.where(spread > 0, spread, 1.0)
-        centre = level + slope * (classes - middle)
-        centre[at] = (n * median + PRIOR_TEXTS * centre[at]) / (n + PRIOR_TEXTS)
-        out[c] = centre
+        level = weights @ median / some
+        slope = (weights * (x_at - middle[:, None]) * (median - level[:, None])).sum(1) / np.where(spread > 0, spread, 1.0)
+        curve = level + slope * np.minimum(total / PRIOR_TEXTS, 1.0) * (x - middle)
+        mine = np.zeros(LENGTH_CLASSES)
+        mine[at] = median
+        out[c] = np.where(total > 0, (own * mine + PRIOR_TEXTS * curve) / (own + PRIOR_TEXTS), mine)
     return out
 
 
+def _neighbours(distance, n):
+    """Weights of other classes: fourfold less per class of distance, or as much less as leaves ``PRIOR_TEXTS`` texts in all."""
+    import numpy as np
+
+    weights = lambda rate: n * np.exp(-rate * distance)
+    wanted, low, high = min(float(PRIOR_TEXTS), float(n.sum())), 0.0, float(np.log(4.0))
+    if weights(high).sum() >= wanted:
+        return weights(high)
+    for _ in range(50):
+        rate = (low + high) / 2
+        low, high = (rate, high) if weights(rate).sum() >= wanted else (low, rate)
+    return weights(low)
+
+
 def fit_bands(measured: DataFrame, lang_col: str = "lang", measures: str = "measures") -> DataFrame:
     """(lang, length class, bands: script, low and high of each measure) of every language and length class among the
     measured texts that pass the base rules, and of every script in it. Texts with equal measures (exact copies) count

@@ -3,9 +3,7 @@
 The library splits a text with a pattern before it merges bytes. Some of its cuts are sure from
 two neighbouring bytes: before ASCII white space that follows anything but white space, and
 between an ASCII letter or digit and ASCII punctuation. The pieces between such cuts are
-encoded once each and kept in a bounded cache, which lives as long as the Python worker.
-Pieces of at most 16 bytes are compared by two 8-byte words and their length, longer ones as
-they are, so no two different pieces are ever taken for one another. A piece of Latin letters,
+encoded once each and kept in a bounded cache, which lives as long as the Python worker. A piece of Latin letters,
 with or without a space in front, is one word of the pattern and goes straight to the library's
 BPE model; the others go through its whole encoder. Texts that hold one of the vocabulary's
 special strings, and all texts if the vocabulary is split in another way, go to the library whole.
@@ -13,16 +11,14 @@ special strings, and all texts if the vocabulary is split in another way, go to
 
 from __future__ import annotations
 
-import itertools
 import json
 import re
 
 import numpy as np
 
-from .textarrays import mix64, spans
+from .piece_cache import PieceCache, flatten
+from .textarrays import spans
 
-CACHE_PIECES = 1_500_000
-CACHE_LONG_BYTES = 32 << 20
 LIBRARY_PIECES = 100_000  # strings given to the library at once
 _SPACE, _ALNUM, _PUNCT = 1, 2, 4
 _KIND = np.zeros(256, np.uint8)
@@ -33,7 +29,6 @@ _WIDE = np.zeros(256, bool)  # last bytes that a white-space character of severa
 _WIDE[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
 _ONE_WORD = re.compile(rb" ?(?:[A-Za-z]|[\xC4-\xC8][\x80-\xBF]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+")
 _SPLITTER = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -59,12 +54,13 @@ def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(marks) + low
 
 
-class TokenEncoder:
+class TokenEncoder(PieceCache):
     """Ids as the library gives them for whole texts, without special tokens added."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(vocabulary)
         added = self.tokenizer.get_added_tokens_decoder()
         self.size = max([*self.tokenizer.get_vocab().values(), *added, 0]) + 1
@@ -76,96 +72,31 @@ class TokenEncoder:
         shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b >= 174]  # bytes that stand for themselves in the file
         hidden = [b for b in range(256) if b not in set(shown)]
         self.byte_chars = {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
-        self._clear()
-
-    def _clear(self):
-        self.hashes = np.empty(0, np.uint64)  # ascending, of the short pieces
-        self.heads, self.tails = np.empty(0, np.uint64), np.empty(0, np.uint64)
-        self.lengths, self.place, self.count = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
-        self.long: dict = {}
-        self.long_bytes = 0
 
     def _library(self, texts: list) -> list:
         return [e.ids for i in range(0, len(texts), LIBRARY_PIECES)
                 for e in self.tokenizer.encode_batch_fast(texts[i:i + LIBRARY_PIECES], add_special_tokens=False)]
 
-    def _encode_new(self, pieces: list) -> list:
+    def encode_new(self, pieces: list) -> tuple:
         """Ids of each piece: of single words by the model alone, of all others by the whole encoder."""
         rest = [i for i, p in enumerate(pieces) if not _ONE_WORD.fullmatch(p)]
         out: list = [None] * len(pieces)
         for i, ids in zip(rest, self._library([pieces[i].decode() for i in rest])):
             out[i] = ids
         model, chars = self.model, self.byte_chars
-        return [[t.id for t in model.tokenize(p.decode("latin-1").translate(chars))] if ids is None else ids for p, ids in zip(pieces, out)]
-
-    def _short(self, data, starts, lengths):
-        """(place, count) in ``self.ids`` of pieces of 1 to 16 bytes."""
-        padded = np.concatenate([data, np.zeros(8, np.uint8)])
-        words = np.ndarray((len(data),), "<u8", padded, strides=(1,))
-        heads = words[starts] & _LOW_BYTES[np.minimum(lengths, 8)]
-        tails = np.where(lengths > 8, words[np.maximum(starts + lengths - 8, 0)], np.uint64(0))
-        with np.errstate(over="ignore"):
-            hashes = mix64(heads + mix64(tails + lengths.astype(np.uint64)))
-        found, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        same = (heads == heads[first][which]) & (tails == tails[first][which]) & (lengths == lengths[first][which])
-        at = np.searchsorted(self.hashes, found)
-        known = at < len(self.hashes)
-        known[known] = self.hashes[at[known]] == found[known]
-        new = np.flatnonzero(~known)
-        if len(new):
-            i = first[new]
-            ids = self._encode_new([data[a:b].tobytes() for a, b in zip(starts[i], starts[i] + lengths[i])])
-            count = np.fromiter(map(len, ids), np.int64, len(ids))
-            place = len(self.ids) + np.cumsum(count) - count
-            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(count.sum()))])
-            for name, values in (("hashes", found[new]), ("heads", heads[i]), ("tails", tails[i]), ("lengths", lengths[i]),
-                                 ("place", place), ("count", count)):
-                setattr(self, name, np.insert(getattr(self, name), at[new], values))
-            at = np.searchsorted(self.hashes, found)
-        i = first  # a piece whose hash another piece holds in the cache goes by itself, as one with its hash in this call
-        same &= ((self.heads[at] == heads[i]) & (self.tails[at] == tails[i]) & (self.lengths[at] == lengths[i]))[which]
-        place, count = self.place[at][which], self.count[at][which]
-        for k in np.flatnonzero(~same):
-            place[k], count[k] = self._one(data[starts[k]:starts[k] + lengths[k]].tobytes())
-        return place, count
-
-    def _one(self, piece: bytes) -> tuple[int, int]:
-        place, count = self._long([piece])
-        return int(place[0]), int(count[0])
-
-    def _long(self, pieces: list):
-        """(place, count) in ``self.ids`` of pieces of any length."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self.long]
-        ids = self._encode_new(new)
-        at = len(self.ids)
-        for piece, found in zip(new, ids):
-            self.long[piece] = (at, len(found))
-            at += len(found)
-        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, at - len(self.ids))])
-        self.long_bytes += sum(map(len, new))
-        got = np.array([self.long[p] for p in pieces], np.int64).reshape(-1, 2)
-        return got[:, 0], got[:, 1]
+        return flatten([[t.id for t in model.tokenize(p.decode("latin-1").translate(chars))] if ids is None else ids
+                        for p, ids in zip(pieces, out)])
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text)."""
         raw = data[int(bounds[0]):int(bounds[-1])].tobytes()
         if not self.by_pieces or any(w in raw for w in self.whole):
-            ids = self._library([data[a:b].tobytes().decode() for a, b in zip(bounds[:-1], bounds[1:])])
-            return np.fromiter(itertools.chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+            return flatten(self._library([data[a:b].tobytes().decode() for a, b in zip(bounds[:-1], bounds[1:])]))
         if not raw:
             return np.empty(0, np.uint32), np.zeros(len(bounds) - 1, np.int64)
-        if len(self.hashes) > CACHE_PIECES or self.long_bytes > CACHE_LONG_BYTES:
-            self._clear()
         data, bounds = np.frombuffer(raw, np.uint8), bounds - int(bounds[0])
         starts = piece_starts(data, bounds)
-        lengths = np.diff(np.append(starts, len(data)))
-        place, count = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
-        big, small = np.flatnonzero(lengths > 16), np.flatnonzero(lengths <= 16)
-        if len(big):
-            place[big], count[big] = self._long([raw[a:a + n] for a, n in zip(starts[big], lengths[big])])
-        if len(small):
-            place[small], count[small] = self._short(data, starts[small], lengths[small])
+        place, count = self.lookup(data, starts, np.diff(np.append(starts, len(data))))
         first = np.searchsorted(starts, bounds)
         total = np.concatenate([[0], np.cumsum(count)])
-        return self.ids[spans(place, count)], total[first[1:]] - total[first[:-1]]
+        return self.codes[spans(place, count)], total[first[1:]] - total[first[:-1]]

@@ -128,8 +128,8 @@ def _block(ids_column, counts, ranks) -> bytes:
     return _HEADER.pack(MAGIC, VERSION, len(counts), len(ranks), len(documents), len(control), len(data)) + documents + control + data
 
 
-def _block_batches(rank_of):
-    """Sorted (id, ids) rows to blocks of about ``BLOCK_IDS`` ids, one row each."""
+def _block_batches(rank_of, block_ids: int):
+    """Sorted (id, ids) rows to blocks of about ``block_ids`` ids, one row each; documents stay whole."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -145,7 +145,7 @@ def _block_batches(rank_of):
             cells, column = batch.column("ids"), batch.column("id")
             for i in range(batch.num_rows):
                 ids = unpack_ints(cells[i].as_py())
-                if n and n + len(ids) > BLOCK_IDS:
+                if n and n + len(ids) > block_ids:
                     yield done(keys, parts)
                     keys, parts, n = [], [], 0
                 keys.append(column.slice(i, 1))
@@ -242,7 +242,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     order = [F.asc_nulls_first("id"), F.asc("tie"), F.asc("row")]
     texts = coded.filter(F.col("ids").isNotNull()).select("id", "tie", "row", "ids")
     blocks = texts.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids") \
-        .mapInArrow(_block_batches(spark.sparkContext.broadcast(rank_of)), "value binary")
+        .mapInArrow(_block_batches(spark.sparkContext.broadcast(rank_of), BLOCK_IDS), "value binary")
     blocks.select(F.col("value").cast("string").alias("value")) \
         .write.option("compression", "none").option("maxRecordsPerFile", FILE_BLOCKS).text(f"{path}/ids")
 

@@ -42,16 +42,14 @@ def test_measures_equal_brute_force(spark):
 
 def test_fertility_equals_the_vocabularies(spark):
     v = quality_rules._Vocabularies(quality_rules.VOCABULARIES)
-    text = "The été \U0001f9ff the THE 你好 x" + "y" * 250
+    text = "The été \U0001f9ff the THE 你好 no\u00a0break\u2003 it's 12.5% \u0301 x" + "y" * 250 + " " + "z1" * 4000
     m = quality_rules.measure(spark.createDataFrame([(text,)], "text string")).first().measures
     ids, fallback, pieces = [], 0, 0
     for w in brute.space_words(text):
-        for k in range(0, len(w), quality_rules.LONG_WORD):
-            part = w[k:k + quality_rules.LONG_WORD]
-            ids += v.bpe.encode_ordinary(part if k else " " + part)
-            got = v.piece.encode(part)
-            pieces += len(got)
-            fallback += sum(v.piece.is_byte(i) for i in got)
+        ids += v.bpe.encode_ordinary(" " + w)
+        got = v.piece.encode(w)
+        pieces += len(got)
+        fallback += sum(v.piece.is_byte(i) for i in got)
     p = np.unique(ids, return_counts=True)[1] / len(ids)
     assert m.n_tokens == len(ids) and m.chars_per_token == pytest.approx(m.word_chars / len(ids))
     assert m.byte_share == pytest.approx(fallback / pieces) and fallback > 0
@@ -89,7 +87,7 @@ def test_thin_classes_have_bands(spark):
     rows += [(2000, "en", junk(20_000)), (2001, "xx", junk(300)), (2002, None, junk(300)), (2003, "en", junk(100_000))]
     out = quality_rules.judge(quality_rules.measure(spark.createDataFrame(rows, "doc_id long, lang string, text string"))).collect()
     got = {x.doc_id: (x.base_failed, x.kept) for x in out}
-    assert all(got[d] == (False, False) for d in (2000, 2001, 2002, 2003)) and got[1001] == (False, True)
+    assert all(got[d] == (False, False) for d in (2000, 2001, 2002, 2003)) and got[1000] == got[1001] == (False, True)
     assert all(x.kept is not None for x in out)
 
 
