@@ -40,9 +40,12 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .columns import fresh
 
+# attributes are read name by name, as browsers do: a value without quotes reaches up to white space or ">", whatever it holds
+_VALUE = r"\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^'\"<>]|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[\s/]++|[^\s/<>=]++(?:\s*+=\s*+(?:" + _VALUE + r")?)?|=)*+)>", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/<>]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*+)))?")
 _WORD = re.compile(r"[a-z0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,6 +60,7 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 BARRIERS = frozenset("ul ol dl table menu html body article section div main select".split())
 _P_BARRIERS = BARRIERS | {"li", "td", "th", "dd", "dt", "blockquote"}
 _ITEM_BARRIERS = BARRIERS - {"section", "div"}
+_ITEMS = frozenset(name for names in CLOSES.values() for name in names)
 LEFT_OUT_TAGS = frozenset("""script style textarea title noscript iframe xmp noembed noframes head nav footer aside button select
     option input menu dialog template svg canvas object embed audio video map""".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar status".split())
@@ -73,12 +77,23 @@ TEXT = "#text"
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "text", "out", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "text", "out", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum",
+                 "depth", "block_depth", "in_article", "paragraph", "item")
 
     def __init__(self, tag, parent, text="", out=False, named=""):
         self.tag, self.parent, self.children, self.text, self.out, self.named = tag, parent, [], text, out, named
         if parent is not None:
             parent.children.append(self)
+        if tag == TEXT:
+            return
+        # what an ancestor-or-self is, told from the parent alone: its depth, the nearest block's, whether one is an article, the
+        # paragraph and the list or table part that are open up to the next barrier
+        self.depth = 0 if parent is None else parent.depth + 1
+        self.block_depth = self.depth if tag in BLOCK or parent is None else parent.block_depth
+        self.in_article = tag in ("article", "main") or parent is not None and parent.in_article
+        above = parent is not None and parent
+        self.paragraph = self if tag == "p" else None if not above or tag in _P_BARRIERS else above.paragraph
+        self.item = self if tag in _ITEMS else None if not above or tag in _ITEM_BARRIERS else above.item
 
 
 def _attributes(source: str) -> dict:
@@ -110,20 +125,24 @@ def parse(page: str) -> _Node:
     root = _Node("html", None)
     at = root
     place = 0
+    open_nodes: dict = {}  # tag: its open elements, the innermost last
 
     def add_text(piece: str):
         if piece:
             _Node(TEXT, at, html.unescape(piece))
 
-    def closed(names, barrier):
-        node = at
-        while node is not None and node.parent is not None:
-            if node.tag in names:
-                return node.parent
-            if node.tag in barrier:
-                return at
-            node = node.parent
-        return at
+    def leave_up_to(node):
+        """Close what is open below ``node``; every element is closed once, so all closing is linear."""
+        nonlocal at
+        while at is not node:
+            open_nodes[at.tag].pop()
+            at = at.parent
+
+    def item_of(names):
+        node = at.item
+        while node is not None and node.tag not in names:
+            node = node.parent.item
+        return node
 
     length = len(page)
     while place < length:
@@ -141,30 +160,27 @@ def parse(page: str) -> _Node:
         if m[1]:
             if tag in VOID:
                 continue
-            node = at  # an inline end tag does not reach beyond the block it stands in
-            while node.parent is not None and node.tag != tag and (tag in BLOCK or node.tag not in BLOCK):
-                node = node.parent
-            if node.tag == tag and node.parent is not None:
-                at = node.parent
+            opened = open_nodes.get(tag)
+            # an inline end tag does not reach beyond the block it stands in
+            if opened and (tag in BLOCK or opened[-1].depth > at.block_depth):
+                leave_up_to(opened[-1].parent)
             continue
         if tag in ("html", "body") and at is not root and tag == "html":
             continue
-        if tag in BLOCK:
-            at = closed(("p",), _P_BARRIERS)
+        if tag in BLOCK and at.paragraph is not None:
+            leave_up_to(at.paragraph.parent)
         if tag in CLOSES:
-            node = closed(CLOSES[tag], _ITEM_BARRIERS)
-            while node is not at:
-                at = node
-                node = closed(CLOSES[tag], _ITEM_BARRIERS)
-        above, in_article = at, False
-        while above is not None and not in_article:
-            in_article, above = above.tag in ("article", "main"), above.parent
+            node = item_of(CLOSES[tag])
+            while node is not None:
+                leave_up_to(node.parent)
+                node = item_of(CLOSES[tag])
         found = _attributes(m[3]) if m[3].strip("/ \t\n") else {}
-        child = _Node(tag, at, out=_left_out(tag, found, in_article), named=_named(tag, found))
+        child = _Node(tag, at, out=_left_out(tag, found, at.in_article), named=_named(tag, found))
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, place)
             place = end.end() if end else length
         elif tag not in VOID and not m[3].rstrip().endswith("/") or tag in BLOCK and tag != "hr":
+            open_nodes.setdefault(tag, []).append(child)
             at = child
     return root
 
