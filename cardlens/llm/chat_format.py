@@ -81,14 +81,19 @@ def _role(label: Column, template: Template) -> Column:
     return role
 
 
-def role_states(roles: Column, template: Template) -> Column:
-    """Run the automaton over an array of roles; array of the state after each turn (``error`` is absorbing)."""
+def run_roles(roles: Column, template: Template) -> Column:
+    """Run the automaton over an array of roles: struct<state (the last one; ``error`` is absorbing), bad (0-based first turn that
+    is not accepted, or null)>. Only these two are carried from turn to turn."""
     sep = "\x1f"
     table = F.create_map(*[F.lit(x) for (state, role), to in template.transitions.items() for x in (state + sep + role, to)])
-    step = lambda state, role: F.coalesce(F.try_element_at(table, F.concat(state, F.lit(sep), role)), F.lit(ERROR))
-    last = lambda states: F.coalesce(F.try_element_at(states, F.lit(-1)), F.lit(START))
-    return F.aggregate(roles, F.array().cast("array<string>"),
-                       lambda states, role: F.concat(states, F.array(step(last(states), role))))
+    start = F.struct(F.lit(START).alias("state"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("bad"))
+
+    def step(acc: Column, role: Column) -> Column:
+        state = F.coalesce(F.try_element_at(table, F.concat(acc["state"], F.lit(sep), role)), F.lit(ERROR))
+        bad = F.coalesce(acc["bad"], F.when(state == ERROR, acc["n"]))
+        return F.struct(state.alias("state"), (acc["n"] + 1).alias("n"), bad.alias("bad"))
+
+    return F.aggregate(roles, start, step, lambda acc: F.struct(acc["state"].alias("state"), acc["bad"].alias("bad")))
 
 
 def format_chats(turns: DataFrame, template: Template | None = None, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -107,11 +112,9 @@ def format_chats(turns: DataFrame, template: Template | None = None, conv_col: s
         segment(escaped(x["text"], t, keep=":"), x["role"].isin(*t.loss_roles), "text"),
         segment(F.lit(t.close), F.lit(False), "close"))
     chats = chats.withColumn("segments", F.flatten(F.transform("_turns", of_turn)))
-    states = role_states(F.transform("_turns", lambda x: x["role"]), t)
-    chats = chats.withColumn("_states", states)
-    bad = F.array_position("_states", ERROR)
-    ends = F.coalesce(F.try_element_at("_states", F.lit(-1)), F.lit(START)).isin(*t.final)
-    chats = chats.withColumn("error_turn", F.when(bad > 0, bad - 1).when(~ends, F.size("_states").cast("long")))
+    chats = chats.withColumn("_run", run_roles(F.transform("_turns", lambda x: x["role"]), t))
+    ends = F.col("_run.state").isin(*t.final)
+    chats = chats.withColumn("error_turn", F.when(F.col("_run.bad").isNotNull(), F.col("_run.bad")).when(~ends, F.size("_turns").cast("long")))
     return chats.select(conv_col, "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
                         F.col("error_turn").isNull().alias("valid"), "error_turn")
 

@@ -53,7 +53,9 @@ def op9_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import format_chats, read_turns
 
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame(PROBE_CONVERSATION, "conv_id long, turn long, role string, text string")
+    rows = F.array(*[F.struct(F.lit(c).cast("long").alias("conv_id"), F.lit(n).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(x).alias("text"))
+                     for c, n, r, x in PROBE_CONVERSATION])
+    probe = spark.range(1).select(F.inline(rows))
     chats = format_chats(turns.unionByName(probe)).withColumn("_read", read_turns(F.col("formatted")))
     line = F.transform("_read", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
     under_loss = F.array_join(F.transform(F.filter("_read", lambda x: x["loss"]), lambda x: x["text"]), "")
