@@ -16,12 +16,17 @@ def space_word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(SPACE_WORD)), F.lit(0)).cast("long")
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on columns of the same name in which null equals null; the left side's keys are kept."""
-    side = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
+    side = right.select(*[named(c).alias(f"__r_{c}") if c in on else named(c) for c in right.columns])
     cond = None
     for c in on:
-        one = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+        one = named(c).eqNullSafe(named(f"__r_{c}"))
         cond = one if cond is None else cond & one
     return left.join(side, cond, how).drop(*[f"__r_{c}" for c in on])
 

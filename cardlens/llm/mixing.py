@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_shared
-from .columns import fresh, null_safe_join
+from .columns import fresh, named, null_safe_join
 
 CELL_ROWS = 512
+ARRAY_ROWS = 1 << 16
 MAX_REPEATS = 3
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -68,10 +69,10 @@ def capped_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
 
 
 def plan_copies(docs: DataFrame, id_col: str, source_col: str, size_col: str, weights: Sequence[int] = (5, 2, 1),
-                max_repeats: int = MAX_REPEATS, seed: int = 0) -> DataFrame:
-    """One row per distinct (id, source, size): ``n`` rows of ``docs``, their first ``position`` in the
-    source's order, and the source's source_size, target, rate and offset."""
-    key = [id_col, source_col, size_col]
+                max_repeats: int = MAX_REPEATS, seed: int = 0, content: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct (id, source, size) and ``content``, columns that tell rows of one id apart: ``n`` rows of ``docs``,
+    their first ``position`` in the source's order, and the source's source_size, target, rate and offset."""
+    key = [id_col, source_col, size_col, *content]
     keyed = write_shared(docs.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
                          .withColumn("_h", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))), "mix-keys")
     groups = keyed.groupBy(source_col, size_col).agg(F.sum("n").alias("_gn"))
@@ -92,7 +93,7 @@ def plan_copies(docs: DataFrame, id_col: str, source_col: str, size_col: str, we
     by_cell = Window.partitionBy(source_col, size_col).orderBy("_cell").rowsBetween(*_BEFORE)
     counts = counts.withColumn("_cstart", F.coalesce(F.sum("_cn").over(by_cell), F.lit(0))).drop("_cn")
     keyed = null_safe_join(keyed, counts, [source_col, size_col, "_cell"])
-    in_cell = Window.partitionBy(source_col, size_col, "_cell").orderBy("_h", F.col(id_col).asc_nulls_first()) \
+    in_cell = Window.partitionBy(source_col, size_col, "_cell").orderBy("_h", F.col(id_col).asc_nulls_first(), *content) \
         .rowsBetween(*_BEFORE)
     position = F.col("_gstart") + F.col("_cstart") + F.coalesce(F.sum("n").over(in_cell), F.lit(0))
     return keyed.select(*key, "n", position.alias("position"), "source_size", "target", "rate", "offset")
@@ -103,29 +104,40 @@ def copies_at(position: Column, rate: Column, offset: Column) -> Column:
     return (F.floor((position + 1) * rate + offset) - F.floor(position * rate + offset)).cast("long")
 
 
+def _numbered(plan: DataFrame, n: str, j: str) -> DataFrame:
+    """The rows of ``plan`` once for each ``j`` from 0 to ``n`` - 1; no array has more than ``ARRAY_ROWS`` entries."""
+    high = fresh(plan.columns, "_high")
+    count = named(n)
+    rows = plan.withColumn(high, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / ARRAY_ROWS)))) \
+        .withColumn(j, F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(ARRAY_ROWS - 1), count - 1 - F.col(high) * ARRAY_ROWS))))
+    return rows.withColumn(j, F.col(high) * ARRAY_ROWS + F.col(j)).drop(high)
+
+
 def copy_counts(docs: DataFrame, id_col: str, source_col: str, size_col: str, **options) -> DataFrame:
     """(id, source, size) of every row of ``docs`` with source_size, target and its number of ``copies``."""
-    plan = plan_copies(docs, id_col, source_col, size_col, **options)
-    rows = plan.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    return rows.select(id_col, source_col, size_col, "source_size", "target",
+    keys = docs.select(named(id_col).alias("_id"), named(source_col).alias("_source"), named(size_col).alias("_size"))
+    rows = _numbered(plan_copies(keys, "_id", "_source", "_size", **options), "n", "_j")
+    return rows.select(F.col("_id").alias(id_col), F.col("_source").alias(source_col), F.col("_size").alias(size_col), "source_size", "target",
                        copies_at(F.col("position") + F.col("_j"), F.col("rate"), F.col("offset")).alias("copies"))
 
 
 def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as it is drawn, with a ``copy`` number from 1.
 
-    All columns of ``docs`` are kept; ``size`` is an expression over them. The
-    plan is made on (id, source, size) only and joined back, so whole rows are
-    shuffled once.
+    All columns of ``docs`` are kept; ``size`` is an expression over them. The plan is made on (id, source, size) and a
+    checksum of the row. Rows are brought together by that checksum, equal rows as one, so whole
+    rows are shuffled once and rows without id, or of one id, stand apart.
     """
-    size_col, copy = fresh(docs.columns, "_mix_size"), fresh(docs.columns, "copy")
-    sized = docs.withColumn(size_col, size)
-    plan = plan_copies(sized.select(id_col, source_col, size_col), id_col, source_col, size_col, **options)
-    plan = plan.select(id_col, source_col, size_col, F.col("n").alias("__n"), F.col("position").alias("__position"),
-                       F.col("rate").alias("__rate"), F.col("offset").alias("__offset"))
-    rows = null_safe_join(sized, plan, [id_col, source_col, size_col], "inner")
-    content = F.xxhash64(*[F.col(c) for c in docs.columns])
-    nth = F.row_number().over(Window.partitionBy(id_col, source_col, size_col).orderBy(content)) - 1
-    rows = rows.withColumn("__copies", copies_at(F.col("__position") + nth, F.col("__rate"), F.col("__offset")))
-    rows = rows.filter(F.col("__copies") > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return rows.select(*docs.columns, copy)
+    names = {c: fresh(docs.columns, f"_mix_{c}") for c in ("id", "source", "size", "one", "two")}
+    cells = [named(c) for c in docs.columns]
+    keyed = docs.select("*", named(id_col).alias(names["id"]), named(source_col).alias(names["source"]), size.alias(names["size"]),
+                        F.xxhash64(*cells).alias(names["one"]), F.xxhash64(F.lit(1), *cells).alias(names["two"]))  # 128 bits, never null
+    row = [names["one"], names["two"]]
+    plan = plan_copies(keyed.select(*names.values()), names["id"], names["source"], names["size"], content=row, **options)
+    plan = plan.select(*row, *[F.col(c).alias(fresh(docs.columns, f"_mix_{c}")) for c in ("n", "position", "rate", "offset")])
+    n, position, rate, offset = plan.columns[2:]
+    rows = keyed.dropDuplicates(row).select(*cells, *row).join(plan, row)
+    nth, copies, copy = (fresh([*rows.columns, *docs.columns], c) for c in ("_mix_nth", "_mix_copies", "copy"))
+    rows = _numbered(rows, n, nth).withColumn(copies, copies_at(F.col(position) + F.col(nth), F.col(rate), F.col(offset)))
+    rows = rows.filter(F.col(copies) > 0).select(*cells, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copy))
+    return rows

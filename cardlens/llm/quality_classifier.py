@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .columns import fresh
+from .columns import fresh, named
 
 WORD_BITS = 16
 FACTORS = 8
@@ -241,4 +241,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows whose score reaches ``threshold``, all columns kept."""
     name = fresh(docs.columns, "score")
-    return score(docs, model, text_col).filter(F.col(name) >= threshold).select(*docs.columns)
+    return score(docs, model, text_col).filter(F.col(name) >= threshold).select(*[named(c) for c in docs.columns])

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import fresh
+from .columns import fresh, named
 
 PREFIX_HEX = 8  # four bytes, as short list entries have
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,7 +61,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     listed = hash_rules(rules)
     # path prefixes are taken at the lengths that rule paths have; no more than the longest rule path has characters
     lengths = sorted(r[0] for r in listed.select("_plen").distinct().collect() if r[0] is not None)
-    urls = pages.filter(F.col(url_col).isNotNull()).select(F.col(url_col).alias("_url")).distinct()
+    url = named(url_col)
+    urls = pages.select(url.alias("_url")).filter(F.contains("_url", F.lit("://"))).distinct()
     urls = urls.select("_url", url_host(F.col("_url")).alias("_host"), url_path(F.col("_url")).alias("_path"))
     urls = urls.filter(F.col("_host") != "")
     labels = F.split(F.col("_host"), r"\.", -1)
@@ -76,9 +77,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     hits = spread.join(listed.drop("_plen"), "prefix").filter(F.col("_d") == F.col("digest"))
     best = hits.groupBy("_url").agg(F.max(F.struct(F.length("rule").alias("len"), F.col("verdict"), F.col("rule"))).alias("_best"))
     names = {c: fresh(pages.columns, c) for c in ("host", "path", "rule", "verdict")}
-    joined = pages.join(best, pages[url_col] == best["_url"], "left")
-    return joined.select(*[pages[c] for c in pages.columns],
-                         F.coalesce(url_host(pages[url_col]), F.lit("")).alias(names["host"]),
-                         F.coalesce(url_path(pages[url_col]), F.lit("")).alias(names["path"]),
-                         F.col("_best.rule").alias(names["rule"]),
-                         F.coalesce(F.col("_best.verdict"), F.lit(default)).alias(names["verdict"]))
+    key, judged = fresh(pages.columns, "_key"), fresh(pages.columns, "_judged")
+    best = best.select(F.col("_url").alias(key), F.col("_best").alias(judged))
+    # a url without "://" meets no verdict, so its rows need not meet in one place; null ones would
+    apart = F.concat(F.lit(" "), F.xxhash64(*[named(c) for c in pages.columns]).cast("string"))
+    keyed = pages.withColumn(key, F.when(F.contains(url, F.lit("://")), url).otherwise(apart))
+    joined = keyed.join(best, key, "left")
+    return joined.select(*[named(c) for c in pages.columns],
+                         F.coalesce(url_host(url), F.lit("")).alias(names["host"]),
+                         F.coalesce(url_path(url), F.lit("")).alias(names["path"]),
+                         F.col(judged)["rule"].alias(names["rule"]),
+                         F.coalesce(F.col(judged)["verdict"], F.lit(default)).alias(names["verdict"]))
