@@ -2,7 +2,8 @@
 
 Texts are cut into lower-case words (runs of ASCII letters, digits and characters
 beyond ASCII) and five-word shingles. An item is contained in a document if at
-least ``CONTAINMENT`` of its distinct shingles occur in it.
+least ``CONTAINMENT`` of its distinct shingles occur in it. An item of one to four words is one
+shingle, its whole sequence, and is looked up among the documents' shingles of that width.
 
 Items are partitioned by size (powers of two of their number of shingles). A
 partition with largest size u keeps of each item the m = u - ceil(t * u) + 1
@@ -20,8 +21,7 @@ sketch shingles; each candidate pair is then verified by intersecting the two se
 shingle texts. If the items outgrow the bitmap it lets more through, which costs
 time and changes no result.
 
-Edge cases: null and empty texts have no shingles; items of fewer than five words
-have none either and are in no pair; repeated rows give one result row per
+Edge cases: null and empty texts have no shingles, so such items are in no pair; repeated rows give one result row per
 (doc, item); rows of one id are searched one by one and the largest containment
 counts; a null id is kept as it is; empty tables give an empty result.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
-from .columns import fresh, null_safe_join
+from .columns import fresh, named, null_safe_join
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -77,20 +77,26 @@ def _item_batches(width: int):
         for batch in batches:
             data, bounds = text_bytes(batch.column(1))
             for low, high in slices(bounds):
-                hashes, starts, stops, edges = _shingles(data, bounds[low:high + 1], width)
-                owner = np.repeat(np.arange(low, high), np.diff(edges))
-                texts = [_spelled(data, a, b) for a, b in zip(starts, stops)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(hashes.view(np.int64)), pa.array(texts, pa.string())],
-                                                 ["item", "hash", "shingle"])
+                for w in range(width, 0, -1):
+                    hashes, starts, stops, edges = _shingles(data, bounds[low:high + 1], w)
+                    n = np.diff(edges)
+                    owner = np.repeat(np.arange(low, high), n)
+                    if w < width:  # the whole of a text of so few words
+                        whole = np.repeat(n == 1, n)
+                        hashes, starts, stops, owner = hashes[whole], starts[whole], stops[whole], owner[whole]
+                    texts = [_spelled(data, a, b) for a, b in zip(starts, stops)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), pa.array(hashes.view(np.int64)),
+                                                      pa.array(texts, pa.string()), pa.array([w] * len(texts), pa.int32())],
+                                                     ["item", "hash", "shingle", "width"])
     return run
 
 
 def item_shingles(items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH,
                   containment: float = CONTAINMENT) -> DataFrame:
-    """(item, hash, shingle, n_shingles, in_sketch): the distinct shingles of every item, those of its sketch marked."""
+    """(item, hash, shingle, width, n_shingles, in_sketch): the distinct shingles of every item, those of its sketch marked."""
     ship_package(items.sparkSession)
     kind = items.schema[id_col].dataType.simpleString()
-    rows = items.select(id_col, text_col).mapInArrow(_item_batches(width), f"item {kind}, hash bigint, shingle string").distinct()
+    rows = items.select(named(id_col), named(text_col)).mapInArrow(_item_batches(width), f"item {kind}, hash bigint, shingle string, width int").distinct()
     sizes = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n_shingles"))
     rows = null_safe_join(rows, sizes, ["item"], "inner")
     upper = F.expr("shiftleft(1L, cast(ceil(log2(n_shingles)) as int))")  # largest size of the partition
@@ -110,7 +116,7 @@ def _bitmap(shingles: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _hit_batches(width: int, bits: int, bitmaps):
+def _hit_batches(widths: list, bits: int, bitmaps):
     def run(batches):
         import pyarrow as pa
 
@@ -126,13 +132,14 @@ def _hit_batches(width: int, bits: int, bitmaps):
             data, bounds = text_bytes(batch.column(2))
             owners, hits, firsts = [], [], []
             for low, high in slices(bounds):
-                hashes, starts, stops, edges = _shingles(data, bounds[low:high + 1], width)
-                some = np.flatnonzero(listed(every, hashes))
-                first = listed(sketch, hashes[some])
-                owner = np.searchsorted(edges, some, side="right") - 1 + low
                 found: dict = {}
-                for i, o, s in zip(some, owner, first):
-                    found.setdefault(int(o), {}).setdefault(_spelled(data, starts[i], stops[i]), bool(s))
+                for width in widths:
+                    hashes, starts, stops, edges = _shingles(data, bounds[low:high + 1], width)
+                    some = np.flatnonzero(listed(every, hashes))
+                    first = listed(sketch, hashes[some])
+                    owner = np.searchsorted(edges, some, side="right") - 1 + low
+                    for i, o, s in zip(some, owner, first):
+                        found.setdefault(int(o), {}).setdefault(_spelled(data, starts[i], stops[i]), bool(s))
                 for o, texts in found.items():
                     if any(texts.values()):
                         owners.append(o)
@@ -147,43 +154,41 @@ def _hit_batches(width: int, bits: int, bitmaps):
 
 def _leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
              width: int = WIDTH, containment: float = CONTAINMENT, bits: int = BITS) -> DataFrame:
-    """(doc, text_key, item, n_shared, n_shingles) of every different row, by id and text, that contains an item."""
+    """(doc, text_key, item, n_shared, n_shingles, width) of every different row, by id and text, that contains an item;
+    ``width`` is that of its shingles, below five for an item of so few words."""
     spark: SparkSession = docs.sparkSession
     listed = write_shared(item_shingles(items, item_col, text_col, width, containment), "item-shingles")
     bitmaps = spark.sparkContext.broadcast((_bitmap(listed, bits), _bitmap(listed.filter("in_sketch"), bits)))
+    widths = sorted(r["width"] for r in listed.select("width").distinct().collect())  # at most five
     kind = docs.schema[id_col].dataType.simpleString()
-    sent = docs.select(F.col(id_col), F.xxhash64(text_col).alias("text_key"), F.col(text_col))
-    hits = sent.mapInArrow(_hit_batches(width, bits, bitmaps),
+    text = named(text_col)
+    sent = docs.select(named(id_col).alias("doc"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    hits = sent.mapInArrow(_hit_batches(widths, bits, bitmaps),
                            f"doc {kind}, text_key bigint, hits array<string>, sketch_hits array<string>")
     hits = write_shared(hits, "shingle-hits")
     probe = hits.select("doc", "text_key", F.explode("sketch_hits").alias("shingle"))
     candidates = probe.join(listed.filter("in_sketch").select("shingle", "item"), "shingle").select("doc", "text_key", "item").distinct()
-    whole = listed.groupBy("item", "n_shingles").agg(F.collect_list("shingle").alias("shingles"))
+    whole = listed.groupBy("item", "n_shingles", "width").agg(F.collect_list("shingle").alias("shingles"))
     pairs = null_safe_join(candidates, hits.select("doc", "text_key", "hits").dropDuplicates(["doc", "text_key"]), ["doc", "text_key"], "inner")
     pairs = null_safe_join(pairs, whole, ["item"], "inner")
-    pairs = pairs.select("doc", "text_key", "item", F.size(F.array_intersect("hits", "shingles")).cast("long").alias("n_shared"), "n_shingles")
+    pairs = pairs.select("doc", "text_key", "item", F.size(F.array_intersect("hits", "shingles")).cast("long").alias("n_shared"), "n_shingles", "width")
     return pairs.filter(F.col("n_shared") >= containment * F.col("n_shingles") - 1e-9)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
                width: int = WIDTH, containment: float = CONTAINMENT, bits: int = BITS) -> DataFrame:
-    """(doc id, item id, n_shared, n_shingles, containment) of every document that contains an item."""
-    best = _leaking(docs, items, id_col, item_col, text_col, width, containment, bits).groupBy("doc", "item", "n_shingles") \
+    """(doc id, item id, n_shared, n_shingles, containment, shingle_words) of every document that contains an item."""
+    best = _leaking(docs, items, id_col, item_col, text_col, width, containment, bits).groupBy("doc", "item", "n_shingles", "width") \
         .agg(F.max("n_shared").alias("n_shared"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_shared", "n_shingles",
-                       (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
+                       (F.col("n_shared") / F.col("n_shingles")).alias("containment"), F.col("width").alias("shingle_words"))
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that contain an item (all rows of their id go); rows without id are judged as one id."""
-    leaked = find_leaks(docs, items, id_col, **options).select(F.col(id_col).alias("__leaked")).distinct()
-    return docs.join(leaked, docs[id_col].eqNullSafe(leaked["__leaked"]), "left_anti")
-
-
-def drop_leaking_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without exactly the rows whose text contains an item, whatever other rows share their id or have none."""
-    key = fresh(docs.columns, "text_key")
-    leaked = _leaking(docs, items, id_col, text_col=text_col, **options) \
-        .select(F.col("doc").alias(id_col), F.col("text_key").alias(key)).distinct()
-    keyed = docs.withColumn(key, F.xxhash64(text_col))
-    return null_safe_join(keyed, leaked, [id_col, key], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 1, **options) -> DataFrame:
+    """``docs`` without exactly the rows whose text contains an item of ``min_words`` words or more (``WIDTH`` at most counts:
+    longer items are never left out), whatever other rows share their id or have none."""
+    one, two = fresh(docs.columns, "leak_id"), fresh(docs.columns, "text_key")
+    leaked = _leaking(docs, items, id_col, text_col=text_col, **options).filter(F.col("width") >= min(min_words, WIDTH)) \
+        .select(F.col("doc").alias(one), F.col("text_key").alias(two)).distinct()
+    keyed = docs.withColumn(one, named(id_col)).withColumn(two, F.xxhash64(named(text_col)))
+    return null_safe_join(keyed, leaked, [one, two], "left_anti").select(*[named(c) for c in docs.columns])
