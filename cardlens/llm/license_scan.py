@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .columns import fresh
 from .license_rules import CONFIDENCE, Rule, build_rules
 
+CHUNK = 256
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # after A-Z are lower-cased
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,48 +47,94 @@ def _words_in(piece: Column) -> Column:
     return ((F.length(piece) - F.length(F.replace(piece, F.lit(" "), F.lit("")))) / 2).cast("bigint")
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _chunks(array: Column) -> Column:
+    """The array in pieces of ``CHUNK`` entries."""
+    places = F.when(F.size(array) > 0, F.sequence(F.lit(0), F.floor((F.size(array) - 1) / CHUNK).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.slice(array, i * CHUNK + 1, F.lit(CHUNK)))
+
+
+def _scan(array: Column, first: Column, total, merge, walk) -> Column:
+    """One pass over an array with a state, entry by entry, in time linear in its length.
+
+    ``total(chunk)`` is what a chunk adds to the state, ``merge(state, that)`` the state after it, ``walk(chunk, state)`` the
+    chunk's results from the state before it. An array that grew entry by entry would be copied for each; here no more
+    than a chunk of results, or one state per chunk, ever grows.
+    """
+    def states(chunks: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array(first).alias("all"))
+        step = lambda acc, c: _let(merge(acc["at"], total(c)), lambda s: F.struct(s.alias("at"), F.concat(acc["all"], F.array(s)).alias("all")))
+        return F.aggregate(chunks, start, step, lambda acc: acc["all"])
+
+    def walked(x: Column) -> Column:
+        return F.flatten(F.transform(x["chunks"], lambda c, i: walk(c, F.get(x["states"], i))))
+
+    return _let(_chunks(array), lambda chunks: _let(F.struct(chunks.alias("chunks"), states(chunks).alias("states")), walked))
+
+
+def _sums_before(array: Column) -> Column:
+    """Sum of all entries before each (bigints)."""
+    zero = F.lit(0).cast("bigint")
+
+    def walk(chunk: Column, state: Column) -> Column:
+        start = F.struct(state.alias("at"), F.array().cast("array<bigint>").alias("all"))
+        return F.aggregate(chunk, start, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
+                           lambda acc: acc["all"])
+
+    return _scan(array, zero, lambda c: F.aggregate(c, zero, lambda a, x: a + x), lambda s, t: s + t, walk)
+
+
 def _detections(canon: Column, rule: Column) -> Column:
     """All matches of one rule, with word positions summed up from the pieces between them."""
-    found = F.struct(F.split(canon, rule["pattern"], -1).alias("between"),
-                     F.regexp_extract_all(canon, rule["pattern"], F.lit(0)).alias("hits"))
+    hits = F.regexp_extract_all(canon, rule["pattern"], F.lit(0))
+    gaps = lambda n: F.transform(F.slice(F.split(canon, rule["pattern"], -1), F.lit(1), n), _words_in)
+    sizes = _let(hits, lambda h: F.struct(F.transform(h, _words_in).alias("inside"), F.when(F.size(h) > 0, gaps(F.size(h))).alias("gap")))
 
     def places(x: Column) -> Column:
-        pairs = F.arrays_zip(F.slice(x["between"], 1, F.size(x["hits"])).alias("b"), x["hits"].alias("h"))
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_DETECTION}>").alias("out"))
-
-        def step(acc: Column, pair: Column) -> Column:
-            first = acc["at"] + _words_in(pair["b"])
-            end = first + _words_in(pair["h"])
-            one = F.struct(first.alias("start"), (-end).alias("neg_end"), rule["priority"].alias("priority"),
-                           rule["place"].alias("place"), rule["label"].alias("label"), rule["rule_id"].alias("rule_id"),
-                           rule["base"].alias("base"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one.cast(_DETECTION))).alias("out"))
+        def one(before: Column, i: Column) -> Column:
+            start = before + F.get(x["gap"], i)
+            return F.struct(start.alias("start"), (-(start + F.get(x["inside"], i))).alias("neg_end"), rule["priority"].alias("priority"),
+                            rule["place"].alias("place"), rule["label"].alias("label"), rule["rule_id"].alias("rule_id"),
+                            rule["base"].alias("base")).cast(_DETECTION)
 
-        return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+        return F.transform(_sums_before(F.zip_with(x["gap"], x["inside"], lambda g, n: g + n)), one)
 
-    return F.flatten(F.transform(F.array(found), places))
+    none = F.array().cast(f"array<{_DETECTION}>")
+    return _let(sizes, lambda x: F.when(F.size(x["inside"]) > 0, places(x)).otherwise(none))
 
 
 def unsuppressed(sorted_detections: Column) -> Column:
     """One sweep over detections sorted by (start, -end, priority, place).
 
     Whatever comes earlier starts no later, so a detection is spanned by an
-    earlier one of priority p exactly if the largest end seen with p reaches its
+    earlier one of priority p exactly if the largest end seen with p or less reaches its
     own end.
     """
     levels = sorted(CONFIDENCE)
-    seen = [F.lit(-1).cast("bigint").alias(f"end{p}") for p in levels]
-    start = F.struct(*seen, F.array().cast(f"array<{_DETECTION}>").alias("kept"))
+    none = F.lit(-1).cast("bigint")
+    first = F.struct(*[none.alias(f"end{p}") for p in levels])  # largest end seen with each priority
 
-    def step(acc: Column, d: Column) -> Column:
-        end = -d["neg_end"]
-        spanned = F.lit(False)
+    def seen(state: Column, d: Column) -> Column:
+        return F.struct(*[F.when(d["priority"] == p, F.greatest(state[f"end{p}"], -d["neg_end"])).otherwise(state[f"end{p}"]).alias(f"end{p}") for p in levels])
+
+    def spanned(state: Column, d: Column) -> Column:
+        out = F.lit(False)
         for p in levels:
-            spanned = spanned | ((d["priority"] >= p) & (acc[f"end{p}"] >= end))
-        ends = [F.when((d["priority"] == p) & (acc[f"end{p}"] < end), end).otherwise(acc[f"end{p}"]).alias(f"end{p}") for p in levels]
-        return F.struct(*ends, F.when(spanned, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"))
+            out = out | ((d["priority"] >= p) & (state[f"end{p}"] >= -d["neg_end"]))
+        return out
+
+    def walk(chunk: Column, state: Column) -> Column:
+        start = F.struct(state.alias("at"), F.array().cast("array<boolean>").alias("all"))
+        return F.aggregate(chunk, start, lambda acc, d: F.struct(seen(acc["at"], d).alias("at"), F.concat(acc["all"], F.array(spanned(acc["at"], d))).alias("all")),
+                           lambda acc: acc["all"])
 
-    return F.aggregate(sorted_detections, start, step, lambda acc: acc["kept"])
+    merge = lambda s, t: F.struct(*[F.greatest(s[f"end{p}"], t[f"end{p}"]).alias(f"end{p}") for p in levels])
+    gone = _scan(sorted_detections, first, lambda c: F.aggregate(c, first, seen), merge, walk)
+    return _let(gone, lambda g: F.filter(sorted_detections, lambda d, i: ~F.get(g, i)))
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] | None = None) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
-from .columns import fresh
+from .columns import fresh, named
 from .piece_cache import PieceCache, flatten
 from .textarrays import spans
 
@@ -337,9 +337,9 @@ def fit_bands(measured: DataFrame, lang_col: str = "lang", measures: str = "meas
     """(lang, length class, bands: script, low and high of each measure) of every language and length class among the
     measured texts that pass the base rules, and of every script in it. Texts with equal measures (exact copies) count
     once, so a large group of copies moves no quantile."""
-    m = F.col(measures)
+    m = named(measures)
     texts = measured.filter((m["n_words"] > 0) & ~base_failed(m)) \
-        .select(F.coalesce(lang_col, F.lit("")).alias("lang"), _length_class(m).alias("length_class"), m["n_tokens"].alias("n_tokens"),
+        .select(F.coalesce(named(lang_col), F.lit("")).alias("lang"), _length_class(m).alias("length_class"), m["n_tokens"].alias("n_tokens"),
                 m["script"].alias("script"), *[m[c].alias(c) for c in BANDS]).distinct()
     texts = write_shared(texts, "band-texts")
     centres = {c: F.array(*map(F.lit, map(float, v)))[F.col("length_class")] for c, v in _centres(texts).items()}
@@ -368,21 +368,22 @@ def fit_bands(measured: DataFrame, lang_col: str = "lang", measures: str = "meas
 def judge(measured: DataFrame, lang_col: str = "lang", measures: str = "measures") -> DataFrame:
     """``measured`` with base_failed and kept (column names that clash get underscores in front)."""
     bands = write_shared(fit_bands(measured, lang_col, measures), "bands")
-    own = bands.select("lang", "length_class", F.explode("bands").alias("__band")) \
-        .select(F.col("lang").alias("__lang"), F.col("length_class").alias("__class"), F.col("__band.script").alias("__script"), "__band")
-    m = F.col(measures)
-    rows = measured.withColumn("__lang", F.coalesce(lang_col, F.lit(""))).withColumn("__class", _length_class(m)) \
-        .withColumn("__script", m["script"])
+    lang, length, script, band = keys = [fresh(measured.columns, c) for c in ("_lang", "_length_class", "_script", "_band")]
+    own = bands.select("lang", "length_class", F.explode("bands").alias("b")) \
+        .select(F.col("lang").alias(lang), F.col("length_class").alias(length), F.col("b.script").alias(script), F.col("b").alias(band))
+    m = named(measures)
+    rows = measured.select("*", F.coalesce(named(lang_col), F.lit("")).alias(lang), _length_class(m).alias(length), m["script"].alias(script))
     own = F.broadcast(own) if own.count() <= BROADCAST_ROWS else own  # else Spark joins by shuffle
-    rows = rows.join(own, ["__lang", "__class", "__script"], "left")  # whatever passes the base rules has a band
+    rows = rows.join(own, keys[:3], "left")  # whatever passes the base rules has a band
     inside = F.lit(True)
     for c in BANDS:
-        inside = inside & m[c].between(F.col("__band")[f"{c}_low"], F.col("__band")[f"{c}_high"])
+        inside = inside & m[c].between(F.col(band)[f"{c}_low"], F.col(band)[f"{c}_high"])
     failed, kept = fresh(measured.columns, "base_failed"), fresh(measured.columns, "kept")
-    return rows.select(*measured.columns, base_failed(m).alias(failed), (~base_failed(m) & inside).alias(kept))
+    return rows.select(*[named(c) for c in measured.columns], base_failed(m).alias(failed), (~base_failed(m) & inside).alias(kept))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", folder: str = VOCABULARIES) -> DataFrame:
     """The rows of ``docs`` that pass, all columns kept. Texts and measures are written once to the shared folder."""
-    rows = judge(write_shared(measure(docs, text_col, True, folder), "measured"), lang_col)
-    return rows.filter("kept").select(*docs.columns)
+    measures = fresh(docs.columns, "measures")
+    rows = judge(write_shared(measure(docs, text_col, True, folder), "measured"), lang_col, measures)
+    return rows.filter(named(fresh([*docs.columns, measures], "kept"))).select(*[named(c) for c in docs.columns])

@@ -59,13 +59,14 @@ def shingles(text, width=5):
 
 
 def leaks(docs, items, containment=0.8):
-    """{(doc, item): (shared, size)}; docs and items are (id, text) rows."""
+    """{(doc, item): (shared, size)}; docs and items are (id, text) rows. An item of under five words is one shingle."""
     out = {}
-    wanted = [(i, shingles(t)) for i, t in items]
+    widths = [min(5, len(re.findall("[0-9a-z\x80-\U0010ffff]+", (t or "").translate(_LOWER)))) for _, t in items]
+    wanted = [(i, w, shingles(t, w) if w else set()) for (i, t), w in zip(items, widths)]
     for d, text in docs:
-        own = shingles(text)
-        for i, s in wanted:
-            shared = len(own & s)
+        cut = {w: shingles(text, w) for w in set(widths) if w}
+        for i, w, s in wanted:
+            shared = len(cut[w] & s) if w else 0
             if s and shared >= containment * len(s) - 1e-9:
                 out[d, i] = max(out.get((d, i), (0, 0)), (shared, len(s)))
     return out

@@ -18,7 +18,8 @@ ROWS = [
     (9, "CC-BY cc by  Cc/By\u00a0cc by \u00e9\u00c9 \U0001f600 #1 | <b>", "en", "a"),
 ]
 # columns whose names the operators use themselves
-CLASH = ["score", "copy", "measures", "kept", "licenses", "n_words", "fingerprint", "c0", "_lower", "base_failed", "n", "hash"]
+CLASH = ["score", "copy", "measures", "kept", "licenses", "n_words", "fingerprint", "c0", "_lower", "base_failed", "n", "hash",
+         "__class", "__lang", "__copies", "__position", "__n", "__band", "__nth", "_best", "_mix_n", "_band", "_key", "id", "a.b", "text.x"]
 
 
 @pytest.fixture(scope="session")

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import pytest
 from conftest import SF_SMALL
@@ -65,6 +66,26 @@ def test_scan_equals_brute_force_on_random_texts(spark):
         assert row.n_words == len(_words(row.text))
 
 
+def test_many_hits_in_one_text(spark):
+    """Hundreds of chunks of detections: positions and suppression as by brute force, and time in proportion."""
+    r = random.Random(11)
+    texts = [" ".join(r.choice(["x y", "x y z", "y z", "z", "w w"]) for _ in range(n)) for n in (255, 256, 257, 700)]
+    for row in license_scan.scan_licenses(spark.createDataFrame([(t,) for t in texts], "text string"), rules=RULES).collect():
+        every, stay = _brute(row.text, RULES)
+        plain = lambda ds: sorted((d.start, -d.neg_end, d.priority, d.place, d.label) for d in ds)
+        assert plain(row.detections) == every and plain(row.licenses) == stay
+
+    def seconds(n):
+        docs = spark.createDataFrame([("cc by " * n,)], "text string")
+        start = time.perf_counter()
+        found = license_scan.scan_licenses(docs).select(F.size("detections"), F.size("licenses")).first()
+        assert tuple(found) == (2 * n, n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(16_000) < 2.5 * seconds(8_000) + 1
+
+
 def test_scan_of_odd_rows(odd, empty):
     rows = license_scan.scan_licenses(odd).collect()
     assert len(rows) == odd.count() and kept(rows)
@@ -133,6 +154,20 @@ def test_mixed_corpus_of_odd_rows(odd, empty):
     assert mixing.mix(empty, size).count() == 0
 
 
+def test_rows_without_id_and_equal_rows_are_mixed_one_by_one(spark, monkeypatch):
+    """Every row has its place in the order, whether its id is null, shared, or the whole row repeated."""
+    rows = [(None, "a", "w " * 3)] * 700 + [(None, "a", f"x{i} y z") for i in range(300)] + [(i, "b", "u v") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    size = space_word_count(F.col("text"))
+    out = mixing.mix(docs, size).collect()
+    counts = mixing.copy_counts(docs.select("doc_id", "source", size.alias("size")), "doc_id", "source", "size").collect()
+    for s in ("a", "b"):
+        assert sum(r.source == s for r in out) == sum(c.copies for c in counts if c.source == s)
+    assert sum(r.source == "a" and r.copy == 1 for r in out) == sum(c.copies > 0 for c in counts if c.source == "a")
+    monkeypatch.setattr(mixing, "ARRAY_ROWS", 7)
+    assert sorted(map(tuple, mixing.mix(docs, size).collect()), key=str) == sorted(map(tuple, out), key=str)
+
+
 # ---- URL filter ------------------------------------------------------------
 
 RULE_ROWS = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
@@ -166,6 +201,9 @@ def test_urls_equal_brute_force(spark):
     for row in rows:
         assert (row.host, row.path, row["_rule"], row.verdict) == _judge(row.url), row.url
         assert row.rule == "own"
+    clashing = pages.select("*", *[F.lit("own").alias(c) for c in ("_best", "_key", "_judged", "a.b", "_url")])
+    kept_rows = url_filter.judge_urls(clashing, rules).collect()
+    assert len(kept_rows) == len(urls) and all((r.host, r.path, r["_rule"], r.verdict) == _judge(r.url) and r["_best"] == r["a.b"] == "own" for r in kept_rows)
     none = url_filter.judge_urls(pages, rules.limit(0)).collect()
     assert {r.verdict for r in none} == {"allow"} and len(none) == len(urls)
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
