@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
+import threading
+import time
 import uuid
 import zipfile
 
@@ -101,9 +104,90 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+SCRATCH_PREFIX = "cardlens-scratch-"
+LEASE_CONF = "spark.cardlens.lease.seconds"
+LEASE_SECONDS = 24 * 3600
+_LEASE = "_lease-"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for written tables, below the shared folder.
+
+    It is leased: a sub-folder names the time until which it is in use, and is renewed while the application
+    lives. It is removed when the application ends (:func:`release_scratch`); what an application that crashed left behind
+    is removed by the next one that finds its lease run out.
+    """
+    shared = ensure_checkpoint_dir(spark).rstrip("/")
+    root = f"{shared}/{SCRATCH_PREFIX}{spark.sparkContext.applicationId}"
+    if root not in _leases:
+        _leases[root] = _Lease(spark, root)
+        remove_expired(spark, shared)
+    return root
+
+
+class _Lease:
+    """Keeps a scratch folder in use until it is released or the process is gone."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root, self.process = root, os.getpid()
+        self.seconds = float(spark.conf.get(LEASE_CONF, None) or spark.sparkContext.getConf().get(LEASE_CONF, None) or LEASE_SECONDS)
+        self.paths = spark._jvm.org.apache.hadoop.fs.Path
+        self.system = self.paths(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.mark, self.ended = None, threading.Event()
+        self.renew()
+        threading.Thread(target=self._keep, daemon=True).start()
+        atexit.register(self.release)
+
+    def renew(self) -> None:
+        mark = self.paths(f"{self.root}/{_LEASE}{int((time.time() + self.seconds) * 1000)}")
+        self.system.mkdirs(mark)
+        if self.mark is not None and self.mark.getName() != mark.getName():
+            self.system.delete(self.mark, True)
+        self.mark = mark
+
+    def _keep(self) -> None:
+        while not self.ended.wait(self.seconds / 4):
+            try:
+                self.renew()
+            except Exception:  # the next turn, or the end of the lease, settles it
+                continue
+
+    def release(self) -> None:
+        if self.ended.is_set() or os.getpid() != self.process:
+            return
+        self.ended.set()
+        try:
+            self.system.delete(self.paths(self.root), True)
+        except Exception:  # without a driver JVM the folder stays until its lease has run out
+            pass
+
+
+_leases: dict = {}
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch folder now; nothing that was read from it can be read any more."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH_PREFIX}{spark.sparkContext.applicationId}"
+    lease = _leases.pop(root, None)
+    if lease is not None:
+        lease.release()
+
+
+def remove_expired(spark: SparkSession, shared: str) -> list[str]:
+    """Remove scratch folders in ``shared`` whose lease has run out; returns their names."""
+    gone = []
+    for name in child_folders(spark, shared):
+        if name.startswith(SCRATCH_PREFIX):
+            ends = [int(c[len(_LEASE):]) for c in child_folders(spark, f"{shared}/{name}") if c.startswith(_LEASE)]
+            if ends and max(ends) < time.time() * 1000:
+                delete_folder(spark, f"{shared}/{name}")
+                gone.append(name)
+    return gone
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for one written table; no two calls share one."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the application's scratch folder for one written table; no two calls share one."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.drift import read_baseline_json, read_live_json  # noqa: F401  (A6, A7)
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import delete_folder, ensure_checkpoint_dir, scratch_path, scratch_root
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
@@ -122,11 +122,10 @@ def materialize(df: DataFrame, path: str | None = None, use_checkpoint: bool = F
 def drop_materialized(df: DataFrame) -> None:
     """Delete the folder a :func:`materialize` result was read from, if it is one of the shared scratch folders."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+    root = scratch_root(spark)
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if folder.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/") + "/materialized-"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, folder)
 
 
 def repartition_by_cores(df: DataFrame, factor: int = 4, cols: tuple = ()) -> DataFrame:
