@@ -12,8 +12,10 @@ that differ in one bit only the one with the bit set probes, which finds each pa
 once with half the probes.
 
 Crowded table entries: where few fingerprints share a half (``LIGHT_BUCKET``), the
-matches are a plain join. A more crowded entry goes to one task, which links its
-fingerprints block against block and emits a spanning forest, never all pairs. An
+matches are a plain join. A more crowded entry goes to groups of its own fingerprints and at most about
+``DENSE_BUCKET`` of those that probe it (its own come again in each group; they are no more than that
+either), so a group has at most about twice ``DENSE_BUCKET`` rows of 8 bytes. A group links its
+fingerprints by breadth-first search and emits a spanning forest, never all pairs. An
 entry beyond ``DENSE_BUCKET`` fingerprints is not brought together at all: its
 fingerprints are spread over their 64-bit balls of radius 1 and 2, and two that
 meet in a point (one by 1, one by 2 flips) are within 3 bits; each point links its
@@ -29,11 +31,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
-from .columns import fresh
+from .columns import fresh, named
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -85,8 +87,10 @@ def fingerprints(docs: DataFrame, text_col: str = "text", width: int = SHINGLE_W
     """``docs`` with the text replaced by its ``fingerprint`` (bigint, the 64 bits as they are)."""
     ship_package(docs.sparkSession)
     rest = [c for c in docs.columns if c != text_col]
-    schema = docs.select(*rest).withColumn("fingerprint", F.lit(0).cast("bigint")).schema
-    return docs.select(*rest, text_col).mapInArrow(_fingerprint_batches(len(rest), width, seed), schema)
+    sent = docs.select(*[named(c).alias(f"c{i}") for i, c in enumerate([*rest, text_col])])
+    schema = ", ".join([*(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)), "fingerprint bigint"])
+    out = sent.mapInArrow(_fingerprint_batches(len(rest), width, seed), schema)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], "fingerprint")
 
 
 def _half(value: Column, which: int) -> Column:
@@ -143,6 +147,16 @@ def _forest(distance: int):
     return run
 
 
+def _in_groups(middle: DataFrame, size: int) -> DataFrame:
+    """(part, value, nth, fp, own): the probing fingerprints of each entry dealt to groups of about ``size``, its own ones in each."""
+    groups = middle.groupBy("part", "value").agg(F.sum((~F.col("own")).cast("long")).alias("probing")) \
+        .select("part", "value", F.greatest(F.ceil(F.col("probing") / size), F.lit(1)).cast("int").alias("groups"))
+    rows = middle.join(groups, ["part", "value"])
+    dealt = F.array(F.pmod(F.xxhash64("fp"), F.col("groups")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("groups") - 1)
+    return rows.select("part", "value", F.explode(F.when(F.col("own"), every).otherwise(dealt)).alias("nth"), "fp", "own")
+
+
 def _ball_links(prints: DataFrame) -> DataFrame:
     """Links among ``prints`` at distance 3 or less through shared points, a star per point."""
     bit = [1 << i if i < 63 else -(1 << 63) for i in range(64)]
@@ -167,8 +181,8 @@ def links(prints: DataFrame, distance: int = MAX_DISTANCE, light: int = LIGHT_BU
     pairs = probes.join(few, ["part", "value"]).filter(_close(F.col("fp"), F.col("b"), distance)) \
         .filter(~F.col("own") | (F.col("fp") < F.col("b"))).select(F.col("fp").alias("a"), "b")
     crowded = counts.filter(F.col("n") > light)
-    middle = probes.join(crowded.filter(F.col("n") <= dense), ["part", "value"])
-    forest = middle.select("part", "value", "fp", "own").groupBy("part", "value").applyInArrow(_forest(distance), "a bigint, b bigint")
+    middle = write_shared(probes.join(crowded.filter(F.col("n") <= dense), ["part", "value"]).select("part", "value", "fp", "own"), "crowded")
+    forest = _in_groups(middle, dense).groupBy("part", "value", "nth").applyInArrow(_forest(distance), "a bigint, b bigint")
     out = pairs.union(forest)
     huge = crowded.filter(F.col("n") > dense)
     if huge.limit(1).count():
@@ -191,33 +205,21 @@ def _classes(rows: DataFrame, id_col: str, distance: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
                     distance: int = MAX_DISTANCE) -> DataFrame:
     """(id, fingerprint bigint, component_id) of every row of ``docs``."""
-    rows = write_shared(fingerprints(docs.select(id_col, text_col), text_col, width), "fingerprints")
-    classes = _classes(rows, id_col, distance)
-    return rows.join(classes, rows["fingerprint"] == classes["fp"]).select(id_col, "fingerprint", "component_id")
+    sent = docs.select(named(id_col).alias("id"), named(text_col).alias("text"))
+    rows = write_shared(fingerprints(sent, "text", width), "fingerprints")
+    classes = _classes(rows, "id", distance)
+    return rows.join(classes, rows["fingerprint"] == classes["fp"]).select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
                          distance: int = MAX_DISTANCE) -> DataFrame:
-    """``docs`` with the document of the smallest id of each group; rows of one id are one document, of which one
-    row stays. Rows without id are kept apart from all others and stay."""
-    found = near_duplicates(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, width, distance)
-    kept = found.groupBy(id_col).agg(F.min("component_id").alias("component_id")) \
-        .filter(F.col(id_col) == F.col("component_id")).select(id_col)
-    chosen = docs.join(kept, id_col, "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    chosen = chosen.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
-    return chosen.unionByName(docs.filter(F.col(id_col).isNull()))
-
-
-def drop_near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
-                             distance: int = MAX_DISTANCE) -> DataFrame:
     """One row of ``docs`` per group, that of the smallest id (rows without id come last and take part); rows of one id
     with different texts are judged row by row."""
-    cells = [F.col(f"`{c}`") for c in docs.columns]
+    cells = [named(c) for c in docs.columns]
     one, two = fresh(docs.columns, "row"), fresh(docs.columns, "check")
     keyed = docs.withColumn(one, F.xxhash64(*cells)).withColumn(two, F.xxhash64(F.lit(1), *cells))  # 128 bits, never null
-    rows = write_shared(fingerprints(keyed.select(F.col(id_col).alias("id"), F.col(one).alias("one"), F.col(two).alias("two"),
-                                                  F.col(text_col).alias("text")), "text", width), "fingerprints")
+    rows = write_shared(fingerprints(keyed.select(named(id_col).alias("id"), F.col(one).alias("one"), F.col(two).alias("two"),
+                                                  named(text_col).alias("text")), "text", width), "fingerprints")
     classes = _classes(rows, "id", distance)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "one", "two")).alias("first")
     kept = rows.join(classes, rows["fingerprint"] == classes["fp"]).groupBy("root").agg(first)
