@@ -229,9 +229,10 @@ def live_part():
     """``_LIVE_PART`` from the deal's code alone: the two hole cards are its first two digits, so a filter on it needs no
     decoded hand and stays short wherever Spark moves it."""
     code = F.col("code")
-    first, second = code % 52, F.floor(code / 52) % 51
-    second = second + (second >= first).cast("long")  # the second card is dealt from a deck without the first
-    return F.when(first % 13 == second % 13, code % 10 < 8).otherwise(code % 10 < 2)
+    # the first card is code % 52; the second comes from a deck without it, so a digit from there on means one card later.
+    # Equal ranks are 13, 26 or 39 cards apart: this many digits
+    apart = F.floor(code / 52) % 51 - code % 52
+    return code % 10 < F.when(apart.isin(-39, -26, -13, 12, 25, 38), 8).otherwise(2)
 
 
 def _newest_live(spark, sf_dir, n):
