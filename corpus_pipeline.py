@@ -35,12 +35,13 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates: the row of the smallest id of each group stays."""
-    return simhash.drop_near_duplicate_rows(docs)
+    return simhash.drop_near_duplicates(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: rows that contain a benchmark item go."""
-    return decontaminate.drop_leaking_rows(docs, read_table(spark, sf_dir, "benchmark"))
+    """Benchmark decontamination: rows that contain a benchmark item go. An item of fewer words than a shingle stands in many
+    a clean document by chance; the query reports it, here it drops nothing."""
+    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"), min_words=decontaminate.WIDTH)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
