@@ -6,18 +6,18 @@ over the texts that may be learnt from. The mixture weights of each bucket are l
 by expectation-maximisation on deleted counts: every learning token is taken out of
 its own counts, so its estimates come from all other tokens.
 
-How counts meet tokens. Texts go in blocks of about ``BLOCK_BYTES``. A block asks for
+How counts meet tokens. Texts go in blocks of about ``BLOCK_BYTES``, which are written once to the
+shared folder; all later steps read them from there, so they agree whatever order the input
+comes in. A block asks for
 each of its different words and word pairs once: sorted 64-bit keys, with its own
 learning counts, packed into one row per key range. The rows of a key range meet in one
 group, which sums up and answers each block with the totals in the order asked; the
 answers meet the block's texts again, and the tokens have their counts. A frequent
-word costs one entry per block, so no key is heavy; the number of ranges follows
-``spark.sql.shuffle.partitions``; what is shuffled and written grows with the corpus.
+word costs one entry per block, so no key is heavy. There is a key range for every
+``RANGE_BYTES`` of text, so a group holds the different keys of about that much text whatever the corpus;
+a block has at most one row per key. What is shuffled and written grows with the corpus.
 The driver gets N, V and the deleted counts' histogram on a fixed logarithmic grid.
 
-The blocks are cut twice from the same input partitions; an answer that does not fit
-its block stops the job.
-
 Words are told apart by a 64-bit hash. Edge cases: null and empty texts are one end
 token; ids may be null or repeated, each row is scored on its own; without any
 learning text the score is that of the uniform distribution over V + 1 = 1; an
@@ -33,8 +33,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package, write_shared
+from .columns import named
 
 BLOCK_BYTES = 6 << 20
+RANGE_BYTES = 12 << 20
+MIN_RANGES = 64
 STEPS = 4  # histogram cells per doubling
 ROUNDS = 60
 _END, _START = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
@@ -75,7 +78,7 @@ class _Tokens:
 
 
 def _blocks(batches, columns: int):
-    """(block id, other columns, text bytes, bounds) of about BLOCK_BYTES, the same whenever the partition is read."""
+    """(block id, other columns, text bytes, bounds) of about BLOCK_BYTES."""
     import pyarrow as pa
     from pyspark import TaskContext
 
@@ -104,6 +107,17 @@ def _blocks(batches, columns: int):
         yield done()
 
 
+def _stored(batches):
+    """(block id, learn flags, text bytes, bounds) of written blocks, one at a time."""
+    from .packing import unpack_bytes
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            learn, lengths = (batch.column(c).slice(i, 1).flatten() for c in ("learn", "lengths"))
+            data = np.frombuffer(unpack_bytes(batch.column("data")[i].as_py()), np.uint8)
+            yield batch.column("block")[i].as_py(), learn, data, np.concatenate([[0], np.cumsum(lengths.to_numpy())])
+
+
 def _ask(ranges: int):
     """Rows (kind, key range, block, keys, counts): what a block asks for."""
     def run(batches):
@@ -112,7 +126,7 @@ def _ask(ranges: int):
         from .packing import pack_ints
 
         edges = (np.arange(1, ranges).astype(object) * (1 << 64) // ranges).astype(np.uint64)
-        for block, (learn,), data, bounds in _blocks(batches, 1):
+        for block, learn, data, bounds in _stored(batches):
             tokens = _Tokens(data, bounds)
             learn = np.repeat(learn.to_numpy(zero_copy_only=False).astype(bool), tokens.lengths)
             out = []
@@ -193,7 +207,7 @@ def _counted(kind: str):
         tokens = _Tokens(data, np.concatenate([[0], np.cumsum(lengths.to_numpy())]))
         totals = {k: np.concatenate([unpack_ints(t) for kk, _, t in rows if kk == k]).astype(np.int64) for k in (1, 2)}
         if len(totals[1]) != len(tokens.word_keys) or len(totals[2]) != len(tokens.pair_keys):
-            raise RuntimeError("a block's answers do not fit its texts: the input's partitions changed between two reads")
+            raise RuntimeError("a block's answers do not fit its texts")
         word, pair = totals[1][tokens.word_at], totals[2][tokens.pair_at]
         context = np.empty_like(word)
         context[1:] = word[:-1]
@@ -294,12 +308,13 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     """
     spark = docs.sparkSession
     ship_package(spark)
-    ranges = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).alias("text"))
-    asked = rows.select("learn", "text").mapInArrow(_ask(ranges), "kind int, range int, block bigint, keys binary, counts binary")
+    rows = docs.select(named(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), named(text_col).alias("text"))
+    texts = write_shared(rows.mapInArrow(_send, f"block bigint, ids array<{kind}>, learn array<boolean>, lengths array<bigint>, data binary"), "text-blocks")
+    size = texts.select(F.explode("lengths").alias("n")).agg(F.sum("n")).first()[0] or 0
+    ranges = max(MIN_RANGES, -(-size // RANGE_BYTES))
+    asked = texts.select("block", "learn", "lengths", "data").mapInArrow(_ask(ranges), "kind int, range int, block bigint, keys binary, counts binary")
     answers = asked.groupBy("kind", "range").applyInArrow(_answer, _ANSWER)
-    texts = rows.mapInArrow(_send, f"block bigint, ids array<{kind}>, learn array<boolean>, lengths array<bigint>, data binary")
     join, schema = _counted(kind)
     counted = write_shared(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, schema), "token-counts")
     stats = counted.agg(F.sum("total"), F.sum("distinct")).first()
