@@ -67,17 +67,17 @@ def i01_sliding_rate(spark, sf_dir):
 
 
 @register("i04_sliding_load_time", osql.with_ctes(PL, _asked(5, 1, ", load_seconds"), body=f"""
-SELECT {osql.ts_text('window_end')} AS window_end, round(avg(load_seconds), 6) AS mean_load_seconds FROM asked GROUP BY 1"""))
+SELECT {osql.ts_text('window_end')} AS window_end, round(avg(load_seconds) + 1e-9, 6) AS mean_load_seconds FROM asked GROUP BY 1"""))
 def i04_sliding_load_time(spark, sf_dir):
     m = sliding.sliding_mean(_log(spark, sf_dir), "load_seconds", "5 minutes", "1 minute", out_col="mean_load_seconds")
-    return m.select(_text("window_end"), _r6("mean_load_seconds"))
+    return m.select(_text("window_end"), _score("mean_load_seconds"))
 
 
 @register("i05_sliding_payload", osql.with_ctes(PL, _asked(5, 1, ", payload_bytes"), body=f"""
-SELECT {osql.ts_text('window_end')} AS window_end, round(avg(payload_bytes), 6) AS mean_payload_bytes FROM asked GROUP BY 1"""))
+SELECT {osql.ts_text('window_end')} AS window_end, round(avg(payload_bytes) + 1e-9, 6) AS mean_payload_bytes FROM asked GROUP BY 1"""))
 def i05_sliding_payload(spark, sf_dir):
     m = sliding.sliding_mean(_log(spark, sf_dir), "payload_bytes", "5 minutes", "1 minute", out_col="mean_payload_bytes")
-    return m.select(_text("window_end"), _r6("mean_payload_bytes"))
+    return m.select(_text("window_end"), _score("mean_payload_bytes"))
 
 
 @register("i06_sliding_errors", osql.with_ctes(PL, _asked(60, 5, ", status", "status >= 400"), body=f"""

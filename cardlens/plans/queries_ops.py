@@ -285,7 +285,8 @@ _BINARY_SCORES = f"SELECT {KEYS_SQL}, {', '.join(BINARY_INPUTS)}, round(p + 1e-9
 
 
 def _score(name):
-    """Six places; labels have six, so means of two rows lie half way, and the small shift sends them the same way on both sides."""
+    """Six places. Means of two rows often lie half way between two numbers of six places; the small shift sends them the same
+    way on both sides."""
     return F.round(F.col(name) + 1e-9, 6).alias(name)
 
 
