@@ -4,9 +4,9 @@ A page is read into a tree of elements. Elements whose tag is never main text (s
 styles, menus, page headers and footers, asides) are left out. Forms, and elements that
 a role or a whole token of class or id names as a sidebar, notice, advert, reader
 comments and the like, are left out if that cannot be the main text: no article or main
-with text lies inside, and they hold less than half of the body's text outside links,
-each and together (together only if no article or main lies outside them). Reader
-comments may outweigh an article that lies outside them. For every node
+with text lies inside, and either one lies outside all of them or they hold less than half of the body's text
+outside links, each and together. Reader comments go whenever an article lies outside
+all of these elements, even if they hold articles of their own. For every node
 of the rest the link-adjusted text density is
 
     C / T * ln(1 + C * T / (LC * LT)) / ln(ln(C * LC / (C - LC) + C * LCb / Cb + e**e))
@@ -230,8 +230,8 @@ def _leave_out_named(nodes: list) -> bool:
     for node in nodes:  # parents come first
         if node.parent is not None and id(node.parent) in gone:
             gone.add(id(node))
-        elif node.named == "comments" and article_outside \
-                or node.named and id(node) not in holds and (2 * (node.chars - node.link_chars) < total or not node.chars):
+        elif node.named == "comments" and article_outside or node.named and id(node) not in holds \
+                and (article_outside or 2 * (node.chars - node.link_chars) < total or not node.chars):
             found.append(node)
             gone.add(id(node))
     if not article_outside and 2 * sum(n.chars - n.link_chars for n in found) >= total > 0:

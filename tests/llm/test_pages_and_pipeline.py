@@ -1,5 +1,6 @@
 """HTML extraction and the corpus pipeline."""
 
+import random
 import re
 import time
 import zlib
@@ -10,6 +11,7 @@ import brute
 import corpus_pipeline
 import pytest
 from conftest import SF_MID, SF_SMALL
+from columns_of import word_column
 from odd_rows import empty, odd, own_columns_are_kept  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
@@ -123,6 +125,35 @@ def test_pages_table_edges(spark):
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
 
 
+def _built(r, depth):
+    words = lambda n: " ".join(r.choice(["a", "plain", "text", "runs", "here,", "longer"]) for _ in range(n)) + r.choice([" ", ". ", ""])
+    kids = []
+    for _ in range(r.randrange(1, 5)):
+        kind = r.random()
+        if depth and kind < 0.5:
+            kids.append(_built(r, depth - 1))
+        elif kind < 0.65:
+            kids.append(("a", [("#", words(r.randrange(1, 4)))]))
+        elif not kids or kids[-1][0] != "#":
+            kids.append(("#", words(r.choice((0, 1, 3, 20, 60)))))
+    return (r.choice(["div", "div", "section", "span", "b"]), [k for k in kids if k[0] != "#" or k[1]])
+
+
+def _source(node):
+    return node[1] if node[0] == "#" else f"<{node[0]}>{''.join(map(_source, node[1]))}</{node[0]}>"
+
+
+def test_densities_equal_brute_force():
+    r = random.Random(12)
+    filled = 0
+    for _ in range(400):
+        body = ("body", [_built(r, 3) for _ in range(r.randrange(1, 5))])
+        want = brute.Densities(body).text()
+        assert main_text(f"<html>{_source(body)}</html>") == want, _source(body)
+        filled += bool(want)
+    assert filled > 350
+
+
 # ---- pipeline --------------------------------------------------------------
 
 def test_stages_equal_brute_force(spark):
@@ -139,12 +170,12 @@ def test_stages_equal_brute_force(spark):
     for before, after in zip(rows, rows[1:]):
         assert all(before[d] == r for d, r in after.items()) and after
     start, ruled, classed, single, clean = rows
-    judged = {r.doc_id: r.kept for r in quality_rules.judge(quality_rules.measure(docs)).collect()}
-    assert set(ruled) == {d for d, k in judged.items() if k}
+    measured = quality_rules.measure(docs.select("doc_id", "lang", "text")).collect()
+    assert set(ruled) == {r.doc_id for r, k in zip(measured, brute.rules_kept([(r.lang, r.measures) for r in measured])) if k}
     assert all(brute.quality_counts(r.text)[0] >= 20 for r in ruled.values())
     model = quality_classifier.fit(docs, spark.read.parquet(f"{SF_MID}/labels.parquet"))
-    scores = {r.doc_id: r.score for r in quality_classifier.score(got[1], model, keep_text=False).collect()}
-    assert set(classed) == {d for d, s in scores.items() if s >= 0.5}
+    scores = {d: brute.classifier_score(model, r.text, word_column) for d, r in ruled.items()}
+    assert {d for d, s in scores.items() if s >= 0.5 + 1e-6} <= set(classed) <= {d for d, s in scores.items() if s >= 0.5 - 1e-6}
     ids = sorted(classed)
     root = brute.groups([brute.fingerprint(classed[d].text) for d in ids])
     assert set(single) == {ids[g] for g in root}
