@@ -21,6 +21,8 @@ from ..operators.equity import with_win_share
 from ..operators.features import drop_label
 from ..session import apply_runtime_conf, ensure_checkpoint_dir, write_shared
 from ..sources import io
+from ..streaming.refresh import publish
+from .ledger import Ledger, version_of
 
 FEATURE_RUN = "feature_engineering"
 TRAINING_RUN = "training"
@@ -198,3 +200,25 @@ def run_pipeline(spark: SparkSession, paths: JobPaths, steps=STEPS, raw: DataFra
         elif step == "refresh":
             out["model"], out["lookup"] = refresh(spark, paths)
     return out
+
+
+def run_restartable(spark: SparkSession, paths: JobPaths, raw: DataFrame, input_version: str, cfg: EngineConfig = DEFAULT_CONFIG,
+                    num_trees: int | None = None, key_cols: list[str] | None = None) -> dict:
+    """K6 that can be broken off anywhere: every step is committed to a ledger, and a later run with the same input version goes
+    on at the first step that was not. Ends by publishing model and lookup as a pair (which may be repeated).
+
+    Returns the folders of ``preprocessed``, ``features``, ``lookup`` and ``model``, and the pair's ``version``.
+    """
+    apply_runtime_conf(spark)
+    ledger = Ledger(spark, os.path.join(paths.root, "restartable"), TRAINING_RUN)
+    rows = lambda path: spark.read.parquet(path).count()
+    pre = ledger.run("preprocess", version_of(input_version, cfg), lambda p: io.write_parquet(preprocess(raw, cfg), p), rows)
+    feats = ledger.run("features", version_of(pre, key_cols),
+                       lambda p: io.write_parquet(build_features(io.read_parquet(spark, pre), cfg, key_cols=key_cols), p), rows)
+    table = io.read_parquet(spark, feats)
+    lookup = ledger.run("lookup", version_of(feats), lambda p: io.write_parquet(relative.stateful_lookup(table), p), rows)
+    train, _ = sampling.train_test_split(table, cfg.test_size, _row_keys(table, key_cols), cfg.split_seed)
+    model = ledger.run("training", version_of(feats, num_trees), lambda p: runlog.save_model(mdl.train(train, cfg, num_trees=num_trees), p))
+    version = version_of(model, lookup)
+    publish(spark, paths.run_log, version, model, lookup)
+    return {"preprocessed": pre, "features": feats, "lookup": lookup, "model": model, "version": version}

@@ -151,3 +151,30 @@ def test_training_steps_from_the_command_line(spark):
                     "--training", "--refresh", "--trees", "2", "--keys", "row_id"], spark=spark)
     assert {"preprocessed", "feature_run", "training_run", "model", "lookup"} <= set(out)
     assert out["lookup"].count() > 0
+
+
+def test_a_broken_run_goes_on_where_it_was(spark, monkeypatch):
+    """Broken off in training: the next run takes preprocessing, features and lookup as they are, and leaves one set of outputs."""
+    from cardlens.session import child_folders
+    from cardlens.streaming.refresh import newest_pair
+
+    paths = jobs.JobPaths(tempfile.mkdtemp(prefix="restart-"))
+    cfg = EngineConfig(simulation_count=1, sample_rate=0.9)
+    raw, real, calls = _raw(spark), (jobs.preprocess, mdl.train), []
+    monkeypatch.setattr(jobs, "preprocess", lambda *a, **k: calls.append("preprocess") or real[0](*a, **k))
+    run = lambda: jobs.run_restartable(spark, paths, raw, "v1", cfg, num_trees=2, key_cols=KEYS)
+
+    def broken(*a, **k):
+        raise RuntimeError("broken off")
+
+    monkeypatch.setattr(mdl, "train", broken)
+    with pytest.raises(RuntimeError, match="broken off"):
+        run()
+    monkeypatch.setattr(mdl, "train", lambda *a, **k: calls.append("training") or real[1](*a, **k))
+    done = run()
+    assert calls == ["preprocess", "training"] and run() == done and calls == ["preprocess", "training"]
+    root = f"{paths.root}/restartable"
+    assert {s: len(child_folders(spark, f"{root}/{s}")) for s in ("preprocess", "features", "lookup", "training")} == \
+        {"preprocess": 1, "features": 1, "lookup": 1, "training": 1}
+    assert newest_pair(spark, paths.run_log) == (done["version"], done["model"], done["lookup"])
+    assert spark.read.parquet(done["features"]).count() > 0 and runlog.load_model(done["model"]) is not None

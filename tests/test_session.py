@@ -15,4 +15,4 @@ def test_checkpoint_folder_is_read_from_the_session(spark):
     assert path == spark.conf.get("spark.checkpoint.dir")
     assert spark.sparkContext.getCheckpointDir() is not None
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert a != b and a.startswith(os.path.join(path, "x-")) and b.startswith(os.path.join(path, "x-"))
+    assert a != b and a.startswith(os.path.join(path, "cardlens-scratch-")) and b.startswith(os.path.join(path, "cardlens-scratch-"))
