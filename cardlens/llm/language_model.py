@@ -38,6 +38,7 @@ from .columns import named
 BLOCK_BYTES = 6 << 20
 RANGE_BYTES = 12 << 20
 MIN_RANGES = 64
+TEXT_LEVEL = 6  # of compression, for texts that are written and sent once each
 STEPS = 4  # histogram cells per doubling
 ROUNDS = 60
 _END, _START = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
@@ -173,7 +174,7 @@ def _send(batches):
         whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
         yield pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), whole(ids), whole(learn), whole(pa.array(np.diff(bounds), pa.int64())),
-             pa.array([pack_bytes(data.tobytes())], pa.binary())], ["block", "ids", "learn", "lengths", "data"])
+             pa.array([pack_bytes(data.tobytes(), TEXT_LEVEL)], pa.binary())], ["block", "ids", "learn", "lengths", "data"])
 
 
 def bucket(counts: np.ndarray) -> np.ndarray:

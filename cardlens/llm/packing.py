@@ -8,8 +8,8 @@ import pyarrow as pa
 _CODEC = "zstd"
 
 
-def pack_bytes(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec=_CODEC, asbytes=True)
+def pack_bytes(data: bytes, level: int = 1) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec(_CODEC, compression_level=level).compress(data, asbytes=True)
 
 
 def unpack_bytes(cell: bytes) -> bytes:
