@@ -157,6 +157,118 @@ NOTICES = (
     Rule("mit-url", ("opensource",), "opensource org licen[cs]es? mit", "mit", IDENTIFIER),
 )
 
+# Sentences that stand in license texts, file headers and notices, one rule each (fixed values).
+SENTENCES = (
+    Rule("mit-notice", ("permission", "notice"), "above copyright notice and this permission notice shall be included", "mit", NAMED),
+    Rule("mit-deal", ("restriction", "software"), "to deal in the software without restriction", "mit", NAMED),
+    Rule("bsd-source", ("redistribution", "retain"), "redistributions of source code must retain the above copyright notice", "bsd", NAMED),
+    Rule("bsd-binary", ("redistribution", "reproduce"), "redistributions in binary form must reproduce the above copyright notice", "bsd", NAMED),
+    Rule("bsd-endorse", ("endorse", "promote"), "to endorse or promote products derived from this software", "bsd-3-clause", NAMED),
+    Rule("bsd-advertising", ("advertising", "materials"), "all advertising materials mentioning features or use of this software", "bsd-4-clause", NAMED),
+    Rule("isc-disclaimer", ("disclaim", "warrant"), "is provided as is and the author disclaims all warranties", "isc", NAMED),
+    Rule("zlib-disclaimer", ("warranty", "implied"), "provided as is without any express or implied warranty", "zlib", NAMED),
+    Rule("zlib-origin", ("misrepresented", "origin"), "the origin of this software must not be misrepresented", "zlib", NAMED),
+    Rule("zlib-altered", ("altered", "plainly"), "altered source versions must be plainly marked as such", "zlib", NAMED),
+    Rule("bsl-grant", ("hereby", "organization"), "permission is hereby granted free of charge to any person or organization obtaining a copy", "bsl-1.0", NAMED),
+    Rule("unlicense-grant", ("unencumbered", "domain"), "free and unencumbered software released into the public domain", "unlicense", NAMED),
+    Rule("unlicense-dedication", ("dedicat", "public"), "dedicates? any and all copyright interest in the software to the public domain", "unlicense", NAMED),
+    Rule("apache-basis", ("warrant", "basis"), "distributed on an as is basis without warranties or conditions of any kind", "apache-2.0", NAMED),
+    Rule("apache-contributor", ("hereby", "contributor"), "each contributor hereby grants to you a perpetual worldwide non exclusive", "apache-2.0", NAMED),
+    Rule("apache-notice", ("apache", "foundation"), "includes software developed (?:by|at) the apache software foundation", "apache", NAMED),
+    Rule("license-file", ("licen", "compliance"), "may not use this file except in compliance with the licen[cs]e", "license-header", GENERIC),
+    Rule("license-copy-at", ("licen", "obtain"), "may obtain a copy of the licen[cs]e at", "license-header", GENERIC),
+    Rule("license-see-file", ("licen", "found"), "licen[cs]e that can be found in the licen[cs]e file", "license-header", GENERIC),
+    Rule("gpl-modify", ("licen", "redistribute", "general", "public"), "redistribute it and or modify it under the terms of the gnu general public license", "gpl", NAMED),
+    Rule("lgpl-modify", ("licen", "redistribute", "lesser"), "redistribute it and or modify it under the terms of the gnu lesser general public license", "lgpl", NAMED),
+    Rule("agpl-modify", ("licen", "redistribute", "affero"), "redistribute it and or modify it under the terms of the gnu affero general public license", "agpl", NAMED),
+    Rule("gpl-copy", ("licen", "received"), "received a copy of the gnu general public license", "gpl", NAMED),
+    Rule("lgpl-copy", ("licen", "received", "lesser"), "received a copy of the gnu lesser general public license", "lgpl", NAMED),
+    Rule("agpl-copy", ("licen", "received", "affero"), "received a copy of the gnu affero general public license", "agpl", NAMED),
+    Rule("gnu-or-later", ("licen", "later", "either"), "either version [0-9](?: [0-9])? of the license or (?:at your option )?any later version", "or-later", GENERIC),
+    Rule("gnu-copyleft", ("licen", "copyleft"), "is a free copyleft license", "gpl-3.0", NAMED),
+    Rule("gnu-freedom", ("licen", "freedom"), "licenses for most software are designed to take away your freedom", "gpl-2.0", NAMED),
+    Rule("gnu-verbatim", ("permitted", "verbatim"), "everyone is permitted to copy and distribute verbatim copies of this license document", "license-text", GENERIC),
+    Rule("gnu-merchantability", ("merchantability", "implied"), "without even the implied warranty of merchantability", "disclaimer", GENERIC),
+    Rule("lgpl-library", ("free", "software", "library"), "this library is free software", "lgpl", GENERIC),
+    Rule("agpl-remote", ("prominently", "remotely"), "must prominently offer all users interacting with it remotely", "agpl-3.0", NAMED),
+    Rule("gfdl-grant", ("licen", "documentation"), "modify this document under the terms of the gnu free documentation license", "gfdl", NAMED),
+    Rule("gfdl-covers", ("invariant", "cover"), "no invariant sections no front cover texts and no back cover texts", "gfdl", NAMED),
+    Rule("exception-classpath", ("exception", "classpath"), "classpath exception", "classpath-exception", NAMED),
+    Rule("exception-gcc", ("exception", "gcc"), "gcc runtime library exception", "gcc-exception", NAMED),
+    Rule("exception-special", ("exception", "copyright"), "as a special exception the copyright holders?", "license-exception", GENERIC),
+    Rule("mpl-form", ("licen", "mozilla", "source"), "source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0", VERSIONED),
+    Rule("mpl-contents", ("licen", "mozilla", "contents"), "contents of this file are subject to the mozilla public license", "mpl", NAMED),
+    Rule("mpl-copy", ("mpl", "distributed"), "a copy of the mpl was not distributed with this file", "mpl-2.0", NAMED),
+    Rule("mpl-secondary", ("licen", "incompatible"), "incompatible with secondary licenses", "mpl-2.0", NAMED),
+    Rule("epl-materials", ("licen", "eclipse", "accompanying"), "accompanying materials are made available under the terms of the eclipse public license", "epl", NAMED),
+    Rule("cddl-contents", ("licen", "common", "development"), "subject to the terms of the common development and distribution license", "cddl", NAMED),
+    Rule("artistic-intent", ("package", "conditions"), "state the conditions under which a package may be copied", "artistic-1.0", NAMED),
+    Rule("python-basis", ("python", "licensee"), "making python available to licensee on an as is basis", "python-2.0", NAMED),
+    Rule("php-product", ("php", "product"), "this product includes php software", "php", NAMED),
+    Rule("openssl-product", ("openssl", "project"), "includes software developed by the openssl project", "openssl", NAMED),
+    Rule("unicode-agreement", ("licen", "unicode"), "unicode (?:inc )?license agreement", "unicode", NAMED),
+    Rule("ofl-font", ("reserved", "font"), "(?:with )?reserved font names?", "ofl-1.1", NAMED),
+    Rule("ofl-release", ("licen", "fonts"), "fonts and derivatives however cannot be released under any other type of license", "ofl-1.1", NAMED),
+    Rule("vera-fonts", ("bitstream",), "bitstream vera(?: is a trademark)?", "bitstream-vera", NAMED),
+    Rule("wtfpl-terms", ("fuck", "want"), "you just do what the fuck you want to", "wtfpl", NAMED),
+    Rule("json-good", ("evil", "software"), "software shall be used for good not evil", "json", NAMED),
+    Rule("hippocratic", ("licen", "hippocratic"), "hippocratic license", "hippocratic", NAMED),
+    Rule("beerware", ("licen", "beer"), "(?:the )?beer(?: )?ware license", "beerware", NAMED),
+    Rule("cc-share", ("redistribut", "medium"), "copy and redistribute the material in any medium or format", "cc", NAMED),
+    Rule("cc-credit", ("licen", "appropriate", "credit"), "must give appropriate credit provide a link to the license", "cc", NAMED),
+    Rule("cc-no-modified", ("modified", "distribute"), "you may not distribute the modified material", "cc-nd", NAMED),
+    Rule("cc-same-license", ("licen", "contributions"), "distribute your contributions under the same license as the original", "cc-sa", NAMED),
+    Rule("cc-no-commercial", ("commercial", "material"), "may not use the material for commercial purposes", "cc-nc", NAMED),
+    Rule("cc-waived", ("waived", "copyright"), "waived all copyright and related or neighbou?ring rights", "cc0-1.0", NAMED),
+    Rule("cc-text-available", ("licen", "available"), "text is available under the creative commons attribution share(?: )?alike license", "cc-by-sa", NAMED),
+    Rule("odbl-contents", ("licen", "database"), "licensed under the database contents license", "odbl", NAMED),
+    Rule("cdla", ("licen", "community", "data"), "community data license agreement(?: (?:permissive|sharing))?", "cdla", NAMED),
+    Rule("sspl-service", ("functionality", "service"), "functionality of the program or (?:a )?modified version available to third parties as a service", "sspl-1.0", NAMED),
+    Rule("busl-production", ("licen", "production"), "licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use", "busl-1.1", NAMED),
+    Rule("elastic-hosted", ("hosted", "managed"), "provide the software to third parties as a hosted or managed service", "elastic-2.0", NAMED),
+    Rule("commons-clause", ("commons", "clause"), "commons clause(?: license)? condition", "commons-clause", NAMED),
+    Rule("commons-clause-sell", ("sell", "grant", "software"), "does not grant to you the right to sell the software", "commons-clause", NAMED),
+    Rule("polyform", ("polyform",), "polyform (?:noncommercial|small business|strict|shield|perimeter)(?: license)?", "polyform", NAMED),
+    Rule("openrail-use", ("restriction", "based"), "use based restrictions", "openrail", NAMED),
+    Rule("llama-community", ("licen", "llama"), "llama(?: [0-9])?(?: [0-9])? community license(?: agreement)?", "llama", NAMED),
+    Rule("gemma-terms", ("gemma",), "gemma terms of use", "gemma", NAMED),
+    Rule("eula", ("licen", "user"), "end user licen[cs]e agreement", "eula", NAMED),
+    Rule("not-sold", ("licen", "sold"), "is licensed not sold", "proprietary", NAMED),
+    Rule("no-reverse", ("reverse", "engineer"), "not reverse engineer decompile or disassemble", "proprietary", NAMED),
+    Rule("confidential-proprietary", ("proprietary", "confidential"), "confidential and proprietary", "proprietary", NAMED),
+    Rule("unauthorized-copying", ("unauthori", "copying"), "unauthori[sz]ed copying of this (?:file|work|document)", "proprietary", NAMED),
+    Rule("no-part", ("reproduced", "part"), "no part of this (?:publication|book|document|work|site) may be reproduced", "no-reproduction", NAMED),
+    Rule("prior-permission", ("permission", "prior"), "without (?:the )?prior written permission of the (?:publisher|author|copyright holder|owner)", "no-reproduction", NAMED),
+    Rule("whole-or-part", ("reproduction", "prohibited"), "reproduction in whole or in part (?:without (?:written )?permission )?is prohibited", "no-reproduction", NAMED),
+    Rule("reprinted", ("permission", "reprinted"), "reprinted (?:with|by) (?:kind )?permission", "reprint-permission", GENERIC),
+    Rule("no-copies", ("permission", "do"), "do not (?:copy|distribute|redistribute|share) without permission", "no-redistribution", NAMED),
+    Rule("internal-use", ("internal", "only"), "for internal use only", "internal-use", NAMED),
+    Rule("evaluation-only", ("evaluation", "only"), "for evaluation (?:purposes|use) only", "evaluation-only", NAMED),
+    Rule("education-only", ("educational", "only"), "for educational (?:purposes|use) only", "education-only", NAMED),
+    Rule("research-only", ("research", "only"), "for (?:academic |scientific )?research (?:purposes|use) only", "research-only", NAMED),
+    Rule("not-for-resale", ("resale",), "not for resale", "no-redistribution", NAMED),
+    Rule("not-for-commercial", ("commercial", "not"), "not for commercial (?:use|purposes|distribution)", "noncommercial", NAMED),
+    Rule("no-mining", ("mining", "data"), "text and data mining (?:is |are )?(?:reserved|prohibited|not permitted|not allowed)", "no-text-mining", NAMED),
+    Rule("mining-reserved", ("mining", "rights"), "rights (?:to|for|of) text and data mining(?: are reserved)?", "no-text-mining", NAMED),
+    Rule("no-scraping", ("scrap", "may"), "may not be scraped(?: or crawled)?", "no-scraping", NAMED),
+    Rule("no-ai-purpose", ("training", "purpose"), "for the purposes? of training (?:artificial intelligence|machine learning|language models)", "no-ai-training", NAMED),
+    Rule("us-government", ("government", "work"), "a work of the (?:united states|u s|us)(?: federal)? government", "us-government-work", NAMED),
+    Rule("us-no-copyright", ("copyright", "protection"), "not subject to copyright protection in the united states", "us-government-work", NAMED),
+    Rule("crown", ("copyright", "crown"), "crown copyright", "crown-copyright", NAMED),
+    Rule("ogl-contains", ("licen", "public", "sector"), "contains public sector information licensed under", "ogl-uk", NAMED),
+    Rule("dl-de", ("datenlizenz",), "datenlizenz deutschland(?: (?:namensnennung|zero))?", "dl-de", NAMED),
+    Rule("reserved-de", ("vorbehalten",), "alle rechte vorbehalten", "all-rights-reserved", GENERIC),
+    Rule("reserved-fr", ("droits", "tous"), "tous droits réservés", "all-rights-reserved", GENERIC),
+    Rule("reserved-es", ("derechos", "todos"), "todos los derechos reservados", "all-rights-reserved", GENERIC),
+    Rule("reserved-it", ("riservati", "diritti"), "tutti i diritti riservati", "all-rights-reserved", GENERIC),
+    Rule("reserved-pt", ("direitos", "todos"), "todos os direitos reservados", "all-rights-reserved", GENERIC),
+    Rule("gpl-es", ("licencia", "gnu"), "licencia pública general (?:de )?gnu", "gpl", NAMED),
+    Rule("gpl-fr", ("licen", "publique"), "licence publique générale gnu", "gpl", NAMED),
+    Rule("domain-de", ("gemeinfrei", "werk"), "werk ist gemeinfrei", "public-domain", NAMED),
+    Rule("domain-fr", ("domaine", "public"), "(?:dans|appartient au|relève du) (?:le )?domaine public", "public-domain", NAMED),
+    Rule("domain-es", ("dominio",), "(?:de|en el|al) dominio público", "public-domain", NAMED),
+)
+
 
 def _anchor(name: str) -> tuple:
     return ("licen",) if "licen" in name else ()
@@ -193,4 +305,4 @@ def build_rules() -> tuple[Rule, ...]:
         for version in versions:
             rules.append(Rule(f"short-{family}-{version}", (keyword,), f"{family} (?:version |v )?v?{version}",
                               f"{family}-{_dotted(version)}", VERSIONED))
-    return tuple(rules) + NOTICES
+    return tuple(rules) + NOTICES + SENTENCES

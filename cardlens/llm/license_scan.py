@@ -145,13 +145,15 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule]
     listed = [{"keywords": list(r.keywords), "pattern": r.pattern, "label": r.label, "rule_id": r.rule_id,
                "priority": r.priority, "place": i, "base": r.base} for i, r in enumerate(rules)]
     table = F.from_json(F.lit(json.dumps(listed)), _RULES)
-    lower, tried, canon = (fresh(docs.columns, c) for c in ("_lower", "_tried", "_canon"))
+    lower, present, tried, canon = (fresh(docs.columns, c) for c in ("_lower", "_present", "_tried", "_canon"))
     names = {c: fresh(docs.columns, c) for c in ("n_words", "detections", "licenses")}
     # each helper column is read more than once by the next step, which keeps Spark from inlining it into a lambda
     rows = docs.withColumn(lower, F.lower(F.coalesce(text_col, F.lit(""))))
-    gate = F.exists(anchors, lambda a: F.contains(F.col(lower), a))
-    passing = F.filter(table, lambda r: F.forall(r["keywords"], lambda k: F.contains(F.col(lower), k)))
-    rows = rows.withColumn(tried, F.when(gate, passing))
+    # each anchor is looked for once, not once per rule; only rules with a present anchor look for their other keywords
+    rows = rows.withColumn(present, F.filter(anchors, lambda a: F.contains(F.col(lower), a)))
+    passing = F.filter(table, lambda r: F.array_contains(F.col(present), F.get(r["keywords"], F.lit(0)))
+                       & F.forall(r["keywords"], lambda k: F.contains(F.col(lower), k)))
+    rows = rows.withColumn(tried, F.when(F.size(present) > 0, passing))
     some = F.coalesce(F.size(tried), F.lit(0)) > 0
     rows = rows.withColumn(canon, F.when(some, canonical(F.col(text_col))))
     found = F.sort_array(F.flatten(F.transform(tried, lambda r: _detections(F.col(canon), r))))
@@ -160,7 +162,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule]
     rows = rows.withColumn(names["licenses"], F.when(F.size(names["detections"]) > 0, unsuppressed(F.col(names["detections"])))
                            .otherwise(empty))
     n_words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long")
-    return rows.withColumn(names["n_words"], n_words).drop(lower, tried, canon)
+    return rows.withColumn(names["n_words"], n_words).drop(lower, present, tried, canon)
 
 
 def confidence(licenses: Column) -> Column:

@@ -86,6 +86,36 @@ def test_many_hits_in_one_text(spark):
     assert seconds(16_000) < 2.5 * seconds(8_000) + 1
 
 
+LICENSE_LINES = [
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software", {"bsl-1.0"}),
+    ("to deal in the Software without restriction, including", {"mit"}),
+    ("Redistributions of source code must retain the above\n copyright notice", {"bsd"}),
+    ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License", {"gpl", "agpl"}),
+    ("either version 2.1 of the License, or (at your option) any later version", {"or-later"}),
+    ("Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl-2.0"}),
+    ("You must give appropriate credit, provide a link to the license, and", {"cc"}),
+    ("The Llama 3.1 Community License Agreement", {"llama"}),
+    ("Unauthorised copying of this file", {"proprietary"}),
+    ("No part of this publication may be reproduced without the prior written permission of the publisher", {"no-reproduction"}),
+    ("Tous droits r\u00e9serv\u00e9s. Alle Rechte vorbehalten!", {"all-rights-reserved"}),
+    ("you can do what you want with it and share it with your friends, for a year or so", set()),
+]
+
+
+def test_sentences_of_license_texts(spark):
+    """Sentences are found over line breaks and punctuation; what a longer one spans is suppressed, base places stay."""
+    rules = build_rules()
+    single = [r for r in rules if not r.rule_id.startswith(("spdx-", "name-", "under-", "cc-long-", "cc-url-", "family-", "short-"))]
+    assert len(single) > 130
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LICENSE_LINES)], "doc_id long, text string")
+    for row in license_scan.scan_licenses(docs).collect():
+        every, stay = _brute(row.text, rules)
+        plain = lambda ds: sorted((d.start, -d.neg_end, d.priority, d.place, d.label) for d in ds)
+        assert plain(row.detections) == every and plain(row.licenses) == stay
+        labels = {d.label for d in row.licenses} | {d.label for d in row.detections if d.base}
+        assert labels == LICENSE_LINES[row.doc_id][1], (row.text, labels)
+
+
 def test_scan_of_odd_rows(odd, empty):
     rows = license_scan.scan_licenses(odd).collect()
     assert len(rows) == odd.count() and kept(rows)
