@@ -11,7 +11,9 @@ document of the target.
 No window ever holds a source: the prefix sum is put together from counts per
 (source, size), counts per hash cell of a (source, size) group, and a rank
 inside one cell of about ``CELL_ROWS`` rows. A source, or a group of equal
-documents, with a third of all rows is therefore spread over many tasks.
+documents, with a third of all rows is therefore spread over many tasks. The table
+of sources (one row each) is counted: up to ``SMALL_SOURCES`` it is one window, more
+are cut into ranges.
 
 Edge cases: a null text has size 0; a null source is a source of its own and
 sorts last; a source without words has target 0 and is never taken; repeated
@@ -31,6 +33,7 @@ from .columns import fresh, named, null_safe_join
 
 CELL_ROWS = 512
 ARRAY_ROWS = 1 << 16
+SMALL_SOURCES = 100_000
 MAX_REPEATS = 3
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -39,14 +42,29 @@ def _hex_number(digest: Column, digits: int) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
 
 
-def cyclic_weights(sources: DataFrame, source_col: str, weights: Sequence[int]) -> DataFrame:
+def _sums_before(rows: DataFrame, order: Sequence, values: dict, wide: bool) -> DataFrame:
+    """``rows`` with the sums of ``values`` (name: column) over all rows before each in ``order``.
+
+    One window if the rows are few; if they are ``wide``, they are cut into ranges of the order (written once with the
+    range's number), and a sum is the sum of the ranges before, of which there is one row each, plus that inside the range."""
+    before = lambda window, n, v: F.coalesce(F.sum(v).over(window.rowsBetween(*_BEFORE)), F.lit(0)).alias(n)
+    if not wide:
+        return rows.select("*", *[before(Window.orderBy(*order), n, v) for n, v in values.items()])
+    ranged = write_shared(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "mix-ranges")
+    starts = ranged.groupBy("_range").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    starts = starts.select("_range", *[before(Window.orderBy("_range"), f"{n}_start", F.col(n)) for n in values])
+    inside = ranged.select("*", *[before(Window.partitionBy("_range").orderBy(*order), f"{n}_in", v) for n, v in values.items()])
+    return inside.join(starts, "_range").select(*rows.columns, *[(F.col(f"{n}_start") + F.col(f"{n}_in")).alias(n) for n in values])
+
+
+def cyclic_weights(sources: DataFrame, source_col: str, weights: Sequence[int], wide: bool = False) -> DataFrame:
     """Give the sources, in code-point order with null last, the weights in turn (one row per source)."""
-    place = F.row_number().over(Window.orderBy(F.col(source_col).asc_nulls_last())) - 1
-    return sources.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]),
-                                                     (place % len(weights) + 1).cast("int")))
+    placed = _sums_before(sources, [F.col(source_col).asc_nulls_last()], {"_place": F.lit(1)}, wide)
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_place") % len(weights) + 1).cast("int"))
+    return placed.withColumn("weight", weight).drop("_place")
 
 
-def capped_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+def capped_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS, source_col: str = "source", wide: bool = False) -> DataFrame:
     """Share the whole size by weight with a cap of ``max_repeats`` times each source's size.
 
     ``sources`` has one row per source (source_size, weight). What a cap cuts
@@ -55,17 +73,22 @@ def capped_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
     cap / weight fill up in that order, so L is the first level that does not
     reach the next source's cap.
     """
-    cap = (F.col("source_size") * max_repeats).cast("long")
-    filling = Window.orderBy(F.col("_cap") / F.col("weight"), F.col("source_size")).rowsBetween(*_BEFORE)
-    whole = Window.partitionBy()
-    rows = sources.withColumn("_cap", cap)
-    rows = rows.withColumn("_level", (F.sum("source_size").over(whole) - F.coalesce(F.sum("_cap").over(filling), F.lit(0)))
-                           / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(filling), F.lit(0))))
-    fits = F.col("_level") <= F.col("_cap") / F.col("weight")
-    rows = rows.withColumn("_level", F.min(F.when(fits, F.struct(F.col("_cap") / F.col("weight"), F.col("_level").alias("l"))))
-                           .over(whole).getField("l"))
-    target = F.least(F.col("_cap").cast("double"), F.col("_level") * F.col("weight"))
-    return rows.withColumn("target", F.coalesce(target, F.lit(0.0))).drop("_cap", "_level")
+    rows = sources.withColumn("_cap", (F.col("source_size") * max_repeats).cast("long")).withColumn("_full_at", F.col("_cap") / F.col("weight"))
+    order = [F.col("_full_at"), F.col("source_size"), F.col(source_col).asc_nulls_last()]
+    rows = _sums_before(rows, order, {"_filled": F.col("_cap"), "_weighed": F.col("weight")}, wide)
+    level = lambda size, weight: (size - F.col("_filled")) / (weight - F.col("_weighed"))
+    first = F.min(F.when(F.col("_level") <= F.col("_full_at"), F.struct("_full_at", "_level")))
+    if wide:  # three numbers reach the driver
+        rows = write_shared(rows, "mix-levels")
+        rows = rows.withColumn("_level", level(*map(F.lit, rows.agg(F.sum("source_size"), F.sum("weight")).first())))
+        found = rows.agg(first["_level"]).first()[0]
+        found = F.lit(found).cast("double")
+    else:
+        whole = Window.partitionBy()
+        rows = rows.withColumn("_level", level(F.sum("source_size").over(whole), F.sum("weight").over(whole)))
+        found = first.over(whole)["_level"]
+    target = F.least(F.col("_cap").cast("double"), found * F.col("weight"))
+    return rows.withColumn("target", F.coalesce(target, F.lit(0.0))).drop("_cap", "_full_at", "_filled", "_weighed", "_level")
 
 
 def plan_copies(docs: DataFrame, id_col: str, source_col: str, size_col: str, weights: Sequence[int] = (5, 2, 1),
@@ -77,7 +100,9 @@ def plan_copies(docs: DataFrame, id_col: str, source_col: str, size_col: str, we
                          .withColumn("_h", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))), "mix-keys")
     groups = keyed.groupBy(source_col, size_col).agg(F.sum("n").alias("_gn"))
     sources = groups.groupBy(source_col).agg(F.sum(F.col("_gn") * F.col(size_col)).cast("long").alias("source_size"))
-    sources = capped_targets(cyclic_weights(sources, source_col, weights), max_repeats)
+    sources = write_shared(sources, "mix-sources")
+    wide = sources.count() > SMALL_SOURCES  # changes the path only
+    sources = capped_targets(cyclic_weights(sources, source_col, weights, wide), max_repeats, source_col, wide)
     offset_hash = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(source_col), F.lit(""))))
     sources = sources.select(source_col, "source_size", "target",
                              F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))

@@ -166,6 +166,24 @@ def test_targets_and_copies(spark):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, mixing.copy_counts(docs, "doc_id", "source", "size").collect()), key=str)
 
 
+def test_many_sources_are_cut_into_ranges(spark, monkeypatch):
+    """Sources like hosts, many of one size: the ranges give the weights, targets and draws of the one window, to the last bit."""
+    r = random.Random(5)
+    rows = [(i, None if i % 97 == 0 else f"host{r.randrange(400)}", r.choice([0, 3, 3, 3, 8, 200])) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    window = sorted(map(tuple, mixing.copy_counts(docs, "doc_id", "source", "size").collect()), key=str)
+    monkeypatch.setattr(mixing, "SMALL_SOURCES", 10)
+    assert sorted(map(tuple, mixing.copy_counts(docs, "doc_id", "source", "size").collect()), key=str) == window
+    sizes = {}
+    for _, s, n in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    order = sorted(s for s in sizes if s is not None) + [None]
+    want = _targets(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}, 3)
+    assert {s: t for _, s, _, _, t, _ in window} == {s: pytest.approx(t) for s, t in want.items()}
+    none = docs.withColumn("size", F.lit(0).cast("long"))
+    assert {(c.target, c.copies) for c in mixing.copy_counts(none, "doc_id", "source", "size").collect()} == {(0.0, 0)}
+
+
 def test_hot_group_is_split_into_cells_without_changing_the_draw(spark, monkeypatch):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(7).cast("long").alias("size")) \
         .union(spark.range(50).select(F.col("id") - 100, F.lit("b"), F.lit(9).cast("long")))
