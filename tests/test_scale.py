@@ -44,3 +44,14 @@ def test_decoding_needs_no_deck_per_row_and_is_compiled_on_any_session(spark, tm
         assert int(spark.conf.get(LIMIT)) <= 8000
     finally:
         spark.conf.set(LIMIT, RUNTIME_CONF[LIMIT])
+
+
+def test_guard_counts_the_whole_table(spark, tmp_path):
+    """Two windows of the newest rows and the table: every row of it is found."""
+    from cardlens.plans.queries_stats import SHORT_OF
+
+    spark.range(1500).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(2).cast("long").alias("l_partkey"),
+                             F.lit(3).cast("long").alias("l_suppkey"), F.lit("2020-01-01").cast("timestamp").alias("l_shipdate")) \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = E.queries()["e8_min_rows_guard"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in rows) == [(999, 1000, False), (1000, 1000, True), (1500, SHORT_OF, False)]
