@@ -55,3 +55,11 @@ def test_guard_counts_the_whole_table(spark, tmp_path):
         .write.parquet(f"{tmp_path}/lineitem.parquet")
     rows = E.queries()["e8_min_rows_guard"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in rows) == [(999, 1000, False), (1000, 1000, True), (1500, SHORT_OF, False)]
+
+
+def test_forest_keeps_no_node_per_row_and_tree_and_small_groups():
+    from cardlens.operators.model import build_pipeline
+
+    forest = build_pipeline().getStages()[1]
+    assert not forest.getCacheNodeIds() and forest.getMaxMemoryInMB() <= 64
+    assert forest.getNumTrees() == 100 and forest.getMaxDepth() == 10 and forest.getFeatureSubsetStrategy() == "all"
