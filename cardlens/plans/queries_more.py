@@ -218,7 +218,8 @@ SELECT {KEYS_SQL}, '{v}' AS version, round(p + 1e-9, 6) AS equity, round(coalesc
 FROM feats LEFT JOIN leaves_{v} USING ({', '.join(BINARY_INPUTS)}) LEFT JOIN lookup_{v} USING (current_hand_rank_value) WHERE {given}"""
                             for v, given in _GIVEN.items())))
 def j1_refresh_stream(spark, sf_dir):
-    """Two files of hands with a refresh of model and lookup between them: each file is scored with its version."""
+    """Two batches of hands, each written by many tasks, with a refresh of model and lookup between them: each is scored with its
+    version."""
     root = scratch_path(spark, "j1_refresh")
     hands = write_shared(derived.hands(spark, sf_dir), "hands")
     feats = write_shared(derived.with_table_label(rel.all_features(hands)).drop(Z, CDF, GLOBAL), "refresh-features")
@@ -228,7 +229,7 @@ def j1_refresh_stream(spark, sf_dir):
         model = runlog.save_model(mdl.train(known, cfg, BINARY_INPUTS, num_trees=BINARY_TREES, bootstrap=False), f"{root}/models/{version}")
         rel.relative_lookup(known).drop("current_hand_class_value").write.parquet(f"{root}/lookups/{version}")
         refresh.publish(spark, f"{root}/run_log", version, model, f"{root}/lookups/{version}")
-        hands.filter(_GIVEN[version]).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        hands.filter(_GIVEN[version]).write.mode("append").parquet(f"{root}/in")
         stream = read_stream(spark, f"{root}/in", hands.schema)
         refresh.scoring_stream_with_refresh(stream, f"{root}/run_log", f"{root}/out", (*ROW_ID, Z, CDF, GLOBAL), BINARY_INPUTS).awaitTermination()
     rows = refresh.scored_rows(spark, f"{root}/out")

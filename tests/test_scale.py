@@ -63,3 +63,16 @@ def test_forest_keeps_no_node_per_row_and_tree_and_small_groups():
     forest = build_pipeline().getStages()[1]
     assert not forest.getCacheNodeIds() and forest.getMaxMemoryInMB() <= 64
     assert forest.getNumTrees() == 100 and forest.getMaxDepth() == 10 and forest.getFeatureSubsetStrategy() == "all"
+
+
+def test_refreshed_batches_are_written_by_many_tasks(spark, monkeypatch):
+    import os
+
+    from conftest import SF_SMALL
+    from cardlens.plans import queries_more
+
+    roots, path = [], queries_more.scratch_path
+    monkeypatch.setattr(queries_more, "scratch_path", lambda *a: roots.append(path(*a)) or roots[-1])
+    rows = E.queries()["j1_refresh_stream"](spark, SF_SMALL)
+    assert {r["version"] for r in rows.select("version").distinct().collect()} == set(queries_more._GIVEN)
+    assert len([f for f in os.listdir(f"{roots[0]}/in") if f.endswith(".parquet")]) > len(queries_more._GIVEN)
