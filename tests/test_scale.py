@@ -76,3 +76,22 @@ def test_refreshed_batches_are_written_by_many_tasks(spark, monkeypatch):
     rows = E.queries()["j1_refresh_stream"](spark, SF_SMALL)
     assert {r["version"] for r in rows.select("version").distinct().collect()} == set(queries_more._GIVEN)
     assert len([f for f in os.listdir(f"{roots[0]}/in") if f.endswith(".parquet")]) > len(queries_more._GIVEN)
+
+
+def test_a_file_of_one_row_group_is_dealt_over_all_tasks(spark, tmp_path):
+    """Spark cuts a large file into enough parts, but one row group is read by one task, which did the whole work."""
+    spark.range(5000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") % 7).alias("l_partkey"),
+                             (F.col("id") % 3).alias("l_suppkey"), F.lit("2020-01-01").cast("timestamp").alias("l_shipdate")) \
+        .coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    keys, tasks = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"], spark.sparkContext.defaultParallelism
+    before = [spark.conf.get(k) for k in keys]
+    for k in keys:
+        spark.conf.set(k, "256")
+    try:
+        assert spark.read.parquet(f"{tmp_path}/lineitem.parquet").rdd.getNumPartitions() > tasks
+        by_part = derived.hands(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in by_part) == 5000
+    assert len(by_part) >= tasks and max(r["count"] for r in by_part) < 2 * 5000 / tasks
