@@ -25,12 +25,13 @@ def build_pipeline(cfg: EngineConfig = DEFAULT_CONFIG, features=MODEL_FEATURES,
     """G1: VectorAssembler + RandomForestRegressor (all inputs tried at every split; trees see a bootstrap sample each,
     or all rows)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
-    # nodes are grown in groups whose statistics stay small (they are shuffled once per partition and group) and rows go down
-    # the tree again, instead of a stored node per row and tree, rewritten in every pass; neither changes the model
+    # nodes are grown in groups whose statistics stay in a core's cache, as every row adds to a place per tree and input (they
+    # are shuffled once per partition and group), and rows go down the tree again, instead of a stored node per row and
+    # tree, rewritten in every pass; neither changes the model
     forest = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
                                    maxDepth=cfg.max_depth, numTrees=num_trees or cfg.num_trees,
                                    featureSubsetStrategy="all", maxBins=cfg.max_bins, seed=seed, bootstrap=bootstrap,
-                                   cacheNodeIds=False, maxMemoryInMB=32)
+                                   cacheNodeIds=False, maxMemoryInMB=8)
     return Pipeline(stages=[assembler, forest])
 
 

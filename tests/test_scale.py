@@ -65,6 +65,23 @@ def test_forest_keeps_no_node_per_row_and_tree_and_small_groups():
     assert forest.getNumTrees() == 100 and forest.getMaxDepth() == 10 and forest.getFeatureSubsetStrategy() == "all"
 
 
+def test_groups_of_nodes_fit_a_cache_and_leave_the_model_as_it_is(spark):
+    """Groups of 32 MB were added to from memory, not from cache, in every pass over the rows."""
+    from dataclasses import replace
+
+    from cardlens.config import DEFAULT_CONFIG
+    from cardlens.operators.model import build_pipeline
+
+    rows = spark.range(3000).select((F.col("id") % 53).alias("a"), (F.col("id") * 7919 % 101).alias("b"),
+                                    ((F.col("id") * 31 % 97) / 97).alias("equity")).coalesce(1)
+    pipeline, shapes = build_pipeline(replace(DEFAULT_CONFIG, max_depth=4), ("a", "b"), num_trees=3), []
+    assert pipeline.getStages()[1].getMaxMemoryInMB() <= 8
+    for size in (pipeline.getStages()[1].getMaxMemoryInMB(), 0):
+        pipeline.getStages()[1].setMaxMemoryInMB(size)
+        shapes.append([t._call_java("toDebugString").split("\n", 1)[1] for t in pipeline.fit(rows).stages[1].trees])
+    assert len(shapes[0]) == 3 and shapes[0] == shapes[1]
+
+
 def test_refreshed_batches_are_written_by_many_tasks(spark, monkeypatch):
     import os
 
