@@ -247,21 +247,26 @@ def g7_latest_run(spark, sf_dir):
 
 
 _LABELLED: dict = {}
+_PART = "_part"
 
 
 def _labelled(spark, sf_dir):
-    """Features of every hand with the table's label, written once per input and application."""
+    """Features of every hand with the table's label and its part, written once per input and application.
+
+    A fit reads its rows several times; the part is stored, as its hash of the row keys costs more than the rest of such a pass.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LABELLED:
-        feats = rel.all_features(derived.hands(spark, sf_dir))
-        _LABELLED[key] = (write_shared(derived.with_table_label(feats), "labelled"), {})
+        labelled = derived.with_table_label(rel.all_features(derived.hands(spark, sf_dir)))
+        parts = sampling.with_split(labelled, DEFAULT_CONFIG.test_size, SAMPLE_KEYS, DEFAULT_CONFIG.split_seed, _PART)
+        _LABELLED[key] = (write_shared(parts, "labelled"), {})
     return _LABELLED[key]
 
 
 def training_parts(spark, sf_dir):
     """(train, test) by the hash of the row keys."""
     table, _ = _labelled(spark, sf_dir)
-    return sampling.train_test_split(table, DEFAULT_CONFIG.test_size, SAMPLE_KEYS, DEFAULT_CONFIG.split_seed)
+    return tuple(table.filter(F.col(_PART) == part).drop(_PART) for part in ("train", "test"))
 
 
 def trained_model(spark, sf_dir):

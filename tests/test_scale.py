@@ -112,3 +112,21 @@ def test_a_file_of_one_row_group_is_dealt_over_all_tasks(spark, tmp_path):
             spark.conf.set(k, v)
     assert sum(r["count"] for r in by_part) == 5000
     assert len(by_part) >= tasks and max(r["count"] for r in by_part) < 2 * 5000 / tasks
+
+
+def test_passes_over_the_training_rows_hash_no_keys(spark, tmp_path):
+    """A fit reads its rows in several passes, each of which told the train part by an md5 of the row keys again."""
+    from cardlens.config import DEFAULT_CONFIG
+    from cardlens.operators import sampling
+    from cardlens.plans import queries_ops
+
+    spark.range(600).select((F.col("id") % 599).alias("l_orderkey"), F.when(F.col("id") % 5 != 0, 1).alias("l_linenumber"), (F.col("id") % 7).alias("l_partkey"),
+                            (F.col("id") % 3).alias("l_suppkey"), F.lit("2020-01-01").cast("timestamp").alias("l_shipdate")) \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts = queries_ops.training_parts(spark, str(tmp_path))
+    table = parts[0].unionByName(parts[1])
+    hashed = sampling.train_test_split(table, DEFAULT_CONFIG.test_size, queries_ops.SAMPLE_KEYS, DEFAULT_CONFIG.split_seed)
+    assert sum(p.count() for p in parts) == 600 and all(p.count() for p in parts)
+    for part, again in zip(parts, hashed):
+        assert part.columns == again.columns and part.exceptAll(again).isEmpty() and again.exceptAll(part).isEmpty()
+        assert "md5" not in part._jdf.queryExecution().executedPlan().toString()
