@@ -8,6 +8,8 @@ metrics are column aggregates, and scoring is a ``transform``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -17,8 +19,11 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, MODEL_FEATURES, TARGET, EngineConfig
 from ..functions.cards import validate_hands
 from .features import model_inputs, stateless_features
+from .forest import DEEPEST, grow_forest, plain
 from .relative import join_lookup
 
+PACKED_ROWS = 1_000_000  # from here on rows are packed for the fit; as Spark ML keeps them they take some 600 MB
+
 
 def build_pipeline(cfg: EngineConfig = DEFAULT_CONFIG, features=MODEL_FEATURES, target: str = TARGET,
                    num_trees: int | None = None, seed: int = 42, bootstrap: bool = True) -> Pipeline:
@@ -37,8 +42,12 @@ def build_pipeline(cfg: EngineConfig = DEFAULT_CONFIG, features=MODEL_FEATURES,
 
 def train(df: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG, features=MODEL_FEATURES, target: str = TARGET,
           num_trees: int | None = None, bootstrap: bool = True) -> PipelineModel:
-    """G1: fit on rows with a label."""
-    return build_pipeline(cfg, features, target, num_trees, bootstrap=bootstrap).fit(df.filter(F.col(target).isNotNull()))
+    """G1: fit on rows with a label; by Spark ML, or level by level over packed rows if there are many."""
+    pipeline, known = build_pipeline(cfg, features, target, num_trees, bootstrap=bootstrap), df.filter(F.col(target).isNotNull())
+    rows, low, high = known.agg(F.count(F.lit(1)), F.min(target).cast("double"), F.max(target).cast("double")).first()
+    if rows < PACKED_ROWS or not math.isfinite(high - low) or cfg.max_depth > DEEPEST or not plain(known, features):
+        return pipeline.fit(known)
+    return grow_forest(pipeline, known, rows, low, high)
 
 
 def evaluate(df: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
