@@ -3,7 +3,7 @@
 A random-forest regressor over the 22 model inputs predicts the win share.
 Training, evaluation and scoring stay distributed: Spark ML grows the trees
 from partition-level statistics (no table is collected to the driver), the
-metrics are column aggregates, and scoring is a ``transform``.
+metrics are column aggregates, and scoring is a column over the inputs.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, MODEL_FEATURES, TARGET, EngineConfig
 from ..functions.cards import validate_hands
 from .features import model_inputs, stateless_features
-from .forest import DEEPEST, grow_forest, plain
+from .forest import DEEPEST, grow_forest, plain, scores
 from .relative import join_lookup
 
 PACKED_ROWS = 1_000_000  # from here on rows are packed for the fit; as Spark ML keeps them they take some 600 MB
@@ -67,7 +67,10 @@ def predict(model: PipelineModel | None, df: DataFrame) -> DataFrame:
     """Add ``prediction``; an untrained model is an error."""
     if model is None:
         raise ValueError("predict needs a fitted model, got None")
-    return model.transform(df).drop("_features")
+    prediction = scores(model, df)
+    if prediction is None:
+        return model.transform(df).drop("_features")
+    return df.select("*", prediction)
 
 
 def batch_score(model: PipelineModel, lookup: DataFrame, requests: DataFrame, features=MODEL_FEATURES,

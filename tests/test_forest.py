@@ -1,4 +1,4 @@
-"""The forest over packed rows against Spark ML's own."""
+"""The forest over packed rows against Spark ML's own, and scores against Spark ML's transform."""
 
 from dataclasses import replace
 
@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlens.config import DEFAULT_CONFIG
-from cardlens.operators import forest
+from cardlens.operators import forest, runlog
 from cardlens.operators import model as mdl
 from cardlens.session import scratch_path
 
@@ -73,6 +73,18 @@ def test_draws_are_poisson():
     assert counts.max() < 20
 
 
+def test_scores_are_those_of_transform(spark):
+    """Bit by bit, with nulls and values beyond those of the training, for a model that was loaded too."""
+    rows = _rows(spark, 3000)
+    model = mdl.build_pipeline(replace(DEFAULT_CONFIG, max_depth=7), INPUTS, num_trees=5).fit(rows)
+    odd = rows.withColumn("rank", F.when(F.col("id") % 7 > 0, F.col("rank") * 2 - 100)).withColumn("part", F.when(F.col("id") % 11 > 0, F.col("part")))
+    for m in (model, runlog.load_model(runlog.save_model(model, scratch_path(spark, "model")))):
+        want, got = m.transform(odd).drop("_features"), mdl.predict(m, odd)
+        assert got.columns == want.columns and got.count() == 3000
+        assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+        assert "ArrowEvalPython" in got._jdf.queryExecution().toString()
+
+
 def test_odd_training_rows(spark, packed):
     cfg, rows = replace(DEFAULT_CONFIG, max_depth=3), _rows(spark, 200)
     with pytest.raises(Exception, match="null, NaN or infinite"):
