@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import MODEL_FEATURES, TARGET
 from ..operators import drift, sampling
 from ..operators.features import model_inputs, stateless_features
+from ..operators.model import predict
 from ..operators.relative import join_lookup
 from ..session import write_shared
 
@@ -38,7 +39,7 @@ def score(hands: DataFrame, model, lookup: DataFrame, features=MODEL_FEATURES, k
     """J1 transformation (batch or stream): features, lookup join, inputs, prediction as ``equity``."""
     feats = join_lookup(stateless_features(hands), lookup)
     inputs = model_inputs(feats, features, keep=tuple(keep))
-    return model.transform(inputs).drop("_features").withColumnRenamed("prediction", TARGET)
+    return predict(model, inputs).withColumnRenamed("prediction", TARGET)
 
 
 def scoring_stream(spark: SparkSession, source: str, schema, model, lookup: DataFrame, sink: str,
